@@ -95,3 +95,51 @@ def year_grid(df: DataFrame, first_year: Column | int, last_year: Column | int,
     lo = first_year if isinstance(first_year, Column) else F.lit(first_year)
     hi = last_year if isinstance(last_year, Column) else F.lit(last_year)
     return df.where(lo <= hi).withColumn(year_col, F.explode(F.sequence(lo, hi)))
+
+
+# ---------------------------------------------------------------------------
+# Polish statutory public holidays on fixed dates, as
+# (month, day, first year in force). Movable feasts follow Easter Sunday:
+# Easter Sunday +0, Easter Monday +1, Pentecost Sunday +49, Corpus Christi +60.
+PL_FIXED_HOLIDAYS = [
+    (1, 1, 1951), (1, 6, 2011), (5, 1, 1951), (5, 3, 1990), (8, 15, 1989),
+    (11, 1, 1951), (11, 11, 1989), (12, 24, 2025), (12, 25, 1951), (12, 26, 1951),
+]
+PL_EASTER_OFFSETS = [0, 1, 49, 60]
+# ---------------------------------------------------------------------------
+
+
+def easter_sunday(year: Column) -> Column:
+    """Gregorian Easter Sunday of ``year`` (anonymous Gregorian algorithm),
+    as integer column arithmetic — no lookup table, no UDF."""
+    def div(a, b):
+        return F.floor(a / F.lit(b)).cast("int")
+
+    def mod(a, b):
+        return F.pmod(a, F.lit(b))
+    y = year.cast("int")
+    a, b, c = mod(y, 19), div(y, 100), mod(y, 100)
+    d, e = div(b, 4), mod(b, 4)
+    f = div(b + 8, 25)
+    g = div(b - f + 1, 3)
+    h = mod(19 * a + b - d - g + 15, 30)
+    i, k = div(c, 4), mod(c, 4)
+    l_ = mod(32 + 2 * e + 2 * i - h - k, 7)
+    m = div(a + 11 * h + 22 * l_, 451)
+    n = h + l_ - 7 * m + 114
+    return F.make_date(y, div(n, 31), mod(n, 31) + 1)
+
+
+def is_pl_public_holiday(date: Column) -> Column:
+    """True on Polish public holidays (rule-based, any year)."""
+    y, md = F.year(date), F.month(date) * 100 + F.dayofmonth(date)
+    fixed = F.lit(False)
+    for mo, dd, since in PL_FIXED_HOLIDAYS:
+        fixed = fixed | ((md == mo * 100 + dd) & (y >= since))
+    diff = F.datediff(date, easter_sunday(y))
+    return fixed | diff.isin(*PL_EASTER_OFFSETS)
+
+
+def holiday_table(calendar: DataFrame) -> DataFrame:
+    """Holiday dates inside a calendar's range (small: ~14 per year)."""
+    return calendar.where(is_pl_public_holiday(F.col("date"))).select("date")

@@ -159,3 +159,222 @@ def union_by_name(spark: SparkSession, sf: str) -> DataFrame:
     a = ev.where(first)
     b = ev.where(~first | F.col("event_type").isNull()).select(*reversed(ev.columns))
     return a.unionByName(b)
+
+
+# ---- sources: landed payloads ----------------------------------------------------------
+
+@query
+def csv_price_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """Lineitems landed as OHLCV CSV lines, parsed back on executors."""
+    from tidemark.sources.landed import price_rows_from_csv_lines, split_corrupt, to_bronze_prices
+    li = d.table(spark, sf, "lineitem")
+    px = F.col("l_extendedprice")
+    line = F.concat_ws(",", F.date_format("l_shipdate", "yyyy-MM-dd"), px.cast("string"),
+                       (px * (F.lit(1.0) + F.col("l_tax"))).cast("string"),
+                       (px * (F.lit(1.0) - F.col("l_discount"))).cast("string"), px.cast("string"),
+                       F.col("l_quantity").cast("bigint").cast("string"))
+    landed = li.select(F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("ticker"), line.alias("line"))
+    rows = price_rows_from_csv_lines(landed, "line", "ticker", "stooq", F.to_timestamp_ntz(F.lit(d.RUN1_AT)))
+    clean, _ = split_corrupt(rows)
+    return to_bronze_prices(clean)
+
+
+@query
+def csv_header_check(spark: SparkSession, sf: str) -> DataFrame:
+    """One landed CSV per supplier; files of suppliers in debt carry a
+    lower-case header that the contract rejects."""
+    from tidemark.schemas import EXPECTED_PRICE_CSV_HEADER
+    from tidemark.sources.landed import csv_header_status
+    s = d.table(spark, sf, "supplier")
+    good = ",".join(EXPECTED_PRICE_CSV_HEADER)
+    files = s.select(F.concat(F.lit("landing/prices/"), F.col("s_name"), F.lit(".csv")).alias("file_path"),
+                     F.when(F.col("s_acctbal") < 0, F.lit(good.lower())).otherwise(F.lit(good)).alias("first_line"))
+    return csv_header_status(files)
+
+
+@query
+def payload_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Shape guards over landed bodies: pages and documents as CSV bodies,
+    event props and conversation turns as JSON-array bodies."""
+    from tidemark.sources.landed import classify_payload
+    pages = d.table(spark, sf, "pages").select(F.lit("pages").alias("origin"), F.col("page_id").alias("item_id"),
+                                               classify_payload(F.col("html"), "csv").alias("payload_status"))
+    docs = d.table(spark, sf, "documents").select(F.lit("documents").alias("origin"), F.col("doc_id").alias("item_id"),
+                                                  classify_payload(F.col("text"), "csv").alias("payload_status"))
+    ev = d.table(spark, sf, "events").select(F.lit("events").alias("origin"), F.col("event_id").alias("item_id"),
+                                             classify_payload(F.col("props"), "json_array").alias("payload_status"))
+    conv = d.table(spark, sf, "conversations").select(
+        F.lit("conversations").alias("origin"), (F.col("conv_id") * 1000 + F.col("turn")).alias("item_id"),
+        classify_payload(F.col("text"), "json_array").alias("payload_status"))
+    return pages.unionByName(docs).unionByName(ev).unionByName(conv)
+
+
+@query
+def json_explode_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """FX bodies ``{table, currency, code, rates[]}`` built per event, parsed and exploded."""
+    from tidemark.sources.landed import fx_rows_from_json
+    ev = d.table(spark, sf, "events")
+    day = F.to_date("ts")
+    rates = F.array(
+        F.struct(F.concat(F.lit("a"), F.col("event_id").cast("string")).alias("no"),
+                 F.date_format(day, "yyyy-MM-dd").alias("effectiveDate"), F.col("value").alias("mid")),
+        F.struct(F.concat(F.lit("b"), F.col("event_id").cast("string")).alias("no"),
+                 F.date_format(F.date_add(day, 1), "yyyy-MM-dd").alias("effectiveDate"),
+                 (F.col("value") + F.lit(0.5)).alias("mid")))
+    body = F.to_json(F.struct(F.lit("A").alias("table"), F.col("event_type").alias("currency"),
+                              F.upper("event_type").alias("code"), rates.alias("rates")))
+    return fx_rows_from_json(ev.select(body.alias("body")), "body", "nbp", F.to_timestamp_ntz(F.lit(d.RUN1_AT)))
+
+
+@query
+def json_nested_explode(spark: SparkSession, sf: str) -> DataFrame:
+    """Macro bodies ``{results[].values[]}`` per order; pending orders land a
+    body without ``results`` (no rows), the second value is null (kept)."""
+    from tidemark.sources.landed import macro_rows_from_json
+    o = d.table(spark, sf, "orders")
+    y = F.year("o_orderdate")
+    values = F.array(F.struct(y.cast("string").alias("year"), F.col("o_totalprice").alias("val")),
+                     F.struct((y + 1).cast("string").alias("year"), F.lit(None).cast("double").alias("val")))
+    body = F.when(F.col("o_orderstatus") == "P", F.to_json(F.struct(F.lit(1).alias("total"))))
+    body = body.otherwise(F.to_json(F.struct(F.array(F.struct(
+        F.col("o_orderpriority").alias("id"), F.col("o_orderstatus").alias("name"),
+        values.alias("values"))).alias("results"))))
+    landed = o.select(F.concat(F.lit("ind_"), F.col("o_orderpriority")).alias("indicator_name"),
+                      F.col("o_custkey").cast("int").alias("variable_id"), F.lit("%").alias("unit"), body.alias("body"))
+    return macro_rows_from_json(landed, "body", F.col("indicator_name"), F.col("variable_id"), F.col("unit"),
+                                "gus", F.to_timestamp_ntz(F.lit(d.RUN1_AT)))
+
+
+@query
+def json_schema_union(spark: SparkSession, sf: str) -> DataFrame:
+    """Statement-like JSON records landed as files; the reader infers the
+    field union (absent = null, all-null = string, int + float = double)."""
+    from tidemark.session import fresh_dir
+    from tidemark.sources.landed import read_statement_json
+    path = fresh_dir(spark, "landing", "statements")
+    d.statement_payload(d.table(spark, sf, "events")).select("payload").write.text(path)
+    return read_statement_json(spark, path)
+
+
+# ---- generated tables ------------------------------------------------------------------
+
+@query
+def dim_date(spark: SparkSession, sf: str) -> DataFrame:
+    """Calendar over the order-date range."""
+    return date_dimension_from(d.table(spark, sf, "orders"), "o_orderdate", pad_months=0)
+
+
+@query
+def dim_date_from_data(spark: SparkSession, sf: str) -> DataFrame:
+    """Calendar over the ship-date range padded by one year on each side."""
+    return date_dimension_from(d.table(spark, sf, "lineitem"), "l_shipdate", pad_months=12)
+
+
+@query
+def trading_day_holidays(spark: SparkSession, sf: str) -> DataFrame:
+    """Order-date calendar whose trading-day flag also excludes public holidays."""
+    from tidemark.operators.calendar import holiday_table, with_holidays
+    cal = dim_date(spark, sf)
+    return with_holidays(cal, holiday_table(cal))
+
+
+@query
+def backfill_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """Per order priority, its order-date range in request chunks of <= 367 days."""
+    from tidemark.operators.calendar import chunk_ranges
+    o = d.table(spark, sf, "orders")
+    r = o.groupBy("o_orderpriority").agg(F.to_date(F.min("o_orderdate")).alias("range_start"),
+                                         F.to_date(F.max("o_orderdate")).alias("range_end"))
+    return chunk_ranges(r, "range_start", "range_end")
+
+
+@query
+def backfill_grid(spark: SparkSession, sf: str) -> DataFrame:
+    """Per region, every year between its customers' first and last order."""
+    from tidemark.operators.calendar import year_grid
+    from tidemark.operators.joins import checked_broadcast
+    o = d.table(spark, sf, "orders")
+    per_cust = o.groupBy("o_custkey").agg(F.min(F.year("o_orderdate")).alias("y0"),
+                                          F.max(F.year("o_orderdate")).alias("y1"))
+    c = d.table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    geo = d.table(spark, sf, "nation").join(d.table(spark, sf, "region"),
+                                            F.col("n_regionkey") == F.col("r_regionkey"))
+    geo = geo.select(F.col("n_nationkey").alias("c_nationkey"), "r_name")
+    j = per_cust.join(c, "o_custkey").join(checked_broadcast(geo), "c_nationkey")
+    r = j.groupBy("r_name").agg(F.min("y0").alias("y0"), F.max("y1").alias("y1"))
+    return year_grid(r, F.col("y0"), F.col("y1")).select("r_name", "year")
+
+
+@query
+def dim_company(spark: SparkSession, sf: str) -> DataFrame:
+    """Company dimension from supplier reference rows (nation = listing currency)."""
+    from tidemark.operators.joins import lookup_left_join
+    s = d.table(spark, sf, "supplier")
+    n = d.table(spark, sf, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
+    t = lookup_left_join(s, n, "s_nationkey").select(
+        F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("ticker"),
+        F.lit(None).cast("string").alias("stooq_symbol"),
+        F.when(F.col("s_acctbal") >= 0, F.concat(F.lit("F"), F.col("s_suppkey").cast("string"))).alias("fmp_symbol"),
+        F.col("s_name").alias("company_name"), F.col("n_name").alias("currency"))
+    return gold.build_dim_company(t)
+
+
+# ---- sinks -------------------------------------------------------------------------------
+
+def _bronze_run(spark, sf, at):
+    from tidemark.functions.columns import provenance
+    return provenance(d.bronze_prices(spark, sf), "stooq", F.to_timestamp_ntz(F.lit(at)))
+
+
+@query
+def bronze_append_twice(spark: SparkSession, sf: str) -> DataFrame:
+    """Two ingestion runs appended to one Bronze table, read back."""
+    from tidemark.session import fresh_dir
+    from tidemark.sinks.tables import append, read_appended
+    path = fresh_dir(spark, "tables", "bronze_prices")
+    append(_bronze_run(spark, sf, d.RUN1_AT), path)
+    append(_bronze_run(spark, sf, d.RUN2_AT), path)
+    return read_appended(spark, path)
+
+
+@query
+def append_schema_evolution(spark: SparkSession, sf: str) -> DataFrame:
+    """The second append adds a column; older rows read it as null."""
+    from tidemark.session import fresh_dir
+    from tidemark.sinks.tables import append, read_appended
+    path = fresh_dir(spark, "tables", "bronze_prices_evolving")
+    append(_bronze_run(spark, sf, d.RUN1_AT), path)
+    append(_bronze_run(spark, sf, d.RUN2_AT).withColumn("adj_close", F.col("close") * F.lit(0.5)), path)
+    return read_appended(spark, path, merge_schema=True)
+
+
+def _upsert_sides(spark, sf):
+    ev = d.table(spark, sf, "events").select("event_id", "user_id", "event_type", "value", "ts")
+    target = ev.where(F.col("event_type") != "purchase")
+    source = ev.where(F.col("event_type").isin("purchase", "click")).withColumn("value", F.col("value") + F.lit(1.0))
+    return target, source
+
+
+@query
+def upsert_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """Create on first run, then merge: clicks are updated, purchases inserted."""
+    from tidemark.session import fresh_dir
+    from tidemark.sinks.upsert import read_current, upsert
+    path = fresh_dir(spark, "tables", "silver_events")
+    target, source = _upsert_sides(spark, sf)
+    upsert(spark, target, path, ["event_id"])
+    upsert(spark, source, path, ["event_id"])
+    return read_current(spark, path)
+
+
+@query
+def upsert_idempotent(spark: SparkSession, sf: str) -> DataFrame:
+    """Rerunning the same merge leaves the table unchanged."""
+    from tidemark.session import fresh_dir
+    from tidemark.sinks.upsert import read_current, upsert
+    path = fresh_dir(spark, "tables", "silver_events")
+    target, source = _upsert_sides(spark, sf)
+    upsert(spark, target, path, ["event_id"])
+    upsert(spark, source, path, ["event_id"])
+    upsert(spark, source, path, ["event_id"])
+    return read_current(spark, path)

@@ -156,3 +156,133 @@ SELECT *, 'balance_sheet' AS statement_type FROM customer
 UNION ALL BY NAME SELECT *, 'income_statement' AS statement_type FROM supplier
 UNION ALL BY NAME SELECT *, 'cash_flow' AS statement_type FROM part"""
 ORACLE_SQL["union_by_name"] = "SELECT * FROM events"
+
+# ---- sources --------------------------------------------------------------------------
+ORACLE_SQL["csv_price_ingest"] = """
+SELECT 'P' || CAST(l_partkey AS VARCHAR) AS ticker, strftime(l_shipdate, '%Y-%m-%d') AS date,
+       l_extendedprice AS open, l_extendedprice * (1.0 + l_tax) AS high, l_extendedprice * (1.0 - l_discount) AS low,
+       l_extendedprice AS close, CAST(l_quantity AS BIGINT) AS volume, 'stooq' AS source,
+       TIMESTAMP '2024-02-01 06:00:00' AS retrieved_at
+FROM lineitem"""
+
+ORACLE_SQL["csv_header_check"] = """
+SELECT 'landing/prices/' || s_name || '.csv' AS file_path,
+       CASE WHEN s_acctbal < 0 THEN 'date,open,high,low,close,volume' ELSE 'Date,Open,High,Low,Close,Volume' END
+         AS first_line,
+       s_acctbal >= 0 AS header_ok
+FROM supplier"""
+
+
+def _status(body: str, expect: str) -> str:
+    base = (f"CASE WHEN {body} IS NULL OR regexp_full_match({body}, '\\s*') THEN 'empty' "
+            f"WHEN regexp_matches({body}, '^\\s*<') THEN 'html' ")
+    if expect == "csv":
+        return base + "ELSE 'ok' END"
+    return base + (f"WHEN NOT json_valid({body}) THEN 'not_json' "
+                   f"WHEN json_type({body}) <> 'ARRAY' THEN 'not_json_array' ELSE 'ok' END")
+
+
+ORACLE_SQL["payload_quarantine"] = f"""
+SELECT 'pages' AS origin, page_id AS item_id, {_status('html', 'csv')} AS payload_status FROM pages
+UNION ALL SELECT 'documents', doc_id, {_status('text', 'csv')} FROM documents
+UNION ALL SELECT 'events', event_id, {_status('props', 'json_array')} FROM events
+UNION ALL SELECT 'conversations', conv_id * 1000 + turn, {_status('text', 'json_array')} FROM conversations"""
+
+ORACLE_SQL["json_explode_rates"] = """
+SELECT upper(event_type) AS currency_code, strftime(ts, '%Y-%m-%d') AS effective_date, value AS mid_rate,
+       'nbp' AS source, TIMESTAMP '2024-02-01 06:00:00' AS retrieved_at FROM events
+UNION ALL
+SELECT upper(event_type), strftime(CAST(ts AS DATE) + 1, '%Y-%m-%d'), value + 0.5, 'nbp',
+       TIMESTAMP '2024-02-01 06:00:00' FROM events"""
+
+ORACLE_SQL["json_nested_explode"] = """
+SELECT 'ind_' || o_orderpriority AS indicator_name, CAST(o_custkey AS INTEGER) AS variable_id,
+       CAST(year(o_orderdate) AS INTEGER) AS year, o_totalprice AS value, '%' AS unit, 'gus' AS source,
+       TIMESTAMP '2024-02-01 06:00:00' AS retrieved_at FROM orders WHERE o_orderstatus <> 'P'
+UNION ALL
+SELECT 'ind_' || o_orderpriority, CAST(o_custkey AS INTEGER), CAST(year(o_orderdate) + 1 AS INTEGER),
+       CAST(NULL AS DOUBLE), '%', 'gus', TIMESTAMP '2024-02-01 06:00:00' FROM orders WHERE o_orderstatus <> 'P'"""
+
+ORACLE_SQL["json_schema_union"] = f"""
+SELECT event_id,
+       CASE WHEN event_type = 'view' THEN user_id END AS extra,
+       CAST(CAST({K} AS BIGINT) + CASE WHEN event_type = 'view' THEN 0.5 ELSE 0 END AS DOUBLE) AS k,
+       CAST(NULL AS VARCHAR) AS note,
+       CASE WHEN event_type = 'click' THEN value END AS v
+FROM events"""
+
+# ---- generated ------------------------------------------------------------------------
+
+
+def calendar_sql(lo: str, hi: str, src: str) -> str:
+    return f"""B AS (SELECT {lo} AS lo, {hi} AS hi FROM {src}),
+CAL AS (
+  SELECT CAST(g AS DATE) AS date FROM B, unnest(generate_series(CAST(B.lo AS TIMESTAMP), CAST(B.hi AS TIMESTAMP),
+         INTERVAL 1 DAY)) AS t(g) WHERE B.lo IS NOT NULL),
+DIM AS (
+  SELECT date, CAST(year(date) AS INTEGER) AS year, CAST(quarter(date) AS INTEGER) AS quarter,
+         CAST(month(date) AS INTEGER) AS month, monthname(date) AS month_name,
+         CAST(weekofyear(date) AS INTEGER) AS week_of_year, CAST(dayofweek(date) + 1 AS INTEGER) AS day_of_week,
+         dayname(date) AS day_name, dayofweek(date) BETWEEN 1 AND 5 AS is_trading_day_gpw
+  FROM CAL)"""
+
+
+ORACLE_SQL["dim_date"] = ("WITH " + calendar_sql("CAST(min(o_orderdate) AS DATE)", "CAST(max(o_orderdate) AS DATE)",
+                                                 "orders") + " SELECT * FROM DIM")
+ORACLE_SQL["dim_date_from_data"] = ("WITH " + calendar_sql(
+    "CAST(CAST(min(l_shipdate) AS DATE) - INTERVAL 12 MONTH AS DATE)",
+    "CAST(CAST(max(l_shipdate) AS DATE) + INTERVAL 12 MONTH AS DATE)", "lineitem") + " SELECT * FROM DIM")
+
+_EASTER = """make_date(y, ((h + l - 7 * m + 114) // 31), ((h + l - 7 * m + 114) % 31) + 1)"""
+ORACLE_SQL["trading_day_holidays"] = "WITH " + calendar_sql(
+    "CAST(min(o_orderdate) AS DATE)", "CAST(max(o_orderdate) AS DATE)", "orders") + """,
+Y AS (SELECT DISTINCT year AS y FROM DIM),
+E1 AS (SELECT y, y % 19 AS a, y // 100 AS b, y % 100 AS c FROM Y),
+E2 AS (SELECT *, b // 4 AS d, b % 4 AS e, (b + 8) // 25 AS f FROM E1),
+E3 AS (SELECT *, (b - f + 1) // 3 AS g FROM E2),
+E4 AS (SELECT *, (19 * a + b - d - g + 15) % 30 AS h, c // 4 AS i, c % 4 AS k FROM E3),
+E5 AS (SELECT *, (32 + 2 * e + 2 * i - h - k) % 7 AS l FROM E4),
+E6 AS (SELECT *, (a + 11 * h + 22 * l) // 451 AS m FROM E5),
+EASTER AS (SELECT y, """ + _EASTER + """ AS easter FROM E6),
+FIXED(mo, dd, since) AS (VALUES (1, 1, 1951), (1, 6, 2011), (5, 1, 1951), (5, 3, 1990), (8, 15, 1989),
+  (11, 1, 1951), (11, 11, 1989), (12, 24, 2025), (12, 25, 1951), (12, 26, 1951)),
+HOL AS (
+  SELECT DIM.date FROM DIM JOIN EASTER ON DIM.year = EASTER.y
+  WHERE date_diff('day', EASTER.easter, DIM.date) IN (0, 1, 49, 60)
+     OR EXISTS (SELECT 1 FROM FIXED WHERE FIXED.mo = DIM.month AND FIXED.dd = day(DIM.date) AND DIM.year >= since))
+SELECT DIM.* REPLACE (DIM.is_trading_day_gpw AND HOL.date IS NULL AS is_trading_day_gpw)
+FROM DIM LEFT JOIN (SELECT DISTINCT date FROM HOL) HOL USING (date)"""
+
+ORACLE_SQL["backfill_chunks"] = """
+WITH R AS (SELECT o_orderpriority, CAST(min(o_orderdate) AS DATE) AS range_start,
+                  CAST(max(o_orderdate) AS DATE) AS range_end FROM orders GROUP BY 1)
+SELECT o_orderpriority, range_start, range_end, CAST(g AS DATE) AS chunk_start,
+       least(CAST(g AS DATE) + 366, range_end) AS chunk_end
+FROM R, unnest(generate_series(CAST(range_start AS TIMESTAMP), CAST(range_end AS TIMESTAMP), INTERVAL 367 DAY)) AS t(g)
+WHERE range_start <= range_end"""
+
+ORACLE_SQL["backfill_grid"] = """
+WITH R AS (
+  SELECT r_name, CAST(min(year(o_orderdate)) AS INTEGER) AS y0, CAST(max(year(o_orderdate)) AS INTEGER) AS y1
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+       JOIN region ON n_regionkey = r_regionkey GROUP BY r_name)
+SELECT r_name, CAST(y AS INTEGER) AS year FROM R, unnest(generate_series(y0, y1)) AS t(y)"""
+
+ORACLE_SQL["dim_company"] = """
+SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS ticker, s_name AS company_name, n_name AS listing_currency,
+       CASE WHEN s_acctbal >= 0 THEN 'F' || CAST(s_suppkey AS VARCHAR) END AS fmp_symbol
+FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey"""
+
+# ---- sinks ---------------------------------------------------------------------------
+_RUN = "SELECT * REPLACE ('stooq' AS source, TIMESTAMP '{at}' AS retrieved_at) FROM E"
+ORACLE_SQL["bronze_append_twice"] = (f"WITH {E} {_RUN.format(at='2024-02-01 06:00:00')} UNION ALL "
+                                     f"{_RUN.format(at='2024-02-02 06:00:00')}")
+ORACLE_SQL["append_schema_evolution"] = (
+    f"WITH {E} {_RUN.format(at='2024-02-01 06:00:00')} UNION ALL BY NAME "
+    f"SELECT *, close * 0.5 AS adj_close FROM ({_RUN.format(at='2024-02-02 06:00:00')})")
+_UPS = """WITH T AS (SELECT event_id, user_id, event_type, value, ts FROM events WHERE event_type <> 'purchase'),
+S AS (SELECT event_id, user_id, event_type, value + 1.0 AS value, ts FROM events
+      WHERE event_type IN ('purchase', 'click'))
+SELECT T.* FROM T ANTI JOIN S USING (event_id) UNION ALL SELECT * FROM S"""
+ORACLE_SQL["upsert_merge"] = _UPS
+ORACLE_SQL["upsert_idempotent"] = _UPS

@@ -156,8 +156,8 @@ def read_statement_json(spark: SparkSession, path: str | Sequence[str], multi_li
 def classify_payload(body: Column, expect: str) -> Column:
     """Status of a landed body: ``ok``, ``empty``, ``html``, ``not_json``,
     ``not_json_array`` (``expect`` is ``csv`` or ``json_array``)."""
-    trimmed = F.trim(body)
-    base = F.when(body.isNull() | (trimmed == ""), "empty").when(F.ltrim(body).startswith("<"), "html")
+    # whitespace is any of space, tab, CR, LF, FF (not only spaces, unlike trim())
+    base = F.when(body.isNull() | body.rlike(r"^\s*$"), "empty").when(body.rlike(r"^\s*<"), "html")
     if expect == "csv":
         return base.otherwise("ok")
     v = F.try_parse_json(body)
