@@ -172,14 +172,19 @@ def violation_counts(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
         for i, n in enumerate(rules)])).alias("r")).select("r.*")
 
 
-PRICE_RULES = {
-    "low_le_open": F.col("low") <= F.col("open"),
-    "open_le_high": F.col("open") <= F.col("high"),
-    "low_le_close": F.col("low") <= F.col("close"),
-    "close_le_high": F.col("close") <= F.col("high"),
-    "volume_non_negative": F.col("volume") >= 0,
-}
-FX_RULES = {"rate_positive": F.col("mid_rate") > 0}
+def price_rules() -> dict[str, Column]:
+    """Bronze price sanity rules (ours): low <= open, close <= high; volume >= 0."""
+    return {
+        "low_le_open": F.col("low") <= F.col("open"),
+        "open_le_high": F.col("open") <= F.col("high"),
+        "low_le_close": F.col("low") <= F.col("close"),
+        "close_le_high": F.col("close") <= F.col("high"),
+        "volume_non_negative": F.col("volume") >= 0,
+    }
+
+
+def fx_rules() -> dict[str, Column]:
+    return {"rate_positive": F.col("mid_rate") > 0}
 
 
 def payload_field_types(df: DataFrame, batch_col: str, payload_col: str) -> DataFrame:
@@ -192,7 +197,9 @@ def payload_field_types(df: DataFrame, batch_col: str, payload_col: str) -> Data
     e = v.lateralJoin(v.sparkSession.tvf.variant_explode(F.col("__v").outer())
                       .select(F.col("key").alias("field"), F.col("value").alias("__val")), how="inner")
     t = F.schema_of_variant(F.col("__val"))
-    cls = (F.when(t.isin("BIGINT", "INT", "SMALLINT", "TINYINT") | t.rlike(r"^DECIMAL\(\d+,0\)$"), "integer")
+    # JSON integers parse as BIGINT; any number written with a fraction or an
+    # exponent parses as DECIMAL (even 12.0 -> DECIMAL(2,0)) or DOUBLE
+    cls = (F.when(t.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), "integer")
            .when(t.startswith("DECIMAL") | t.isin("DOUBLE", "FLOAT"), "double")
            .when(t == "STRING", "string").when(t == "BOOLEAN", "boolean").when(t == "VOID", "null")
            .when(t.startswith("OBJECT"), "object").when(t.startswith("ARRAY"), "array").otherwise("other"))

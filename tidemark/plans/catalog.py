@@ -378,3 +378,191 @@ def upsert_idempotent(spark: SparkSession, sf: str) -> DataFrame:
     upsert(spark, source, path, ["event_id"])
     upsert(spark, source, path, ["event_id"])
     return read_current(spark, path)
+
+
+# ---- reconciliation --------------------------------------------------------------------
+
+def _price_layers(spark, sf):
+    bronze = d.bronze_prices(spark, sf)
+    silver = silver_prices(spark, sf)
+    return bronze, silver, gold.build_fact_prices(silver)
+
+
+@query
+def recon_counts(spark: SparkSession, sf: str) -> DataFrame:
+    from tidemark.operators.quality import compare_row_counts
+    b, s, g = _price_layers(spark, sf)
+    return compare_row_counts(b, s, exact=False, name="prices_bronze_silver_count").unionByName(
+        compare_row_counts(s, g, exact=True, name="prices_silver_gold_count"))
+
+
+@query
+def recon_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    from tidemark.operators.quality import compare_range
+    b, s, g = _price_layers(spark, sf)
+    return compare_range(b, s, "date", "date", "prices_bronze_silver_date_range").unionByName(
+        compare_range(s, g, "date", "date", "prices_silver_gold_date_range"))
+
+
+@query
+def recon_summary(spark: SparkSession, sf: str) -> DataFrame:
+    from tidemark.operators.quality import summarize
+    r = recon_counts(spark, sf).withColumn("ordinal", F.lit(0)).unionByName(
+        recon_ranges(spark, sf).withColumn("ordinal", F.lit(1)))
+    return summarize(r)
+
+
+def suite_checks():
+    from tidemark.operators.quality import Check
+    return [
+        Check("prices_bronze_silver_count", "count_loose", "bronze_prices", "silver_prices"),
+        Check("prices_bronze_silver_date_range", "range", "bronze_prices", "silver_prices", "date", "date"),
+        Check("prices_silver_gold_count", "count_exact", "silver_prices", "fact_prices"),
+        Check("prices_silver_gold_date_range", "range", "silver_prices", "fact_prices", "date", "date"),
+        Check("fx_bronze_silver_count", "count_loose", "bronze_fx", "silver_fx"),
+        Check("fx_bronze_silver_date_range", "range", "bronze_fx", "silver_fx", "effective_date", "effective_date"),
+        Check("macro_bronze_silver_count", "count_loose", "bronze_macro", "silver_macro"),
+        Check("macro_bronze_silver_year_range", "range", "bronze_macro", "silver_macro", "year", "year"),
+        Check("macro_silver_gold_count", "count_exact", "silver_macro", "fact_macro"),
+        Check("macro_silver_gold_date_range", "range", "silver_macro", "fact_macro", "reference_date",
+              "reference_date"),
+        Check("fundamentals_bronze_silver_count", "count_loose", "bronze_fundamentals", "silver_statements"),
+        Check("fundamentals_bronze_silver_date_range", "range", "bronze_fundamentals", "silver_statements",
+              "date", "date"),
+        Check("fundamentals_silver_gold_count", "count_exact", "silver_fundamentals", "fact_fundamentals"),
+        Check("fundamentals_silver_gold_date_range", "range", "silver_fundamentals", "fact_fundamentals",
+              "period_end_date", "period_end_date"),
+    ]
+
+
+def suite_tables(spark, sf):
+    b, s, g = _price_layers(spark, sf)
+    sm = standardize_macro(spark, sf)
+    sst = standardize_fundamentals(spark, sf)
+    sfl = reshape.unpivot_statement_metrics(sst)
+    return {
+        "bronze_prices": b, "silver_prices": s, "fact_prices": g,
+        "bronze_fx": d.bronze_fx(spark, sf), "silver_fx": standardize_fx_rates(spark, sf),
+        "bronze_macro": d.bronze_macro(spark, sf), "silver_macro": sm, "fact_macro": gold.build_fact_macro(sm),
+        "bronze_fundamentals": d.bronze_fundamentals(spark, sf), "silver_statements": sst,
+        "silver_fundamentals": sfl, "fact_fundamentals": gold.build_fact_fundamentals(sfl),
+    }
+
+
+@query
+def recon_suite(spark: SparkSession, sf: str) -> DataFrame:
+    """Fourteen Bronze-Silver and Silver-Gold checks as one result table."""
+    from tidemark.operators.quality import run_suite
+    return run_suite(suite_tables(spark, sf), suite_checks())
+
+
+# ---- documented extensions (Tier B) ---------------------------------------------------
+
+@query
+def asof_fx_convert(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily closes converted with the latest rate published on or before the
+    day (rates appear on Mondays and Thursdays); SIGNUP is the base currency."""
+    from tidemark.operators.joins import convert_currency
+    p = standardize.standardize_prices(dedup.dedup_prices(d.bronze_prices(spark, sf)))
+    p = p.select("ticker", "date", F.upper("source").alias("currency"), "close")
+    r = standardize_fx_rates(spark, sf).where(F.dayofweek("effective_date").isin(2, 5))
+    return convert_currency(p, r, base_currency="SIGNUP").select(
+        "ticker", "date", "currency", "close", "fx_rate", "close_pln")
+
+
+@query
+def ref_integrity(spark: SparkSession, sf: str) -> DataFrame:
+    from tidemark.operators.quality import orphan_counts
+    cust = d.table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"))
+    return orphan_counts([
+        ("orders_customer", d.table(spark, sf, "orders"), cust, ["o_custkey"]),
+        ("documents_labels", d.table(spark, sf, "documents"), d.table(spark, sf, "labels"), ["doc_id"]),
+    ])
+
+
+@query
+def null_rates(spark: SparkSession, sf: str) -> DataFrame:
+    from tidemark.operators.quality import null_rates as rates
+    docs = d.table(spark, sf, "documents").join(d.table(spark, sf, "labels"), "doc_id", "left")
+    return rates(docs)
+
+
+def lineitem_rules() -> dict:
+    return {
+        "quantity_positive": F.col("l_quantity") > 0,
+        "quantity_at_most_50": F.col("l_quantity") <= 50,
+        "discount_in_range": F.col("l_discount").between(0.0, 0.1),
+        "tax_non_negative": F.col("l_tax") >= 0,
+        "price_positive": F.col("l_extendedprice") > 0,
+    }
+
+
+@query
+def validate_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    from tidemark.operators.quality import violation_counts
+    return violation_counts(d.table(spark, sf, "lineitem"), lineitem_rules())
+
+
+@query
+def schema_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Fields added / removed / retyped between two payload batches."""
+    from tidemark.operators.quality import schema_drift as drift
+    p = d.statement_payload(d.table(spark, sf, "events"))
+    p = p.withColumn("batch", F.when(F.col("event_type").isin("click", "view"), "b1").otherwise("b2"))
+    return drift(p, "batch", "payload", "b1", "b2")
+
+
+@query
+def pivot_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    long = unpivot_metrics(spark, sf)
+    return reshape.pivot_metrics(long, ["ticker", "period_end_date", "statement_type", "period_type"],
+                                 ["part_size", "retail_price"])
+
+
+@query
+def star_join_monthly(spark: SparkSession, sf: str) -> DataFrame:
+    """Lineitem revenue by order month and day type (orders x calendar star join)."""
+    li = d.table(spark, sf, "lineitem")
+    o = d.table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    cal = date_dimension_from(o, "o_orderdate", pad_months=0)
+    rev = (F.col("l_extendedprice").cast("decimal(18,2)") * (F.lit(1) - F.col("l_discount").cast("decimal(18,2)")))
+    facts = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select("o_orderdate", rev.alias("revenue"))
+    m = gold.monthly_by_day_type(facts, cal, "o_orderdate", "revenue")
+    return m.select("year", "month", "is_trading_day_gpw", F.col("n_rows").alias("n_lines"),
+                    F.col("sum_value").cast("decimal(38,4)").alias("revenue"))
+
+
+@query
+def peer_rank(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers ranked by order value inside their market segment."""
+    from tidemark.operators.ranking import grouped_rank
+    o = d.table(spark, sf, "orders")
+    rev = o.groupBy("o_custkey").agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(38,2)")
+                                     .alias("revenue"))
+    c = d.table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
+    j = rev.join(c, "o_custkey").withColumnRenamed("o_custkey", "c_custkey")
+    return grouped_rank(j, ["c_mktsegment"], "revenue", out_col="peer_rank")
+
+
+def _daily_closes(spark, sf):
+    p = standardize.standardize_prices(dedup.dedup_prices(d.bronze_prices(spark, sf)))
+    return p.select("ticker", "date", "close", "source")
+
+
+@query
+def cross_source_diff(spark: SparkSession, sf: str) -> DataFrame:
+    """Two vendors' daily closes compared key by key (tolerance 0.01)."""
+    from tidemark.operators.quality import cross_source_diff as diff
+    p = _daily_closes(spark, sf)
+    a = p.where(F.col("source") != "error")
+    b = p.where(F.col("source") != "view").withColumn(
+        "close", F.col("close") + F.when(F.col("source") == "click", F.lit(0.5)).otherwise(F.lit(0.0)))
+    return diff(a, b, ["ticker", "date"], "close", 0.01)
+
+
+@query
+def merge_batch_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Batch and stream price rows merged; the stream wins, then the latest."""
+    batch = standardize.standardize_prices(d.bronze_prices(spark, sf))
+    stream = batch.where(F.col("source").isin("click", "purchase")).withColumn("close", F.col("close") * F.lit(2.0))
+    return dedup.merge_with_precedence([(batch, 1), (stream, 2)], ["ticker", "date"])

@@ -286,3 +286,157 @@ S AS (SELECT event_id, user_id, event_type, value + 1.0 AS value, ts FROM events
 SELECT T.* FROM T ANTI JOIN S USING (event_id) UNION ALL SELECT * FROM S"""
 ORACLE_SQL["upsert_merge"] = _UPS
 ORACLE_SQL["upsert_idempotent"] = _UPS
+
+# ---- reconciliation -------------------------------------------------------------------
+_NULLS4 = ", ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in ("source_min", "source_max", "target_min", "target_max"))
+
+
+def count_check(name: str, kind: str, src: str, tgt: str, ordinal: int | None = None) -> str:
+    passed = "t.n = s.n" if kind == "count_exact" else "t.n <= s.n"
+    o = f", CAST({ordinal} AS INTEGER) AS ordinal" if ordinal is not None else ""
+    return (f"SELECT '{name}' AS check_name, '{kind}' AS check_kind, {passed} AS passed, s.n AS source_count, "
+            f"t.n AS target_count, s.n - t.n AS difference, {_NULLS4}, t.n = 0 AS target_empty{o} "
+            f"FROM (SELECT count(*) AS n FROM {src}) s, (SELECT count(*) AS n FROM {tgt}) t")
+
+
+def range_check(name: str, src: str, scol: str, tgt: str, tcol: str, typ: str, ordinal: int | None = None) -> str:
+    o = f", CAST({ordinal} AS INTEGER) AS ordinal" if ordinal is not None else ""
+    return (f"SELECT '{name}' AS check_name, 'range' AS check_kind, "
+            f"(s.lo IS NOT DISTINCT FROM t.lo) AND (s.hi IS NOT DISTINCT FROM t.hi) AS passed, "
+            f"s.n AS source_count, t.n AS target_count, s.n - t.n AS difference, "
+            f"CAST(s.lo AS VARCHAR) AS source_min, CAST(s.hi AS VARCHAR) AS source_max, "
+            f"CAST(t.lo AS VARCHAR) AS target_min, CAST(t.hi AS VARCHAR) AS target_max, t.n = 0 AS target_empty{o} "
+            f"FROM (SELECT count(*) AS n, min(TRY_CAST({scol} AS {typ})) AS lo, max(TRY_CAST({scol} AS {typ})) AS hi "
+            f"FROM {src}) s, (SELECT count(*) AS n, min({tcol}) AS lo, max({tcol}) AS hi FROM {tgt}) t")
+
+
+_SF_WIDE = "SFW AS (SELECT * FROM (" + STD_F + ") WHERE date IS NOT NULL)"
+_SF_LONG = "SFL AS (" + " UNION ALL ".join(
+    f"SELECT ticker, date AS period_end_date, statement_type, period_type, TRY_CAST(fiscalYear AS INTEGER) AS "
+    f"fiscal_year, reportedCurrency AS reported_currency, source, retrieved_at, '{n}' AS metric_name, "
+    f"CAST({r} AS DOUBLE) AS metric_value FROM SFW WHERE {r} IS NOT NULL"
+    for n, r in zip(_METRICS_L, _METRICS_R)) + ")"
+ORACLE_SQL["silver_fundamentals_lineitem"] = f"WITH {FUND}, {_SF_WIDE}, {_SF_LONG} SELECT * FROM SFL"
+
+_LAYERS = (f"{SILVER_P}, GP AS (SELECT {FACT_P_COLS} FROM SP), {FX}, "
+           f"SFX AS (SELECT * FROM (SELECT currency_code, {strict_date('effective_date')} AS effective_date, "
+           f"mid_rate, source, retrieved_at FROM ({DEDUP_FX})) WHERE effective_date IS NOT NULL), "
+           f"{MACRO}, SM AS ({STD_M}), GM AS (SELECT country, reference_date, indicator_name, value, unit, source, "
+           f"retrieved_at FROM SM), {FUND}, {_SF_WIDE}, {_SF_LONG}, GFL AS (SELECT * FROM SFL)")
+
+ORACLE_SQL["recon_counts"] = (f"{_LAYERS} {count_check('prices_bronze_silver_count', 'count_loose', 'E', 'SP')} "
+                              f"UNION ALL {count_check('prices_silver_gold_count', 'count_exact', 'SP', 'GP')}")
+ORACLE_SQL["recon_ranges"] = (
+    f"{_LAYERS} {range_check('prices_bronze_silver_date_range', 'E', 'date', 'SP', 'date', 'DATE')} "
+    f"UNION ALL {range_check('prices_silver_gold_date_range', 'SP', 'date', 'GP', 'date', 'DATE')}")
+ORACLE_SQL["recon_summary"] = f"""{_LAYERS}, R AS (
+  SELECT *, 0 AS ordinal FROM ({count_check('prices_bronze_silver_count', 'count_loose', 'E', 'SP')}
+    UNION ALL {count_check('prices_silver_gold_count', 'count_exact', 'SP', 'GP')})
+  UNION ALL
+  SELECT *, 1 AS ordinal FROM ({range_check('prices_bronze_silver_date_range', 'E', 'date', 'SP', 'date', 'DATE')}
+    UNION ALL {range_check('prices_silver_gold_date_range', 'SP', 'date', 'GP', 'date', 'DATE')}))
+SELECT coalesce(bool_and(passed), TRUE) AS all_passed, count(*) FILTER (WHERE NOT passed) AS n_failed,
+       coalesce(list(check_name ORDER BY ordinal, check_name) FILTER (WHERE NOT passed), []::VARCHAR[]) AS failed
+FROM R"""
+
+_SUITE = [
+    ("count", "prices_bronze_silver_count", "count_loose", "E", "SP"),
+    ("range", "prices_bronze_silver_date_range", "E", "date", "SP", "date", "DATE"),
+    ("count", "prices_silver_gold_count", "count_exact", "SP", "GP"),
+    ("range", "prices_silver_gold_date_range", "SP", "date", "GP", "date", "DATE"),
+    ("count", "fx_bronze_silver_count", "count_loose", "FX", "SFX"),
+    ("range", "fx_bronze_silver_date_range", "FX", "effective_date", "SFX", "effective_date", "DATE"),
+    ("count", "macro_bronze_silver_count", "count_loose", "M", "SM"),
+    ("range", "macro_bronze_silver_year_range", "M", "year", "SM", "year", "INTEGER"),
+    ("count", "macro_silver_gold_count", "count_exact", "SM", "GM"),
+    ("range", "macro_silver_gold_date_range", "SM", "reference_date", "GM", "reference_date", "DATE"),
+    ("count", "fundamentals_bronze_silver_count", "count_loose", "F", "SFW"),
+    ("range", "fundamentals_bronze_silver_date_range", "F", "date", "SFW", "date", "DATE"),
+    ("count", "fundamentals_silver_gold_count", "count_exact", "SFL", "GFL"),
+    ("range", "fundamentals_silver_gold_date_range", "SFL", "period_end_date", "GFL", "period_end_date", "DATE"),
+]
+ORACLE_SQL["recon_suite"] = _LAYERS + " " + " UNION ALL ".join(
+    (count_check(*c[1:], ordinal=i) if c[0] == "count" else range_check(*c[1:], ordinal=i))
+    for i, c in enumerate(_SUITE))
+
+# ---- Tier B ---------------------------------------------------------------------------
+ORACLE_SQL["asof_fx_convert"] = f"""WITH {E}, {FX}, DP AS ({DEDUP_P}),
+P AS (SELECT ticker, date, upper(source) AS currency, close FROM ({_std_prices('DP')})),
+R AS (SELECT * FROM (SELECT currency_code, {strict_date('effective_date')} AS effective_date, mid_rate
+                     FROM ({DEDUP_FX})) WHERE effective_date IS NOT NULL AND dayofweek(effective_date) IN (1, 4))
+SELECT P.ticker, P.date, P.currency, P.close,
+       CASE WHEN P.currency = 'SIGNUP' THEN 1.0 ELSE R.mid_rate END AS fx_rate,
+       P.close * CASE WHEN P.currency = 'SIGNUP' THEN 1.0 ELSE R.mid_rate END AS close_pln
+FROM P ASOF LEFT JOIN R ON P.currency = R.currency_code AND P.date >= R.effective_date"""
+
+ORACLE_SQL["ref_integrity"] = """
+SELECT 'orders_customer' AS check_name, count(*) AS fact_rows, count(*) FILTER (WHERE c.k IS NULL) AS orphan_rows,
+       count(*) FILTER (WHERE c.k IS NULL) = 0 AS passed
+FROM orders LEFT JOIN (SELECT DISTINCT c_custkey AS k FROM customer) c ON o_custkey = c.k
+UNION ALL
+SELECT 'documents_labels', count(*), count(*) FILTER (WHERE l.k IS NULL), count(*) FILTER (WHERE l.k IS NULL) = 0
+FROM documents LEFT JOIN (SELECT DISTINCT doc_id AS k FROM labels) l ON documents.doc_id = l.k"""
+
+_DOC_COLS = ["doc_id", "text", "lang", "source", "n_chars", "quality", "toxic"]
+ORACLE_SQL["null_rates"] = "WITH J AS (SELECT * FROM documents LEFT JOIN labels USING (doc_id)) " + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, avg(CAST({c} IS NULL AS DOUBLE)) AS null_rate FROM J" for c in _DOC_COLS)
+
+_RULES = [("quantity_positive", "l_quantity > 0"), ("quantity_at_most_50", "l_quantity <= 50"),
+          ("discount_in_range", "l_discount BETWEEN 0.0 AND 0.1"), ("tax_non_negative", "l_tax >= 0"),
+          ("price_positive", "l_extendedprice > 0")]
+ORACLE_SQL["validate_ranges"] = " UNION ALL ".join(
+    f"SELECT '{n}' AS rule_name, count(*) FILTER (WHERE NOT coalesce({c}, FALSE)) AS violations FROM lineitem"
+    for n, c in _RULES)
+
+ORACLE_SQL["schema_drift"] = f"""WITH P AS (
+  SELECT CASE WHEN event_type IN ('click', 'view') THEN 'b1' ELSE 'b2' END AS batch, event_type, event_id,
+         CAST({K} AS BIGINT) AS k, value, user_id FROM events),
+FT AS (SELECT DISTINCT batch, field, type_class FROM (
+  SELECT batch, 'event_id' AS field, 'integer' AS type_class FROM P WHERE event_id IS NOT NULL
+  UNION ALL SELECT batch, 'k', CASE WHEN event_type = 'view' THEN 'double' ELSE 'integer' END FROM P
+            WHERE k IS NOT NULL
+  UNION ALL SELECT batch, 'v', 'double' FROM P WHERE event_type = 'click' AND value IS NOT NULL
+  UNION ALL SELECT batch, 'extra', 'integer' FROM P WHERE event_type = 'view' AND user_id IS NOT NULL
+  UNION ALL SELECT batch, 'note', 'null' FROM P WHERE event_type NOT IN ('click', 'view') OR event_type IS NULL))
+SELECT field, type_class, 'added' AS change FROM (
+  SELECT field, type_class FROM FT WHERE batch = 'b2' EXCEPT SELECT field, type_class FROM FT WHERE batch = 'b1')
+UNION ALL
+SELECT field, type_class, 'removed' FROM (
+  SELECT field, type_class FROM FT WHERE batch = 'b1' EXCEPT SELECT field, type_class FROM FT WHERE batch = 'b2')"""
+
+ORACLE_SQL["pivot_metrics"] = f"""WITH {PART_STMT}, {UNPIVOT_PS}
+SELECT ticker, period_end_date, statement_type, period_type,
+       max(metric_value) FILTER (WHERE metric_name = 'part_size') AS part_size,
+       max(metric_value) FILTER (WHERE metric_name = 'retail_price') AS retail_price
+FROM UP GROUP BY ALL"""
+
+ORACLE_SQL["star_join_monthly"] = """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
+       dayofweek(o_orderdate) BETWEEN 1 AND 5 AS is_trading_day_gpw, count(*) AS n_lines,
+       CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(18,2)))) AS DECIMAL(38,4))
+         AS revenue
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL"""
+
+ORACLE_SQL["peer_rank"] = """
+WITH R AS (SELECT o_custkey, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS revenue
+           FROM orders GROUP BY 1)
+SELECT c_custkey, c_mktsegment, revenue,
+       rank() OVER (PARTITION BY c_mktsegment ORDER BY revenue DESC NULLS LAST) AS peer_rank
+FROM R JOIN customer ON o_custkey = c_custkey"""
+
+_CLOSES = f"{E}, DP AS ({DEDUP_P}), P AS (SELECT ticker, date, close, source FROM ({_std_prices('DP')}))"
+ORACLE_SQL["cross_source_diff"] = f"""WITH {_CLOSES},
+A AS (SELECT ticker, date, close AS value_a, TRUE AS fa FROM P WHERE source <> 'error'),
+B AS (SELECT ticker, date, close + CASE WHEN source = 'click' THEN 0.5 ELSE 0.0 END AS value_b, TRUE AS fb
+      FROM P WHERE source <> 'view')
+SELECT ticker, date, value_a, value_b,
+       CASE WHEN fb IS NULL THEN 'only_a' WHEN fa IS NULL THEN 'only_b'
+            WHEN abs(value_a - value_b) <= 0.01 THEN 'match' ELSE 'mismatch' END AS status
+FROM A FULL OUTER JOIN B USING (ticker, date)"""
+
+ORACLE_SQL["merge_batch_stream"] = f"""WITH {E}, B AS ({_std_prices('E')}),
+U AS (SELECT *, 1 AS source_priority FROM B
+      UNION ALL SELECT * REPLACE (close * 2.0 AS close), 2 AS source_priority FROM B
+      WHERE source IN ('click', 'purchase'))
+""" + latest("U", ["ticker", "date"], ["source_priority", "retrieved_at", "open", "high", "low", "close", "volume",
+                                       "source"], PRICE_COLS + ["source_priority"])
