@@ -566,3 +566,62 @@ def merge_batch_stream(spark: SparkSession, sf: str) -> DataFrame:
     batch = standardize.standardize_prices(d.bronze_prices(spark, sf))
     stream = batch.where(F.col("source").isin("click", "purchase")).withColumn("close", F.col("close") * F.lit(2.0))
     return dedup.merge_with_precedence([(batch, 1), (stream, 2)], ["ticker", "date"])
+
+
+# ---- streaming (file stream over the events table, availableNow) ------------------------
+
+def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
+    from tidemark.streaming.prices import file_stream
+    schema = d.table(spark, sf, "events").schema
+    return file_stream(spark, sf, schema, glob="events.parquet")
+
+
+@query
+def stream_bronze_append(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw price events appended from a stream into Bronze, read back."""
+    from tidemark.session import fresh_dir
+    from tidemark.streaming.prices import start_append_stream
+    base = fresh_dir(spark, "streams", "bronze_prices")
+    q = start_append_stream(d.prices_from_events(_event_stream(spark, sf)), f"{base}/table", f"{base}/checkpoint")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/table")
+
+
+def _run_bars(spark, sf, transform=None, keys=("ticker", "date")):
+    from tidemark.session import fresh_dir
+    from tidemark.sinks.upsert import read_current
+    from tidemark.streaming.prices import daily_bars, start_upsert_stream, ticks_from_events
+    base = fresh_dir(spark, "streams", "daily_bars")
+    bars = daily_bars(ticks_from_events(_event_stream(spark, sf)))
+    start_upsert_stream(bars, f"{base}/table", list(keys), f"{base}/checkpoint", transform=transform).awaitTermination()
+    return read_current(spark, f"{base}/table")
+
+
+@query
+def stream_ohlcv_daily(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily OHLCV bars from the tick stream (update mode + upsert)."""
+    return _run_bars(spark, sf)
+
+
+@query
+def latest_quote(spark: SparkSession, sf: str) -> DataFrame:
+    """Current quote per ticker, maintained by a streaming aggregate."""
+    from tidemark.session import fresh_dir
+    from tidemark.sinks.upsert import read_current
+    from tidemark.streaming.prices import latest_quotes, start_upsert_stream, ticks_from_events
+    base = fresh_dir(spark, "streams", "latest_quote")
+    q = latest_quotes(ticks_from_events(_event_stream(spark, sf)))
+    start_upsert_stream(q, f"{base}/table", ["ticker"], f"{base}/checkpoint").awaitTermination()
+    # the source's event times are TIMESTAMP_NTZ: hand the quote time back in that type
+    return read_current(spark, f"{base}/table").withColumn("quote_ts", F.col("quote_ts").cast("timestamp_ntz"))
+
+
+PRICE_DROP_THRESHOLD = 0.5
+
+
+@query
+def price_drop_alert(spark: SparkSession, sf: str) -> DataFrame:
+    """Tickers whose price fell at least 50 % from the day's open to its close."""
+    from tidemark.streaming.prices import drop_alerts
+    t = _run_bars(spark, sf, transform=lambda b: drop_alerts(b, PRICE_DROP_THRESHOLD))
+    return t.where(F.col("alert")).drop("alert")

@@ -24,9 +24,13 @@ def _k() -> F.Column:
 
 
 def bronze_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E: events as price ticks. ``date`` is text; rows whose payload k is 0
-    carry the unparseable date ``not-a-date``."""
-    ev = table(spark, sf_dir, "events")
+    """E: events as price ticks (see :func:`prices_from_events`)."""
+    return prices_from_events(table(spark, sf_dir, "events"))
+
+
+def prices_from_events(ev: DataFrame) -> DataFrame:
+    """Events (batch or stream) as Bronze price rows. ``date`` is text; rows
+    whose payload k is 0 carry the unparseable date ``not-a-date``."""
     date = F.when(_k() == "0", F.lit("not-a-date")).otherwise(F.date_format("ts", "yyyy-MM-dd"))
     return ev.select(
         F.concat(F.lit("T"), F.col("user_id").cast("string")).alias("ticker"),
