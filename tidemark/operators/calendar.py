@@ -78,7 +78,9 @@ def chunk_ranges(df: DataFrame, start_col: str, end_col: str, max_days: int = FX
     no chunk (filtered before ``sequence``, which would raise).
     """
     s, e = F.to_date(F.col(start_col)), F.to_date(F.col(end_col))
-    starts = F.sequence(s, e, F.expr(f"INTERVAL {int(max_days)} DAYS"))
+    # guarded inside the expression too: with literal bounds the optimizer may
+    # evaluate the generator before the row filter
+    starts = F.when(s <= e, F.sequence(s, e, F.expr(f"INTERVAL {int(max_days)} DAYS")))
     out = df.where(s <= e).withColumn("chunk_start", F.explode(starts))
     return out.withColumn("chunk_end", F.least(F.date_add("chunk_start", max_days - 1), e))
 
@@ -94,7 +96,7 @@ def year_grid(df: DataFrame, first_year: Column | int, last_year: Column | int,
     """Each input row once per year in [first, last] (e.g. indicator x year)."""
     lo = first_year if isinstance(first_year, Column) else F.lit(first_year)
     hi = last_year if isinstance(last_year, Column) else F.lit(last_year)
-    return df.where(lo <= hi).withColumn(year_col, F.explode(F.sequence(lo, hi)))
+    return df.where(lo <= hi).withColumn(year_col, F.explode(F.when(lo <= hi, F.sequence(lo, hi))))
 
 
 # ---------------------------------------------------------------------------

@@ -10,7 +10,8 @@ hot group is spread over many tasks in order, and
 
 The local rank is a streaming pass over each sorted partition (Arrow
 batches, vectorized in pandas, O(1) state); the per-partition group counts
-are a tiny aggregate joined back. Equal (group, value) keys always land in
+are a tiny aggregate joined back. The range-partitioned rows are written
+once as a reliable checkpoint so both passes read identical partitions. Equal (group, value) keys always land in
 one range partition, so ties never straddle a boundary.
 """
 
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.operators.joins import checked_broadcast
+from tidemark.session import ensure_checkpoint_dir
 
 _PID = "__tm_pid"
 _LR = "__tm_local_rank"
@@ -85,15 +87,25 @@ def grouped_rank(df: DataFrame, group_cols: Sequence[str], order_col: str, out_c
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     o = F.col(order_col).desc_nulls_last() if descending else F.col(order_col).asc_nulls_last()
     keys = [F.col(g).asc_nulls_first() for g in group_cols]
+    ensure_checkpoint_dir(spark)
+    # RangePartitioner seeds its sample by RDD id: two evaluations of this
+    # plan may cut different bounds. Materialize once (a reliable checkpoint
+    # in the shared checkpoint dir, which also survives executor loss) so the
+    # counts and the local ranks see the same partitions.
     ranged = (df.repartitionByRange(n, *keys, o)
               .sortWithinPartitions(*keys, o)
-              .withColumn(_PID, F.spark_partition_id()))
+              .withColumn(_PID, F.spark_partition_id())
+              .checkpoint(eager=True))
     out_schema = StructType(ranged.schema.fields + [StructField(_LR, LongType(), False)])
     local = ranged.mapInPandas(_local_rank_fn(list(group_cols), order_col), out_schema)
     counts = ranged.groupBy(_PID, *group_cols).agg(F.count(F.lit(1)).alias("__n"))
     earlier = Window.partitionBy(*group_cols).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(_PID, *group_cols,
+    renamed = {g: f"__g{i}" for i, g in enumerate(group_cols)}
+    offsets = counts.select(F.col(_PID).alias("__opid"), *[F.col(g).alias(renamed[g]) for g in group_cols],
                             F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__off"))
-    # offsets has at most (partitions + groups) rows: broadcast when that is small
-    j = local.join(checked_broadcast(offsets), on=[_PID, *group_cols], how="inner")
-    return j.withColumn(out_col, F.col("__off") + F.col(_LR)).drop(_PID, _LR, "__off")
+    # offsets has at most (partitions + groups) rows: broadcast when that is small.
+    # Null-safe: a null group is a group like any other, as in PARTITION BY.
+    cond = [F.col(_PID) == F.col("__opid")] + [F.col(g).eqNullSafe(F.col(renamed[g])) for g in group_cols]
+    j = local.join(checked_broadcast(offsets), on=cond, how="inner")
+    return j.withColumn(out_col, F.col("__off") + F.col(_LR)).drop(_PID, _LR, "__off", "__opid",
+                                                                    *renamed.values())
