@@ -20,9 +20,24 @@ class DuplicateKeyError(ValueError):
     """A lookup or an upsert source holds one key more than once."""
 
 
+_CHECKS: dict = {}
+
+
+def _memo(kind: str, df: DataFrame, extra, compute):
+    """Cache a check result per (plan, input files): rebuilding the same plan
+    (same lookup over the same files) does not rerun the check job."""
+    try:
+        key = (kind, df.semanticHash(), tuple(sorted(df.inputFiles())), extra)
+    except Exception:  # noqa: BLE001 - plans without a stable hash are not cached
+        return compute()
+    if key not in _CHECKS:
+        _CHECKS[key] = compute()
+    return _CHECKS[key]
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    return _memo("fits", df, max_rows, lambda: df.limit(max_rows + 1).count() <= max_rows)
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -30,11 +45,18 @@ def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
-def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "lookup") -> None:
-    """Raise :class:`DuplicateKeyError` when a key occurs twice (one aggregate job)."""
-    dup = df.groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect()
+def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "lookup", memo: bool = True) -> None:
+    """Raise :class:`DuplicateKeyError` when a key occurs twice (one aggregate job).
+
+    ``memo`` reuses the answer for an identical plan over identical files;
+    turn it off for inputs whose plan can repeat with new data (micro-batches).
+    """
+    def first_dup():
+        rows = df.groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect()
+        return rows[0].asDict() if rows else None
+    dup = _memo("unique", df, tuple(keys), first_dup) if memo else first_dup()
     if dup:
-        raise DuplicateKeyError(f"duplicate {what} key {dup[0].asDict()}")
+        raise DuplicateKeyError(f"duplicate {what} key {dup}")
 
 
 def lookup_left_join(facts: DataFrame, lookup: DataFrame, keys: Sequence[str] | str,

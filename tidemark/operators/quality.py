@@ -97,24 +97,71 @@ class Check:
     target_column: str | None = None
 
 
+def _table_stats(name: str, df: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame:
+    """One aggregate over ``df``: its row count and min/max of each (column,
+    type) pair, as long rows (table, column, cast_to, n, lo, hi) with the
+    extremes rendered as text after the cast (equal text <=> equal value)."""
+    aggs = [F.count(F.lit(1)).alias("__n")]
+    for i, (c, t) in enumerate(columns):
+        v = F.col(c) if df.schema[c].dataType.simpleString() == t else F.col(c).try_cast(t)
+        aggs += [F.min(v).cast("string").alias(f"__lo{i}"), F.max(v).cast("string").alias(f"__hi{i}")]
+    wide = df.agg(*aggs)
+    entries = [F.struct(F.lit("").alias("column"), F.lit("").alias("cast_to"),
+                        F.lit(None).cast("string").alias("lo"), F.lit(None).cast("string").alias("hi"))]
+    entries += [F.struct(F.lit(c).alias("column"), F.lit(t).alias("cast_to"), F.col(f"__lo{i}").alias("lo"),
+                         F.col(f"__hi{i}").alias("hi")) for i, (c, t) in enumerate(columns)]
+    return wide.select(F.lit(name).alias("table"), F.col("__n").alias("n"),
+                       F.explode(F.array(*entries)).alias("s")).select("table", "n", "s.*")
+
+
 def run_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """Run a declarative suite: one result row per check, in order.
+    """Run a declarative suite: one result row per check, with ``ordinal``.
 
-    Stats are computed once per (table, column): count for every table, and
-    min/max per range column. Checks are then derived from those rows.
+    Every table is aggregated exactly once (count plus min/max of each range
+    column it takes part in); the checks are then equi-joins of a small spec
+    table against those stats rows on (table, column) — broadcast, no cross
+    join — so the whole suite is a single plan and a single action.
     """
-    frames = []
+    needed: dict[str, list[tuple[str, str]]] = {n: [] for n in {c.source for c in checks} | {c.target for c in checks}}
+    specs = []
     for i, ck in enumerate(checks):
-        s, t = tables[ck.source], tables[ck.target]
         if ck.kind == "range":
-            r = compare_range(s, t, ck.source_column, ck.target_column, ck.name)
+            t = tables[ck.target].schema[ck.target_column].dataType.simpleString()
+            for tb, col in ((ck.source, ck.source_column), (ck.target, ck.target_column)):
+                if (col, t) not in needed[tb]:
+                    needed[tb].append((col, t))
+            specs.append((i, ck.name, ck.kind, ck.source, ck.source_column, ck.target, ck.target_column, t))
         else:
-            r = compare_row_counts(s, t, ck.kind == "count_exact", ck.name)
-        frames.append(r.withColumn("ordinal", F.lit(i)))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+            specs.append((i, ck.name, ck.kind, ck.source, "", ck.target, "", ""))
+    stats = None
+    for name, cols in needed.items():
+        st = _table_stats(name, tables[name], cols)
+        stats = st if stats is None else stats.unionByName(st)
+    spark = next(iter(tables.values())).sparkSession
+    # two spec rows per check (its source side and its target side), so the
+    # stats are joined once; a tiny aggregate folds the sides back together
+    sides = [(o, n, k, side, tb, col, t) for (o, n, k, sb, sc, tb_, tc, t) in specs
+             for side, tb, col in (("s", sb, sc), ("t", tb_, tc))]
+    spec = spark.createDataFrame(sides, "ordinal int, check_name string, check_kind string, side string, "
+                                        "tbl string, col string, cast_to string")
+    j = spec.join(F.broadcast(stats), (F.col("tbl") == F.col("table")) & (F.col("col") == F.col("column"))
+                  & (spec["cast_to"] == stats["cast_to"]))
+    def pick(side, c):
+        return F.max(F.when(F.col("side") == side, F.col(c)))
+    folded = j.groupBy("ordinal", "check_name", "check_kind").agg(
+        pick("s", "n").alias("source_count"), pick("t", "n").alias("target_count"),
+        pick("s", "lo").alias("source_min"), pick("s", "hi").alias("source_max"),
+        pick("t", "lo").alias("target_min"), pick("t", "hi").alias("target_max"))
+    kind = F.col("check_kind")
+    passed = (F.when(kind == "count_exact", F.col("target_count") == F.col("source_count"))
+              .when(kind == "count_loose", F.col("target_count") <= F.col("source_count"))
+              .otherwise(F.col("source_min").eqNullSafe(F.col("target_min"))
+                         & F.col("source_max").eqNullSafe(F.col("target_max"))))
+    return folded.select(
+        "check_name", "check_kind", passed.alias("passed"), "source_count", "target_count",
+        (F.col("source_count") - F.col("target_count")).alias("difference"),
+        "source_min", "source_max", "target_min", "target_max",
+        (F.col("target_count") == 0).alias("target_empty"), "ordinal")
 
 
 def raise_on_failure(results: DataFrame) -> None:

@@ -451,4 +451,5 @@ ORACLE_SQL["stream_ohlcv_daily"] = f"WITH {_TICKS}, {_BARS} SELECT * FROM B"
 ORACLE_SQL["latest_quote"] = (f"WITH {_TICKS} SELECT ticker, arg_max(price, ts) AS price, max(ts) AS quote_ts "
                               "FROM T GROUP BY 1")
 ORACLE_SQL["price_drop_alert"] = (f"WITH {_TICKS}, {_BARS} SELECT ticker, date, open, close, "
-                                  "(open - close) / open AS drop_pct FROM B WHERE (open - close) / open >= 0.5")
+                                  "(open - close) / NULLIF(open, 0) AS drop_pct FROM B "
+                                  "WHERE (open - close) / NULLIF(open, 0) >= 0.5")

@@ -29,6 +29,7 @@ def get_session(app_name: str = "tidemark", master: str | None = None, cpus: int
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
     if shuffle_partitions is not None:

@@ -86,7 +86,7 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
     if check_unique:
         try:
             has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-            assert_unique(source.where(~has_null), keys, "source")
+            assert_unique(source.where(~has_null), keys, "source", memo=False)
         except DuplicateKeyError as e:
             raise DuplicateKeyError(f"upsert into {path}: {e}") from None
     vs = committed_versions(spark, path)

@@ -68,10 +68,11 @@ def latest_quotes(ticks: DataFrame) -> DataFrame:
 
 def drop_alerts(bars: DataFrame, threshold: float) -> DataFrame:
     """Bars with ``drop_pct`` = (open - close) / open and an ``alert`` flag
-    when the fall within the day reaches ``threshold`` (0.1 = 10 %)."""
-    pct = (F.col("open") - F.col("close")) / F.col("open")
+    when the fall within the day reaches ``threshold`` (0.1 = 10 %); a zero
+    open gives a null ``drop_pct`` and no alert."""
+    pct = F.try_divide(F.col("open") - F.col("close"), F.col("open"))  # null when open is 0
     return bars.select("ticker", "date", "open", "close", pct.alias("drop_pct"),
-                       (pct >= F.lit(threshold)).alias("alert"))
+                       F.coalesce(pct >= F.lit(threshold), F.lit(False)).alias("alert"))
 
 
 def upsert_sink(table_path: str, keys: Sequence[str],
