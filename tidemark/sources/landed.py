@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StringType, StructType
 
 from tidemark.functions.columns import provenance
+from tidemark.operators.joins import checked_broadcast
 from tidemark.schemas import BRONZE_PRICES, EXPECTED_PRICE_CSV_HEADER, FX_PAYLOAD, MACRO_PAYLOAD, PRICE_CSV
 
 
@@ -61,16 +62,16 @@ def read_price_csv(spark: SparkSession, path: str | Sequence[str], symbol_map: D
     raw = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", "_corrupt_record").csv(path))
     stem = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+?)(\.[^./]*)?$", 1)
-    df = raw.select(stem.alias("__symbol"), "*")
+    df = raw.select(stem.alias("__symbol"), F.col("_metadata.file_path").alias("landed_file"), "*")
     if symbol_map is not None:
         m = symbol_map.select(F.col("stooq_symbol").alias("__symbol"), "ticker")
-        df = df.join(F.broadcast(m) if symbol_map.isLocal() else m, on="__symbol", how="left")
+        df = df.join(checked_broadcast(m), on="__symbol", how="left")
     else:
         df = df.withColumn("ticker", F.col("__symbol"))
     rows = df.where(F.col("Date").isNotNull() | F.col("_corrupt_record").isNotNull()).select(
         "ticker", F.col("Date").alias("date"), F.col("Open").alias("open"), F.col("High").alias("high"),
         F.col("Low").alias("low"), F.col("Close").alias("close"), F.col("Volume").alias("volume"),
-        "_corrupt_record")
+        "_corrupt_record", "landed_file")
     return provenance(rows, source, retrieved_at)
 
 
@@ -81,7 +82,8 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def to_bronze_prices(df: DataFrame) -> DataFrame:
-    """Project to the Bronze prices contract (drops parser helper columns)."""
+    """Project to the Bronze prices contract (drops parser helper columns,
+    e.g. ``_corrupt_record`` and ``landed_file``)."""
     return df.select(*[f.name for f in BRONZE_PRICES.fields])
 
 
@@ -92,6 +94,21 @@ def csv_header_status(first_lines: DataFrame, line_col: str = "first_line",
     return first_lines.withColumn("header_ok", F.coalesce(ok, F.lit(False)))
 
 
+def landed_bodies(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """(file_path, body): one row per landed file, the whole file as text.
+
+    For API responses (one JSON document per file, bounded by the API's page
+    size); large exports should be read with the CSV/JSON readers instead.
+    """
+    return spark.read.option("wholetext", True).text(path).select(
+        F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("body"))
+
+
+def file_stem(path_col: Column) -> Column:
+    """``/landing/x/PKO.csv`` -> ``PKO``."""
+    return F.regexp_extract(path_col, r"([^/]+?)(\.[^./]*)?$", 1)
+
+
 def first_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """(file_path, first_line) per landed text file, read on executors.
 
