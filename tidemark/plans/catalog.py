@@ -48,10 +48,13 @@ def fact_prices(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def fact_prices_monthly(spark: SparkSession, sf: str) -> DataFrame:
-    """Flagship: Gold prices star-joined to a data-bounded calendar, monthly
-    close statistics per listing currency and day type."""
+    """Flagship: Gold prices star-joined to the calendar dimension (default
+    bounds 2000-01-01..2035-12-31), monthly close statistics per listing
+    currency and day type. The calendar is a generated 13k-row dimension,
+    broadcast after its size check."""
+    from tidemark.operators.calendar import date_dimension
     facts = fact_prices(spark, sf)
-    cal = date_dimension_from(facts, "date", pad_months=0)
+    cal = date_dimension(spark)
     m = gold.monthly_by_day_type(facts.withColumn("close_dec", F.col("close").cast("decimal(18,2)")),
                                  cal, "date", "close_dec", extra_keys=["currency"])
     return m.select("currency", "year", "month", "is_trading_day_gpw", "n_rows",

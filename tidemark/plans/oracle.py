@@ -95,7 +95,7 @@ ORACLE_SQL["fact_prices_monthly"] = f"""{SILVER_P}
 SELECT currency, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
        dayofweek(date) BETWEEN 1 AND 5 AS is_trading_day_gpw, count(*) AS n_rows,
        CAST(sum(CAST(close AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS sum_close
-FROM SP GROUP BY ALL"""
+FROM SP WHERE date BETWEEN DATE '2000-01-01' AND DATE '2035-12-31' GROUP BY ALL"""
 
 FX_COLS = ["currency_code", "effective_date", "mid_rate", "source", "retrieved_at"]
 DEDUP_FX = latest("FX", ["currency_code", "effective_date"], ["retrieved_at", "mid_rate", "source"], FX_COLS)
