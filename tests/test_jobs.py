@@ -39,7 +39,7 @@ def _land(root):
 
 def test_medallion_end_to_end_and_rerun(spark, scratch):
     _land(scratch)
-    lake = Lake(os.path.join(scratch, "lake"))
+    lake = Lake(os.path.join(scratch, "lake"), partitioned={"silver_prices": ["date"], "fact_prices": ["date"]})
     tickers = tickers_table(spark, [
         {"ticker": "PKO", "stooq_symbol": "pko", "fmp_symbol": "PKO.WA", "company_name": "PKO BP", "currency": "PLN"},
         {"ticker": "PZU", "stooq_symbol": "pzu", "fmp_symbol": None, "company_name": "PZU", "currency": "PLN"}])

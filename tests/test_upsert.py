@@ -44,3 +44,37 @@ def test_uncommitted_version_ignored(spark, scratch):
     assert u.committed_versions(spark, path) == [1]
     assert u.upsert(spark, spark.createDataFrame([(2, "b")], "k int, v string"), path, ["k"]) == 2
     assert rows(u.read_current(spark, path)) == [(1, "a"), (2, "b")]
+
+
+def test_partition_scoped_upsert(spark, scratch):
+    path = os.path.join(scratch, "p")
+    schema = "d string, k int, v string"
+    first = spark.createDataFrame([("d1", 1, "a"), ("d1", 2, "b"), ("d2", 3, "c")], schema)
+    u.upsert_partitions(spark, first, path, ["d", "k"], ["d"])
+    d2_files = sorted(os.listdir(os.path.join(path, "d=d2")))
+    src = spark.createDataFrame([("d1", 2, "B"), ("d1", 4, "x")], schema)
+    assert u.upsert_partitions(spark, src, path, ["d", "k"], ["d"]) == 1
+    got = sorted(tuple(r) for r in u.read_partitioned(spark, path).select("d", "k", "v").collect())
+    assert got == [("d1", 1, "a"), ("d1", 2, "B"), ("d1", 4, "x"), ("d2", 3, "c")]
+    assert sorted(os.listdir(os.path.join(path, "d=d2"))) == d2_files  # untouched partition not rewritten
+    u.upsert_partitions(spark, src, path, ["d", "k"], ["d"])           # idempotent
+    assert u.read_partitioned(spark, path).count() == 4
+
+
+def test_partition_upsert_recovers_interrupted_overwrite(spark, scratch):
+    path, staged = os.path.join(scratch, "r"), os.path.join(scratch, "staged")
+    schema = "d string, k int, v string"
+    u.upsert_partitions(spark, spark.createDataFrame([("d1", 1, "a"), ("d2", 2, "b")], schema), path, ["d", "k"], ["d"])
+    # simulate a crash after staging: d1's new content is staged, the table still has the old one
+    spark.createDataFrame([("d1", 1, "A")], schema).write.parquet(staged)
+    with open(os.path.join(path, "_tidemark_pending"), "w") as f:
+        f.write(f"{staged}\nd\n")
+    got = sorted(tuple(r) for r in u.read_partitioned(spark, path).select("d", "k", "v").collect())
+    assert got == [("d1", 1, "A"), ("d2", 2, "b")]
+    assert not os.path.exists(os.path.join(path, "_tidemark_pending"))
+
+
+def test_partition_columns_must_be_keys(spark, scratch):
+    with pytest.raises(ValueError):
+        u.upsert_partitions(spark, spark.createDataFrame([("d", 1)], "d string, k int"), os.path.join(scratch, "x"),
+                            ["k"], ["d"])

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.sinks.tables import append, read_appended
-from tidemark.sinks.upsert import read_current, table_exists, upsert
+from tidemark.sinks.upsert import (
+    read_current,
+    read_partitioned,
+    recover_partitioned,
+    table_exists,
+    upsert,
+    upsert_partitions,
+)
 
 BRONZE_PARTITION = "retrieved_date"
 
@@ -22,8 +29,14 @@ STATEMENT_TYPES = {"balance_sheet": "bronze_fmp_balance_sheet",
 @dataclass(frozen=True)
 class Lake:
     """Tables live at ``<root>/<name>``; the root is a shared folder (HDFS,
-    object store) on a cluster."""
+    object store) on a cluster.
+
+    ``partitioned`` maps a Silver/Gold table to partition columns (part of
+    its key); such tables are upserted partition by partition, the others as
+    whole snapshots.
+    """
     root: str
+    partitioned: dict = field(default_factory=dict)
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
@@ -41,10 +54,19 @@ class Lake:
 
     # Silver / Gold: upserted snapshots ----------------------------------------------------
     def upsert(self, spark: SparkSession, df: DataFrame, table: str, keys) -> int:
+        if table in self.partitioned:
+            return upsert_partitions(spark, df, self.path(table), keys, self.partitioned[table])
         return upsert(spark, df, self.path(table), keys)
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
+        if table in self.partitioned:
+            return read_partitioned(spark, self.path(table))
         return read_current(spark, self.path(table))
 
     def exists(self, spark: SparkSession, table: str) -> bool:
+        if table in self.partitioned:
+            recover_partitioned(spark, self.path(table))
+            from tidemark.sinks.upsert import _fs
+            fs, p = _fs(spark, self.path(table) + "/_SUCCESS")
+            return bool(fs.exists(p))
         return table_exists(spark, self.path(table))

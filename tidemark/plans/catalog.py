@@ -383,6 +383,20 @@ def upsert_idempotent(spark: SparkSession, sf: str) -> DataFrame:
     return read_current(spark, path)
 
 
+@query
+def upsert_partitioned(spark: SparkSession, sf: str) -> DataFrame:
+    """Partition-scoped upsert (table partitioned by event day): only the
+    days the source touches are rewritten."""
+    from tidemark.session import fresh_dir
+    from tidemark.sinks.upsert import read_partitioned, upsert_partitions
+    path = fresh_dir(spark, "tables", "silver_events_by_day")
+    target, source = _upsert_sides(spark, sf)
+    day = F.to_date("ts")
+    upsert_partitions(spark, target.withColumn("day", day), path, ["event_id", "day"], ["day"])
+    upsert_partitions(spark, source.withColumn("day", day), path, ["event_id", "day"], ["day"])
+    return read_partitioned(spark, path)
+
+
 # ---- reconciliation --------------------------------------------------------------------
 
 def _price_layers(spark, sf):

@@ -286,6 +286,7 @@ S AS (SELECT event_id, user_id, event_type, value + 1.0 AS value, ts FROM events
 SELECT T.* FROM T ANTI JOIN S USING (event_id) UNION ALL SELECT * FROM S"""
 ORACLE_SQL["upsert_merge"] = _UPS
 ORACLE_SQL["upsert_idempotent"] = _UPS
+ORACLE_SQL["upsert_partitioned"] = f"SELECT *, CAST(ts AS DATE) AS day FROM ({_UPS})"
 
 # ---- reconciliation -------------------------------------------------------------------
 _NULLS4 = ", ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in ("source_min", "source_max", "target_min", "target_max"))

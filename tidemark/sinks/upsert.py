@@ -118,3 +118,106 @@ def merge_into_catalog(source: DataFrame, table: str, keys: Sequence[str]) -> No
     cond = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
     (source.alias("s").mergeInto(table, F.expr(cond.replace("t.", f"{table}.")))
      .whenMatched().updateAll().whenNotMatched().insertAll().merge())
+
+
+# ---------------------------------------------------------------------------------------
+# Partition-scoped upsert: cost proportional to the partitions an increment touches.
+# ---------------------------------------------------------------------------------------
+
+_PENDING = "_tidemark_pending"
+# Touched partitions listed as a literal filter (static pruning) up to this many;
+# beyond it the target is restricted by a semi join instead.
+MAX_LITERAL_PARTITIONS = 1000
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _overwrite_partitions(spark: SparkSession, staged: str, path: str, partition_by: Sequence[str]) -> None:
+    (spark.read.parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
+
+
+def recover_partitioned(spark: SparkSession, path: str) -> bool:
+    """Finish an interrupted partition overwrite (redo it from the staged copy).
+
+    The staged copy holds the complete new content of every touched
+    partition, so replaying the dynamic overwrite is idempotent.
+    """
+    marker = f"{path.rstrip('/')}/{_PENDING}"
+    note = _read_text(spark, marker)
+    if note is None:
+        return False
+    staged, cols = note.split("\n")[:2]
+    _overwrite_partitions(spark, staged, path, cols.split(","))
+    fs, p = _fs(spark, marker)
+    fs.delete(p, False)
+    return True
+
+
+def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
+    """Read a partition-upserted table, repairing an interrupted write first."""
+    recover_partitioned(spark, path)
+    return spark.read.parquet(path)
+
+
+def upsert_partitions(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
+                      partition_by: Sequence[str], check_unique: bool = True) -> int:
+    """Keyed upsert that rewrites only the partitions ``source`` touches.
+
+    The table is plain partitioned Parquet. Partition columns must be part of
+    the key, so a key lives in exactly one partition. Steps: (1) merge the
+    touched partitions of the target with the source and write the result to
+    a staged copy under the shared work folder (a lineage cut); (2) record
+    the intent next to the table; (3) dynamic partition overwrite from the
+    staged copy; (4) clear the intent. A crash in (3) is repaired by
+    :func:`recover_partitioned`, which every upsert and read runs first.
+    Returns the number of touched partitions.
+    """
+    from tidemark.session import fresh_dir
+    if not set(partition_by) <= set(keys):
+        raise ValueError("partition columns must be part of the merge key")
+    if check_unique:
+        has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        assert_unique(source.where(~has_null), keys, "source", memo=False)
+    recover_partitioned(spark, path)
+    fs, p = _fs(spark, path)
+    exists = fs.exists(p) and fs.exists(_fs(spark, f"{path.rstrip('/')}/_SUCCESS")[1])
+    if not exists:
+        source.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        return source.select(*partition_by).distinct().count()
+    target = spark.read.parquet(path)
+    cols = target.columns
+    touched = source.select(*partition_by).distinct()
+    listed = touched.limit(MAX_LITERAL_PARTITIONS + 1).collect()
+    if len(listed) <= MAX_LITERAL_PARTITIONS:
+        cond = F.lit(False)
+        for row in listed:  # partition values only: static pruning at the scan
+            cond = cond | reduce(lambda a, b: a & b,
+                                 [F.col(c).eqNullSafe(F.lit(row[c])) for c in partition_by])
+        scoped = target.where(cond)
+    else:
+        scoped = target.join(touched, [F.col(c).eqNullSafe(touched[c]) for c in partition_by], "left_semi")
+    out = merged(scoped, source.select(*cols), keys)
+    staged = fresh_dir(spark, "upsert-stage")
+    out.write.mode("overwrite").parquet(staged)
+    _write_text(spark, f"{path.rstrip('/')}/{_PENDING}", f"{staged}\n{','.join(partition_by)}\n")
+    recover_partitioned(spark, path)
+    fs.delete(_fs(spark, staged)[1], True)
+    return len(listed)
