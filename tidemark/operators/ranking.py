@@ -32,17 +32,20 @@ _PID = "__tm_pid"
 _LR = "__tm_local_rank"
 
 
-def _differs(cur: pd.Series, prev: pd.Series) -> np.ndarray:
-    both_null = cur.isna().to_numpy() & prev.isna().to_numpy()
-    return (cur.to_numpy() != prev.to_numpy()) & ~both_null
+def _local_rank_fn(group_cols: Sequence[str], order_col: str):
+    # Everything the task needs is defined in this closure, so it is shipped by
+    # value: executors need numpy and pandas, not this package.
+    out_col = _LR
 
+    def _differs(cur: pd.Series, prev: pd.Series) -> np.ndarray:
+        both_null = cur.isna().to_numpy() & prev.isna().to_numpy()
+        return (cur.to_numpy() != prev.to_numpy()) & ~both_null
 
-def _local_rank_fn(group_cols: Sequence[str], order_col: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         carry = None  # last row's (group values, order value), count in group, rank
         for pdf in batches:
             if pdf.empty:
-                yield pdf.assign(**{_LR: pd.Series([], dtype="int64")})
+                yield pdf.assign(**{out_col: pd.Series([], dtype="int64")})
                 continue
             n = len(pdf)
             new_group = np.zeros(n, dtype=bool)
@@ -72,7 +75,7 @@ def _local_rank_fn(group_cols: Sequence[str], order_col: str):
             rank = rank.to_numpy(dtype=np.int64)
             carry = {"group": {g: pdf[g].iloc[-1] for g in group_cols}, "value": v.iloc[-1],
                      "count": int(pos[-1]), "rank": int(rank[-1])}
-            yield pdf.assign(**{_LR: rank})
+            yield pdf.assign(**{out_col: rank})
     return run
 
 
