@@ -604,13 +604,19 @@ def stream_bronze_append(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{base}/table")
 
 
+def _state_partitions(spark: SparkSession) -> int:
+    # state grows with tickers x open windows, not with history: one partition per core
+    return max(1, spark.sparkContext.defaultParallelism)
+
+
 def _run_bars(spark, sf, transform=None, keys=("ticker", "date")):
     from tidemark.session import fresh_dir
     from tidemark.sinks.upsert import read_current
     from tidemark.streaming.prices import daily_bars, start_upsert_stream, ticks_from_events
     base = fresh_dir(spark, "streams", "daily_bars")
     bars = daily_bars(ticks_from_events(_event_stream(spark, sf)))
-    start_upsert_stream(bars, f"{base}/table", list(keys), f"{base}/checkpoint", transform=transform).awaitTermination()
+    start_upsert_stream(bars, f"{base}/table", list(keys), f"{base}/checkpoint", transform=transform,
+                        state_partitions=_state_partitions(spark)).awaitTermination()
     return read_current(spark, f"{base}/table")
 
 
@@ -628,7 +634,8 @@ def latest_quote(spark: SparkSession, sf: str) -> DataFrame:
     from tidemark.streaming.prices import latest_quotes, start_upsert_stream, ticks_from_events
     base = fresh_dir(spark, "streams", "latest_quote")
     q = latest_quotes(ticks_from_events(_event_stream(spark, sf)))
-    start_upsert_stream(q, f"{base}/table", ["ticker"], f"{base}/checkpoint").awaitTermination()
+    start_upsert_stream(q, f"{base}/table", ["ticker"], f"{base}/checkpoint",
+                        state_partitions=_state_partitions(spark)).awaitTermination()
     # the source's event times are TIMESTAMP_NTZ: hand the quote time back in that type
     return read_current(spark, f"{base}/table").withColumn("quote_ts", F.col("quote_ts").cast("timestamp_ntz"))
 

@@ -87,14 +87,29 @@ def upsert_sink(table_path: str, keys: Sequence[str],
 
 def start_upsert_stream(df: DataFrame, table_path: str, keys: Sequence[str], checkpoint: str,
                         transform: Callable[[DataFrame], DataFrame] | None = None,
-                        available_now: bool = True, name: str | None = None) -> StreamingQuery:
-    """Run an aggregate stream in update mode into an upserted table."""
+                        available_now: bool = True, name: str | None = None,
+                        state_partitions: int | None = None) -> StreamingQuery:
+    """Run an aggregate stream in update mode into an upserted table.
+
+    ``state_partitions`` sizes the state store (and its shuffle). Streaming
+    takes it from ``spark.sql.shuffle.partitions`` at the query's first start
+    and keeps it in the checkpoint; AQE does not resize it. Size it to the
+    state (tickers x open windows), not to the input.
+    """
     w = (df.writeStream.outputMode("update").foreachBatch(upsert_sink(table_path, keys, transform))
          .option("checkpointLocation", checkpoint))
     if name:
         w = w.queryName(name)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start()
+    if state_partitions is None:
+        return w.start()
+    spark = df.sparkSession
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        return w.start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def start_append_stream(df: DataFrame, table_path: str, checkpoint: str, available_now: bool = True,

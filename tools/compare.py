@@ -78,13 +78,22 @@ def compare(spark, con, name, fn, sql, sf_dir):
 
 
 def main():
-    from tidemark.plans.catalog import QUERIES
-    from tidemark.plans.oracle import ORACLE_SQL
-    from tidemark.session import get_session
+    import importlib.util
+    spec = importlib.util.spec_from_file_location("spark_entry", __file__.rsplit("/tools/", 1)[0] + "/__spark_entry__.py")
+    entry = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(entry)
+    QUERIES, ORACLE_SQL = entry.queries(), entry.oracle_sql()
     args = sys.argv[1:]
+    plain = "--plain" in args
+    args = [a for a in args if a != "--plain"]
     sf_dir = args.pop(0) if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     names = args or list(QUERIES)
-    spark = get_session(cpus=8, shuffle_partitions=8)
+    if plain:  # a default session, as an outside caller would build it
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.showConsoleProgress", "false").getOrCreate()
+    else:
+        from tidemark.session import get_session
+        spark = get_session(cpus=8, shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
     bad = 0
