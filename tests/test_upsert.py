@@ -78,3 +78,14 @@ def test_partition_columns_must_be_keys(spark, scratch):
     with pytest.raises(ValueError):
         u.upsert_partitions(spark, spark.createDataFrame([("d", 1)], "d string, k int"), os.path.join(scratch, "x"),
                             ["k"], ["d"])
+
+
+def test_newer_wins(spark, scratch):
+    import datetime as dt
+    path = os.path.join(scratch, "nw")
+    schema = "k int, v string, at timestamp"
+    t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    u.upsert(spark, spark.createDataFrame([(1, "new", t2), (2, "old", t1)], schema), path, ["k"])
+    src = spark.createDataFrame([(1, "stale", t1), (2, "fresh", t2), (3, "ins", t1)], schema)
+    u.upsert(spark, src, path, ["k"], newer_wins="at")
+    assert rows(u.read_current(spark, path).select("k", "v")) == [(1, "new"), (2, "fresh"), (3, "ins")]

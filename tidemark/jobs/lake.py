@@ -53,10 +53,11 @@ class Lake:
         return df.drop(BRONZE_PARTITION)
 
     # Silver / Gold: upserted snapshots ----------------------------------------------------
-    def upsert(self, spark: SparkSession, df: DataFrame, table: str, keys) -> int:
+    def upsert(self, spark: SparkSession, df: DataFrame, table: str, keys, newer_wins: str | None = None) -> int:
         if table in self.partitioned:
-            return upsert_partitions(spark, df, self.path(table), keys, self.partitioned[table])
-        return upsert(spark, df, self.path(table), keys)
+            return upsert_partitions(spark, df, self.path(table), keys, self.partitioned[table],
+                                     newer_wins=newer_wins)
+        return upsert(spark, df, self.path(table), keys, newer_wins=newer_wins)
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         if table in self.partitioned:

@@ -17,15 +17,15 @@ def silver_prices_frame(bronze: DataFrame, tickers: DataFrame) -> DataFrame:
 
 def build_silver_prices(spark: SparkSession, lake: Lake, tickers: DataFrame, since=None) -> int:
     """``since`` restricts the run to retrievals on/after that day (partition
-    pruning); valid because retrievals are appended in time order, so the
-    latest retrieval of a touched key is among the new rows."""
+    pruning). The merge is "newer wins" on ``retrieved_at``, so an increment
+    never rolls back a row stored from a later retrieval."""
     df = silver_prices_frame(lake.read_bronze(spark, "bronze_stooq_prices", since), tickers)
-    return lake.upsert(spark, df, "silver_prices", KEYS["silver_prices"])
+    return lake.upsert(spark, df, "silver_prices", KEYS["silver_prices"], newer_wins="retrieved_at")
 
 
 def build_silver_fx_rates(spark: SparkSession, lake: Lake, since=None) -> int:
     df = standardize.standardize_fx_rates(dedup.dedup_fx_rates(lake.read_bronze(spark, "bronze_nbp_fx_rates", since)))
-    return lake.upsert(spark, df, "silver_fx_rates", KEYS["silver_fx_rates"])
+    return lake.upsert(spark, df, "silver_fx_rates", KEYS["silver_fx_rates"], newer_wins="retrieved_at")
 
 
 def bronze_statements(spark: SparkSession, lake: Lake, since=None) -> DataFrame:
@@ -47,9 +47,9 @@ def lake_has(spark: SparkSession, lake: Lake, table: str) -> bool:
 def build_silver_fundamentals(spark: SparkSession, lake: Lake, since=None) -> int:
     std = standardize.standardize_fundamentals(dedup.dedup_fundamentals(bronze_statements(spark, lake, since)))
     return lake.upsert(spark, reshape.unpivot_statement_metrics(std), "silver_fundamentals",
-                       KEYS["silver_fundamentals"])
+                       KEYS["silver_fundamentals"], newer_wins="retrieved_at")
 
 
 def build_silver_macro(spark: SparkSession, lake: Lake, since=None) -> int:
     df = standardize.standardize_macro(dedup.dedup_macro(lake.read_bronze(spark, "bronze_gus_macro", since)))
-    return lake.upsert(spark, df, "silver_macro", KEYS["silver_macro"])
+    return lake.upsert(spark, df, "silver_macro", KEYS["silver_macro"], newer_wins="retrieved_at")

@@ -64,20 +64,30 @@ def read_current(spark: SparkSession, path: str, version: int | None = None) ->
     return spark.read.parquet(_version_path(path, vs[-1] if version is None else version))
 
 
-def merged(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merged(target: DataFrame, source: DataFrame, keys: Sequence[str], newer_wins: str | None = None
+           ) -> DataFrame:
     """The MERGE result as a plan: unmatched target rows plus every source row.
 
     ``left_anti`` on equality keys keeps target rows whose key is null or not
     in the source. The planner broadcasts the source keys when small (AQE),
     else shuffles both sides on the keys.
+
+    ``newer_wins`` (e.g. ``retrieved_at``) makes the update conditional: a
+    source row whose stored counterpart is strictly newer is skipped, so
+    replays and out-of-order increments cannot roll a row back.
     """
     cols = target.columns
     src = source.select(*cols)
+    if newer_wins:
+        t = target.select(*[F.col(k).alias(f"__t{i}") for i, k in enumerate(keys)],
+                          F.col(newer_wins).alias("__t_order"))
+        cond = [src[k] == t[f"__t{i}"] for i, k in enumerate(keys)] + [t["__t_order"] > src[newer_wins]]
+        src = src.join(t, on=cond, how="left_anti")
     return target.join(src.select(*keys), on=list(keys), how="left_anti").unionByName(src)
 
 
 def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
-           partition_by: Sequence[str] = (), check_unique: bool = True) -> int:
+           partition_by: Sequence[str] = (), check_unique: bool = True, newer_wins: str | None = None) -> int:
     """Merge ``source`` into the Parquet table at ``path``; returns the new version.
 
     Creates the table on first run. ``partition_by`` lays each snapshot out in
@@ -90,7 +100,7 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
         except DuplicateKeyError as e:
             raise DuplicateKeyError(f"upsert into {path}: {e}") from None
     vs = committed_versions(spark, path)
-    out = source if not vs else merged(read_current(spark, path), source, keys)
+    out = source if not vs else merged(read_current(spark, path), source, keys, newer_wins)
     new_v = (vs[-1] + 1) if vs else 1
     w = out.write.mode("overwrite")  # the new version folder is invisible until committed
     if partition_by:
@@ -178,7 +188,8 @@ def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
 
 
 def upsert_partitions(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
-                      partition_by: Sequence[str], check_unique: bool = True) -> int:
+                      partition_by: Sequence[str], check_unique: bool = True, newer_wins: str | None = None
+                      ) -> int:
     """Keyed upsert that rewrites only the partitions ``source`` touches.
 
     The table is plain partitioned Parquet. Partition columns must be part of
@@ -214,7 +225,7 @@ def upsert_partitions(spark: SparkSession, source: DataFrame, path: str, keys: S
         scoped = target.where(cond)
     else:
         scoped = target.join(touched, [F.col(c).eqNullSafe(touched[c]) for c in partition_by], "left_semi")
-    out = merged(scoped, source.select(*cols), keys)
+    out = merged(scoped, source.select(*cols), keys, newer_wins)
     staged = fresh_dir(spark, "upsert-stage")
     out.write.mode("overwrite").parquet(staged)
     _write_text(spark, f"{path.rstrip('/')}/{_PENDING}", f"{staged}\n{','.join(partition_by)}\n")
