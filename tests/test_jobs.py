@@ -78,3 +78,18 @@ def test_medallion_end_to_end_and_rerun(spark, scratch):
     # the bad-date Bronze price row is dropped in Silver; every other check passes
     assert failed == set(), failed
     quality.run_reconciliation(spark, lake)
+
+
+def test_payload_path_matches_inferred_path(spark, scratch):
+    _land(scratch)
+    land = os.path.join(scratch, "landing", "fmp_bs")
+    wide = Lake(os.path.join(scratch, "lake_wide"))
+    pay = Lake(os.path.join(scratch, "lake_payload"))
+    for run in (RUN1, RUN2):
+        bronze.ingest_statements(spark, wide, land, "balance_sheet", run)
+        bronze.ingest_statement_payloads(spark, pay, land, "balance_sheet", run)
+    silver.build_silver_fundamentals(spark, wide)
+    silver.build_silver_fundamentals_from_payloads(spark, pay)
+    a = sorted(tuple(r) for r in wide.read(spark, "silver_fundamentals").collect())
+    b = sorted(tuple(r) for r in pay.read(spark, "silver_fundamentals").collect())
+    assert a == b and len(a) == 3

@@ -82,3 +82,22 @@ def ingest_statements(spark: SparkSession, lake: Lake, landing: str, statement_t
     wide = wide.withColumn("ticker", landed.file_stem(F.col("_metadata.file_path")))
     from tidemark.functions.columns import provenance
     lake.append_bronze(provenance(wide, source, retrieved_at), STATEMENT_TYPES[statement_type])
+
+
+def ingest_statement_payloads(spark: SparkSession, lake: Lake, landing: str, statement_type: str, retrieved_at,
+                              source: str = "fmp") -> None:
+    """Schema-free alternative to :func:`ingest_statements`: one row per
+    record with the record kept as JSON text (``payload``) in
+    ``<table>_payload``. No inference pass, no type drift between runs."""
+    from tidemark.functions.columns import provenance
+    bodies = landed.landed_bodies(spark, landing)
+    ok, bad = landed.split_payloads(bodies, "body", "json_array")
+    table = STATEMENT_TYPES[statement_type] + "_payload"
+    _quarantine(lake, table, bad.drop("body"))
+    recs = landed.statement_records(
+        ok.withColumn("ticker", landed.file_stem(F.col("file_path"))).withColumn("statement_type",
+                                                                                F.lit(statement_type)),
+        "body", keep=["ticker", "statement_type"])
+    out = provenance(recs, source, retrieved_at)
+    landed.require_rows(out, f"{statement_type} payloads")
+    lake.append_bronze(out, table)

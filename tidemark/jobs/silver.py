@@ -53,3 +53,17 @@ def build_silver_fundamentals(spark: SparkSession, lake: Lake, since=None) -> in
 def build_silver_macro(spark: SparkSession, lake: Lake, since=None) -> int:
     df = standardize.standardize_macro(dedup.dedup_macro(lake.read_bronze(spark, "bronze_gus_macro", since)))
     return lake.upsert(spark, df, "silver_macro", KEYS["silver_macro"], newer_wins="retrieved_at")
+
+
+def build_silver_fundamentals_from_payloads(spark: SparkSession, lake: Lake, since=None) -> int:
+    """Silver fundamentals from the payload Bronze tables (VARIANT path)."""
+    frames = [lake.read_bronze(spark, t + "_payload", since) for t in STATEMENT_TYPES.values()
+              if lake_has(spark, lake, t + "_payload")]
+    bronze = frames[0]
+    for f in frames[1:]:
+        bronze = bronze.unionByName(f)
+    typed = reshape.statement_envelope(bronze)
+    latest = dedup.keep_latest(typed, ["ticker", "date", "period", "statement_type"], tie_break=["payload"])
+    std = standardize.standardize_fundamentals(latest.drop("record_pos"))
+    return lake.upsert(spark, reshape.statements_from_payload(std), "silver_fundamentals",
+                       KEYS["silver_fundamentals"], newer_wins="retrieved_at")

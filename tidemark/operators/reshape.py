@@ -98,3 +98,30 @@ def pivot_metrics(df: DataFrame, keys: Sequence[str], metrics: Sequence[str],
     output schema is fixed; the aggregate is partial (map-side) per key.
     """
     return df.groupBy(*keys).pivot(name_col, list(metrics)).agg(F.max(value_col))
+
+
+def statement_envelope(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """Typed envelope fields pulled out of a statement payload (VARIANT)."""
+    v = F.try_parse_json(F.col(payload))
+
+    def get(field, typ="string"):
+        return F.try_variant_get(v, f"$.{field}", typ)
+    return df.withColumns({"date": get("date"), "period": get("period"), "fiscalYear": get("fiscalYear"),
+                           "reportedCurrency": get("reportedCurrency"), "symbol": get("symbol")})
+
+
+def statements_from_payload(df: DataFrame, payload: str = "payload",
+                            envelope: Sequence[str] = STATEMENT_ENVELOPE_COLUMNS) -> DataFrame:
+    """Standardized payload statements -> Silver long rows (the VARIANT path).
+
+    ``df`` carries ticker, statement_type, period_type, source, retrieved_at,
+    a parsed ``date`` and ``fiscalYear``/``reportedCurrency`` (see
+    :func:`statement_envelope`) plus the payload; every payload field outside
+    the envelope becomes a (metric_name, metric_value) row.
+    """
+    ids = df.select("ticker", F.col("date").alias("period_end_date"), "statement_type", "period_type",
+                    F.col("fiscalYear").try_cast("int").alias("fiscal_year"),
+                    F.col("reportedCurrency").alias("reported_currency"), "source", "retrieved_at", payload)
+    long = variant_metrics(ids, ["ticker", "period_end_date", "statement_type", "period_type", "fiscal_year",
+                                 "reported_currency", "source", "retrieved_at"], payload, envelope=envelope)
+    return long.select(*SILVER_FUNDAMENTALS_COLUMNS)

@@ -118,6 +118,31 @@ def silver_fundamentals_lineitem(spark: SparkSession, sf: str) -> DataFrame:
     return reshape.unpivot_statement_metrics(standardize_fundamentals(spark, sf))
 
 
+@query
+def variant_statements_silver(spark: SparkSession, sf: str) -> DataFrame:
+    """The Silver fundamentals chain through schema-free payload Bronze:
+    lineitem statements landed as JSON-array bodies, exploded to one payload
+    per record, deduplicated at statement grain, typed, then unpivoted from
+    VARIANT. Same result as ``silver_fundamentals_lineitem``."""
+    from tidemark.sources.landed import statement_records
+    b = d.bronze_fundamentals(spark, sf)
+    env = ["ticker", "statement_type", "source", "retrieved_at"]
+    rec = b.select(*env, F.to_json(F.array(F.struct(*[c for c in b.columns if c not in env]))).alias("body"))
+    bronze = statement_records(rec, "body", keep=env)
+    typed = reshape.statement_envelope(bronze)
+    # ties on retrieved_at are broken field by field, as the wide path does
+    fields = [("orderKey", "bigint"), ("suppKey", "bigint"), ("lineNumber", "int"), ("quantity", "double"),
+              ("extendedPrice", "double"), ("discount", "double"), ("tax", "double")]
+    v = F.try_parse_json("payload")
+    typed = typed.withColumns({f"__tb{i}": F.try_variant_get(v, f"$.{n}", t) for i, (n, t) in enumerate(fields)})
+    latest = dedup.keep_latest(typed, ["ticker", "date", "period", "statement_type"],
+                               tie_break=["fiscalYear", "reportedCurrency", "source",
+                                          *[f"__tb{i}" for i in range(len(fields))]])
+    latest = latest.drop(*[f"__tb{i}" for i in range(len(fields))])
+    std = standardize.standardize_fundamentals(latest)
+    return reshape.statements_from_payload(std)
+
+
 @query
 def variant_metrics(spark: SparkSession, sf: str) -> DataFrame:
     s = d.statements_from_part(spark, sf)

@@ -454,3 +454,5 @@ ORACLE_SQL["latest_quote"] = (f"WITH {_TICKS} SELECT ticker, arg_max(price, ts)
 ORACLE_SQL["price_drop_alert"] = (f"WITH {_TICKS}, {_BARS} SELECT ticker, date, open, close, "
                                   "(open - close) / NULLIF(open, 0) AS drop_pct FROM B "
                                   "WHERE (open - close) / NULLIF(open, 0) >= 0.5")
+
+ORACLE_SQL["variant_statements_silver"] = ORACLE_SQL["silver_fundamentals_lineitem"]
