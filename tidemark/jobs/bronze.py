@@ -87,7 +87,7 @@ def ingest_statements(spark: SparkSession, lake: Lake, landing: str, statement_t
 def ingest_statement_payloads(spark: SparkSession, lake: Lake, landing: str, statement_type: str, retrieved_at,
                               source: str = "fmp") -> None:
     """Schema-free alternative to :func:`ingest_statements`: one row per
-    record with the record kept as JSON text (``payload``) in
+    record with the record kept as a VARIANT ``payload`` in
     ``<table>_payload``. No inference pass, no type drift between runs."""
     from tidemark.functions.columns import provenance
     bodies = landed.landed_bodies(spark, landing)

@@ -63,7 +63,8 @@ def build_silver_fundamentals_from_payloads(spark: SparkSession, lake: Lake, sin
     for f in frames[1:]:
         bronze = bronze.unionByName(f)
     typed = reshape.statement_envelope(bronze)
-    latest = dedup.keep_latest(typed, ["ticker", "date", "period", "statement_type"], tie_break=["payload"])
+    # ties on retrieved_at: the later record position in the landed array wins
+    latest = dedup.keep_latest(typed, ["ticker", "date", "period", "statement_type"], tie_break=["record_pos"])
     std = standardize.standardize_fundamentals(latest.drop("record_pos"))
     return lake.upsert(spark, reshape.statements_from_payload(std), "silver_fundamentals",
                        KEYS["silver_fundamentals"], newer_wins="retrieved_at")

@@ -239,8 +239,7 @@ def payload_field_types(df: DataFrame, batch_col: str, payload_col: str) -> Data
 
     Type classes: integer, double, string, boolean, null, object, array.
     """
-    v = df.select(F.col(batch_col).alias("batch"), F.try_parse_json(F.col(payload_col)).alias("__v")) \
-        .where(F.col("__v").isNotNull())
+    v = df.select(F.col(batch_col).alias("batch"), F.try_parse_json(F.col(payload_col)).alias("__v"))
     e = v.lateralJoin(v.sparkSession.tvf.variant_explode(F.col("__v").outer())
                       .select(F.col("key").alias("field"), F.col("value").alias("__val")), how="inner")
     t = F.schema_of_variant(F.col("__val"))

@@ -72,13 +72,17 @@ def unpivot_statement_metrics(df: DataFrame, envelope: Sequence[str] = STATEMENT
 def variant_metrics(df: DataFrame, ids: Sequence[str], payload: str,
                     name_col: str = "metric_name", value_col: str = "metric_value",
                     envelope: Sequence[str] = ()) -> DataFrame:
-    """Long metrics straight from a JSON payload column through VARIANT.
+    """Long metrics straight from a JSON payload through VARIANT.
 
-    ``try_parse_json`` then ``variant_explode`` yields (key, value) per field;
-    values are ``try_variant_get`` as double (text that is not a number drops).
-    No schema inference pass, and keys that differ only in case stay apart.
+    ``payload`` is JSON text (parsed once with ``try_parse_json``) or an
+    already parsed VARIANT column. ``variant_explode`` yields (key, value)
+    per field; values are ``try_variant_get`` as double (text that is not a
+    number drops). No schema inference pass, and keys that differ only in
+    case stay apart.
     """
-    v = df.select(*ids, F.try_parse_json(F.col(payload)).alias("__v")).where(F.col("__v").isNotNull())
+    from pyspark.sql.types import VariantType
+    pv = F.col(payload) if isinstance(df.schema[payload].dataType, VariantType) else F.try_parse_json(F.col(payload))
+    v = df.select(*ids, pv.alias("__v"))  # variant_explode(NULL) yields no row
     exploded = v.lateralJoin(
         v.sparkSession.tvf.variant_explode(F.col("__v").outer()).select(
             F.col("key").alias("__k"), F.col("value").alias("__val")), how="inner")
@@ -101,11 +105,14 @@ def pivot_metrics(df: DataFrame, keys: Sequence[str], metrics: Sequence[str],
 
 
 def statement_envelope(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """Typed envelope fields pulled out of a statement payload (VARIANT)."""
-    v = F.try_parse_json(F.col(payload))
+    """Typed envelope fields pulled out of a statement payload (a VARIANT
+    column; JSON text is parsed once into one)."""
+    from pyspark.sql.types import VariantType
+    if not isinstance(df.schema[payload].dataType, VariantType):
+        df = df.withColumn(payload, F.try_parse_json(F.col(payload)))
 
     def get(field, typ="string"):
-        return F.try_variant_get(v, f"$.{field}", typ)
+        return F.try_variant_get(F.col(payload), f"$.{field}", typ)
     return df.withColumns({"date": get("date"), "period": get("period"), "fiscalYear": get("fiscalYear"),
                            "reportedCurrency": get("reportedCurrency"), "symbol": get("symbol")})
 

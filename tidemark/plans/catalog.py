@@ -133,12 +133,12 @@ def variant_statements_silver(spark: SparkSession, sf: str) -> DataFrame:
     # ties on retrieved_at are broken field by field, as the wide path does
     fields = [("orderKey", "bigint"), ("suppKey", "bigint"), ("lineNumber", "int"), ("quantity", "double"),
               ("extendedPrice", "double"), ("discount", "double"), ("tax", "double")]
-    v = F.try_parse_json("payload")
-    typed = typed.withColumns({f"__tb{i}": F.try_variant_get(v, f"$.{n}", t) for i, (n, t) in enumerate(fields)})
+    typed = typed.withColumns({f"__tb{i}": F.try_variant_get(F.col("payload"), f"$.{n}", t)
+                               for i, (n, t) in enumerate(fields)})
     latest = dedup.keep_latest(typed, ["ticker", "date", "period", "statement_type"],
                                tie_break=["fiscalYear", "reportedCurrency", "source",
                                           *[f"__tb{i}" for i in range(len(fields))]])
-    latest = latest.drop(*[f"__tb{i}" for i in range(len(fields))])
+    latest = latest.drop("record_pos", *[f"__tb{i}" for i in range(len(fields))])
     std = standardize.standardize_fundamentals(latest)
     return reshape.statements_from_payload(std)
 

@@ -169,15 +169,17 @@ def read_statement_json(spark: SparkSession, path: str | Sequence[str], multi_li
 
 
 def statement_records(df: DataFrame, body_col: str, keep: Sequence[str] = ()) -> DataFrame:
-    """JSON-array bodies -> one row per record with the record as JSON text
-    (``payload``): a schema-free Bronze that needs no inference pass and never
-    drifts in type. Bodies that are not arrays yield no row (guard them with
-    :func:`classify_payload` first).
+    """JSON-array bodies -> one row per record, the record kept as a VARIANT
+    ``payload`` (stored natively by Parquet): a schema-free Bronze that needs
+    no inference pass and never drifts in type. Bodies that are not arrays
+    yield no row (guard them with :func:`classify_payload` first).
     """
-    v = df.select(*keep, F.try_parse_json(F.col(body_col)).alias("__v")).where(F.col("__v").isNotNull())
+    # no isNotNull filter: variant_explode(NULL) yields no row, and a filter
+    # would make the optimizer parse every body twice
+    v = df.select(*keep, F.try_parse_json(F.col(body_col)).alias("__v"))
     e = v.lateralJoin(v.sparkSession.tvf.variant_explode(F.col("__v").outer())
-                      .select(F.col("pos").alias("record_pos"), F.col("value").alias("__r")), how="inner")
-    return e.select(*keep, "record_pos", F.to_json(F.col("__r")).alias("payload"))
+                      .select(F.col("pos").alias("record_pos"), F.col("value").alias("payload")), how="inner")
+    return e.select(*keep, "record_pos", "payload")
 
 
 # ---- A06: payload-shape guards --------------------------------------------------------
