@@ -447,7 +447,8 @@ ORACLE_SQL["stream_bronze_append"] = f"WITH {E} SELECT * FROM E"
 _TICKS = f"""T AS (SELECT 'T' || CAST(user_id AS VARCHAR) AS ticker, ts, value AS price, CAST({K} AS BIGINT) AS qty
        FROM events)"""
 _BARS = """B AS (SELECT ticker, CAST(ts AS DATE) AS date, arg_min(price, ts) AS open, max(price) AS high,
-       min(price) AS low, arg_max(price, ts) AS close, sum(qty) AS volume, count(*) AS n_ticks FROM T GROUP BY 1, 2)"""
+       min(price) AS low, arg_max(price, ts) AS close, CAST(sum(qty) AS BIGINT) AS volume, count(*) AS n_ticks
+       FROM T GROUP BY 1, 2)"""
 ORACLE_SQL["stream_ohlcv_daily"] = f"WITH {_TICKS}, {_BARS} SELECT * FROM B"
 ORACLE_SQL["latest_quote"] = (f"WITH {_TICKS} SELECT ticker, arg_max(price, ts) AS price, max(ts) AS quote_ts "
                               "FROM T GROUP BY 1")

@@ -40,6 +40,21 @@ def norm(v):
     return str(v)
 
 
+CANON = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+         "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE", "boolean": "BOOLEAN",
+         "array<string>": "VARCHAR[]", "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
+def type_mismatches(s_types: dict, o_types: dict) -> list[str]:
+    out = []
+    for c, st in s_types.items():
+        want = CANON.get(st, st.upper().replace(" ", ""))
+        got = o_types.get(c, "?").replace(" ", "")
+        if want.replace(" ", "") != got:
+            out.append(f"{c}: spark {st} vs duckdb {o_types.get(c)}")
+    return out
+
+
 def duck(sf_dir: str):
     con = duckdb.connect()
     con.sql("SET TimeZone='UTC'")
@@ -106,11 +121,14 @@ def main():
             problems, rows, secs, st, ot = compare(spark, con, n, QUERIES[n], ORACLE_SQL[n], sf_dir)
         except Exception as e:  # noqa: BLE001
             problems, rows, secs, st, ot = [f"error: {type(e).__name__}: {str(e)[:400]}"], -1, 0, {}, {}
-        status = "OK  " if not problems else "FAIL"
+        tm = type_mismatches(st, ot) if st else []
+        status = ("OK  " if not tm else "OK~ ") if not problems else "FAIL"
         bad += bool(problems)
         print(f"{status} {n}: rows={rows} {secs:.1f}s")
         for p in problems:
             print("     ", p)
+        for p in (tm if not problems else []):
+            print("      type:", p)
         if problems and st:
             print("      types spark:", st)
             print("      types duck :", ot)
