@@ -96,3 +96,20 @@ def test_require_rows(spark):
     with pytest.raises(EmptyBatchError):
         landed.require_rows(spark.range(0), "nbp")
     assert landed.require_rows(spark.range(1), "nbp").count() == 1
+
+
+def test_strict_header_reader_raises(spark, scratch):
+    _write(scratch, "bad.csv", "when,o,h,l,c,v\n2024-01-02,1,2,0.5,1.5,10\n")
+    with pytest.raises(Exception):
+        landed.read_price_csv(spark, scratch, None, "stooq", T1, strict_header=True).collect()
+    assert landed.read_price_csv(spark, scratch, None, "stooq", T1).count() == 1
+
+
+def test_union_widens_conflicting_types(spark):
+    from tidemark.operators.union import union_all_by_name
+    a = spark.createDataFrame([(1, 10)], "id int, x bigint")
+    b = spark.createDataFrame([(2, "n/a", 1.5)], "id int, x string, y double")
+    c = spark.createDataFrame([(3, 2.5)], "id bigint, y float")
+    out = union_all_by_name([a, b, c])
+    assert dict(out.dtypes) == {"id": "bigint", "x": "string", "y": "double"}
+    assert sorted(tuple(r) for r in out.collect()) == [(1, "10", None), (2, "n/a", 1.5), (3, None, 2.5)]

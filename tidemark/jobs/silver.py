@@ -30,12 +30,10 @@ def build_silver_fx_rates(spark: SparkSession, lake: Lake, since=None) -> int:
 
 def bronze_statements(spark: SparkSession, lake: Lake, since=None) -> DataFrame:
     """The three statement tables, stamped with their type and unioned by name."""
+    from tidemark.operators.union import union_all_by_name
     frames = [lake.read_bronze(spark, t, since).withColumn("statement_type", F.lit(st))
               for st, t in STATEMENT_TYPES.items() if lake_has(spark, lake, t)]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+    return union_all_by_name(frames)
 
 
 def lake_has(spark: SparkSession, lake: Lake, table: str) -> bool:

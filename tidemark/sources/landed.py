@@ -50,17 +50,20 @@ def price_rows_from_csv_lines(df: DataFrame, line_col: str, ticker: Column | str
 
 
 def read_price_csv(spark: SparkSession, path: str | Sequence[str], symbol_map: DataFrame | None,
-                   source: str, retrieved_at) -> DataFrame:
+                   source: str, retrieved_at, strict_header: bool = False) -> DataFrame:
     """Landed CSV files (one per symbol, with header) -> Bronze prices.
 
     The ticker comes from the file name (``<symbol>.csv``) mapped through
     ``symbol_map`` (stooq_symbol -> ticker); without a map the file stem is
-    the ticker. Header lines are skipped by the reader; check them with
-    :func:`csv_header_status`.
+    the ticker. Header lines are skipped by the reader; check them per file
+    with :func:`csv_header_status` (quarantine), or pass ``strict_header``
+    to have the reader fail the job on the first file whose header does not
+    match the schema (``enforceSchema=false``).
     """
     schema = StructType(PRICE_CSV.fields + [StructField("_corrupt_record", StringType(), True)])
     raw = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", "_corrupt_record").csv(path))
+           .option("columnNameOfCorruptRecord", "_corrupt_record")
+           .option("enforceSchema", not strict_header).csv(path))
     stem = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+?)(\.[^./]*)?$", 1)
     df = raw.select(stem.alias("__symbol"), F.col("_metadata.file_path").alias("landed_file"), "*")
     if symbol_map is not None:
