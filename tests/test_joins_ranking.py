@@ -42,3 +42,11 @@ def test_grouped_rank_matches_window_rank_with_hot_group(spark):
         a = pd.DataFrame(sorted(tuple(x) for x in got.select("id", "r").collect()))
         b = pd.DataFrame(sorted(tuple(x) for x in expect.select("id", "r").collect()))
         assert a.equals(b), parts
+
+
+def test_asof_duplicate_rate_dates_are_deterministic(spark):
+    r = spark.createDataFrame([("USD", dt.date(2024, 1, 1), 1.0), ("USD", dt.date(2024, 1, 1), 2.0),
+                               ("USD", dt.date(2024, 1, 5), 3.0)], "c string, d date, rate double")
+    f = spark.createDataFrame([(1, "USD", dt.date(2024, 1, 3)), (2, "USD", dt.date(2024, 1, 9))], "id int, c string, d date")
+    got = {x.id: x.rate for x in asof_join(f, r, ["c"], "d", "d", ["rate"]).collect()}
+    assert got == {1: 2.0, 2: 3.0}

@@ -95,8 +95,11 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str
     vcol = {v: f"__val{i}" for i, v in enumerate(values)}
     r = right.select(*[F.col(b).alias(bcol[b]) for b in by], F.col(right_on).alias("__d"),
                      *[F.col(v).alias(vcol[v]) for v in values])
-    r = r.withColumn("__next", F.lead("__d").over(Window.partitionBy(*bcol.values()).orderBy("__d")))
-    daily = (r.where(F.col("__next").isNotNull())
+    # order by the values too, so duplicate dates resolve deterministically
+    # (the last one covers the interval, the others get an empty one)
+    w = Window.partitionBy(*bcol.values()).orderBy("__d", *vcol.values())
+    r = r.withColumn("__next", F.lead("__d").over(w))
+    daily = (r.where(F.col("__next").isNotNull() & (F.col("__next") > F.col("__d")))
              .select(*bcol.values(), F.explode(F.sequence("__d", F.date_sub("__next", 1))).alias("__day"),
                      *vcol.values()))
     last = r.where(F.col("__next").isNull()).select(

@@ -178,10 +178,14 @@ def orphan_counts(pairs: Sequence[tuple[str, DataFrame, DataFrame, Sequence[str]
     key is missing from the dimension (``left_anti``)."""
     out = None
     for name, fact, dim, keys in pairs:
-        d = dim.select(*keys).distinct()
-        flagged = fact.select(*keys).join(d.withColumn("__hit", F.lit(True)), on=list(keys), how="left")
-        row = flagged.agg(F.count(F.lit(1)).alias("fact_rows"),
-                          F.count_if(F.col("__hit").isNull()).alias("orphan_rows")) \
+        # pre-aggregate: one row per distinct key crosses the join, so a key
+        # that holds a third of the facts is a single row in the shuffle
+        f = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+        d = dim.select(*keys).distinct().withColumn("__hit", F.lit(True))
+        flagged = f.join(d, on=list(keys), how="left")
+        row = flagged.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("fact_rows"),
+                          F.coalesce(F.sum(F.when(F.col("__hit").isNull(), F.col("__n"))), F.lit(0))
+                          .alias("orphan_rows")) \
             .select(F.lit(name).alias("check_name"), "fact_rows", "orphan_rows",
                     (F.col("orphan_rows") == 0).alias("passed"))
         out = row if out is None else out.unionByName(row)
