@@ -50,3 +50,10 @@ def test_asof_duplicate_rate_dates_are_deterministic(spark):
     f = spark.createDataFrame([(1, "USD", dt.date(2024, 1, 3)), (2, "USD", dt.date(2024, 1, 9))], "id int, c string, d date")
     got = {x.id: x.rate for x in asof_join(f, r, ["c"], "d", "d", ["rate"]).collect()}
     assert got == {1: 2.0, 2: 3.0}
+
+
+def test_broadcast_bound_is_checked(spark):
+    from tidemark.operators.joins import fits_broadcast
+    assert fits_broadcast(spark.range(10))
+    assert not fits_broadcast(spark.range(50), max_rows=40)
+    assert not fits_broadcast(spark.range(50), max_bytes=100)  # the byte budget caps the rows

@@ -12,8 +12,29 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows we accept to ship to every executor (reference data, calendars, rate grids).
+# What we accept to ship to every executor (reference data, calendars, rate grids):
+# at most this many rows, and at most this many bytes by a schema-based estimate.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 128 * 1024 * 1024
+
+
+def estimated_row_bytes(df: DataFrame) -> int:
+    """A conservative per-row size from the schema (strings counted at 64 B)."""
+    from pyspark.sql.types import (ArrayType, BooleanType, ByteType, DateType, MapType, ShortType,
+                                   StringType, StructType)
+    def size(t):
+        if isinstance(t, (BooleanType, ByteType)):
+            return 1
+        if isinstance(t, (ShortType, DateType)):
+            return 4
+        if isinstance(t, StringType):
+            return 64
+        if isinstance(t, StructType):
+            return sum(size(f.dataType) for f in t.fields)
+        if isinstance(t, (ArrayType, MapType)):
+            return 256
+        return 8
+    return max(16, 16 + sum(size(f.dataType) for f in df.schema.fields))
 
 
 class DuplicateKeyError(ValueError):
@@ -35,14 +56,19 @@ def _memo(kind: str, df: DataFrame, extra, compute):
     return _CHECKS[key]
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return _memo("fits", df, max_rows, lambda: df.limit(max_rows + 1).count() <= max_rows)
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                   max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and at most ``max_bytes``
+    by the schema estimate (reads at most bound + 1 rows)."""
+    bound = max(1, min(max_rows, max_bytes // estimated_row_bytes(df)))
+    return _memo("fits", df, bound, lambda: df.limit(bound + 1).count() <= bound)
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its size is proven small, else ``df`` unchanged."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` when its size is proven small, else ``df`` unchanged
+    (the planner, with AQE, then picks a shuffle join)."""
+    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
 
 
 def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "lookup", memo: bool = True) -> None:
