@@ -93,3 +93,28 @@ def test_payload_path_matches_inferred_path(spark, scratch):
     a = sorted(tuple(r) for r in wide.read(spark, "silver_fundamentals").collect())
     b = sorted(tuple(r) for r in pay.read(spark, "silver_fundamentals").collect())
     assert a == b and len(a) == 3
+
+
+def test_cli_runs_a_job(spark, scratch):
+    from tidemark.jobs.__main__ import JOBS, parse_args
+    _land(scratch)
+    ref = os.path.join(scratch, "tickers.json")
+    with open(ref, "w") as f:
+        json.dump([{"ticker": "PKO", "stooq_symbol": "pko", "fmp_symbol": None, "company_name": "PKO BP",
+                    "currency": "PLN"}], f)
+    lake_root = os.path.join(scratch, "cli_lake")
+    for argv in (["bronze_prices", "--lake", lake_root, "--landing", os.path.join(scratch, "landing", "stooq"),
+                  "--tickers", ref, "--run-time", "2024-03-01T06:00:00+00:00"],
+                 ["silver_prices", "--lake", lake_root, "--tickers", ref, "--partitioned", "silver_prices=date"]):
+        a = parse_args(argv)
+        layout = {t: c.split(",") for t, c in (x.split("=", 1) for x in a.partitioned)}
+        JOBS[a.job](a, spark, Lake(lake_root, partitioned=layout))
+    got = Lake(lake_root, partitioned={"silver_prices": ["date"]}).read(spark, "silver_prices")
+    assert got.where("ticker = 'PKO'").count() == 2
+
+
+def test_kafka_source_needs_connector(spark):
+    import pytest
+    from tidemark.streaming.prices import kafka_ticks
+    with pytest.raises(RuntimeError):
+        kafka_ticks(spark, "localhost:9", "trades")

@@ -39,6 +39,21 @@ def file_stream(spark: SparkSession, directory: str, schema: StructType, fmt: st
     return r.load(directory)
 
 
+def kafka_ticks(spark: SparkSession, bootstrap_servers: str, topic: str,
+                starting_offsets: str = "latest") -> DataFrame:
+    """Trades from a Kafka topic (JSON values ``{ticker, ts, price, qty}``).
+
+    Needs the Kafka connector on the classpath; raises a clear error without it.
+    """
+    try:
+        raw = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
+               .option("subscribe", topic).option("startingOffsets", starting_offsets).load())
+    except Exception as e:  # noqa: BLE001 - surface the missing connector plainly
+        raise RuntimeError("the Kafka source needs the spark-sql-kafka connector on the classpath") from e
+    t = F.from_json(F.col("value").cast("string"), "ticker string, ts timestamp, price double, qty bigint")
+    return raw.select(t.alias("t")).select("t.*")
+
+
 def ticks_from_events(events: DataFrame) -> DataFrame:
     """(ticker, ts, price, qty) from event rows; ``ts`` as a UTC timestamp
     (watermarks need ``TIMESTAMP``, not ``TIMESTAMP_NTZ``)."""
