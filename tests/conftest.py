@@ -20,6 +20,8 @@ def spark():
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.ansi.enabled", "true")
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
+         .config("spark.sql.warehouse.dir", os.path.join(scratch, "warehouse"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     if not s.conf.get("spark.checkpoint.dir", None):

@@ -89,3 +89,14 @@ def test_newer_wins(spark, scratch):
     src = spark.createDataFrame([(1, "stale", t1), (2, "fresh", t2), (3, "ins", t1)], schema)
     u.upsert(spark, src, path, ["k"], newer_wins="at")
     assert rows(u.read_current(spark, path).select("k", "v")) == [(1, "new"), (2, "fresh"), (3, "ins")]
+
+
+def test_merge_into_catalog_creates_then_needs_row_level_format(spark):
+    from tidemark.sinks.upsert import merge_into_catalog
+    src = spark.createDataFrame([(1, "a")], "k int, v string")
+    spark.sql("DROP TABLE IF EXISTS tm_merge_t")
+    merge_into_catalog(src, "tm_merge_t", ["k"])               # first run creates the table
+    assert spark.table("tm_merge_t").count() == 1
+    with pytest.raises(Exception) as e:                       # plain Parquet has no MERGE
+        merge_into_catalog(spark.createDataFrame([(1, "b")], "k int, v string"), "tm_merge_t", ["k"])
+    assert "UNSUPPORTED_FEATURE.TABLE_OPERATION" in str(e.value)
