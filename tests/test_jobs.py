@@ -118,3 +118,19 @@ def test_kafka_source_needs_connector(spark):
     from tidemark.streaming.prices import kafka_ticks
     with pytest.raises(RuntimeError):
         kafka_ticks(spark, "localhost:9", "trades")
+
+
+def test_bronze_validation_and_empty_batch(spark, scratch):
+    import pytest
+    from tidemark.sources.landed import EmptyBatchError
+    land = os.path.join(scratch, "land_rules")
+    _w(land, "pko.csv", "Date,Open,High,Low,Close,Volume\n2024-01-02,40,41,39,40.5,100\n2024-01-03,45,41,39,40,100\n")
+    lake = Lake(os.path.join(scratch, "lake_rules"))
+    tickers = tickers_table(spark, [("PKO", "pko", None, "PKO BP", "PLN")])
+    assert bronze.ingest_prices(spark, lake, land, tickers, RUN1) == 1          # open > high quarantined
+    q = spark.read.parquet(lake.path("bronze_stooq_prices_rules_quarantine")).first()
+    assert q.violations == ["open_le_high"]
+    empty = os.path.join(scratch, "land_empty")
+    _w(empty, "pko.csv", "Date,Open,High,Low,Close,Volume\n")
+    with pytest.raises(EmptyBatchError):
+        bronze.ingest_prices(spark, lake, empty, tickers, RUN1)

@@ -7,11 +7,12 @@ and a batch that yields no row at all raises :class:`EmptyBatchError`.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.jobs.lake import STATEMENT_TYPES, Lake
 from tidemark.operators.joins import checked_broadcast
+from tidemark.operators.quality import fx_rules, price_rules, split_valid
 from tidemark.sinks.tables import append
 from tidemark.sources import landed
 
@@ -20,12 +21,24 @@ def _quarantine(lake: Lake, table: str, df: DataFrame) -> None:
     append(df.withColumn("quarantined_at", F.current_timestamp()), lake.path(f"{table}_quarantine"))
 
 
+def _append_observed(lake: Lake, df: DataFrame, table: str, what: str) -> int:
+    """Append and count in the same pass (``Observation``); an empty batch raises."""
+    obs = Observation(f"{table}_rows")
+    lake.append_bronze(df.observe(obs, F.count(F.lit(1)).alias("rows")), table)
+    rows = int(obs.get.get("rows", 0))
+    if rows == 0:
+        raise landed.EmptyBatchError(f"no rows produced for {what}")
+    return rows
+
+
 def ingest_prices(spark: SparkSession, lake: Lake, landing: str, tickers: DataFrame, retrieved_at,
-                  source: str = "stooq") -> int:
+                  source: str = "stooq", validate: bool = True) -> int:
     """Daily OHLCV CSV files (``<stooq_symbol>.csv``) -> ``bronze_stooq_prices``.
 
-    Files with an unexpected header and rows that do not parse are
-    quarantined; the rest is appended. Returns the appended row count.
+    Files with an unexpected header, rows that do not parse and (with
+    ``validate``) rows breaking the price rules (low <= open, close <= high,
+    volume >= 0) are quarantined; the rest is appended. Returns the appended
+    row count, observed during the write (no second pass).
     """
     headers = landed.csv_header_status(landed.first_lines(spark, landing))
     good_files = headers.where("header_ok").select(F.col("file_path").alias("landed_file"))
@@ -35,22 +48,27 @@ def ingest_prices(spark: SparkSession, lake: Lake, landing: str, tickers: DataFr
     _quarantine(lake, "bronze_stooq_prices", headers.where(~F.col("header_ok")))
     _quarantine(lake, "bronze_stooq_prices_rows", bad)
     out = landed.to_bronze_prices(clean.where(F.col("ticker").isNotNull()))
-    landed.require_rows(out, "stooq prices")
-    lake.append_bronze(out, "bronze_stooq_prices")
-    return out.count()
+    if validate:
+        out, broken = split_valid(out, price_rules())
+        _quarantine(lake, "bronze_stooq_prices_rules", broken)
+    return _append_observed(lake, out, "bronze_stooq_prices", "stooq prices")
 
 
-def ingest_fx(spark: SparkSession, lake: Lake, landing: str, retrieved_at, source: str = "nbp") -> None:
-    """FX rate payloads (one JSON object per file) -> ``bronze_nbp_fx_rates``."""
+def ingest_fx(spark: SparkSession, lake: Lake, landing: str, retrieved_at, source: str = "nbp",
+              validate: bool = True) -> int:
+    """FX rate payloads (one JSON object per file) -> ``bronze_nbp_fx_rates``
+    (with ``validate``, non-positive rates are quarantined)."""
     bodies = landed.landed_bodies(spark, landing)
     ok = bodies.where(landed.classify_payload(F.col("body"), "csv") == "ok")
     out = landed.fx_rows_from_json(ok, "body", source, retrieved_at)
-    landed.require_rows(out, "nbp rates")
-    lake.append_bronze(out, "bronze_nbp_fx_rates")
+    if validate:
+        out, broken = split_valid(out, fx_rules())
+        _quarantine(lake, "bronze_nbp_fx_rates_rules", broken)
+    return _append_observed(lake, out, "bronze_nbp_fx_rates", "nbp rates")
 
 
 def ingest_macro(spark: SparkSession, lake: Lake, landing: str, indicators: DataFrame, retrieved_at,
-                 source: str = "gus") -> None:
+                 source: str = "gus") -> int:
     """Macro payloads named ``<variable_id>_<year>.json`` -> ``bronze_gus_macro``.
 
     Indicator name and unit come from the indicator reference table joined
@@ -62,8 +80,7 @@ def ingest_macro(spark: SparkSession, lake: Lake, landing: str, indicators: Data
     j = bodies.join(checked_broadcast(ref), "gus_variable_id", "inner")
     out = landed.macro_rows_from_json(j, "body", F.col("indicator_name"), F.col("gus_variable_id"), F.col("unit"),
                                       source, retrieved_at)
-    landed.require_rows(out, "gus macro")
-    lake.append_bronze(out, "bronze_gus_macro")
+    return _append_observed(lake, out, "bronze_gus_macro", "gus macro")
 
 
 def ingest_statements(spark: SparkSession, lake: Lake, landing: str, statement_type: str, retrieved_at,
@@ -85,7 +102,7 @@ def ingest_statements(spark: SparkSession, lake: Lake, landing: str, statement_t
 
 
 def ingest_statement_payloads(spark: SparkSession, lake: Lake, landing: str, statement_type: str, retrieved_at,
-                              source: str = "fmp") -> None:
+                              source: str = "fmp") -> int:
     """Schema-free alternative to :func:`ingest_statements`: one row per
     record with the record kept as a VARIANT ``payload`` in
     ``<table>_payload``. No inference pass, no type drift between runs."""
@@ -98,6 +115,4 @@ def ingest_statement_payloads(spark: SparkSession, lake: Lake, landing: str, sta
         ok.withColumn("ticker", landed.file_stem(F.col("file_path"))).withColumn("statement_type",
                                                                                 F.lit(statement_type)),
         "body", keep=["ticker", "statement_type"])
-    out = provenance(recs, source, retrieved_at)
-    landed.require_rows(out, f"{statement_type} payloads")
-    lake.append_bronze(out, table)
+    return _append_observed(lake, provenance(recs, source, retrieved_at), table, f"{statement_type} payloads")
