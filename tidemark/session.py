@@ -8,14 +8,32 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Settings for a large cluster (hundreds of executors, tens of TB per job):
+# start with many shuffle partitions and let AQE coalesce them to ~256 MB,
+# read ~256 MB splits, split skewed join/rebalance partitions, and keep
+# broadcasts to checked small sides (our own checks; the planner's automatic
+# threshold stays at its conservative default).
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.parquet.compression.codec": "zstd",
+    "spark.sql.sources.partitionOverwriteMode": "static",
+}
+
+
 def get_session(app_name: str = "tidemark", master: str | None = None, cpus: int | None = None,
-                shuffle_partitions: int | None = None) -> SparkSession:
+                shuffle_partitions: int | None = None, profile: str | None = None) -> SparkSession:
     """Create (or return) a session with the settings every job here assumes.
 
     Session zone UTC (all ``retrieved_at`` values are UTC wall clock), ANSI on
     (untrusted text goes through ``try_*`` functions), AQE with partition
     coalescing and skew-join splitting on. ``master`` is only set when given,
-    so on a cluster the launcher's master wins.
+    so on a cluster the launcher's master wins. ``profile="cluster"`` adds
+    :data:`CLUSTER_CONF` (partition sizing for very large inputs).
     """
     builder = SparkSession.builder.appName(app_name)
     if master is None and cpus is not None:
@@ -32,6 +50,8 @@ def get_session(app_name: str = "tidemark", master: str | None = None, cpus: int
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
+    if profile == "cluster":
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     for k, v in conf.items():

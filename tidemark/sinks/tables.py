@@ -13,6 +13,10 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     Partition Bronze by retrieval day so incremental Silver runs prune to
     the days they need.
     """
+    if partition_by:
+        # REBALANCE: AQE sizes the output files and splits a hot partition (one
+        # retrieval day holding most rows) across tasks instead of one writer
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)

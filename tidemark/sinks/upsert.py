@@ -102,6 +102,8 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
     vs = committed_versions(spark, path)
     out = source if not vs else merged(read_current(spark, path), source, keys, newer_wins)
     new_v = (vs[-1] + 1) if vs else 1
+    if partition_by:
+        out = out.hint("rebalance", *partition_by)
     w = out.write.mode("overwrite")  # the new version folder is invisible until committed
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -160,8 +162,10 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
 
 
 def _overwrite_partitions(spark: SparkSession, staged: str, path: str, partition_by: Sequence[str]) -> None:
-    (spark.read.parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(path))
+    # rebalance on the partition columns: few, advisory-sized files per
+    # partition, and a hot partition is split across writers by AQE
+    (spark.read.parquet(staged).hint("rebalance", *partition_by).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
 
 
 def recover_partitioned(spark: SparkSession, path: str) -> bool:
@@ -211,7 +215,7 @@ def upsert_partitions(spark: SparkSession, source: DataFrame, path: str, keys: S
     fs, p = _fs(spark, path)
     exists = fs.exists(p) and fs.exists(_fs(spark, f"{path.rstrip('/')}/_SUCCESS")[1])
     if not exists:
-        source.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        source.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         return source.select(*partition_by).distinct().count()
     target = spark.read.parquet(path)
     cols = target.columns
