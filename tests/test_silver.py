@@ -112,3 +112,12 @@ def test_variant_metrics(spark):
                                "ticker string, p string")
     out = {r.metric_name: r.metric_value for r in reshape.variant_metrics(df, ["ticker"], "p").collect()}
     assert out == {"total_assets": 10.0, "cash": 2.5, "eps_diluted": 1.0}
+
+
+def test_q4_and_fy_on_one_date_both_survive(spark):
+    rows = [("PKO", "2023-12-31", "PKO.WA", "PLN", "1", "f", "a", "2023", "Q4", "balance_sheet", "fmp", T1, 100.0, "1"),
+            ("PKO", "2023-12-31", "PKO.WA", "PLN", "1", "f", "a", "2023", "FY", "balance_sheet", "fmp", T1, 400.0, "4")]
+    std = standardize.standardize_fundamentals(dedup.dedup_fundamentals(wide(spark, rows)))
+    long = reshape.unpivot_statement_metrics(std).where("metric_name = 'total_assets'")
+    got = {r.period_type: r.metric_value for r in long.collect()}
+    assert got == {"quarter": 100.0, "annual": 400.0}   # period_type is part of the Silver key

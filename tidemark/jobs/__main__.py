@@ -30,7 +30,8 @@ JOBS = {
     "silver_fundamentals_from_payloads": lambda a, s, l: silver.build_silver_fundamentals_from_payloads(s, l, a.since),
     "silver_macro": lambda a, s, l: silver.build_silver_macro(s, l, a.since),
     "gold_dim_company": lambda a, s, l: gold.build_dim_company(s, l, tickers_table(s, a.tickers)),
-    "gold_dim_date": lambda a, s, l: gold.build_dim_date(s, l, a.start, a.end, from_silver=a.from_silver),
+    "gold_dim_date": lambda a, s, l: gold.build_dim_date(s, l, a.start, a.end, from_silver=a.from_silver,
+                                                         exclude_holidays=a.exclude_holidays),
     "gold_fact_prices": lambda a, s, l: gold.build_fact_prices(s, l),
     "gold_fact_fundamentals": lambda a, s, l: gold.build_fact_fundamentals(s, l),
     "gold_fact_macro": lambda a, s, l: gold.build_fact_macro(s, l),
@@ -52,6 +53,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--start", default="2000-01-01")
     p.add_argument("--end", default="2035-12-31")
     p.add_argument("--from-silver", action="store_true", help="calendar bounds from Silver prices")
+    p.add_argument("--exclude-holidays", action="store_true", help="public holidays are not trading days")
     p.add_argument("--partitioned", action="append", default=[], metavar="TABLE=COL[,COL]",
                    help="upsert TABLE partition by partition")
     return p.parse_args(argv)

@@ -14,12 +14,18 @@ def build_dim_company(spark: SparkSession, lake: Lake, tickers: DataFrame) -> in
 
 
 def build_dim_date(spark: SparkSession, lake: Lake, start=CALENDAR_DEFAULT_START, end=CALENDAR_DEFAULT_END,
-                   from_silver: bool = False) -> int:
-    """Fixed bounds, or (``from_silver``) Silver prices' date range +/- 1 year."""
+                   from_silver: bool = False, exclude_holidays: bool = False) -> int:
+    """Fixed bounds, or (``from_silver``) Silver prices' date range +/- 1 year.
+
+    ``is_trading_day_gpw`` is Monday-Friday; with ``exclude_holidays`` Polish
+    public holidays (rule-based, incl. Easter-dependent ones) are not trading days.
+    """
     if from_silver:
         cal = calendar.date_dimension_from(lake.read(spark, "silver_prices"), "date", pad_months=12)
     else:
         cal = calendar.date_dimension(spark, start, end)
+    if exclude_holidays:
+        cal = calendar.with_holidays(cal, calendar.holiday_table(cal))
     return lake.upsert(spark, cal, "dim_date", KEYS["dim_date"])
 
 
