@@ -11,6 +11,15 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.schemas import (
+    ANNUAL_PERIOD,
+    CAMEL_PASS_1,
+    CAMEL_PASS_2,
+    PAYLOAD_DATE_FORMAT,
+    PERIOD_TYPE_ANNUAL,
+    PERIOD_TYPE_QUARTER,
+)
+
 ColumnOrName = Column | str
 
 
@@ -18,7 +27,7 @@ def _c(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def iso_date_or_null(c: ColumnOrName, fmt: str = "yyyy-MM-dd") -> Column:
+def iso_date_or_null(c: ColumnOrName, fmt: str = PAYLOAD_DATE_FORMAT) -> Column:
     """Text to ``DateType``; anything that does not parse becomes null.
 
     ``try_to_date`` keeps ANSI mode on (``to_date`` raises there). The
@@ -29,7 +38,7 @@ def iso_date_or_null(c: ColumnOrName, fmt: str = "yyyy-MM-dd") -> Column:
 
 def period_type(period: ColumnOrName) -> Column:
     """``FY`` is an annual statement; anything else (null included) a quarter."""
-    return F.when(_c(period) == F.lit("FY"), F.lit("annual")).otherwise(F.lit("quarter"))
+    return F.when(_c(period) == F.lit(ANNUAL_PERIOD), F.lit(PERIOD_TYPE_ANNUAL)).otherwise(F.lit(PERIOD_TYPE_QUARTER))
 
 
 def year_end_date(year: ColumnOrName) -> Column:
@@ -43,8 +52,8 @@ def camel_to_snake(name: ColumnOrName) -> Column:
     Two regex passes then lower case; ``EBITDARatio`` -> ``ebitda_ratio``,
     ``epsdiluted`` is unchanged. Given a literal, Catalyst folds it.
     """
-    first = F.regexp_replace(_c(name), r"(.)([A-Z][a-z]+)", "$1_$2")
-    return F.lower(F.regexp_replace(first, r"([a-z0-9])([A-Z])", "$1_$2"))
+    first = F.regexp_replace(_c(name), *CAMEL_PASS_1)
+    return F.lower(F.regexp_replace(first, *CAMEL_PASS_2))
 
 
 def _ts_literal(value) -> Column:

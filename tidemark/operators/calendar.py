@@ -11,7 +11,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import checked_broadcast
-from tidemark.schemas import CALENDAR_DEFAULT_END, CALENDAR_DEFAULT_START, FX_MAX_RANGE_DAYS
+from tidemark.schemas import (
+    CALENDAR_DEFAULT_END,
+    CALENDAR_DEFAULT_START,
+    DAY_NAME_FORMAT,
+    FX_MAX_RANGE_DAYS,
+    MONTH_NAME_FORMAT,
+    TRADING_WEEKDAYS,
+)
 
 
 def _date_lit(d) -> Column:
@@ -30,11 +37,11 @@ def calendar_attributes(df: DataFrame, date_col: str = "date") -> DataFrame:
         F.year(d).alias("year"),
         F.quarter(d).alias("quarter"),
         F.month(d).alias("month"),
-        F.date_format(d, "MMMM").alias("month_name"),
+        F.date_format(d, MONTH_NAME_FORMAT).alias("month_name"),
         F.weekofyear(d).alias("week_of_year"),
         F.dayofweek(d).alias("day_of_week"),
-        F.date_format(d, "EEEE").alias("day_name"),
-        F.dayofweek(d).between(2, 6).alias("is_trading_day_gpw"),
+        F.date_format(d, DAY_NAME_FORMAT).alias("day_name"),
+        F.dayofweek(d).between(*TRADING_WEEKDAYS).alias("is_trading_day_gpw"),
     )
 
 

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import iso_date_or_null, period_type, year_end_date
-from tidemark.schemas import MACRO_COUNTRY
+from tidemark.schemas import MACRO_COUNTRY, PAYLOAD_DATE_FORMAT
 
 
-def parse_date_or_drop(df: DataFrame, column: str, fmt: str = "yyyy-MM-dd") -> DataFrame:
+def parse_date_or_drop(df: DataFrame, column: str, fmt: str = PAYLOAD_DATE_FORMAT) -> DataFrame:
     """Replace a text date by ``DateType`` and drop rows that do not parse.
 
     A row without a valid date has no Silver identity (a null key never

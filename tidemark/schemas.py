@@ -36,6 +36,20 @@ MACRO_COUNTRY = "PL"
 # Default calendar bounds.
 CALENDAR_DEFAULT_START = "2000-01-01"
 CALENDAR_DEFAULT_END = "2035-12-31"
+# Text dates in payloads.
+PAYLOAD_DATE_FORMAT = "yyyy-MM-dd"
+# Statement period marking an annual report, and the two period_type labels.
+ANNUAL_PERIOD = "FY"
+PERIOD_TYPE_ANNUAL = "annual"
+PERIOD_TYPE_QUARTER = "quarter"
+# camelCase -> snake_case: two regex passes (Java replacement syntax), then lower case.
+CAMEL_PASS_1 = (r"(.)([A-Z][a-z]+)", "$1_$2")
+CAMEL_PASS_2 = (r"([a-z0-9])([A-Z])", "$1_$2")
+# Calendar name formats (full month name, full weekday name); weekdays are
+# dayofweek 2..6 (1 = Sunday).
+MONTH_NAME_FORMAT = "MMMM"
+DAY_NAME_FORMAT = "EEEE"
+TRADING_WEEKDAYS = (2, 6)
 # ---------------------------------------------------------------------------
 
 BRONZE_PRICES = StructType([
