@@ -105,7 +105,8 @@ def main():
     names = args or list(QUERIES)
     if plain:  # a default session, as an outside caller would build it
         from pyspark.sql import SparkSession
-        spark = SparkSession.builder.master("local[8]").config("spark.ui.showConsoleProgress", "false").getOrCreate()
+        spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+                 .config("spark.ui.showConsoleProgress", "false").getOrCreate())
     else:
         from tidemark.session import get_session
         spark = get_session(cpus=8, shuffle_partitions=8)
