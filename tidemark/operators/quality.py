@@ -144,6 +144,8 @@ def run_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataF
              for side, tb, col in (("s", sb, sc), ("t", tb_, tc))]
     spec = spark.createDataFrame(sides, "ordinal int, check_name string, check_kind string, side string, "
                                         "tbl string, col string, cast_to string")
+    # stats has one row per (table, column) named in the suite: bounded by the
+    # check list, not by the data, so the broadcast needs no runtime check
     j = spec.join(F.broadcast(stats), (F.col("tbl") == F.col("table")) & (F.col("col") == F.col("column"))
                   & (spec["cast_to"] == stats["cast_to"]))
     def pick(side, c):
