@@ -134,3 +134,27 @@ def test_bronze_validation_and_empty_batch(spark, scratch):
     _w(empty, "pko.csv", "Date,Open,High,Low,Close,Volume\n")
     with pytest.raises(EmptyBatchError):
         bronze.ingest_prices(spark, lake, empty, tickers, RUN1)
+
+
+def test_stream_and_batch_feed_silver_with_precedence(spark, scratch):
+    from tidemark.jobs.silver import start_silver_prices_stream
+    from tidemark.streaming.prices import file_stream, ticks_from_events
+    _land(scratch)
+    lake = Lake(os.path.join(scratch, "lake_sp"))
+    tickers = tickers_table(spark, [("PKO", "pko", None, "PKO BP", "PLN"), ("T1", None, None, "t1", "USD")])
+    bronze.ingest_prices(spark, lake, os.path.join(scratch, "landing", "stooq"), tickers, RUN1)
+    silver.build_silver_prices(spark, lake, tickers)
+    # a tick stream for ticker T1 on 2024-01-02 and PKO (which batch also has) on 2024-01-02
+    land = os.path.join(scratch, "ticks")
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame([(1, dt.datetime(2024, 1, 2, 10), 1, "click", 7.0, '{"k": 5}')], schema) \
+        .write.parquet(land)
+    ticks = ticks_from_events(file_stream(spark, land, spark.createDataFrame([], schema).schema))
+    start_silver_prices_stream(spark, lake, ticks, tickers, os.path.join(scratch, "cp_sp"), available_now=True,
+                               state_partitions=2).awaitTermination()
+    got = {(r.ticker, str(r.date)): (r.close, r.source_priority) for r in lake.read(spark, "silver_prices").collect()}
+    assert got[("T1", "2024-01-02")] == (7.0, 2)
+    assert got[("PKO", "2024-01-02")] == (40.5, 1)
+    silver.build_silver_prices(spark, lake, tickers)          # a batch rerun keeps the streamed row
+    again = {(r.ticker, str(r.date)): r.source_priority for r in lake.read(spark, "silver_prices").collect()}
+    assert again[("T1", "2024-01-02")] == 2

@@ -11,16 +11,52 @@ from tidemark.operators.joins import add_currency_column
 from tidemark.schemas import KEYS
 
 
-def silver_prices_frame(bronze: DataFrame, tickers: DataFrame) -> DataFrame:
-    return add_currency_column(standardize.standardize_prices(dedup.dedup_prices(bronze)), tickers)
+# Source precedence in Silver prices: a streamed bar beats a batch row of the
+# same (ticker, date); within one source the later retrieval wins.
+BATCH_PRIORITY = 1
+STREAM_PRIORITY = 2
+PRICE_PRECEDENCE = ["source_priority", "retrieved_at"]
+
+
+def silver_prices_frame(bronze: DataFrame, tickers: DataFrame, priority: int = BATCH_PRIORITY) -> DataFrame:
+    df = add_currency_column(standardize.standardize_prices(dedup.dedup_prices(bronze)), tickers)
+    return df.withColumn("source_priority", F.lit(priority))
 
 
 def build_silver_prices(spark: SparkSession, lake: Lake, tickers: DataFrame, since=None) -> int:
     """``since`` restricts the run to retrievals on/after that day (partition
-    pruning). The merge is "newer wins" on ``retrieved_at``, so an increment
-    never rolls back a row stored from a later retrieval."""
+    pruning). The merge is conditional on (``source_priority``,
+    ``retrieved_at``): an increment never rolls back a row stored from a
+    later retrieval or from the stream."""
     df = silver_prices_frame(lake.read_bronze(spark, "bronze_stooq_prices", since), tickers)
-    return lake.upsert(spark, df, "silver_prices", KEYS["silver_prices"], newer_wins="retrieved_at")
+    return lake.upsert(spark, df, "silver_prices", KEYS["silver_prices"], newer_wins=PRICE_PRECEDENCE)
+
+
+def start_silver_prices_stream(spark: SparkSession, lake: Lake, ticks: DataFrame, tickers: DataFrame,
+                               checkpoint: str, available_now: bool = False, state_partitions: int | None = None):
+    """Daily bars from a tick stream merged into the same ``silver_prices``
+    table as the batch job, with stream precedence (B12 + B15).
+
+    Each micro-batch's updated bars become Silver price rows (``source`` =
+    ``stream``, ``retrieved_at`` = the micro-batch time) and go through the
+    conditional upsert, so a later batch rebuild cannot overwrite them.
+    """
+    from tidemark.streaming.prices import daily_bars, start_upsert_stream
+    bars = daily_bars(ticks)
+
+    def to_silver(b: DataFrame) -> DataFrame:
+        rows = b.select("ticker", "date", "open", "high", "low", "close", "volume",
+                        F.lit("stream").alias("source"), F.current_timestamp().alias("retrieved_at"))
+        t = tickers.select("ticker", "currency")
+        return add_currency_column(rows, t).withColumn("source_priority", F.lit(STREAM_PRIORITY))
+
+    def write(df: DataFrame) -> int:
+        return lake.upsert(df.sparkSession, df, "silver_prices", KEYS["silver_prices"],
+                           newer_wins=PRICE_PRECEDENCE)
+
+    return start_upsert_stream(bars, lake.path("silver_prices"), KEYS["silver_prices"], checkpoint,
+                               transform=to_silver, available_now=available_now,
+                               state_partitions=state_partitions, writer=write)
 
 
 def build_silver_fx_rates(spark: SparkSession, lake: Lake, since=None) -> int:

@@ -64,30 +64,35 @@ def read_current(spark: SparkSession, path: str, version: int | None = None) ->
     return spark.read.parquet(_version_path(path, vs[-1] if version is None else version))
 
 
-def merged(target: DataFrame, source: DataFrame, keys: Sequence[str], newer_wins: str | None = None
-           ) -> DataFrame:
+def merged(target: DataFrame, source: DataFrame, keys: Sequence[str],
+           newer_wins: str | Sequence[str] | None = None) -> DataFrame:
     """The MERGE result as a plan: unmatched target rows plus every source row.
 
     ``left_anti`` on equality keys keeps target rows whose key is null or not
     in the source. The planner broadcasts the source keys when small (AQE),
     else shuffles both sides on the keys.
 
-    ``newer_wins`` (e.g. ``retrieved_at``) makes the update conditional: a
-    source row whose stored counterpart is strictly newer is skipped, so
-    replays and out-of-order increments cannot roll a row back.
+    ``newer_wins`` (a column such as ``retrieved_at``, or a list compared
+    left to right such as ``["source_priority", "retrieved_at"]``) makes the
+    update conditional: a source row whose stored counterpart ranks strictly
+    higher is skipped, so replays, out-of-order increments and lower-priority
+    sources cannot overwrite a row.
     """
     cols = target.columns
     src = source.select(*cols)
     if newer_wins:
+        order = [newer_wins] if isinstance(newer_wins, str) else list(newer_wins)
         t = target.select(*[F.col(k).alias(f"__t{i}") for i, k in enumerate(keys)],
-                          F.col(newer_wins).alias("__t_order"))
-        cond = [src[k] == t[f"__t{i}"] for i, k in enumerate(keys)] + [t["__t_order"] > src[newer_wins]]
+                          F.struct(*[F.col(c).alias(f"o{j}") for j, c in enumerate(order)]).alias("__t_order"))
+        s_order = F.struct(*[src[c].alias(f"o{j}") for j, c in enumerate(order)])
+        cond = [src[k] == t[f"__t{i}"] for i, k in enumerate(keys)] + [t["__t_order"] > s_order]
         src = src.join(t, on=cond, how="left_anti")
     return target.join(src.select(*keys), on=list(keys), how="left_anti").unionByName(src)
 
 
 def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
-           partition_by: Sequence[str] = (), check_unique: bool = True, newer_wins: str | None = None) -> int:
+           partition_by: Sequence[str] = (), check_unique: bool = True,
+           newer_wins: str | Sequence[str] | None = None) -> int:
     """Merge ``source`` into the Parquet table at ``path``; returns the new version.
 
     Creates the table on first run. ``partition_by`` lays each snapshot out in
@@ -192,8 +197,8 @@ def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
 
 
 def upsert_partitions(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
-                      partition_by: Sequence[str], check_unique: bool = True, newer_wins: str | None = None
-                      ) -> int:
+                      partition_by: Sequence[str], check_unique: bool = True,
+                      newer_wins: str | Sequence[str] | None = None) -> int:
     """Keyed upsert that rewrites only the partitions ``source`` touches.
 
     The table is plain partitioned Parquet. Partition columns must be part of

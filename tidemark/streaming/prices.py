@@ -91,19 +91,26 @@ def drop_alerts(bars: DataFrame, threshold: float) -> DataFrame:
 
 
 def upsert_sink(table_path: str, keys: Sequence[str],
-                transform: Callable[[DataFrame], DataFrame] | None = None):
-    """A ``foreachBatch`` function merging each micro-batch into a table."""
+                transform: Callable[[DataFrame], DataFrame] | None = None,
+                writer: Callable[..., int] | None = None):
+    """A ``foreachBatch`` function merging each micro-batch into a table
+    (``writer`` defaults to the snapshot :func:`upsert`; pass e.g. a Lake's
+    upsert to merge into a managed layout)."""
     def run(batch: DataFrame, epoch_id: int) -> None:
         out = transform(batch) if transform else batch
         if not out.isEmpty():
-            upsert(batch.sparkSession, out, table_path, keys)
+            if writer is None:
+                upsert(batch.sparkSession, out, table_path, keys)
+            else:
+                writer(out)
     return run
 
 
 def start_upsert_stream(df: DataFrame, table_path: str, keys: Sequence[str], checkpoint: str,
                         transform: Callable[[DataFrame], DataFrame] | None = None,
                         available_now: bool = True, name: str | None = None,
-                        state_partitions: int | None = None) -> StreamingQuery:
+                        state_partitions: int | None = None,
+                        writer: Callable[[DataFrame], int] | None = None) -> StreamingQuery:
     """Run an aggregate stream in update mode into an upserted table.
 
     ``state_partitions`` sizes the state store (and its shuffle). Streaming
@@ -111,7 +118,7 @@ def start_upsert_stream(df: DataFrame, table_path: str, keys: Sequence[str], che
     and keeps it in the checkpoint; AQE does not resize it. Size it to the
     state (tickers x open windows), not to the input.
     """
-    w = (df.writeStream.outputMode("update").foreachBatch(upsert_sink(table_path, keys, transform))
+    w = (df.writeStream.outputMode("update").foreachBatch(upsert_sink(table_path, keys, transform, writer))
          .option("checkpointLocation", checkpoint))
     if name:
         w = w.queryName(name)
