@@ -57,18 +57,20 @@ def _memo(kind: str, df: DataFrame, extra, compute):
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                   max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+                   max_bytes: int = DEFAULT_BROADCAST_BYTES, memo: bool = True) -> bool:
     """True when ``df`` has at most ``max_rows`` rows and at most ``max_bytes``
-    by the schema estimate (reads at most bound + 1 rows)."""
+    by the schema estimate (reads at most bound + 1 rows). ``memo=False`` for
+    inputs whose plan can repeat with new data (increments, micro-batches)."""
     bound = max(1, min(max_rows, max_bytes // estimated_row_bytes(df)))
-    return _memo("fits", df, bound, lambda: df.limit(bound + 1).count() <= bound)
+    check = lambda: df.limit(bound + 1).count() <= bound
+    return _memo("fits", df, bound, check) if memo else check()
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                      max_bytes: int = DEFAULT_BROADCAST_BYTES, memo: bool = True) -> DataFrame:
     """``broadcast(df)`` when its size is proven small, else ``df`` unchanged
     (the planner, with AQE, then picks a shuffle join)."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes, memo) else df
 
 
 def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "lookup", memo: bool = True) -> None:

@@ -78,16 +78,24 @@ def merged(target: DataFrame, source: DataFrame, keys: Sequence[str],
     higher is skipped, so replays, out-of-order increments and lower-priority
     sources cannot overwrite a row.
     """
+    from tidemark.operators.joins import checked_broadcast
     cols = target.columns
     src = source.select(*cols)
     if newer_wins:
         order = [newer_wins] if isinstance(newer_wins, str) else list(newer_wins)
-        t = target.select(*[F.col(k).alias(f"__t{i}") for i, k in enumerate(keys)],
-                          F.struct(*[F.col(c).alias(f"o{j}") for j, c in enumerate(order)]).alias("__t_order"))
-        s_order = F.struct(*[src[c].alias(f"o{j}") for j, c in enumerate(order)])
-        cond = [src[k] == t[f"__t{i}"] for i, k in enumerate(keys)] + [t["__t_order"] > s_order]
-        src = src.join(t, on=cond, how="left_anti")
-    return target.join(src.select(*keys), on=list(keys), how="left_anti").unionByName(src)
+        # stale source keys = stored row ranks strictly higher. The (small)
+        # source keys are the build side, so the target streams through a
+        # broadcast hash join instead of being shuffled.
+        s_keys = checked_broadcast(src.select(
+            *[F.col(k).alias(f"__s{i}") for i, k in enumerate(keys)],
+            F.struct(*[F.col(c).alias(f"o{j}") for j, c in enumerate(order)]).alias("__s_order")), memo=False)
+        t_order = F.struct(*[F.col(c).alias(f"o{j}") for j, c in enumerate(order)])
+        stale = (target.join(s_keys, [F.col(k) == F.col(f"__s{i}") for i, k in enumerate(keys)], "inner")
+                 .where(t_order > F.col("__s_order")).select(*keys))
+        src = src.join(stale, on=list(keys), how="left_anti")
+    # unmatched target rows: anti join against the (broadcast when small) source keys
+    return target.join(checked_broadcast(src.select(*keys), memo=False), on=list(keys),
+                       how="left_anti").unionByName(src)
 
 
 def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
