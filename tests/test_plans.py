@@ -50,3 +50,16 @@ def test_asof_join_is_equi_join(spark, capsys):
 def test_reconciliation_is_one_plan_with_partial_aggregates(spark, capsys):
     p = plan_of(QUERIES["recon_suite"](spark, SMALL), capsys)
     assert "partial_count" in p
+
+
+def test_upsert_merge_does_not_shuffle_the_target(spark, capsys, scratch):
+    import os
+
+    from tidemark.sinks.upsert import merged
+    path = os.path.join(scratch, "target")
+    spark.range(5000).selectExpr("id AS k", "id * 2 AS v", "current_timestamp() AS at").write.parquet(path)
+    target = spark.read.parquet(path)
+    source = spark.range(10).selectExpr("id AS k", "id * 3 AS v", "current_timestamp() AS at")
+    p = plan_of(merged(target, source, ["k"], newer_wins="at"), capsys)
+    assert "BroadcastHashJoin" in p and "LeftAnti" in p
+    assert "SortMergeJoin" not in p
