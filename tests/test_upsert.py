@@ -100,3 +100,17 @@ def test_merge_into_catalog_creates_then_needs_row_level_format(spark):
     with pytest.raises(Exception) as e:                       # plain Parquet has no MERGE
         merge_into_catalog(spark.createDataFrame([(1, "b")], "k int, v string"), "tm_merge_t", ["k"])
     assert "UNSUPPORTED_FEATURE.TABLE_OPERATION" in str(e.value)
+
+
+def test_compact_partitions_keeps_rows_and_reduces_files(spark, scratch):
+    path = os.path.join(scratch, "bronze")
+    for i in range(6):  # six small appends into one day
+        spark.createDataFrame([(i, "2024-01-02")], "k int, d string").write.mode("append").partitionBy("d").parquet(path)
+    spark.createDataFrame([(99, "2024-01-03")], "k int, d string").write.mode("append").partitionBy("d").parquet(path)
+    before = [f for f in os.listdir(os.path.join(path, "d=2024-01-02")) if f.endswith(".parquet")]
+    other = sorted(os.listdir(os.path.join(path, "d=2024-01-03")))
+    assert u.compact_partitions(spark, path, ["d"], "d = '2024-01-02'") == 6
+    after = [f for f in os.listdir(os.path.join(path, "d=2024-01-02")) if f.endswith(".parquet")]
+    assert len(after) < len(before)
+    assert sorted(os.listdir(os.path.join(path, "d=2024-01-03"))) == other
+    assert sorted(r.k for r in spark.read.parquet(path).collect()) == [0, 1, 2, 3, 4, 5, 99]

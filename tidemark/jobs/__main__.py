@@ -14,6 +14,7 @@ import datetime as dt
 from tidemark.jobs import bronze, gold, quality, silver
 from tidemark.jobs.lake import Lake
 from tidemark.session import get_session
+from tidemark.sinks.upsert import vacuum
 from tidemark.sources.reference import macro_indicators_table, tickers_table
 
 JOBS = {
@@ -36,6 +37,8 @@ JOBS = {
     "gold_fact_fundamentals": lambda a, s, l: gold.build_fact_fundamentals(s, l),
     "gold_fact_macro": lambda a, s, l: gold.build_fact_macro(s, l),
     "quality_reconciliation": lambda a, s, l: quality.run_reconciliation(s, l),
+    "maintenance_compact_bronze": lambda a, s, l: l.compact_bronze(s, a.table, a.day),
+    "maintenance_vacuum": lambda a, s, l: vacuum(s, l.path(a.table), keep=a.keep),
 }
 
 
@@ -56,6 +59,9 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--exclude-holidays", action="store_true", help="public holidays are not trading days")
     p.add_argument("--partitioned", action="append", default=[], metavar="TABLE=COL[,COL]",
                    help="upsert TABLE partition by partition")
+    p.add_argument("--table", help="table for maintenance jobs")
+    p.add_argument("--day", help="one Bronze retrieval day to compact")
+    p.add_argument("--keep", type=int, default=2, help="snapshot versions to keep (vacuum)")
     return p.parse_args(argv)
 
 

@@ -45,6 +45,13 @@ class Lake:
     def append_bronze(self, df: DataFrame, table: str) -> None:
         append(df.withColumn(BRONZE_PARTITION, F.to_date("retrieved_at")), self.path(table), [BRONZE_PARTITION])
 
+    def compact_bronze(self, spark: SparkSession, table: str, day=None) -> int:
+        """Rewrite Bronze retrieval-day partitions (all, or one ``day``) into
+        advisory-sized files; rows are unchanged."""
+        from tidemark.sinks.upsert import compact_partitions
+        where = None if day is None else (F.col(BRONZE_PARTITION) == F.to_date(F.lit(str(day))))
+        return compact_partitions(spark, self.path(table), [BRONZE_PARTITION], where)
+
     def read_bronze(self, spark: SparkSession, table: str, since=None) -> DataFrame:
         """Full read, or only retrievals on/after ``since`` (prunes partitions)."""
         df = read_appended(spark, self.path(table))

@@ -249,3 +249,26 @@ def upsert_partitions(spark: SparkSession, source: DataFrame, path: str, keys: S
     recover_partitioned(spark, path)
     fs.delete(_fs(spark, staged)[1], True)
     return len(listed)
+
+
+def compact_partitions(spark: SparkSession, path: str, partition_by: Sequence[str], where=None) -> int:
+    """Rewrite partitions of a partitioned Parquet table into fewer,
+    advisory-sized files (same rows), e.g. Bronze days written by many small
+    appends or micro-batches. ``where`` (a Column or SQL text on partition
+    columns) limits the partitions touched. Crash-safe the same way as
+    :func:`upsert_partitions`: staged copy, intent marker, replayable swap.
+    Returns the number of rows rewritten.
+    """
+    from tidemark.session import fresh_dir
+    recover_partitioned(spark, path)
+    df = spark.read.parquet(path)
+    if where is not None:
+        df = df.where(where)
+    staged = fresh_dir(spark, "compact-stage")
+    df.write.mode("overwrite").parquet(staged)
+    n = spark.read.parquet(staged).count()
+    _write_text(spark, f"{path.rstrip('/')}/{_PENDING}", f"{staged}\n{','.join(partition_by)}\n")
+    recover_partitioned(spark, path)
+    fs, _ = _fs(spark, path)
+    fs.delete(_fs(spark, staged)[1], True)
+    return n
