@@ -63,3 +63,20 @@ def test_upsert_merge_does_not_shuffle_the_target(spark, capsys, scratch):
     p = plan_of(merged(target, source, ["k"], newer_wins="at"), capsys)
     assert "BroadcastHashJoin" in p and "LeftAnti" in p
     assert "SortMergeJoin" not in p
+
+
+def test_incremental_bronze_read_prunes_partitions(spark, capsys, scratch):
+    import datetime as dt
+    import os
+
+    from tidemark.jobs.lake import Lake
+    lake = Lake(os.path.join(scratch, "lake_prune"))
+    for day in (1, 2, 3):
+        df = spark.createDataFrame([("PKO", f"2024-01-0{day}", 1.0, dt.datetime(2024, 1, day, 6))],
+                                   "ticker string, date string, close double, retrieved_at timestamp")
+        lake.append_bronze(df, "bronze_stooq_prices")
+    inc = lake.read_bronze(spark, "bronze_stooq_prices", since="2024-01-03")
+    assert inc.count() == 1
+    p = plan_of(inc, capsys)
+    scan = [ln for ln in p.splitlines() if ln.startswith("PartitionFilters")]
+    assert scan and "retrieved_date" in scan[0]
