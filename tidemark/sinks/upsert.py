@@ -235,10 +235,18 @@ def upsert_partitions(spark: SparkSession, source: DataFrame, path: str, keys: S
     touched = source.select(*partition_by).distinct()
     listed = touched.limit(MAX_LITERAL_PARTITIONS + 1).collect()
     if len(listed) <= MAX_LITERAL_PARTITIONS:
-        cond = F.lit(False)
-        for row in listed:  # partition values only: static pruning at the scan
-            cond = cond | reduce(lambda a, b: a & b,
-                                 [F.col(c).eqNullSafe(F.lit(row[c])) for c in partition_by])
+        # partition values only: static pruning at the scan
+        if len(partition_by) == 1:
+            c = partition_by[0]
+            vals = [r[c] for r in listed if r[c] is not None]
+            cond = F.col(c).isin(vals) if vals else F.lit(False)
+            if any(r[c] is None for r in listed):
+                cond = cond | F.col(c).isNull()
+        else:
+            cond = F.lit(False)
+            for row in listed:
+                cond = cond | reduce(lambda a, b: a & b,
+                                     [F.col(c).eqNullSafe(F.lit(row[c])) for c in partition_by])
         scoped = target.where(cond)
     else:
         scoped = target.join(touched, [F.col(c).eqNullSafe(touched[c]) for c in partition_by], "left_semi")
