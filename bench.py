@@ -1,7 +1,8 @@
 """Benchmark: run every registered query at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each query is executed end to end through the ``noop`` sink (the whole plan
-runs, nothing is collected to the driver). Prints ONE JSON line:
+runs, nothing is collected to the driver), once, after an untimed warm-up pass
+of all queries on the smallest tables. Prints ONE JSON line:
 {"metric": "total_query_seconds", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 Progress goes to stderr.
 """
@@ -47,8 +48,17 @@ def main() -> None:
     qs = entry.queries()
     names = only or list(qs)
 
-    # warm-up (JIT, class loading) on the smallest tables; not timed
-    entry.entry(spark).write.format("noop").mode("overwrite").save()
+    # warm-up (JIT, class loading): every query once on the smallest tables, not
+    # timed. Check results are memoised per input files, so nothing carries over.
+    warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
+    if os.path.isdir(warm_dir) and os.path.abspath(warm_dir) != os.path.abspath(sf_dir):
+        for name in names:
+            try:
+                qs[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
+            except Exception:  # noqa: BLE001 - a failing query is reported by the timed run
+                pass
+    else:
+        entry.entry(spark).write.format("noop").mode("overwrite").save()
 
     times: dict[str, float] = {}
     failed: dict[str, str] = {}
