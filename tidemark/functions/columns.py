@@ -52,8 +52,11 @@ def camel_to_snake(name: ColumnOrName) -> Column:
     Two regex passes then lower case; ``EBITDARatio`` -> ``ebitda_ratio``,
     ``epsdiluted`` is unchanged. Given a literal, Catalyst folds it.
     """
-    first = F.regexp_replace(_c(name), *CAMEL_PASS_1)
-    return F.lower(F.regexp_replace(first, *CAMEL_PASS_2))
+    c = _c(name)
+    first = F.regexp_replace(c, *CAMEL_PASS_1)
+    snake = F.lower(F.regexp_replace(first, *CAMEL_PASS_2))
+    # both patterns need an upper-case letter: all-lower names skip the regex work
+    return F.when(c == F.lower(c), c).otherwise(snake)
 
 
 def _ts_literal(value) -> Column:
