@@ -593,6 +593,18 @@ def peer_rank(spark: SparkSession, sf: str) -> DataFrame:
     return grouped_rank(j, ["c_mktsegment"], "revenue", out_col="peer_rank")
 
 
+@query
+def peer_metric_rank(spark: SparkSession, sf: str) -> DataFrame:
+    """Fundamentals peer comparison: tickers ranked by extended price within
+    each (statement type, period end) peer group of the Silver facts."""
+    from tidemark.operators.ranking import grouped_rank
+    long = silver_fundamentals_lineitem(spark, sf).where(F.col("metric_name") == "extended_price")
+    # one value per ticker and peer group: the largest reported (several lines can share a key)
+    per_ticker = long.groupBy("statement_type", "period_end_date", "ticker").agg(
+        F.max("metric_value").alias("metric_value"))
+    return grouped_rank(per_ticker, ["statement_type", "period_end_date"], "metric_value", out_col="peer_rank")
+
+
 def _daily_closes(spark, sf):
     p = standardize.standardize_prices(dedup.dedup_prices(d.bronze_prices(spark, sf)))
     return p.select("ticker", "date", "close", "source")

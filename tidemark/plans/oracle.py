@@ -457,3 +457,10 @@ ORACLE_SQL["price_drop_alert"] = (f"WITH {_TICKS}, {_BARS} SELECT ticker, date,
                                   "WHERE (open - close) / NULLIF(open, 0) >= 0.5")
 
 ORACLE_SQL["variant_statements_silver"] = ORACLE_SQL["silver_fundamentals_lineitem"]
+
+ORACLE_SQL["peer_metric_rank"] = f"""WITH {FUND}, {_SF_WIDE}, {_SF_LONG},
+P AS (SELECT statement_type, period_end_date, ticker, max(metric_value) AS metric_value FROM SFL
+      WHERE metric_name = 'extended_price' GROUP BY ALL)
+SELECT statement_type, period_end_date, ticker, metric_value,
+       rank() OVER (PARTITION BY statement_type, period_end_date ORDER BY metric_value DESC NULLS LAST) AS peer_rank
+FROM P"""
