@@ -2,8 +2,9 @@
 
 A window ``PARTITION BY group`` sends a whole group to one task; a peer group
 that holds a third of all rows would then sort a third of the data in one
-place. Here the rows are range-partitioned on (group, order) instead, so a
-hot group is spread over many tasks in order, and
+place. Here (the default of :func:`grouped_rank`) the rows are
+range-partitioned on (group, order) instead, so a hot group is spread over
+many tasks in order, and
 
     rank = (rows of the same group in earlier range partitions)
          + (rank inside this partition)
@@ -79,13 +80,41 @@ def _local_rank_fn(group_cols: Sequence[str], order_col: str):
     return run
 
 
+# Largest group a single task ranks with a plain window (sorted in one task).
+MAX_WINDOW_GROUP_ROWS = 2_000_000
+
+
+def largest_group(df: DataFrame, group_cols: Sequence[str]) -> int:
+    """Row count of the largest group (one partial/final aggregate)."""
+    r = df.groupBy(*group_cols).count().agg(F.max("count").alias("m")).first()
+    return int(r["m"] or 0)
+
+
 def grouped_rank(df: DataFrame, group_cols: Sequence[str], order_col: str, out_col: str = "rank",
-                 descending: bool = True, num_partitions: int | None = None) -> DataFrame:
-    """Add ``out_col`` = ``rank() OVER (PARTITION BY group_cols ORDER BY order_col)``.
+                 descending: bool = True, num_partitions: int | None = None, strategy: str = "range",
+                 max_window_group_rows: int = MAX_WINDOW_GROUP_ROWS) -> DataFrame:
+    """Add ``out_col`` = ``rank() OVER (PARTITION BY group_cols ORDER BY order_col)`` (bigint).
 
+    ``strategy``: ``"range"`` (default) spreads any group over many tasks;
+    ``"window"`` is a plain window, for callers who know every group fits a
+    task; ``"auto"`` measures the largest group first (one extra pass over the
+    input, worth it only when the input is cheap to read twice) and uses the
+    window when it has at most ``max_window_group_rows`` rows.
     Nulls in ``order_col`` sort last (as Spark's DESC default and our ASC
     NULLS LAST); ties share a rank and leave gaps, like ``rank()``.
     """
+    o = F.col(order_col).desc_nulls_last() if descending else F.col(order_col).asc_nulls_last()
+    use_window = strategy == "window" or (
+        strategy == "auto" and largest_group(df, group_cols) <= max_window_group_rows)
+    if use_window:
+        return df.withColumn(out_col, F.rank().over(Window.partitionBy(*group_cols).orderBy(o)).cast("bigint"))
+    if strategy not in ("range", "auto"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    return _range_rank(df, group_cols, order_col, out_col, descending, num_partitions)
+
+
+def _range_rank(df: DataFrame, group_cols: Sequence[str], order_col: str, out_col: str, descending: bool,
+                num_partitions: int | None) -> DataFrame:
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     o = F.col(order_col).desc_nulls_last() if descending else F.col(order_col).asc_nulls_last()
