@@ -158,3 +158,14 @@ def test_stream_and_batch_feed_silver_with_precedence(spark, scratch):
     silver.build_silver_prices(spark, lake, tickers)          # a batch rerun keeps the streamed row
     again = {(r.ticker, str(r.date)): r.source_priority for r in lake.read(spark, "silver_prices").collect()}
     assert again[("T1", "2024-01-02")] == 2
+
+
+def test_request_plans(spark):
+    from tidemark.sources.reference import currencies_table
+    cur = currencies_table(spark, [("USD", "dolar"), ("EUR", "euro")])
+    fx = bronze.fx_request_plan(cur, "2024-01-01", "2025-06-01")
+    assert fx.count() == 4 and {str(r.chunk_end) for r in fx.collect()} == {"2025-01-01", "2025-06-01"}
+    ind = macro_indicators_table(spark, [("cpi", 217230, "%"), ("gdp", 1, "PLN")])
+    assert bronze.macro_request_plan(ind, 2015, 2024).count() == 20
+    tk = tickers_table(spark, [("PKO", "pko", "PKO.WA", "PKO BP", "PLN"), ("X", "x", None, "X", "PLN")])
+    assert bronze.statement_request_plan(tk).count() == 3

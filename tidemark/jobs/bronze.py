@@ -119,3 +119,29 @@ def ingest_statement_payloads(spark: SparkSession, lake: Lake, landing: str, sta
                                                                                 F.lit(statement_type)),
         "body", keep=["ticker", "statement_type"])
     return _append_observed(lake, provenance(recs, source, retrieved_at), table, f"{statement_type} payloads")
+
+
+# ---- request plans: what the fetchers should land (A11/A12) -----------------------------
+
+def fx_request_plan(currencies: DataFrame, start, end, max_days: int | None = None) -> DataFrame:
+    """(code, chunk_start, chunk_end): every currency x request chunk of at most
+    ``max_days`` (the FX source's per-request limit) covering [start, end]."""
+    from tidemark.operators.calendar import chunk_ranges
+    from tidemark.schemas import FX_MAX_RANGE_DAYS
+    ranged = currencies.select("code", F.to_date(F.lit(str(start))).alias("__s"),
+                               F.to_date(F.lit(str(end))).alias("__e"))
+    return chunk_ranges(ranged, "__s", "__e", max_days or FX_MAX_RANGE_DAYS).select("code", "chunk_start",
+                                                                                   "chunk_end")
+
+
+def macro_request_plan(indicators: DataFrame, first_year: int, last_year: int) -> DataFrame:
+    """(name, gus_variable_id, unit, year): every indicator x year."""
+    from tidemark.operators.calendar import year_grid
+    return year_grid(indicators, first_year, last_year).select("name", "gus_variable_id", "unit", "year")
+
+
+def statement_request_plan(tickers: DataFrame) -> DataFrame:
+    """(ticker, fmp_symbol, statement_type): every listed ticker x statement type."""
+    types = F.array(*[F.lit(t) for t in STATEMENT_TYPES])
+    return tickers.where(F.col("fmp_symbol").isNotNull()).select(
+        "ticker", "fmp_symbol", F.explode(types).alias("statement_type"))
