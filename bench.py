@@ -37,6 +37,7 @@ def main() -> None:
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
+             .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
              .config("spark.sql.execution.arrow.pyspark.enabled", "true")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")

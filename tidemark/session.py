@@ -48,6 +48,8 @@ def get_session(app_name: str = "tidemark", master: str | None = None, cpus: int
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        # drop reliable-checkpoint files once their DataFrame is garbage collected
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
     if profile == "cluster":
