@@ -114,3 +114,22 @@ def test_compact_partitions_keeps_rows_and_reduces_files(spark, scratch):
     assert len(after) < len(before)
     assert sorted(os.listdir(os.path.join(path, "d=2024-01-03"))) == other
     assert sorted(r.k for r in spark.read.parquet(path).collect()) == [0, 1, 2, 3, 4, 5, 99]
+
+
+def test_upsert_additive_schema_evolution(spark, scratch):
+    path = os.path.join(scratch, "evo")
+    u.upsert(spark, spark.createDataFrame([(1, "a")], "k int, v string"), path, ["k"])
+    u.upsert(spark, spark.createDataFrame([(2, "b", 7)], "k int, v string, extra int"), path, ["k"])
+    assert rows(u.read_current(spark, path).select("k", "v", "extra")) == [(1, "a", None), (2, "b", 7)]
+    with pytest.raises(ValueError):
+        u.upsert(spark, spark.createDataFrame([(3,)], "k int"), path, ["k"])
+
+
+def test_partitioned_upsert_schema_evolution(spark, scratch):
+    path = os.path.join(scratch, "pevo")
+    u.upsert_partitions(spark, spark.createDataFrame([("d1", 1, "a"), ("d2", 2, "b")], "d string, k int, v string"),
+                        path, ["d", "k"], ["d"])
+    u.upsert_partitions(spark, spark.createDataFrame([("d1", 3, "c", 9)], "d string, k int, v string, extra int"),
+                        path, ["d", "k"], ["d"])
+    got = sorted(tuple(r) for r in u.read_partitioned(spark, path).select("d", "k", "v", "extra").collect())
+    assert got == [("d1", 1, "a", None), ("d1", 3, "c", 9), ("d2", 2, "b", None)]

@@ -13,7 +13,9 @@ operation is idempotent). Readers resolve the newest committed version.
 Concurrent writers are not serialized; run one writer per table.
 
 Semantics: a null key never matches (as in SQL MERGE), duplicate source
-keys raise, nothing is ever deleted.
+keys raise, nothing is ever deleted. Schema evolution is additive: a column
+new in the source is added (null in older rows); a source missing a target
+column raises.
 """
 
 from __future__ import annotations
@@ -79,6 +81,12 @@ def merged(target: DataFrame, source: DataFrame, keys: Sequence[str],
     sources cannot overwrite a row.
     """
     from tidemark.operators.joins import checked_broadcast
+    missing = [c for c in target.columns if c not in source.columns]
+    if missing:
+        raise ValueError(f"upsert source lacks target columns {missing}")
+    # additive schema evolution: columns new in the source are null in older rows
+    added = [f for f in source.schema.fields if f.name not in target.columns]
+    target = target.withColumns({f.name: F.lit(None).cast(f.dataType) for f in added}) if added else target
     cols = target.columns
     src = source.select(*cols)
     if newer_wins:
@@ -199,9 +207,13 @@ def recover_partitioned(spark: SparkSession, path: str) -> bool:
 
 
 def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
-    """Read a partition-upserted table, repairing an interrupted write first."""
+    """Read a partition-upserted table, repairing an interrupted write first.
+
+    Schemas are merged: after additive evolution only the rewritten
+    partitions carry the new column.
+    """
     recover_partitioned(spark, path)
-    return spark.read.parquet(path)
+    return spark.read.option("mergeSchema", True).parquet(path)
 
 
 def upsert_partitions(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
@@ -230,8 +242,7 @@ def upsert_partitions(spark: SparkSession, source: DataFrame, path: str, keys: S
     if not exists:
         source.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         return source.select(*partition_by).distinct().count()
-    target = spark.read.parquet(path)
-    cols = target.columns
+    target = spark.read.option("mergeSchema", True).parquet(path)
     touched = source.select(*partition_by).distinct()
     listed = touched.limit(MAX_LITERAL_PARTITIONS + 1).collect()
     if len(listed) <= MAX_LITERAL_PARTITIONS:
@@ -250,7 +261,7 @@ def upsert_partitions(spark: SparkSession, source: DataFrame, path: str, keys: S
         scoped = target.where(cond)
     else:
         scoped = target.join(touched, [F.col(c).eqNullSafe(touched[c]) for c in partition_by], "left_semi")
-    out = merged(scoped, source.select(*cols), keys, newer_wins)
+    out = merged(scoped, source, keys, newer_wins)
     staged = fresh_dir(spark, "upsert-stage")
     out.write.mode("overwrite").parquet(staged)
     _write_text(spark, f"{path.rstrip('/')}/{_PENDING}", f"{staged}\n{','.join(partition_by)}\n")
