@@ -169,3 +169,35 @@ def test_request_plans(spark):
     assert bronze.macro_request_plan(ind, 2015, 2024).count() == 20
     tk = tickers_table(spark, [("PKO", "pko", "PKO.WA", "PKO BP", "PLN"), ("X", "x", None, "X", "PLN")])
     assert bronze.statement_request_plan(tk).count() == 3
+
+
+def test_cli_full_medallion(spark, scratch):
+    from tidemark.jobs.__main__ import JOBS, parse_args
+    _land(scratch)
+    L = os.path.join(scratch, "landing")
+    tick = os.path.join(scratch, "tickers.csv")
+    with open(tick, "w") as f:
+        f.write("ticker,stooq_symbol,fmp_symbol,company_name,currency\nPKO,pko,PKO.WA,PKO BP,PLN\nPZU,pzu,,PZU,PLN\n")
+    ind = os.path.join(scratch, "indicators.csv")
+    with open(ind, "w") as f:
+        f.write("name,gus_variable_id,unit\ncpi,217230,%\n")
+    root = os.path.join(scratch, "cli_full")
+    run = ["--run-time", "2024-03-01T06:00:00+00:00"]
+    steps = [
+        ["bronze_prices", "--landing", f"{L}/stooq", "--tickers", tick, *run],
+        ["bronze_fx_rates", "--landing", f"{L}/nbp", *run],
+        ["bronze_macro", "--landing", f"{L}/gus", "--indicators", ind, *run],
+        ["bronze_statements", "--landing", f"{L}/fmp_bs", "--statement-type", "balance_sheet", *run],
+        ["silver_prices", "--tickers", tick], ["silver_fx_rates"], ["silver_fundamentals"], ["silver_macro"],
+        ["gold_dim_company", "--tickers", tick], ["gold_dim_date", "--from-silver", "--exclude-holidays"],
+        ["gold_fact_prices"], ["gold_fact_fundamentals"], ["gold_fact_macro"], ["quality_reconciliation"],
+        ["maintenance_compact_bronze", "--table", "bronze_stooq_prices"],
+        ["maintenance_vacuum", "--table", "silver_prices", "--keep", "1"],
+    ]
+    for argv in steps:
+        a = parse_args([argv[0], "--lake", root, *argv[1:]])
+        JOBS[a.job](a, spark, Lake(root))
+    lake = Lake(root)
+    assert lake.read(spark, "fact_prices").count() == 3
+    assert lake.read(spark, "dim_date").where("date = '2024-01-01'").first().is_trading_day_gpw is False
+    assert lake.read_bronze(spark, "bronze_stooq_prices").count() == 4
