@@ -201,3 +201,19 @@ def test_cli_full_medallion(spark, scratch):
     assert lake.read(spark, "fact_prices").count() == 3
     assert lake.read(spark, "dim_date").where("date = '2024-01-01'").first().is_trading_day_gpw is False
     assert lake.read_bronze(spark, "bronze_stooq_prices").count() == 4
+
+
+def test_cli_stream_silver_prices(spark, scratch):
+    from tidemark.jobs.__main__ import JOBS, parse_args
+    ticks = os.path.join(scratch, "ticks_json")
+    _w(ticks, "t1.json", '{"ticker": "PKO", "ts": "2024-01-02T09:00:00Z", "price": 40.0, "qty": 5}\n'
+                         '{"ticker": "PKO", "ts": "2024-01-02T15:00:00Z", "price": 41.5, "qty": 7}\n')
+    tick = os.path.join(scratch, "tk.json")
+    with open(tick, "w") as f:
+        json.dump([{"ticker": "PKO", "stooq_symbol": "pko", "fmp_symbol": None, "company_name": "PKO", "currency": "PLN"}], f)
+    root = os.path.join(scratch, "cli_stream")
+    a = parse_args(["stream_silver_prices", "--lake", root, "--landing", ticks, "--tickers", tick, "--checkpoint",
+                    os.path.join(scratch, "cp_cli"), "--available-now", "--state-partitions", "2"])
+    JOBS[a.job](a, spark, Lake(root))
+    r = Lake(root).read(spark, "silver_prices").first()
+    assert (r.ticker, str(r.date), r.open, r.close, r.volume, r.source_priority) == ("PKO", "2024-01-02", 40.0, 41.5, 12, 2)

@@ -37,11 +37,25 @@ JOBS = {
     "gold_fact_fundamentals": lambda a, s, l: gold.build_fact_fundamentals(s, l),
     "gold_fact_macro": lambda a, s, l: gold.build_fact_macro(s, l),
     "quality_reconciliation": lambda a, s, l: quality.run_reconciliation(s, l),
+    "stream_silver_prices": lambda a, s, l: _stream_prices(a, s, l),
     "maintenance_compact_bronze": lambda a, s, l: l.compact_bronze(s, a.table, a.day),
     "maintenance_vacuum": lambda a, s, l: vacuum(s, l.path(a.table), keep=a.keep),
 }
 
 
+def _stream_prices(a, spark, lake):
+    """Tick files landing in ``--landing`` (JSON lines: ticker, ts, price, qty)
+    -> daily bars -> Silver prices with stream precedence. Runs until stopped,
+    or drains what has landed with ``--available-now``."""
+    from pyspark.sql.types import StructType
+    from tidemark.streaming.prices import file_stream
+    schema = StructType.fromDDL("ticker string, ts timestamp, price double, qty bigint")
+    ticks = file_stream(spark, a.landing, schema, fmt="json")
+    q = silver.start_silver_prices_stream(spark, lake, ticks, tickers_table(spark, a.tickers), a.checkpoint,
+                                          available_now=a.available_now, state_partitions=a.state_partitions)
+    q.awaitTermination()
+
+
 def parse_args(argv=None) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="tidemark.jobs", description=__doc__)
     p.add_argument("job", choices=sorted(JOBS))
@@ -62,6 +76,9 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--table", help="table for maintenance jobs")
     p.add_argument("--day", help="one Bronze retrieval day to compact")
     p.add_argument("--keep", type=int, default=2, help="snapshot versions to keep (vacuum)")
+    p.add_argument("--checkpoint", help="streaming checkpoint folder (shared storage)")
+    p.add_argument("--available-now", action="store_true", help="stream: process what has landed, then stop")
+    p.add_argument("--state-partitions", type=int, help="stream: state store partitions (first start only)")
     return p.parse_args(argv)
 
 
