@@ -71,8 +71,9 @@ def merged(target: DataFrame, source: DataFrame, keys: Sequence[str],
     """The MERGE result as a plan: unmatched target rows plus every source row.
 
     ``left_anti`` on equality keys keeps target rows whose key is null or not
-    in the source. The planner broadcasts the source keys when small (AQE),
-    else shuffles both sides on the keys.
+    in the source. The source keys are broadcast after a size check, so for
+    a small increment the target is streamed, never shuffled; a large
+    increment falls back to a shuffle join on the keys.
 
     ``newer_wins`` (a column such as ``retrieved_at``, or a list compared
     left to right such as ``["source_priority", "retrieved_at"]``) makes the
