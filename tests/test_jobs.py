@@ -217,3 +217,27 @@ def test_cli_stream_silver_prices(spark, scratch):
     JOBS[a.job](a, spark, Lake(root))
     r = Lake(root).read(spark, "silver_prices").first()
     assert (r.ticker, str(r.date), r.open, r.close, r.volume, r.source_priority) == ("PKO", "2024-01-02", 40.0, 41.5, 12, 2)
+
+
+def test_incremental_silver_since(spark, scratch):
+    lake = Lake(os.path.join(scratch, "lake_inc"))
+    tickers = tickers_table(spark, [("PKO", "pko", None, "PKO BP", "PLN")])
+    schema = "ticker string, date string, open double, high double, low double, close double, volume long, " \
+             "source string, retrieved_at timestamp"
+    day1 = dt.datetime(2024, 3, 1, 6)
+    day2 = dt.datetime(2024, 3, 2, 6)
+    lake.append_bronze(spark.createDataFrame([("PKO", "2024-01-02", 1.0, 2.0, 0.5, 10.0, 1, "stooq", day1),
+                                              ("PKO", "2024-01-03", 1.0, 2.0, 0.5, 11.0, 1, "stooq", day1)], schema),
+                       "bronze_stooq_prices")
+    silver.build_silver_prices(spark, lake, tickers)
+    lake.append_bronze(spark.createDataFrame([("PKO", "2024-01-03", 1.0, 2.0, 0.5, 12.0, 1, "stooq", day2)], schema),
+                       "bronze_stooq_prices")
+    silver.build_silver_prices(spark, lake, tickers, since="2024-03-02")   # only the new retrieval day is read
+    got = {str(r.date): r.close for r in lake.read(spark, "silver_prices").collect()}
+    assert got == {"2024-01-02": 10.0, "2024-01-03": 12.0}
+    # a late-landing older retrieval cannot roll the row back (newer wins)
+    lake.append_bronze(spark.createDataFrame([("PKO", "2024-01-03", 1.0, 2.0, 0.5, 99.0, 1, "stooq",
+                                               dt.datetime(2024, 3, 1, 5))], schema), "bronze_stooq_prices")
+    silver.build_silver_prices(spark, lake, tickers, since="2024-03-01")
+    got = {str(r.date): r.close for r in lake.read(spark, "silver_prices").collect()}
+    assert got == {"2024-01-02": 10.0, "2024-01-03": 12.0}
