@@ -57,6 +57,7 @@ def _stream_prices(a, spark, lake):
 
 
 def parse_args(argv=None) -> argparse.Namespace:
+    """Command-line arguments of a job run."""
     p = argparse.ArgumentParser(prog="tidemark.jobs", description=__doc__)
     p.add_argument("job", choices=sorted(JOBS))
     p.add_argument("--lake", required=True, help="root folder of the tables (shared storage)")
@@ -83,6 +84,7 @@ def parse_args(argv=None) -> argparse.Namespace:
 
 
 def main(argv=None) -> None:
+    """Run the job named on the command line."""
     a = parse_args(argv)
     spark = get_session(app_name=f"tidemark-{a.job}")
     layout = {t: c.split(",") for t, c in (x.split("=", 1) for x in a.partitioned)}

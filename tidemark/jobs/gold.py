@@ -10,6 +10,7 @@ from tidemark.schemas import CALENDAR_DEFAULT_END, CALENDAR_DEFAULT_START, KEYS
 
 
 def build_dim_company(spark: SparkSession, lake: Lake, tickers: DataFrame) -> int:
+    """Upsert ``dim_company`` from the ticker reference table."""
     return lake.upsert(spark, gold.build_dim_company(tickers), "dim_company", KEYS["dim_company"])
 
 
@@ -30,15 +31,18 @@ def build_dim_date(spark: SparkSession, lake: Lake, start=CALENDAR_DEFAULT_START
 
 
 def build_fact_prices(spark: SparkSession, lake: Lake) -> int:
+    """Upsert ``fact_prices`` from Silver prices (canonical projection)."""
     return lake.upsert(spark, gold.build_fact_prices(lake.read(spark, "silver_prices")), "fact_prices",
                        KEYS["fact_prices"])
 
 
 def build_fact_fundamentals(spark: SparkSession, lake: Lake) -> int:
+    """Upsert ``fact_fundamentals`` from Silver fundamentals."""
     return lake.upsert(spark, gold.build_fact_fundamentals(lake.read(spark, "silver_fundamentals")),
                        "fact_fundamentals", KEYS["fact_fundamentals"])
 
 
 def build_fact_macro(spark: SparkSession, lake: Lake) -> int:
+    """Upsert ``fact_macro`` from Silver macro."""
     return lake.upsert(spark, gold.build_fact_macro(lake.read(spark, "silver_macro")), "fact_macro",
                        KEYS["fact_macro"])

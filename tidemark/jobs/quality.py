@@ -32,6 +32,7 @@ CHECKS = [
 
 
 def reconciliation_tables(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
+    """The layer tables the checks read, each referenced once."""
     sf = lake.read(spark, "silver_fundamentals")
     return {
         "bronze_prices": lake.read_bronze(spark, "bronze_stooq_prices"),

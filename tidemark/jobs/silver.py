@@ -19,6 +19,7 @@ PRICE_PRECEDENCE = ["source_priority", "retrieved_at"]
 
 
 def silver_prices_frame(bronze: DataFrame, tickers: DataFrame, priority: int = BATCH_PRIORITY) -> DataFrame:
+    """Bronze prices -> Silver rows: keep latest, parse dates, label currency, stamp priority."""
     df = add_currency_column(standardize.standardize_prices(dedup.dedup_prices(bronze)), tickers)
     return df.withColumn("source_priority", F.lit(priority))
 
@@ -60,6 +61,7 @@ def start_silver_prices_stream(spark: SparkSession, lake: Lake, ticks: DataFrame
 
 
 def build_silver_fx_rates(spark: SparkSession, lake: Lake, since=None) -> int:
+    """Upsert ``silver_fx_rates`` (keep latest, parse dates; newer wins)."""
     df = standardize.standardize_fx_rates(dedup.dedup_fx_rates(lake.read_bronze(spark, "bronze_nbp_fx_rates", since)))
     return lake.upsert(spark, df, "silver_fx_rates", KEYS["silver_fx_rates"], newer_wins="retrieved_at")
 
@@ -73,18 +75,21 @@ def bronze_statements(spark: SparkSession, lake: Lake, since=None) -> DataFrame:
 
 
 def lake_has(spark: SparkSession, lake: Lake, table: str) -> bool:
+    """True when the table folder exists."""
     from tidemark.sinks.upsert import _fs
     fs, p = _fs(spark, lake.path(table))
     return fs.exists(p)
 
 
 def build_silver_fundamentals(spark: SparkSession, lake: Lake, since=None) -> int:
+    """Upsert ``silver_fundamentals`` from the wide statement tables (unpivoted)."""
     std = standardize.standardize_fundamentals(dedup.dedup_fundamentals(bronze_statements(spark, lake, since)))
     return lake.upsert(spark, reshape.unpivot_statement_metrics(std), "silver_fundamentals",
                        KEYS["silver_fundamentals"], newer_wins="retrieved_at")
 
 
 def build_silver_macro(spark: SparkSession, lake: Lake, since=None) -> int:
+    """Upsert ``silver_macro`` (keep latest, country and reference date)."""
     df = standardize.standardize_macro(dedup.dedup_macro(lake.read_bronze(spark, "bronze_gus_macro", since)))
     return lake.upsert(spark, df, "silver_macro", KEYS["silver_macro"], newer_wins="retrieved_at")
 

@@ -44,18 +44,22 @@ def keep_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
 
 
 def dedup_prices(df: DataFrame) -> DataFrame:
+    """Latest retrieval per (ticker, date)."""
     return keep_latest(df, DEDUP_KEYS["prices"])
 
 
 def dedup_fx_rates(df: DataFrame) -> DataFrame:
+    """Latest retrieval per (currency_code, effective_date)."""
     return keep_latest(df, DEDUP_KEYS["fx_rates"])
 
 
 def dedup_fundamentals(df: DataFrame) -> DataFrame:
+    """Latest retrieval per (ticker, date, period, statement_type)."""
     return keep_latest(df, DEDUP_KEYS["fundamentals"])
 
 
 def dedup_macro(df: DataFrame) -> DataFrame:
+    """Latest retrieval per (indicator_name, year)."""
     return keep_latest(df, DEDUP_KEYS["macro"])
 
 

@@ -17,10 +17,12 @@ def canonical(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def build_fact_prices(silver_prices: DataFrame) -> DataFrame:
+    """Silver prices -> the ``fact_prices`` contract."""
     return canonical(silver_prices, FACT_PRICES_COLUMNS)
 
 
 def build_fact_fundamentals(silver_fundamentals: DataFrame) -> DataFrame:
+    """Silver fundamentals -> the ``fact_fundamentals`` contract."""
     return canonical(silver_fundamentals, FACT_FUNDAMENTALS_COLUMNS)
 
 

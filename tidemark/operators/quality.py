@@ -237,6 +237,7 @@ def price_rules() -> dict[str, Column]:
 
 
 def fx_rules() -> dict[str, Column]:
+    """Bronze FX sanity rule (ours): the mid rate is positive."""
     return {"rate_positive": F.col("mid_rate") > 0}
 
 

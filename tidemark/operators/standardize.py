@@ -19,10 +19,12 @@ def parse_date_or_drop(df: DataFrame, column: str, fmt: str = PAYLOAD_DATE_FORMA
 
 
 def standardize_prices(df: DataFrame) -> DataFrame:
+    """Parse ``date``; drop rows where it does not parse."""
     return parse_date_or_drop(df, "date")
 
 
 def standardize_fx_rates(df: DataFrame) -> DataFrame:
+    """Parse ``effective_date``; drop rows where it does not parse."""
     return parse_date_or_drop(df, "effective_date")
 
 

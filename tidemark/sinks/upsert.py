@@ -38,6 +38,7 @@ def _fs(spark: SparkSession, path: str):
 
 
 def committed_versions(spark: SparkSession, path: str) -> list[int]:
+    """Snapshot versions under ``path`` whose write committed (``_SUCCESS``)."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return []
@@ -55,6 +56,7 @@ def _version_path(path: str, v: int) -> str:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """True when the table has a committed snapshot."""
     return bool(committed_versions(spark, path))
 
 
