@@ -76,3 +76,10 @@ def test_schema_drift(spark):
     got = {(r.field, r.type_class, r.change) for r in q.schema_drift(df, "batch", "p", "r1", "r2").collect()}
     assert got == {("a", "double", "added"), ("c", "null", "added"), ("a", "integer", "removed"),
                    ("b", "string", "removed")}
+
+
+def test_field_presence_drift(spark):
+    df = spark.createDataFrame([("r1", 1.0, None, "x"), ("r1", 2.0, None, None), ("r2", 3.0, 5.0, None)],
+                               "retrieved string, total double, goodwill double, note string")
+    got = {(r.field, r.change) for r in q.field_presence_drift(df, "retrieved", "r1", "r2").collect()}
+    assert got == {("goodwill", "added"), ("note", "removed")}

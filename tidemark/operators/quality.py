@@ -283,3 +283,26 @@ def cross_source_diff(a: DataFrame, b: DataFrame, keys: Sequence[str], value: st
               .when(F.abs(F.col("value_a") - F.col("value_b")) <= F.lit(tolerance), "match")
               .otherwise("mismatch"))
     return j.select(*keys, "value_a", "value_b", status.alias("status"))
+
+
+def field_presence_drift(df: DataFrame, batch_col: str, old_batch, new_batch,
+                         ignore: Sequence[str] = ()) -> DataFrame:
+    """Schema drift on wide, schema-merged Bronze (the inferred route).
+
+    After additive appends every batch reads every column, so a field counts
+    as present in a batch when it holds a non-null value there. One grouped
+    aggregate (non-null counts per column, two batches) feeds the diff; rows
+    (field, change) with change in {added, removed}.
+    """
+    cols = [c for c in df.columns if c != batch_col and c not in ignore]
+    two = df.where(F.col(batch_col).isin(old_batch, new_batch))
+    counts = two.groupBy(batch_col).agg(*[F.count(F.col(f"`{c}`")).alias(f"__c{i}") for i, c in enumerate(cols)])
+    long = counts.select(F.col(batch_col).alias("batch"), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("field"), F.col(f"__c{i}").alias("n")) for i, c in enumerate(cols)])).alias("r")) \
+        .select("batch", "r.*")
+    wide = long.groupBy("field").agg(
+        F.coalesce(F.sum(F.when(F.col("batch") == F.lit(old_batch), F.col("n"))), F.lit(0)).alias("old_n"),
+        F.coalesce(F.sum(F.when(F.col("batch") == F.lit(new_batch), F.col("n"))), F.lit(0)).alias("new_n"))
+    change = F.when((F.col("old_n") == 0) & (F.col("new_n") > 0), "added") \
+        .when((F.col("old_n") > 0) & (F.col("new_n") == 0), "removed")
+    return wide.select("field", change.alias("change")).where(F.col("change").isNotNull())
