@@ -554,6 +554,22 @@ def schema_drift(spark: SparkSession, sf: str) -> DataFrame:
     return drift(p, "batch", "payload", "b1", "b2")
 
 
+@query
+def field_presence_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Drift on the inferred route: payloads landed as JSON files, read with
+    the inferred field union, compared between two retrieval batches."""
+    from tidemark.operators.quality import field_presence_drift as drift
+    from tidemark.session import fresh_dir
+    from tidemark.sources.landed import read_statement_json
+    p = d.statement_payload(d.table(spark, sf, "events"))
+    batch = F.when(F.col("event_type").isin("click", "view"), "b1").otherwise("b2")
+    path = fresh_dir(spark, "landing", "statements_by_batch")
+    p.select(F.concat(F.lit('{"batch":"'), batch, F.lit('",'), F.expr("substr(payload, 2)")).alias("j")) \
+        .write.text(path)
+    wide = read_statement_json(spark, path)
+    return drift(wide, "batch", "b1", "b2")
+
+
 @query
 def pivot_metrics(spark: SparkSession, sf: str) -> DataFrame:
     long = unpivot_metrics(spark, sf)

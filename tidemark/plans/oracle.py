@@ -464,3 +464,17 @@ P AS (SELECT statement_type, period_end_date, ticker, max(metric_value) AS metri
 SELECT statement_type, period_end_date, ticker, metric_value,
        rank() OVER (PARTITION BY statement_type, period_end_date ORDER BY metric_value DESC NULLS LAST) AS peer_rank
 FROM P"""
+
+ORACLE_SQL["field_presence_drift"] = f"""WITH P AS (
+  SELECT CASE WHEN event_type IN ('click', 'view') THEN 'b1' ELSE 'b2' END AS batch, event_type, event_id,
+         CAST({K} AS BIGINT) AS k, value, user_id FROM events),
+N AS (
+  SELECT batch, count(event_id) AS event_id, count(k) AS k,
+         count(CASE WHEN event_type = 'click' THEN value END) AS v,
+         count(CASE WHEN event_type = 'view' THEN user_id END) AS extra, 0 AS note
+  FROM P GROUP BY batch),
+L AS (UNPIVOT N ON event_id, k, v, extra, note INTO NAME field VALUE n),
+W AS (SELECT field, coalesce(sum(n) FILTER (WHERE batch = 'b1'), 0) AS old_n,
+             coalesce(sum(n) FILTER (WHERE batch = 'b2'), 0) AS new_n FROM L GROUP BY field)
+SELECT field, CASE WHEN old_n = 0 AND new_n > 0 THEN 'added' ELSE 'removed' END AS change
+FROM W WHERE (old_n = 0 AND new_n > 0) OR (old_n > 0 AND new_n = 0)"""
