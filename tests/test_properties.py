@@ -49,3 +49,37 @@ def test_asof_matches_brute_force(spark, rates, facts):
     for i, (c, d) in enumerate(facts):
         cands = [(rd, v) for rc, rd, v in rates if rc == c and rd <= d]
         assert got[i] == (max(cands)[1] if cands else None)
+
+
+@SETTINGS
+@given(st.integers(0, 2000), st.integers(-5, 1500), st.integers(1, 400))
+def test_chunks_tile_the_range(spark, start_off, span, max_days):
+    from tidemark.operators.calendar import chunk_date_range
+    start = dt.date(2020, 1, 1) + dt.timedelta(days=start_off)
+    end = start + dt.timedelta(days=span)
+    rows = sorted((r.chunk_start, r.chunk_end) for r in chunk_date_range(spark, start, end, max_days).collect())
+    if span < 0:
+        assert rows == []
+        return
+    assert rows[0][0] == start and rows[-1][1] == end
+    for (s1, e1), (s2, _) in zip(rows, rows[1:]):
+        assert s2 == e1 + dt.timedelta(days=1)
+    assert all(s <= e and (e - s).days < max_days for s, e in rows)
+
+
+@SETTINGS
+@given(st.lists(st.text(alphabet="abcXYZ019_", min_size=0, max_size=12), min_size=1, max_size=20))
+def test_camel_to_snake_matches_python_re(spark, names):
+    import re
+
+    from pyspark.sql import functions as F
+
+    from tidemark.functions.columns import camel_to_snake
+    from tidemark.schemas import CAMEL_PASS_1, CAMEL_PASS_2
+
+    def py(name):  # the same fixed patterns through Python's re ($1 -> \1)
+        s = re.sub(CAMEL_PASS_1[0], CAMEL_PASS_1[1].replace("$", "\\"), name)
+        return re.sub(CAMEL_PASS_2[0], CAMEL_PASS_2[1].replace("$", "\\"), s).lower()
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    got = [r.s for r in df.select(camel_to_snake(F.col("n")).alias("s")).collect()]
+    assert got == [py(n) for n in names]
