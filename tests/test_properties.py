@@ -83,3 +83,28 @@ def test_camel_to_snake_matches_python_re(spark, names):
     df = spark.createDataFrame([(n,) for n in names], "n string")
     got = [r.s for r in df.select(camel_to_snake(F.col("n")).alias("s")).collect()]
     assert got == [py(n) for n in names]
+
+
+cell = st.one_of(st.none(), st.integers(-1000, 1000).map(str), st.floats(-1e6, 1e6, allow_nan=False).map(repr),
+                 st.sampled_from(["abc", "", " 7 ", "1e3", "NaN-ish"]))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(cell, cell, cell), min_size=1, max_size=20))
+def test_unpivot_numeric_matches_brute_force(spark, rows):
+    from tidemark.operators.reshape import unpivot_numeric
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id int, totalAssets string, netIncome string, "
+                                                                      "cashFlow string")
+    got = sorted((r.id, r.metric_name, r.metric_value) for r in
+                 unpivot_numeric(df, ["id"], ["totalAssets", "netIncome", "cashFlow"]).collect())
+    # brute force: the values Spark's own try_cast gives, one cell at a time
+    names = {"totalAssets": "total_assets", "netIncome": "net_income", "cashFlow": "cash_flow"}
+    expect = []
+    for i, r in enumerate(rows):
+        for col, v in zip(names, r):
+            if v is None:
+                continue
+            x = spark.sql("SELECT try_cast(:v AS double) AS x", args={"v": v}).first().x
+            if x is not None:
+                expect.append((i, names[col], x))
+    assert got == sorted(expect)
