@@ -108,3 +108,34 @@ def test_unpivot_numeric_matches_brute_force(spark, rows):
             if x is not None:
                 expect.append((i, names[col], x))
     assert got == sorted(expect)
+
+
+batch = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 8)), st.integers(0, 99)), max_size=8,
+                 unique_by=lambda r: r[0] if r[0] is not None else object())
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(batch, min_size=1, max_size=4))
+def test_upsert_sequence_matches_dict_model(spark, batches):
+    import os
+    import uuid
+
+    from tidemark.session import local_path, work_dir
+    from tidemark.sinks.upsert import read_current, table_exists, upsert
+    path = os.path.join(local_path(work_dir(spark, "prop")), uuid.uuid4().hex)
+    model: dict = {}
+    nulls: list = []
+    for b in batches:
+        if not b and not table_exists(spark, path):
+            continue
+        upsert(spark, spark.createDataFrame(b, "k int, v int"), path, ["k"])
+        for k, v in b:
+            if k is None:
+                nulls.append(v)          # a null key never matches: every one is inserted
+            else:
+                model[k] = v             # matched -> updated, else inserted
+    if not table_exists(spark, path):
+        return
+    got = [tuple(r) for r in read_current(spark, path).collect()]
+    assert sorted(v for k, v in got if k is None) == sorted(nulls)
+    assert sorted((k, v) for k, v in got if k is not None) == sorted(model.items())
