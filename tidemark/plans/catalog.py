@@ -22,16 +22,19 @@ def query(fn):
 
 @query
 def dedup_prices(spark: SparkSession, sf: str) -> DataFrame:
+    """Latest retrieval per (ticker, date) of the event-derived Bronze prices."""
     return dedup.dedup_prices(d.bronze_prices(spark, sf))
 
 
 @query
 def standardize_prices(spark: SparkSession, sf: str) -> DataFrame:
+    """Text dates parsed, unparseable rows dropped."""
     return standardize.standardize_prices(d.bronze_prices(spark, sf))
 
 
 @query
 def lookup_left_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Prices labelled with the listing currency; unknown tickers keep a null."""
     p = standardize.standardize_prices(d.bronze_prices(spark, sf)).select("ticker", "date", "close")
     return add_currency_column(p, d.tickers(spark, sf))
 
@@ -43,6 +46,7 @@ def silver_prices(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def fact_prices(spark: SparkSession, sf: str) -> DataFrame:
+    """The full prices chain (dedup, parse, label) projected to the Gold contract."""
     return gold.build_fact_prices(silver_prices(spark, sf))
 
 
@@ -65,11 +69,13 @@ def fact_prices_monthly(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def dedup_fx_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """Latest retrieval per (currency_code, effective_date)."""
     return dedup.dedup_fx_rates(d.bronze_fx(spark, sf))
 
 
 @query
 def standardize_fx_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """A35 + A20: deduplicated FX rates with parsed dates."""
     return standardize.standardize_fx_rates(dedup.dedup_fx_rates(d.bronze_fx(spark, sf)))
 
 
@@ -77,16 +83,19 @@ def standardize_fx_rates(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def dedup_macro(spark: SparkSession, sf: str) -> DataFrame:
+    """Latest retrieval per (indicator_name, year); order dates tie, other columns break ties."""
     return dedup.dedup_macro(d.bronze_macro(spark, sf))
 
 
 @query
 def standardize_macro(spark: SparkSession, sf: str) -> DataFrame:
+    """Country and year-end reference date added."""
     return standardize.standardize_macro(dedup.dedup_macro(d.bronze_macro(spark, sf)))
 
 
 @query
 def fact_macro(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver macro projected to the Gold contract."""
     return gold.build_fact_macro(standardize_macro(spark, sf))
 
 
@@ -94,21 +103,25 @@ def fact_macro(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def dedup_fundamentals(spark: SparkSession, sf: str) -> DataFrame:
+    """Latest retrieval per (ticker, date, period, statement_type)."""
     return dedup.dedup_fundamentals(d.bronze_fundamentals(spark, sf))
 
 
 @query
 def standardize_fundamentals(spark: SparkSession, sf: str) -> DataFrame:
+    """Parsed period end and period_type."""
     return standardize.standardize_fundamentals(dedup.dedup_fundamentals(d.bronze_fundamentals(spark, sf)))
 
 
 @query
 def unpivot_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """Wide statements to long metrics; text metrics drop."""
     return reshape.unpivot_statement_metrics(d.statements_from_part(spark, sf))
 
 
 @query
 def fact_fundamentals(spark: SparkSession, sf: str) -> DataFrame:
+    """Long metrics projected to the Gold contract."""
     return gold.build_fact_fundamentals(unpivot_metrics(spark, sf))
 
 
@@ -145,6 +158,7 @@ def variant_statements_silver(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def variant_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """A25 through VARIANT: the same metrics from a JSON payload."""
     s = d.statements_from_part(spark, sf)
     ids = ["ticker", "period_end_date", "statement_type", "period_type", "fiscal_year",
            "reported_currency", "source", "retrieved_at"]
@@ -158,6 +172,7 @@ def variant_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def snake_case_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """camelCase names built from part names, converted to snake_case."""
     from tidemark.functions.columns import camel_to_snake
     p = d.table(spark, sf, "part")
     w1 = F.split_part(F.col("p_name"), F.lit(" "), F.lit(1))
@@ -174,6 +189,7 @@ def snake_case_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def union_statements(spark: SparkSession, sf: str) -> DataFrame:
+    """A19 + A39: three inputs stamped with a statement type, unioned with missing columns null."""
     c = d.table(spark, sf, "customer").withColumn("statement_type", F.lit("balance_sheet"))
     s = d.table(spark, sf, "supplier").withColumn("statement_type", F.lit("income_statement"))
     p = d.table(spark, sf, "part").withColumn("statement_type", F.lit("cash_flow"))
@@ -182,6 +198,7 @@ def union_statements(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def union_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    """Two slices with permuted columns unioned by name back to the table."""
     ev = d.table(spark, sf, "events")
     first = F.col("event_type").isin("click", "view")
     a = ev.where(first)
@@ -432,6 +449,7 @@ def _price_layers(spark, sf):
 
 @query
 def recon_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Bronze-Silver (loose) and Silver-Gold (exact) row counts."""
     from tidemark.operators.quality import compare_row_counts
     b, s, g = _price_layers(spark, sf)
     return compare_row_counts(b, s, exact=False, name="prices_bronze_silver_count").unionByName(
@@ -440,6 +458,7 @@ def recon_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def recon_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """Date ranges compared across layers after casting to the target type."""
     from tidemark.operators.quality import compare_range
     b, s, g = _price_layers(spark, sf)
     return compare_range(b, s, "date", "date", "prices_bronze_silver_date_range").unionByName(
@@ -448,6 +467,7 @@ def recon_ranges(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def recon_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """all_passed and the failed check names in check order."""
     from tidemark.operators.quality import summarize
     r = recon_counts(spark, sf).withColumn("ordinal", F.lit(0)).unionByName(
         recon_ranges(spark, sf).withColumn("ordinal", F.lit(1)))
@@ -514,6 +534,7 @@ def asof_fx_convert(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def ref_integrity(spark: SparkSession, sf: str) -> DataFrame:
+    """Orphan facts per foreign key."""
     from tidemark.operators.quality import orphan_counts
     cust = d.table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"))
     return orphan_counts([
@@ -524,6 +545,7 @@ def ref_integrity(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def null_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """Share of nulls per column in one pass."""
     from tidemark.operators.quality import null_rates as rates
     docs = d.table(spark, sf, "documents").join(d.table(spark, sf, "labels"), "doc_id", "left")
     return rates(docs)
@@ -541,6 +563,7 @@ def lineitem_rules() -> dict:
 
 @query
 def validate_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """Violations per lineitem rule."""
     from tidemark.operators.quality import violation_counts
     return violation_counts(d.table(spark, sf, "lineitem"), lineitem_rules())
 
@@ -572,6 +595,7 @@ def field_presence_drift(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def pivot_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """Long metrics pivoted back to one row per statement."""
     long = unpivot_metrics(spark, sf)
     return reshape.pivot_metrics(long, ["ticker", "period_end_date", "statement_type", "period_type"],
                                  ["part_size", "retail_price"])
