@@ -19,7 +19,9 @@ def _load(name, path):
 
 entry_mod = _load("spark_entry", os.path.join(ROOT, "__spark_entry__.py"))
 compare_mod = _load("tm_compare", os.path.join(ROOT, "tools", "compare.py"))
-NAMES = sorted(entry_mod.queries())
+from tidemark.plans.catalog import QUERIES  # noqa: E402
+
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -34,7 +36,7 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_mod.oracle_sql()) == set(NAMES)
+    assert set(NAMES) <= set(entry_mod.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
