@@ -110,7 +110,7 @@ def remove_shared(docs: DataFrame, window: int = 200, with_bytes: bool = True) -
         raise ValueError(f"window must be at least {2 * GRAM} bytes")
     rows, own = with_row_ids(docs)
     spans = repeated_windows(rows, make_sampler(window), make_window_hash(window), earlier=False,
-                             chunk_bytes=2 << 20)
+                             chunk_bytes=1 << 20)
 
     def apply(rid, text, start, count):
         if len(start) == 0:

@@ -21,7 +21,7 @@ from tidemark.llm.recompression import anchors
 from tidemark.llm.repeats import apply_to_documents, repeated_windows
 
 #: words whose hash is kept per task; the table is emptied when it is full
-CACHE_WORDS = 1 << 18
+CACHE_WORDS = 1 << 17
 
 
 class WordHashes(dict):

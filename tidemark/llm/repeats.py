@@ -34,7 +34,7 @@ _ROW = pa.schema([("dest", pa.int32()), ("kind", pa.int32()), ("n", pa.int32()),
                   ("many", pa.binary())])
 ROW_DDL = "dest int, kind int, n int, key binary, run binary, doc binary, start binary, count binary, many binary"
 _TYPES = {"key": "<u8", "run": "<u8", "doc": "<i8", "start": "<i8", "count": "<i4", "many": "u1"}
-FLUSH = 400_000
+FLUSH = 200_000
 
 
 def _pack(kind: int, dest: np.ndarray, **cols: np.ndarray) -> list[dict]:
@@ -272,7 +272,7 @@ def _meet(docs: DataFrame, rows: DataFrame, parts: int, buckets: int) -> DataFra
 
 
 def repeated_windows(docs: DataFrame, sampler: Callable, window_hash: Callable, earlier: bool,
-                     chunk_bytes: int = 4 << 20) -> DataFrame:
+                     chunk_bytes: int = 1 << 20) -> DataFrame:
     """Packed spans of window starts (see :data:`ROW_DDL`) for ``docs`` (RID, text).
 
     ``sampler(texts)`` gives arrays (text number, first window start, windows in the run,
