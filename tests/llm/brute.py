@@ -37,3 +37,31 @@ def shared_bytes(docs, window):
         spans = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
         out[k] = (len(b), len(b) - len(kept), spans, hashlib.sha256(kept).hexdigest())
     return out
+
+
+def near_components(docs, shingle, percent):
+    """{row: (n_shingles, root row)} by comparing all pairs that share a shingle."""
+    low = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
+    sets = []
+    for _, text in docs:
+        w = WORD.findall((text or "").translate(low))
+        k = min(len(w), shingle)
+        sets.append({tuple(w[p:p + k]) for p in range(len(w) - k + 1)} if w else set())
+    root = list(range(len(docs)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    holders = {}
+    for i, s in enumerate(sets):
+        common = Counter()
+        for g in s:
+            common.update(holders.get(g, ()))
+            holders.setdefault(g, []).append(i)
+        for j, n in common.items():
+            if 100 * n >= percent * (len(s) + len(sets[j]) - n):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return {i: (len(s), find(i)) for i, s in enumerate(sets)}
