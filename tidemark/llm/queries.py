@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+from tidemark.llm.op10_arrow_tokens import op10_arrow_tokens
 from tidemark.llm.op2_bayes_minhash import op2_bayes_minhash
 from tidemark.llm.op3_quality_cascade import ORACLE as OP3_SQL
 from tidemark.llm.op3_quality_cascade import op3_quality_cascade
 from tidemark.llm.op5_suffixes import op5_suffixes
+from tidemark.llm.op6_transducer_bpe import op6_transducer_bpe
 from tidemark.llm.op9_recompression import op9_recompression
 
 QUERIES = {
     "op2_bayes_minhash": op2_bayes_minhash,
     "op3_quality_cascade": op3_quality_cascade,
     "op5_suffixes": op5_suffixes,
+    "op6_transducer_bpe": op6_transducer_bpe,
     "op9_recompression": op9_recompression,
+    "op10_arrow_tokens": op10_arrow_tokens,
 }
 
 ORACLE_SQL: dict[str, str] = {
