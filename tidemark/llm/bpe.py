@@ -10,7 +10,7 @@ from collections.abc import Callable
 import numpy as np
 
 #: fixed value: the characters with the Unicode property White_Space
-WHITE = r"\t-\r \x85\xa0  -     　"
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: a run of other characters with at most one leading space, or white space up to the last before it
 SPACED_PIECE = f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
 #: a run of other characters, for tokenizers that drop white space
