@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemark.llm.op10_arrow_tokens import op10_arrow_tokens
+from tidemark.llm.op1_template_decontamination import op1_template_decontamination
 from tidemark.llm.op2_bayes_minhash import op2_bayes_minhash
 from tidemark.llm.op3_quality_cascade import ORACLE as OP3_SQL
 from tidemark.llm.op3_quality_cascade import op3_quality_cascade
@@ -11,6 +12,7 @@ from tidemark.llm.op6_transducer_bpe import op6_transducer_bpe
 from tidemark.llm.op9_recompression import op9_recompression
 
 QUERIES = {
+    "op1_template_decontamination": op1_template_decontamination,
     "op2_bayes_minhash": op2_bayes_minhash,
     "op3_quality_cascade": op3_quality_cascade,
     "op5_suffixes": op5_suffixes,
