@@ -65,3 +65,34 @@ def near_components(docs, shingle, percent):
                 a, b = sorted((find(i), find(j)))
                 root[b] = a
     return {i: (len(s), find(i)) for i, s in enumerate(sets)}
+
+
+def line_components(docs, min_chars, percent, size=5):
+    """{(row, position): root (row, position)} of the lines that take part, by all pairs that share a shingle."""
+    at, sets = {}, {}
+    for k, (_, text) in enumerate(docs):
+        for p, raw in enumerate((text or "").split("\n")):
+            line = raw.strip(" \t\x0b\x0c\r")
+            if len(line) >= min_chars:
+                at[k, p] = line
+                sets.setdefault(line, {line[i:i + size] for i in range(len(line) - size + 1)})
+    root = {line: line for line in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    holders = {}
+    for line, s in sets.items():
+        common = Counter()
+        for g in s:
+            common.update(holders.get(g, ()))
+            holders.setdefault(g, []).append(line)
+        for other, n in common.items():
+            if 100 * n >= percent * (len(s) + len(sets[other]) - n):
+                root[find(line)] = find(other)
+    first = {}
+    for place, line in sorted(at.items()):
+        first.setdefault(find(line), place)
+    return {place: first[find(line)] for place, line in at.items()}
