@@ -9,6 +9,8 @@ from tidemark.llm.op3_quality_cascade import ORACLE as OP3_SQL
 from tidemark.llm.op3_quality_cascade import op3_quality_cascade
 from tidemark.llm.op5_suffixes import op5_suffixes
 from tidemark.llm.op6_transducer_bpe import op6_transducer_bpe
+from tidemark.llm.op7_fuzzy_lines import op7_fuzzy_lines
+from tidemark.llm.op8_feistel_pii import op8_feistel_pii
 from tidemark.llm.op9_recompression import op9_recompression
 
 QUERIES = {
@@ -17,6 +19,8 @@ QUERIES = {
     "op3_quality_cascade": op3_quality_cascade,
     "op5_suffixes": op5_suffixes,
     "op6_transducer_bpe": op6_transducer_bpe,
+    "op7_fuzzy_lines": op7_fuzzy_lines,
+    "op8_feistel_pii": op8_feistel_pii,
     "op9_recompression": op9_recompression,
     "op10_arrow_tokens": op10_arrow_tokens,
 }
