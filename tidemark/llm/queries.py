@@ -7,6 +7,7 @@ from tidemark.llm.op1_template_decontamination import op1_template_decontaminati
 from tidemark.llm.op2_bayes_minhash import op2_bayes_minhash
 from tidemark.llm.op3_quality_cascade import ORACLE as OP3_SQL
 from tidemark.llm.op3_quality_cascade import op3_quality_cascade
+from tidemark.llm.op4_warc_derivatives import op4_warc_derivatives
 from tidemark.llm.op5_suffixes import op5_suffixes
 from tidemark.llm.op6_transducer_bpe import op6_transducer_bpe
 from tidemark.llm.op7_fuzzy_lines import op7_fuzzy_lines
@@ -17,6 +18,7 @@ QUERIES = {
     "op1_template_decontamination": op1_template_decontamination,
     "op2_bayes_minhash": op2_bayes_minhash,
     "op3_quality_cascade": op3_quality_cascade,
+    "op4_warc_derivatives": op4_warc_derivatives,
     "op5_suffixes": op5_suffixes,
     "op6_transducer_bpe": op6_transducer_bpe,
     "op7_fuzzy_lines": op7_fuzzy_lines,
