@@ -71,6 +71,11 @@ def repeated_words(words: Column, window: int = REPEAT_WINDOW) -> Column:
                            .otherwise(covered(h))), F.lit(0)).cast("long")
 
 
+def stuttered_words(words: Column) -> Column:
+    """Words that equal the word before them."""
+    return _let(words, lambda w: F.size(F.filter(w, lambda x, i: x == F.get(w, i - 1)))).cast("long")
+
+
 #: what the rules read, as expressions over text and words
 MEASURES: dict[str, Callable[[], Column]] = {
     "n_words": lambda: F.size("words").cast("long"),
@@ -78,6 +83,7 @@ MEASURES: dict[str, Callable[[], Column]] = {
     "n_symbols": lambda: symbols_in(F.col("text")),
     "n_dup_lines": lambda: duplicate_lines(F.col("text")),
     "n_repeat_words": lambda: repeated_words(F.col("words")),
+    "n_stutter": lambda: stuttered_words(F.col("words")),
     "n_lines": lambda: F.size(F.split(F.coalesce(F.col("text"), F.lit("")), "\n")).cast("long"),
 }
 
@@ -95,9 +101,11 @@ REPEATED_WORDS = Rule("repeated_words", lambda m: 100 * m("n_repeat_words") > 30
 MANY_SYMBOLS = Rule("many_symbols", lambda m: 10 * m("n_symbols") > m("n_words"))
 SHORT_WORDS = Rule("short_words", lambda m: m("word_chars") < 2 * m("n_words"))
 LONG_WORDS = Rule("long_words", lambda m: m("word_chars") > 15 * m("n_words"))
-DUPLICATE_LINES = Rule("duplicate_lines", lambda m: 100 * m("n_dup_lines") > 30 * m("n_lines"))
+STUTTER = Rule("stutter", lambda m: 100 * m("n_stutter") > 30 * m("n_words"))
+#: one or two repeated lines are common in short clean texts
+DUPLICATE_LINES = Rule("duplicate_lines", lambda m: (m("n_dup_lines") >= 3) & (100 * m("n_dup_lines") > 30 * m("n_lines")))
 BASE_RULES = (FEW_WORDS, REPEATED_WORDS)
-RULES = BASE_RULES + (MANY_SYMBOLS, SHORT_WORDS, LONG_WORDS, DUPLICATE_LINES)
+RULES = BASE_RULES + (MANY_SYMBOLS, SHORT_WORDS, LONG_WORDS, STUTTER, DUPLICATE_LINES)
 
 
 def _inline(name: str) -> Column:
@@ -188,12 +196,13 @@ m as (
          list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-
 ]')) as lines,
          len(string_split(t, chr(10))) as n_lines,
+         len(list_filter(range(1, len(words)), lambda i: words[i] = words[i + 1])) as n_stutter,
          coalesce(n_repeat_words, 0) as n_repeat_words
   from w left join rep using (doc_id)),
 d as (select * exclude (lines), cast(len(lines) - len(list_distinct(lines)) as bigint) as n_dup_lines from m),
 b as (select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from d)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        not (base_failed or 10 * n_symbols > n_words or word_chars < 2 * n_words or word_chars > 15 * n_words
-            or 100 * n_dup_lines > 30 * n_lines) as kept
+            or 100 * n_stutter > 30 * n_words or (n_dup_lines >= 3 and 100 * n_dup_lines > 30 * n_lines)) as kept
 from b
 """
