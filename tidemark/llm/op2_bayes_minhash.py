@@ -3,8 +3,9 @@
 Documents with equal shingle sets form a class; one per class goes on. Signature bands
 collect candidates into buckets. Every member of a bucket is compared with the bucket's
 smallest row id; once these links are joined into components, only members of different
-components that still share a bucket are compared with each other, inside tasks and in
-blocks. A comparison looks at the signatures batch by batch and stops as soon as the
+components that still share a bucket are compared with each other, inside tasks, in
+blocks, and each pair only in the first bucket it shares; a task reports links that join
+what it has not joined yet, so it reports fewer links than members. A comparison looks at the signatures batch by batch and stops as soon as the
 posterior probability that the similarity reaches the threshold falls below ``miss``
 (uniform prior); what survives is verified on the full shingle sets.
 """
@@ -26,7 +27,7 @@ from tidemark.llm.op9_recompression import WordHashes, word_hashes
 
 BANDS, ROWS, BATCH, HASHES = 24, 5, 16, 128
 #: members of one hub, and members of one bucket, that a task compares at a time
-HUB_BLOCK, BUCKET_BLOCK = 2000, 256
+HUB_BLOCK, BUCKET_BLOCK = 2000, 512
 
 
 def shingle_set(text: bytes, size: int, cache: WordHashes) -> np.ndarray:
@@ -135,8 +136,8 @@ def _compare_with_hub(pairs: DataFrame, bodies: DataFrame, compare, parts: int)
     members = (pairs.join(blocks, "a")
                .select(F.col("a").alias("hub"), F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int").alias("block"),
                        F.lit(1).alias("kind"), F.col("b").alias("id"))
-               .join(bodies, "id").select("hub", "block", "kind", "id", "body"))
-    hubs = (blocks.select(F.col("a").alias("id"), "blocks").join(bodies, "id")
+               .join(bodies.hint("merge"), "id").select("hub", "block", "kind", "id", "body"))
+    hubs = (blocks.select(F.col("a").alias("id"), "blocks").join(bodies.hint("merge"), "id")
             .select(F.col("id").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
                     F.lit(0).alias("kind"), "id", "body"))
     return (members.unionByName(hubs).repartition(parts, "hub", "block").sortWithinPartitions("hub", "block", "kind")
@@ -165,17 +166,24 @@ def _exact_compare(numerator: int, denominator: int):
     return compare
 
 
-def _bucket_task(least: list[int]):
-    """Rows sorted by (bucket, i, j): compares members of different components, batch by batch."""
+def _bucket_task(least: list[int], exact):
+    """Rows sorted by (bucket, i, j): links between members of different components."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def survivors(ids, side, comp, sigs):
+    def links(band, ids, side, comp, sigs, bodies):
         sig = np.frombuffer(b"".join(sigs), dtype="<u4").reshape(len(ids), HASHES)
-        ids, comp, side = np.array(ids), np.array(comp), np.array(side)
+        ids, side = np.array(ids), np.array(side)
+        root = {c: c for c in comp}
+
+        def find(c):
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
+        group = np.array(comp)
         out = []
         for k in range(len(ids)):
             # within one block each pair once; between two blocks only pairs across
-            c = np.flatnonzero((comp != comp[k]) & (ids > ids[k]) & ((side != side[k]) | (side[k] == 2)))
+            c = np.flatnonzero((group != group[k]) & (ids > ids[k]) & ((side != side[k]) | (side[k] == 2)))
             m = np.zeros(len(c), dtype=np.int64)
             for n, need in enumerate(least):
                 if len(c) == 0:
@@ -183,42 +191,50 @@ def _bucket_task(least: list[int]):
                 cols = slice(n * BATCH, (n + 1) * BATCH)
                 m += (sig[c, cols] == sig[k, cols]).sum(axis=1)
                 c, m = c[m >= need], m[m >= need]
-            out += [{"a": int(ids[k]), "b": int(x)} for x in ids[c]]
+            if len(c) and band:  # a pair that shares an earlier band is compared there
+                before = (sig[c, :band * ROWS] == sig[k, :band * ROWS]).reshape(len(c), band, ROWS).all(axis=2).any(axis=1)
+                c = c[~before]
+            for x in c.tolist():
+                a, b = find(comp[k]), find(comp[x])
+                if a != b and exact(bodies[k], bodies[x]):
+                    root[max(a, b)] = min(a, b)
+                    out.append({"a": int(ids[k]), "b": int(ids[x])})
         return out
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held = None, ([], [], [], [])
+        at, held = None, None
         for batch in batches:
             rows = []
-            cols = [batch.column(batch.schema.get_field_index(c)) for c in ("bucket", "i", "j", "id", "side", "comp", "sig")]
+            cols = [batch.column(batch.schema.get_field_index(c))
+                    for c in ("bucket", "i", "j", "band", "id", "side", "comp", "sig", "body")]
             for r in range(batch.num_rows):
-                key = tuple(c[r].as_py() for c in cols[:3])
+                key = tuple(c[r].as_py() for c in cols[:4])
                 if key != at:
-                    if held[0]:
-                        rows += survivors(*held)
-                    at, held = key, ([], [], [], [])
-                for h, c in zip(held, cols[3:], strict=True):
+                    if held:
+                        rows += links(at[3], *held)
+                    at, held = key, ([], [], [], [], [])
+                for h, c in zip(held, cols[4:], strict=True):
                     h.append(c[r].as_py())
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
-        if held[0]:
-            yield pa.RecordBatch.from_pylist(survivors(*held), schema=schema)
+        if held:
+            yield pa.RecordBatch.from_pylist(links(at[3], *held), schema=schema)
     return task
 
 
-def _across(buckets: DataFrame, sigs: DataFrame, least: list[int], parts: int) -> DataFrame:
-    """Pairs of different components that share a bucket and survive pruning."""
+def _across(buckets: DataFrame, bodies: DataFrame, least: list[int], exact, parts: int) -> DataFrame:
+    """Links between members of different components that share a bucket."""
     mixed = (buckets.groupBy("bucket")
              .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n"))
              .filter("lo != hi").select("bucket", F.ceil(F.col("n") / BUCKET_BLOCK).cast("int").alias("blocks")))
     rows = (buckets.join(mixed, "bucket")
             .withColumn("own", F.pmod(F.xxhash64("id", F.lit(7)), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "id",
+            .select("bucket", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "id",
                     F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
                     .alias("side"), "comp"))
-    return (rows.join(sigs, "id").select("bucket", "i", "j", "id", "side", "comp", "sig")
+    return (rows.join(bodies.hint("merge"), "id").select("bucket", "i", "j", "band", "id", "side", "comp", "sig", "body")
             .repartition(parts, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-            .mapInArrow(_bucket_task(least), "a long, b long").distinct())
+            .mapInArrow(_bucket_task(least, exact), "a long, b long").distinct())
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, miss: float = 1e-7) -> DataFrame:
@@ -257,29 +273,26 @@ def _components_of(rows: DataFrame, shingle: int, percent: int, miss: float) ->
     member = sigs.filter("n_shingles > 0").select(RID, "digest")
     classes = member.groupBy("digest").agg(F.min(RID).alias("rep"))
     member = store(member.join(classes, "digest").select(RID, "rep"), "classes")
-    reps = store(sigs.select(F.col(RID).alias("id"), "sig", "bands")
-                 .join(member.filter(F.col("rep") == F.col(RID)).select(F.col(RID).alias("id")), "id", "left_semi"),
+    # none of these sides has a proven bound, so none is broadcast, at any size
+    first = member.filter(F.col("rep") == F.col(RID)).select(F.col(RID).alias("id"))
+    reps = store(sigs.select(F.col(RID).alias("id"), "sig", "bands").join(first.hint("merge"), "id", "left_semi"),
                  "representatives")
-    bands = reps.select("id", F.explode("bands").alias("bucket"))
+    bands = reps.select("id", F.posexplode("bands").alias("band", "bucket"))
     hubs = (bands.groupBy("bucket").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("n"))
             .filter("n > 1").drop("n"))
-    buckets = store(bands.join(hubs, "bucket"), "buckets")
-    sig = reps.select("id", "sig")
-    star = buckets.filter("a != id").select("a", F.col("id").alias("b")).distinct()
-    star = _compare_with_hub(star, sig.withColumnRenamed("sig", "body"), _signature_compare(least), parts)
-
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
-        pairs = store(pairs, f"{name}_candidates")
-        need = pairs.select(F.col("a").alias(RID)).unionByName(pairs.select(F.col("b").alias(RID))).distinct()
-        sets = store(rows.select(RID, "text").join(need, RID, "left_semi").mapInArrow(_sets(shingle), "id long, body binary"),
-                     f"{name}_sets")
-        return store(_compare_with_hub(pairs, sets, _exact_compare(percent, 100), parts), f"{name}_links")
+    buckets = store(bands.join(hubs.hint("merge"), "bucket"), "buckets")
+    need = buckets.select(F.col("id").alias(RID)).distinct()
+    sets = rows.select(RID, "text").join(need.hint("merge"), RID, "left_semi").mapInArrow(_sets(shingle), "id long, body binary")
+    bodies = store(sets.join(reps.select("id", "sig").hint("merge"), "id"), "sets")
+    exact = _exact_compare(percent, 100)
 
-    links = verified(star, "star")
+    star = buckets.filter("a != id").select("a", F.col("id").alias("b")).distinct()
+    star = _compare_with_hub(star, bodies.select("id", F.col("sig").alias("body")), _signature_compare(least), parts)
+    links = store(_compare_with_hub(store(star, "star_candidates"), bodies.select("id", "body"), exact, parts), "star_links")
     found = components(links)
-    comp = (buckets.select("bucket", "id").join(found.withColumnRenamed("node", "id"), "id", "left")
-            .select("bucket", "id", F.coalesce("root", "id").alias("comp")))
-    more = verified(_across(comp, sig, least, parts), "across")
+    comp = (buckets.select("bucket", "band", "id").join(found.withColumnRenamed("node", "id"), "id", "left")
+            .select("bucket", "band", "id", F.coalesce("root", "id").alias("comp")))
+    more = store(_across(store(comp, "bucket_components"), bodies, least, exact, parts), "across_links")
     if more.limit(1).count():
         found = components(links.unionByName(more))
     return (sigs.select(RID, "n_shingles").join(member, RID, "left")
