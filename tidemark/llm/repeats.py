@@ -28,7 +28,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import RID, merge_spans, mix64, store, text_chunks
 
-RECORD, SPAN, OPEN, WINDOW = 0, 1, 2, 3
+RECORD, SPAN, WINDOW = 0, 1, 2
+#: in the ``many`` column of span rows: these windows are settled, or still to be opened
+SETTLED, TO_OPEN = 0, 1
 _ROW = pa.schema([("dest", pa.int32()), ("kind", pa.int32()), ("n", pa.int32()), ("key", pa.binary()),
                   ("run", pa.binary()), ("doc", pa.binary()), ("start", pa.binary()), ("count", pa.binary()),
                   ("many", pa.binary())])
@@ -62,8 +64,14 @@ def _of_key(key: np.ndarray, buckets: int) -> np.ndarray:
     return ((mix64(key) >> np.uint64(24)) % np.uint64(buckets)).astype(np.int64)
 
 
-def _spans(doc, start, count, buckets: int) -> list[dict]:
-    return _pack(SPAN, np.mod(doc, buckets), doc=doc, start=start, count=count)
+def _spans(doc, start, count, buckets: int, settled=None, opened=None) -> list[dict]:
+    """Spans for their documents; with masks or positions, the settled ones and those to open in common rows."""
+    if settled is None:
+        return _pack(SPAN, np.mod(doc, buckets), doc=doc, start=start, count=count,
+                     many=np.full(len(doc), SETTLED, dtype=np.uint8))
+    at = np.concatenate([np.flatnonzero(settled), opened])
+    state = np.repeat(np.array([SETTLED, TO_OPEN], dtype=np.uint8), [len(at) - len(opened), len(opened)])
+    return _pack(SPAN, np.mod(doc[at], buckets), doc=doc[at], start=start[at], count=count[at], many=state)
 
 
 def _classes(key, run, doc, start):
@@ -90,13 +98,11 @@ def _send_records(parts: list[tuple], earlier: bool, buckets: int) -> list[dict]
     class_no = np.cumsum(new_class) - 1
     size = _sizes(new_class)[class_no]
     settled = ~new_class if earlier else size > 1
-    rows = _spans(doc[settled], start[settled], count[settled], buckets)
     first = np.flatnonzero(new_class)
     # the how-manieth class of its key each first record is
     key_first = np.flatnonzero(new_key[first])
     rank = np.arange(len(first)) - np.repeat(key_first, _sizes(new_key[first]))
-    more = first[rank >= 2]
-    rows += _pack(OPEN, np.mod(doc[more], buckets), doc=doc[more], start=start[more], count=count[more])
+    rows = _spans(doc, start, count, buckets, settled, first[rank >= 2])
     s = first[rank < 2]
     return rows + _pack(RECORD, _of_key(key[s], buckets), key=key[s], run=run[s], doc=doc[s], start=start[s],
                         count=count[s], many=(size[s] > 1).astype(np.uint8))
@@ -156,10 +162,7 @@ def _settle_task(earlier: bool, buckets: int):
             first = np.flatnonzero(new_class)
             classes = np.bincount(key_no[first])
             opened = first[classes[key_no[first]] > 1]
-            rows = _spans(doc[settled], start[settled], count[settled], buckets)
-            rows += _pack(OPEN, np.mod(doc[opened], buckets), doc=doc[opened], start=start[opened],
-                          count=count[opened])
-            yield _batch(rows)
+            yield _batch(_spans(doc, start, count, buckets, settled, opened))
     return task
 
 
@@ -195,7 +198,7 @@ def _open_task(window_hash: Callable, earlier: bool, buckets: int):
     """Documents meet their runs to open; the runs' windows are sent by window hash."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
-        for rid, text, start, count in _documents_with(batches):
+        for rid, text, start, count in _documents_with(batches, TO_OPEN):
             if len(start) == 0:
                 continue
             s, e = merge_spans(start, start + count)
@@ -227,11 +230,14 @@ def _compare_task(earlier: bool, buckets: int):
     return task
 
 
-_DOC_COLS = ["dest", "kind", "n", RID, "text", "doc", "start", "count"]
+_DOC_COLS = ["dest", "kind", "n", RID, "text", "doc", "start", "count", "many"]
 
 
-def _documents_with(batches: Iterator[pa.RecordBatch]):
-    """(row id, text, starts, counts) from rows sorted by (dest, kind): packed spans, then documents."""
+def _documents_with(batches: Iterator[pa.RecordBatch], state: int):
+    """(row id, text, starts, counts) from rows sorted by (dest, kind): packed spans, then documents.
+
+    Only spans in the given state are returned.
+    """
     dest, parts, ready = None, {}, None
     for b in batches:
         cols = [b.column(b.schema.get_field_index(c)) for c in _DOC_COLS]
@@ -240,13 +246,14 @@ def _documents_with(batches: Iterator[pa.RecordBatch]):
             if d != dest:
                 dest, parts, ready = d, {}, None
             if kind != DOC:
-                for c, col in zip(("doc", "start", "count"), cols[5:], strict=True):
+                for c, col in zip(("doc", "start", "count", "many"), cols[5:], strict=True):
                     parts.setdefault(c, []).append(col[i].as_py())
                 continue
             if ready is None:
                 if parts:
-                    doc, start, count = (_column(parts[c], c) for c in ("doc", "start", "count"))
-                    o = np.argsort(doc, kind="stable")
+                    doc, start, count, many = (_column(parts[c], c) for c in ("doc", "start", "count", "many"))
+                    o = np.flatnonzero(many == state)
+                    o = o[np.argsort(doc[o], kind="stable")]
                     ready = doc[o], start[o], count[o].astype(np.int64)
                     parts = {}
                 else:
@@ -260,15 +267,15 @@ def _documents_with(batches: Iterator[pa.RecordBatch]):
 DOC = 9
 
 
-def _meet(docs: DataFrame, rows: DataFrame, parts: int, buckets: int) -> DataFrame:
+def _meet(docs: DataFrame, rows: DataFrame, parts: int) -> DataFrame:
     """Documents and the packed rows about them in one partition, the rows first."""
     left = rows.select("dest", "kind", "n", F.lit(None).cast("long").alias(RID), F.lit(None).cast("binary").alias("text"),
-                       "doc", "start", "count")
+                       "doc", "start", "count", "many")
     none = F.lit(None).cast("binary")
-    right = docs.select(F.pmod(F.col(RID), F.lit(buckets)).cast("int").alias("dest"), F.lit(DOC).alias("kind"),
+    right = docs.select(F.pmod(F.col(RID), F.lit(parts)).cast("int").alias("dest"), F.lit(DOC).alias("kind"),
                         F.lit(1).alias("n"), RID, F.col("text").cast("binary").alias("text"),
-                        none.alias("doc"), none.alias("start"), none.alias("count"))
-    return left.unionByName(right).repartition(parts, "dest").sortWithinPartitions("dest", "kind")
+                        none.alias("doc"), none.alias("start"), none.alias("count"), none.alias("many"))
+    return left.unionByName(right).repartitionById(parts, F.col("dest")).sortWithinPartitions("dest", "kind")
 
 
 def repeated_windows(docs: DataFrame, sampler: Callable, window_hash: Callable, earlier: bool,
@@ -280,27 +287,25 @@ def repeated_windows(docs: DataFrame, sampler: Callable, window_hash: Callable,
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = 2 * parts
-    sent = docs.select(RID, "text").mapInArrow(_sample_task(sampler, earlier, buckets, chunk_bytes), ROW_DDL)
-    settled = (sent.repartition(parts, "dest").sortWithinPartitions("dest")
-               .mapInArrow(_settle_task(earlier, buckets), ROW_DDL))
+    sent = docs.select(RID, "text").mapInArrow(_sample_task(sampler, earlier, parts, chunk_bytes), ROW_DDL)
+    # dest is the number of the partition that receives a row
+    settled = (sent.repartitionById(parts, F.col("dest")).sortWithinPartitions("dest")
+               .mapInArrow(_settle_task(earlier, parts), ROW_DDL))
     settled = store(settled, "repeat_runs")
-    opened = _meet(docs, settled.filter(F.col("kind") == OPEN), parts, buckets)
-    windows = (opened.mapInArrow(_open_task(window_hash, earlier, buckets), ROW_DDL)
-               .repartition(parts, "dest").sortWithinPartitions("dest")
-               .mapInArrow(_compare_task(earlier, buckets), ROW_DDL))
-    return settled.filter(F.col("kind") == SPAN).unionByName(windows)
+    windows = (_meet(docs, settled, parts).mapInArrow(_open_task(window_hash, earlier, parts), ROW_DDL)
+               .repartitionById(parts, F.col("dest")).sortWithinPartitions("dest")
+               .mapInArrow(_compare_task(earlier, parts), ROW_DDL))
+    return settled.unionByName(windows)
 
 
 def apply_to_documents(docs: DataFrame, spans: DataFrame, fn: Callable, schema: pa.Schema, ddl: str) -> DataFrame:
     """``fn(row id, text, starts, counts) -> dict`` over every document with its spans of window starts."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = 2 * parts
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
-        for rid, text, start, count in _documents_with(batches):
+        for rid, text, start, count in _documents_with(batches, SETTLED):
             rows.append(fn(rid, text, start, count))
             if len(rows) >= 2000:
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
@@ -308,4 +313,4 @@ def apply_to_documents(docs: DataFrame, spans: DataFrame, fn: Callable, schema:
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    return _meet(docs, spans, parts, buckets).mapInArrow(task, ddl)
+    return _meet(docs, spans, parts).mapInArrow(task, ddl)
