@@ -57,8 +57,8 @@ class SequenceWriter:
         self.total += len(ids)
         self._held.append(ids.astype(self._dtype))
         self._n += len(ids)
-        if self._n >= BATCH * self._length:
-            self._write(self._n // self._length)
+        if self._n >= BATCH * self._length:  # full batches only, so that a sequence's place is computable
+            self._write(self._n // (BATCH * self._length) * BATCH)
 
     def _write(self, rows: int) -> None:
         flat = np.concatenate(self._held)
