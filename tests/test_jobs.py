@@ -128,8 +128,8 @@ def test_bronze_validation_and_empty_batch(spark, scratch):
     lake = Lake(os.path.join(scratch, "lake_rules"))
     tickers = tickers_table(spark, [("PKO", "pko", None, "PKO BP", "PLN")])
     assert bronze.ingest_prices(spark, lake, land, tickers, RUN1) == 1          # open > high quarantined
-    q = spark.read.parquet(lake.path("bronze_stooq_prices_rules_quarantine")).first()
-    assert q.violations == ["open_le_high"]
+    q = spark.read.parquet(lake.path("bronze_stooq_prices_quarantine")).first()
+    assert q.reject_reason == "rules: open_le_high"
     empty = os.path.join(scratch, "land_empty")
     _w(empty, "pko.csv", "Date,Open,High,Low,Close,Volume\n")
     with pytest.raises(EmptyBatchError):

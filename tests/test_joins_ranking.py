@@ -38,8 +38,7 @@ def test_grouped_rank_matches_window_rank_with_hot_group(spark):
     df = spark.createDataFrame([(i, g, v) for i, (g, v) in enumerate(rows)], "id int, g string, v double")
     expect = df.withColumn("r", F.rank().over(Window.partitionBy("g").orderBy(F.col("v").desc_nulls_last())))
     for parts in (1, 3, 16, None):
-        got = grouped_rank(df, ["g"], "v", out_col="r", num_partitions=parts,
-                           strategy="range" if parts else "auto")  # auto: groups are small -> window path
+        got = grouped_rank(df, ["g"], "v", out_col="r", num_partitions=parts)
         a = pd.DataFrame(sorted(tuple(x) for x in got.select("id", "r").collect()))
         b = pd.DataFrame(sorted(tuple(x) for x in expect.select("id", "r").collect()))
         assert a.equals(b), parts
@@ -58,3 +57,32 @@ def test_broadcast_bound_is_checked(spark):
     assert fits_broadcast(spark.range(10))
     assert not fits_broadcast(spark.range(50), max_rows=40)
     assert not fits_broadcast(spark.range(50), max_bytes=100)  # the byte budget caps the rows
+
+
+def test_grouped_rank_keeps_values_that_pandas_would_change(spark):
+    big = 2 ** 60
+    rows = [(1, "a", big + 1, float("nan")), (2, "a", big + 3, 1.0), (3, "a", None, None), (4, "a", big + 1, 1.0)]
+    df = spark.createDataFrame(rows, "id int, g string, n bigint, x double")
+    got = {r.id: (r.n, r.r) for r in grouped_rank(df, ["g"], "n", out_col="r").collect()}
+    assert got == {1: (big + 1, 2), 2: (big + 3, 1), 3: (None, 4), 4: (big + 1, 2)}
+    up = {r.id: r.r for r in grouped_rank(df, ["g"], "x", out_col="r", descending=False).collect()}
+    assert up == {2: 1, 4: 1, 1: 3, 3: 4}  # NaN above the numbers, null last
+    dec = df.selectExpr("id", "g", "cast(n as decimal(38,2)) as n")
+    out = grouped_rank(dec, ["g"], "n", out_col="r")
+    assert out.schema["n"].dataType.simpleString() == "decimal(38,2)"
+    assert {r.id: r.r for r in out.collect()} == {1: 2, 2: 1, 3: 4, 4: 2}
+
+
+def test_rewritten_lookup_is_checked_again(spark, scratch):
+    import os
+
+    import pytest
+
+    from tidemark.operators.joins import DuplicateKeyError, lookup_left_join
+    path = os.path.join(scratch, "lookup")
+    facts = spark.createDataFrame([(1,)], "k int")
+    spark.createDataFrame([(1, "a")], "k int, v string").coalesce(1).write.parquet(path)
+    assert lookup_left_join(facts, spark.read.parquet(path), "k").count() == 1
+    spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string").coalesce(1).write.mode("overwrite").parquet(path)
+    with pytest.raises(DuplicateKeyError):
+        lookup_left_join(facts, spark.read.parquet(path), "k")

@@ -6,6 +6,8 @@ stays inside whole-stage codegen; literal inputs are constant-folded.
 
 from __future__ import annotations
 
+import re
+
 import datetime as _dt
 
 from pyspark.sql import Column, DataFrame
@@ -76,3 +78,10 @@ def provenance(df: DataFrame, source: str | Column, retrieved_at, **entity) -> D
     cols["source"] = source if isinstance(source, Column) else F.lit(source)
     cols["retrieved_at"] = _ts_literal(retrieved_at)
     return df.withColumns(cols)
+
+
+def snake_name(name: str) -> str:
+    """:func:`camel_to_snake` of a name known when the plan is built."""
+    for pattern, replacement in (CAMEL_PASS_1, CAMEL_PASS_2):
+        name = re.sub(pattern, re.sub(r"\$(\d)", r"\\\1", replacement), name)
+    return name.lower()

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemark.sinks.tables import append, read_appended
 from tidemark.sinks.upsert import (
+    merge_into_catalog,
+    partitioned_exists,
     read_current,
     read_partitioned,
     recover_partitioned,
@@ -33,10 +35,13 @@ class Lake:
 
     ``partitioned`` maps a Silver/Gold table to partition columns (part of
     its key); such tables are upserted partition by partition, the others as
-    whole snapshots.
+    whole snapshots. ``catalog`` names a namespace whose tables support MERGE
+    (a row-level table format): Silver and Gold are then read and merged there by
+    table name.
     """
     root: str
     partitioned: dict = field(default_factory=dict)
+    catalog: str | None = None
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
@@ -61,20 +66,25 @@ class Lake:
 
     # Silver / Gold: upserted snapshots ----------------------------------------------------
     def upsert(self, spark: SparkSession, df: DataFrame, table: str, keys, newer_wins: str | None = None) -> int:
+        if self.catalog:
+            merge_into_catalog(df, f"{self.catalog}.{table}", keys, newer_wins)
+            return 0
         if table in self.partitioned:
             return upsert_partitions(spark, df, self.path(table), keys, self.partitioned[table],
                                      newer_wins=newer_wins)
         return upsert(spark, df, self.path(table), keys, newer_wins=newer_wins)
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
+        if self.catalog:
+            return spark.table(f"{self.catalog}.{table}")
         if table in self.partitioned:
             return read_partitioned(spark, self.path(table))
         return read_current(spark, self.path(table))
 
     def exists(self, spark: SparkSession, table: str) -> bool:
+        if self.catalog:
+            return spark.catalog.tableExists(f"{self.catalog}.{table}")
         if table in self.partitioned:
             recover_partitioned(spark, self.path(table))
-            from tidemark.sinks.upsert import _fs
-            fs, p = _fs(spark, self.path(table) + "/_SUCCESS")
-            return bool(fs.exists(p))
+            return partitioned_exists(spark, self.path(table))
         return table_exists(spark, self.path(table))

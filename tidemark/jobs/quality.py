@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.jobs.lake import Lake
 from tidemark.jobs.silver import bronze_statements
 from tidemark.operators.quality import Check, raise_on_failure, run_suite
-from tidemark.sinks.tables import append
+from tidemark.sinks.tables import append, read_appended
 
+# The names of the contract's checks.
 CHECKS = [
     Check("prices_bronze_to_silver_count", "count_loose", "bronze_prices", "silver_prices"),
     Check("prices_bronze_to_silver_range", "range", "bronze_prices", "silver_prices", "date", "date"),
@@ -51,12 +54,13 @@ def reconciliation_tables(spark: SparkSession, lake: Lake) -> dict[str, DataFram
 
 
 def run_reconciliation(spark: SparkSession, lake: Lake, raise_on_fail: bool = True) -> DataFrame:
-    """Compute the checks once (written with a run timestamp to
+    """Compute the checks once (written with a run id and time to
     ``quality_reconciliation``), then raise when any failed."""
-    results = run_suite(reconciliation_tables(spark, lake), CHECKS).withColumn("checked_at", F.current_timestamp())
+    run = uuid.uuid4().hex
+    results = (run_suite(reconciliation_tables(spark, lake), CHECKS).withColumn("run_id", F.lit(run))
+               .withColumn("checked_at", F.current_timestamp()))
     append(results, lake.path("quality_reconciliation"))
-    latest = spark.read.parquet(lake.path("quality_reconciliation"))
-    latest = latest.where(F.col("checked_at") == latest.agg(F.max("checked_at")).first()[0])
+    own = read_appended(spark, lake.path("quality_reconciliation")).where(F.col("run_id") == run)
     if raise_on_fail:
-        raise_on_failure(latest)
-    return latest
+        raise_on_failure(own)
+    return own

@@ -12,9 +12,12 @@ from tidemark.schemas import KEYS
 
 
 # Source precedence in Silver prices: a streamed bar beats a batch row of the
-# same (ticker, date); within one source the later retrieval wins.
+# same (ticker, date), and a bar rebuilt from all stored ticks beats both, as the
+# stream drops ticks that come after its watermark; within one source the later
+# retrieval wins.
 BATCH_PRIORITY = 1
 STREAM_PRIORITY = 2
+REBUILD_PRIORITY = 3
 PRICE_PRECEDENCE = ["source_priority", "retrieved_at"]
 
 
@@ -60,6 +63,17 @@ def start_silver_prices_stream(spark: SparkSession, lake: Lake, ticks: DataFrame
                                state_partitions=state_partitions, writer=write)
 
 
+def rebuild_bars(spark: SparkSession, lake: Lake, ticks: DataFrame, tickers: DataFrame) -> int:
+    """Closed days' bars computed again from all stored ``ticks`` (ticker, ts, price, qty),
+    late ones included; they replace the stream's bars of those days."""
+    from tidemark.streaming.prices import daily_bars
+    rows = daily_bars(ticks).select("ticker", "date", "open", "high", "low", "close", "volume",
+                                    F.lit("rebuild").alias("source"), F.current_timestamp().alias("retrieved_at"))
+    df = add_currency_column(rows, tickers.select("ticker", "currency")).withColumn("source_priority",
+                                                                                    F.lit(REBUILD_PRIORITY))
+    return lake.upsert(spark, df, "silver_prices", KEYS["silver_prices"], newer_wins=PRICE_PRECEDENCE)
+
+
 def build_silver_fx_rates(spark: SparkSession, lake: Lake, since=None) -> int:
     """Upsert ``silver_fx_rates`` (keep latest, parse dates; newer wins)."""
     df = standardize.standardize_fx_rates(dedup.dedup_fx_rates(lake.read_bronze(spark, "bronze_nbp_fx_rates", since)))

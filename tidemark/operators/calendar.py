@@ -10,7 +10,6 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import checked_broadcast
 from tidemark.schemas import (
     CALENDAR_DEFAULT_END,
     CALENDAR_DEFAULT_START,
@@ -72,7 +71,7 @@ def date_dimension_from(df: DataFrame, column: str, pad_months: int = 12) -> Dat
 def with_holidays(calendar: DataFrame, holidays: DataFrame, date_col: str = "date") -> DataFrame:
     """Trading day = weekday and not a public holiday (holiday table joined)."""
     h = holidays.select(F.col(date_col).alias("__h")).distinct()
-    j = calendar.join(checked_broadcast(h), F.col("date") == F.col("__h"), "left")
+    j = calendar.join(h, F.col("date") == F.col("__h"), "left")
     return j.withColumn("is_trading_day_gpw",
                         F.col("is_trading_day_gpw") & F.col("__h").isNull()).drop("__h")
 

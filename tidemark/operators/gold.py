@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import checked_broadcast
 from tidemark.schemas import FACT_FUNDAMENTALS_COLUMNS, FACT_MACRO_COLUMNS, FACT_PRICES_COLUMNS
 
 
@@ -42,24 +41,17 @@ def monthly_by_day_type(facts: DataFrame, calendar: DataFrame, date_col: str, me
                         extra_keys: Sequence[str] = ()) -> DataFrame:
     """Star join of a fact to the calendar, then a monthly rollup per day type.
 
-    The calendar is broadcast after a size check (days, not facts); the
-    aggregate is partial per task, so only (month, day type) groups shuffle.
+    A left join: a fact outside the calendar keeps its month, and its day type
+    falls back to Monday to Friday; a fact without a date groups under nulls. The
+    aggregate is partial per task, so only (month, day type) groups shuffle; AQE
+    picks the join from the sizes at run time.
     """
     cal = calendar.select(F.col("date").alias("__cal_date"), "year", "month", "is_trading_day_gpw")
-    j = facts.join(checked_broadcast(cal), F.to_date(F.col(date_col)) == F.col("__cal_date"), "inner")
-    return (j.groupBy(*extra_keys, "year", "month", "is_trading_day_gpw")
+    day = F.to_date(F.col(date_col))
+    j = facts.withColumn("__day", day).join(cal, F.col("__day") == F.col("__cal_date"), "left")
+    keys = {"year": F.coalesce("year", F.year("__day")), "month": F.coalesce("month", F.month("__day")),
+            "is_trading_day_gpw": F.coalesce("is_trading_day_gpw", F.weekday("__day") < 5)}
+    return (j.groupBy(*extra_keys, *[c.alias(n) for n, c in keys.items()])
             .agg(F.count(F.lit(1)).alias("n_rows"),
                  F.sum(measure).alias("sum_value"),
                  F.avg(measure).alias("avg_value")))
-
-
-def dense_peer_rank(df: DataFrame, group_cols: Sequence[str], order_col: str, out_col: str = "peer_rank",
-                    descending: bool = True) -> DataFrame:
-    """``rank()`` of each entity inside its peer group.
-
-    Inputs are entity-level (one row per company and period), so a peer group
-    is bounded by the number of entities in it; use :func:`tidemark.operators.
-    ranking.grouped_rank` when a group can hold a large share of raw rows.
-    """
-    o = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    return df.withColumn(out_col, F.rank().over(Window.partitionBy(*group_cols).orderBy(o)))

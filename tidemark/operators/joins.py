@@ -41,50 +41,29 @@ class DuplicateKeyError(ValueError):
     """A lookup or an upsert source holds one key more than once."""
 
 
-_CHECKS: dict = {}
-
-
-def _memo(kind: str, df: DataFrame, extra, compute):
-    """Cache a check result per (plan, input files): rebuilding the same plan
-    (same lookup over the same files) does not rerun the check job."""
-    try:
-        key = (kind, df.semanticHash(), tuple(sorted(df.inputFiles())), extra)
-    except Exception:  # noqa: BLE001 - plans without a stable hash are not cached
-        return compute()
-    if key not in _CHECKS:
-        _CHECKS[key] = compute()
-    return _CHECKS[key]
-
-
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                   max_bytes: int = DEFAULT_BROADCAST_BYTES, memo: bool = True) -> bool:
+                   max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
     """True when ``df`` has at most ``max_rows`` rows and at most ``max_bytes``
-    by the schema estimate (reads at most bound + 1 rows). ``memo=False`` for
-    inputs whose plan can repeat with new data (increments, micro-batches)."""
+    by the schema estimate (reads at most bound + 1 rows)."""
     bound = max(1, min(max_rows, max_bytes // estimated_row_bytes(df)))
-    check = lambda: df.limit(bound + 1).count() <= bound
-    return _memo("fits", df, bound, check) if memo else check()
+    return df.limit(bound + 1).count() <= bound
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      max_bytes: int = DEFAULT_BROADCAST_BYTES, memo: bool = True) -> DataFrame:
+                      max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """``broadcast(df)`` when its size is proven small, else ``df`` unchanged
-    (the planner, with AQE, then picks a shuffle join)."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes, memo) else df
-
+    (the planner, with AQE, then picks a shuffle join). The proof reads ``df``, so
+    it is for tables that are cheap to read; for derived sides leave the choice to
+    AQE, which knows their size when they have run."""
+    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
 
-def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "lookup", memo: bool = True) -> None:
-    """Raise :class:`DuplicateKeyError` when a key occurs twice (one aggregate job).
 
-    ``memo`` reuses the answer for an identical plan over identical files;
-    turn it off for inputs whose plan can repeat with new data (micro-batches).
-    """
-    def first_dup():
-        rows = df.groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect()
-        return rows[0].asDict() if rows else None
-    dup = _memo("unique", df, tuple(keys), first_dup) if memo else first_dup()
-    if dup:
-        raise DuplicateKeyError(f"duplicate {what} key {dup}")
+def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "lookup") -> None:
+    """Raise :class:`DuplicateKeyError` when a key occurs twice (one aggregate job, never remembered:
+    a table rewritten in place is checked again)."""
+    rows = df.groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect()
+    if rows:
+        raise DuplicateKeyError(f"duplicate {what} key {rows[0].asDict()}")
 
 
 def lookup_left_join(facts: DataFrame, lookup: DataFrame, keys: Sequence[str] | str,
@@ -106,7 +85,7 @@ def add_currency_column(prices: DataFrame, tickers: DataFrame) -> DataFrame:
 
 
 def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str, right_on: str,
-              values: Sequence[str], max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+              values: Sequence[str]) -> DataFrame:
     """Left as-of join on dates: each left row gets the latest right row with
     ``right_on <= left_on`` inside the same ``by`` group (null if none).
 
@@ -116,7 +95,7 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str
     the day before the next one — which turns the as-of match into an
     equi-join on (``by``, day) that partitions evenly. Left dates past the
     last right date take the last value through a second join on ``by``
-    (one row per group). Both lookups are broadcast only when small.
+    (one row per group).
     """
     by = list(by)
     bcol = {b: f"__by{i}" for i, b in enumerate(by)}
@@ -134,10 +113,11 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str
         *bcol.values(), F.col("__d").alias("__last_day"),
         *[F.col(vcol[v]).alias("__last" + vcol[v]) for v in values])
     on_day = [F.col(b) == F.col(bcol[b]) for b in by] + [F.col(left_on) == F.col("__day")]
-    out = left.join(checked_broadcast(daily, max_broadcast_rows), on=on_day, how="left") \
+    # AQE picks broadcast or shuffle from the sizes these sides have when they have run
+    out = left.join(daily, on=on_day, how="left") \
         .drop(*bcol.values(), "__day")
     on_by = [F.col(b) == F.col(bcol[b]) for b in by]
-    out = out.join(checked_broadcast(last, max_broadcast_rows), on=on_by, how="left")
+    out = out.join(last, on=on_by, how="left")
     picked = {v: F.coalesce(F.col(vcol[v]), F.when(F.col(left_on) >= F.col("__last_day"),
                                                    F.col("__last" + vcol[v]))) for v in values}
     return out.withColumns(picked).drop(*bcol.values(), "__last_day", *vcol.values(),

@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import iso_date_or_null
+
 CHECK_COLUMNS = ["check_name", "check_kind", "passed", "source_count", "target_count", "difference",
                  "source_min", "source_max", "target_min", "target_max", "target_empty"]
 
@@ -35,6 +37,17 @@ def _side_stats(source: DataFrame, target: DataFrame, src_col: Column | None, tg
         F.min(F.when(t, F.col("__v"))).alias("target_min"), F.max(F.when(t, F.col("__v"))).alias("target_max"))
 
 
+def _as_type(df: DataFrame, column: str, cast_to: str) -> Column:
+    """A column in the type a range is compared in. Text becomes a date by the same strict
+    parse that Silver uses, so a loosely written date is a reject on both sides."""
+    have = df.schema[column].dataType.simpleString()
+    if have == cast_to:
+        return F.col(column)
+    if have == "string" and cast_to == "date":
+        return iso_date_or_null(column)
+    return F.col(column).try_cast(cast_to)
+
+
 def compare_row_counts(source: DataFrame, target: DataFrame, exact: bool, name: str = "row_count"
                        ) -> DataFrame:
     """Exact: target count == source count; loose: target <= source.
@@ -57,12 +70,11 @@ def compare_range(source: DataFrame, target: DataFrame, source_column: str, targ
                   name: str = "range", cast_to: str | None = None) -> DataFrame:
     """[min, max] of a column must be equal on both sides (null-safe).
 
-    Both sides are cast to the target column's type first (``try_cast``), so a
-    text date in Bronze compares as a date with Silver's ``DateType``.
+    Both sides are brought to the target column's type first, so a text date in
+    Bronze compares as a date with Silver's ``DateType`` (strictly parsed, as there).
     """
     cast_to = cast_to or target.schema[target_column].dataType.simpleString()
-    src = F.col(source_column).try_cast(cast_to) if source.schema[source_column].dataType.simpleString() \
-        != cast_to else F.col(source_column)
+    src = _as_type(source, source_column, cast_to)
     st = _side_stats(source, target, src, F.col(target_column), cast_to)
     passed = F.col("source_min").eqNullSafe(F.col("target_min")) & \
         F.col("source_max").eqNullSafe(F.col("target_max"))
@@ -103,7 +115,7 @@ def _table_stats(name: str, df: DataFrame, columns: Sequence[tuple[str, str]]) -
     extremes rendered as text after the cast (equal text <=> equal value)."""
     aggs = [F.count(F.lit(1)).alias("__n")]
     for i, (c, t) in enumerate(columns):
-        v = F.col(c) if df.schema[c].dataType.simpleString() == t else F.col(c).try_cast(t)
+        v = _as_type(df, c, t)
         aggs += [F.min(v).cast("string").alias(f"__lo{i}"), F.max(v).cast("string").alias(f"__hi{i}")]
     wide = df.agg(*aggs)
     entries = [F.struct(F.lit("").alias("column"), F.lit("").alias("cast_to"),
@@ -266,10 +278,11 @@ def schema_drift(df: DataFrame, batch_col: str, payload_col: str, old_batch, new
     retyped field appears once as removed (old type) and once as added.
     """
     ft = payload_field_types(df.where(F.col(batch_col).isin(old_batch, new_batch)), batch_col, payload_col)
-    old = ft.where(F.col("batch") == F.lit(old_batch)).select("field", "type_class")
-    new = ft.where(F.col("batch") == F.lit(new_batch)).select("field", "type_class")
-    return new.exceptAll(old).withColumn("change", F.lit("added")).unionByName(
-        old.exceptAll(new).withColumn("change", F.lit("removed")))
+    # one grouping over (field, type) with a flag per batch: each payload is parsed once
+    seen = ft.groupBy("field", "type_class").agg(F.bool_or(F.col("batch") == F.lit(old_batch)).alias("old"),
+                                                 F.bool_or(F.col("batch") == F.lit(new_batch)).alias("new"))
+    return seen.where(F.col("old") != F.col("new")).select(
+        "field", "type_class", F.when(F.col("new"), "added").otherwise("removed").alias("change"))
 
 
 def cross_source_diff(a: DataFrame, b: DataFrame, keys: Sequence[str], value: str, tolerance: float

@@ -2,142 +2,56 @@
 
 A window ``PARTITION BY group`` sends a whole group to one task; a peer group
 that holds a third of all rows would then sort a third of the data in one
-place. Here (the default of :func:`grouped_rank`) the rows are
-range-partitioned on (group, order) instead, so a hot group is spread over
-many tasks in order, and
+place. Here rows are first counted per distinct (group, value), which combines
+before the shuffle, so a value that a third of a group shares is one row. The
+distinct values are range-partitioned on (group, value), and
 
-    rank = (rows of the same group in earlier range partitions)
-         + (rank inside this partition)
+    rank = 1 + (rows of the group in earlier range partitions)
+             + (rows of the group with a better value in this partition)
 
-The local rank is a streaming pass over each sorted partition (Arrow
-batches, vectorized in pandas, O(1) state); the per-partition group counts
-are a tiny aggregate joined back. The range-partitioned rows are written
-once as a reliable checkpoint so both passes read identical partitions. Equal (group, value) keys always land in
-one range partition, so ties never straddle a boundary.
+Both terms are running sums of counts; ranks are joined back to the rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.operators.joins import checked_broadcast
-from tidemark.session import ensure_checkpoint_dir
-
-_PID = "__tm_pid"
-_LR = "__tm_local_rank"
-
-
-def _local_rank_fn(group_cols: Sequence[str], order_col: str):
-    # Everything the task needs is defined in this closure, so it is shipped by
-    # value: executors need numpy and pandas, not this package.
-    out_col = _LR
-
-    def _differs(cur: pd.Series, prev: pd.Series) -> np.ndarray:
-        both_null = cur.isna().to_numpy() & prev.isna().to_numpy()
-        return (cur.to_numpy() != prev.to_numpy()) & ~both_null
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        carry = None  # last row's (group values, order value), count in group, rank
-        for pdf in batches:
-            if pdf.empty:
-                yield pdf.assign(**{out_col: pd.Series([], dtype="int64")})
-                continue
-            n = len(pdf)
-            new_group = np.zeros(n, dtype=bool)
-            for g in group_cols:
-                s = pdf[g]
-                prev = s.shift(1)
-                if carry is not None:
-                    prev.iloc[0] = carry["group"][g]
-                d = _differs(s, prev)
-                if carry is None:
-                    d[0] = True
-                new_group |= d
-            v = pdf[order_col]
-            pv = v.shift(1)
-            if carry is not None:
-                pv.iloc[0] = carry["value"]
-            new_val = new_group | _differs(v, pv)
-            if carry is None:
-                new_val[0] = True
-            run_id = np.cumsum(new_group)
-            pos = pd.Series(np.ones(n, dtype=np.int64)).groupby(run_id).cumsum().to_numpy()
-            if carry is not None and not new_group[0]:
-                pos[run_id == run_id[0]] += carry["count"]
-            rank = pd.Series(np.where(new_val, pos, np.nan)).ffill()
-            if carry is not None and not new_val[0]:
-                rank = rank.fillna(carry["rank"])
-            rank = rank.to_numpy(dtype=np.int64)
-            carry = {"group": {g: pdf[g].iloc[-1] for g in group_cols}, "value": v.iloc[-1],
-                     "count": int(pos[-1]), "rank": int(rank[-1])}
-            yield pdf.assign(**{out_col: rank})
-    return run
-
-
-# Largest group a single task ranks with a plain window (sorted in one task).
-MAX_WINDOW_GROUP_ROWS = 2_000_000
-
-
-def largest_group(df: DataFrame, group_cols: Sequence[str]) -> int:
-    """Row count of the largest group (one partial/final aggregate)."""
-    r = df.groupBy(*group_cols).count().agg(F.max("count").alias("m")).first()
-    return int(r["m"] or 0)
+from tidemark.session import fresh_dir
 
 
 def grouped_rank(df: DataFrame, group_cols: Sequence[str], order_col: str, out_col: str = "rank",
-                 descending: bool = True, num_partitions: int | None = None, strategy: str = "range",
-                 max_window_group_rows: int = MAX_WINDOW_GROUP_ROWS) -> DataFrame:
+                 descending: bool = True, num_partitions: int | None = None) -> DataFrame:
     """Add ``out_col`` = ``rank() OVER (PARTITION BY group_cols ORDER BY order_col)`` (bigint).
 
-    ``strategy``: ``"range"`` (default) spreads any group over many tasks;
-    ``"window"`` is a plain window, for callers who know every group fits a
-    task; ``"auto"`` measures the largest group first (one extra pass over the
-    input, worth it only when the input is cheap to read twice) and uses the
-    window when it has at most ``max_window_group_rows`` rows.
-    Nulls in ``order_col`` sort last (as Spark's DESC default and our ASC
-    NULLS LAST); ties share a rank and leave gaps, like ``rank()``.
+    Nulls in ``order_col`` sort last in both directions; NaN sorts above all numbers;
+    ties share a rank and leave gaps, like ``rank()``. A null group is a group of its
+    own. Columns keep their types and values.
     """
-    o = F.col(order_col).desc_nulls_last() if descending else F.col(order_col).asc_nulls_last()
-    use_window = strategy == "window" or (
-        strategy == "auto" and largest_group(df, group_cols) <= max_window_group_rows)
-    if use_window:
-        return df.withColumn(out_col, F.rank().over(Window.partitionBy(*group_cols).orderBy(o)).cast("bigint"))
-    if strategy not in ("range", "auto"):
-        raise ValueError(f"unknown strategy {strategy!r}")
-    return _range_rank(df, group_cols, order_col, out_col, descending, num_partitions)
-
-
-def _range_rank(df: DataFrame, group_cols: Sequence[str], order_col: str, out_col: str, descending: bool,
-                num_partitions: int | None) -> DataFrame:
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    o = F.col(order_col).desc_nulls_last() if descending else F.col(order_col).asc_nulls_last()
-    keys = [F.col(g).asc_nulls_first() for g in group_cols]
-    ensure_checkpoint_dir(spark)
-    # RangePartitioner seeds its sample by RDD id: two evaluations of this
-    # plan may cut different bounds. Materialize once (a reliable checkpoint
-    # in the shared checkpoint dir, which also survives executor loss) so the
-    # counts and the local ranks see the same partitions.
-    ranged = (df.repartitionByRange(n, *keys, o)
-              .sortWithinPartitions(*keys, o)
-              .withColumn(_PID, F.spark_partition_id())
-              .checkpoint(eager=True))
-    out_schema = StructType(ranged.schema.fields + [StructField(_LR, LongType(), False)])
-    local = ranged.mapInPandas(_local_rank_fn(list(group_cols), order_col), out_schema)
-    counts = ranged.groupBy(_PID, *group_cols).agg(F.count(F.lit(1)).alias("__n"))
-    earlier = Window.partitionBy(*group_cols).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    renamed = {g: f"__g{i}" for i, g in enumerate(group_cols)}
-    offsets = counts.select(F.col(_PID).alias("__opid"), *[F.col(g).alias(renamed[g]) for g in group_cols],
-                            F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__off"))
-    # offsets has at most (partitions + groups) rows: broadcast when that is small.
-    # Null-safe: a null group is a group like any other, as in PARTITION BY.
-    cond = [F.col(_PID) == F.col("__opid")] + [F.col(g).eqNullSafe(F.col(renamed[g])) for g in group_cols]
-    j = local.join(checked_broadcast(offsets), on=cond, how="inner")
-    return j.withColumn(out_col, F.col("__off") + F.col(_LR)).drop(_PID, _LR, "__off", "__opid",
-                                                                    *renamed.values())
+    groups = [f"__tm_g{i}" for i in range(len(group_cols))]
+    o = F.col("__tm_v").desc_nulls_last() if descending else F.col("__tm_v").asc_nulls_last()
+    keys = [F.col(g).asc_nulls_first() for g in groups]
+    counts = (df.select(*[F.col(f"`{c}`").alias(g) for c, g in zip(group_cols, groups, strict=True)],
+                        F.col(f"`{order_col}`").alias("__tm_v"))
+              .groupBy(*groups, "__tm_v").agg(F.count(F.lit(1)).alias("__tm_n")))
+    # a range partitioner samples, so two evaluations may cut differently: the partition number is stored
+    folder = fresh_dir(spark, "ranks")
+    (counts.repartitionByRange(n, *keys, o).withColumn("__tm_p", F.spark_partition_id())
+     .write.parquet(folder))
+    parted = spark.read.parquet(folder)
+    here = Window.partitionBy(*groups, "__tm_p").orderBy(o).rowsBetween(Window.unboundedPreceding, -1)
+    local = parted.withColumn("__tm_r", F.coalesce(F.sum("__tm_n").over(here), F.lit(0)))
+    earlier = Window.partitionBy(*groups).orderBy("__tm_p").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (parted.groupBy(*groups, "__tm_p").agg(F.sum("__tm_n").alias("__tm_n"))
+             .select(*[F.col(g).alias(f"{g}p") for g in groups], F.col("__tm_p").alias("__tm_pp"),
+                     F.coalesce(F.sum("__tm_n").over(earlier), F.lit(0)).alias("__tm_off")))
+    ranked = local.join(parts, [F.col("__tm_p") == F.col("__tm_pp"),
+                                *[F.col(g).eqNullSafe(F.col(f"{g}p")) for g in groups]]).select(
+        *groups, "__tm_v", (F.col("__tm_r") + F.col("__tm_off") + 1).cast("bigint").alias("__tm_rank"))
+    on = [F.col(f"`{c}`").eqNullSafe(F.col(g)) for c, g in zip(group_cols, groups, strict=True)]
+    return (df.join(ranked, [*on, F.col(f"`{order_col}`").eqNullSafe(F.col("__tm_v"))])
+            .select(*[F.col(f"`{c}`") for c in df.columns if c != out_col], F.col("__tm_rank").alias(out_col)))

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import camel_to_snake
+from tidemark.functions.columns import camel_to_snake, snake_name
 from tidemark.schemas import (
     SILVER_FUNDAMENTALS_COLUMNS,
     STATEMENT_DERIVED_COLUMNS,
@@ -33,31 +33,35 @@ def unpivot_numeric(df: DataFrame, ids: Sequence[str], metrics: Sequence[str],
     numeric are dropped. ``'NaN'`` text stays as NaN.
     """
     if not metrics:
-        raise NoMetricColumnsError("No metric columns found to unpivot")
-    values = [F.col(f"`{m}`").try_cast("double").alias(f"__m{i}") for i, m in enumerate(metrics)]
-    staged = df.select(*ids, *values)
-    long = staged.unpivot(list(ids), [f"__m{i}" for i in range(len(metrics))], "__metric", value_col)
-    # map the positional alias back to the (snake-cased) source name
-    names = F.create_map(*[x for i, m in enumerate(metrics)
-                           for x in (F.lit(f"__m{i}"), camel_to_snake(F.lit(m)) if snake_case else F.lit(m))])
-    return (long.where(F.col(value_col).isNotNull())
-            .withColumn(name_col, F.element_at(names, F.col("__metric")))
-            .drop("__metric"))
-
-
-def unpivot_statement_metrics(df: DataFrame, envelope: Sequence[str] = STATEMENT_ENVELOPE_COLUMNS
-                              ) -> DataFrame:
+        raise NoMetricColumnsError("unpivot: No metric columns besides the identifying ones")
+    final = [snake_name(m) if snake_case else m for m in metrics]
+    if len({*final, *ids}) == len(final) + len(ids):
+        # the unpivot's own name literal is the final name
+        staged = df.select(*ids, *[F.col(f"`{m}`").try_cast("double").alias(n) for m, n in zip(metrics, final, strict=True)])
+        long = staged.unpivot(list(ids), [F.col(f"`{n}`") for n in final], name_col, value_col)
+    else:  # two fields share a final name
+        pairs = F.array(*[F.struct(F.lit(n).alias(name_col), F.col(f"`{m}`").try_cast("double").alias(value_col))
+                          for m, n in zip(metrics, final, strict=True)])
+        long = df.select(*ids, F.inline(pairs))
+    return long.where(F.col(value_col).isNotNull()).select(*ids, value_col, name_col)
+
+
+def unpivot_statement_metrics(df: DataFrame, envelope: Sequence[str] = STATEMENT_ENVELOPE_COLUMNS,
+                              only: Sequence[str] | None = None) -> DataFrame:
     """Standardized wide statements -> Silver long rows.
 
     Every column outside the envelope (and the derived ``statement_type`` /
     ``period_type``) is a metric. Renames ``date`` -> ``period_end_date``,
     ``fiscalYear`` -> ``fiscal_year`` (int), ``reportedCurrency`` ->
-    ``reported_currency``.
+    ``reported_currency``. ``only`` limits the unpivot to these (snake-cased)
+    metrics, so a query about one metric does not multiply rows by all of them.
     """
     skip = set(envelope) | set(STATEMENT_DERIVED_COLUMNS)
     metrics = [c for c in df.columns if c not in skip]
+    if only is not None:
+        metrics = [c for c in metrics if snake_name(c) in set(only)]
     if not metrics:
-        raise NoMetricColumnsError("No metric columns found to unpivot")
+        raise NoMetricColumnsError("unpivot: No metric columns besides the statement envelope")
     ids = df.select(
         "ticker", F.col("date").alias("period_end_date"), "statement_type", "period_type",
         F.col("fiscalYear").try_cast("int").alias("fiscal_year"),
@@ -137,3 +141,21 @@ def statements_from_payload(df: DataFrame, payload: str = "payload",
     long = variant_metrics(ids, ["ticker", "period_end_date", "statement_type", "period_type", "fiscal_year",
                                  "reported_currency", "source", "retrieved_at"], payload, envelope=envelope)
     return long.select(*SILVER_FUNDAMENTALS_COLUMNS)
+
+
+def metrics_from_map(df: DataFrame, ids: Sequence[str], payload: str, envelope: Sequence[str] = STATEMENT_ENVELOPE_COLUMNS,
+                     name_col: str = "metric_name", value_col: str = "metric_value") -> DataFrame:
+    """Long metrics from a ``map<string,string>`` of JSON fields (their literal text), parsed once upstream."""
+    long = df.select(*ids, F.explode(payload).alias("__k", "__t")).where(~F.col("__k").isin(list(envelope)))
+    out = long.select(*ids, camel_to_snake("__k").alias(name_col), F.col("__t").try_cast("double").alias(value_col))
+    return out.where(F.col(value_col).isNotNull())
+
+
+def statements_from_map(df: DataFrame, payload: str = "payload",
+                        envelope: Sequence[str] = STATEMENT_ENVELOPE_COLUMNS) -> DataFrame:
+    """Standardized statements whose fields are a map -> Silver long rows."""
+    ids = df.select("ticker", F.col("date").alias("period_end_date"), "statement_type", "period_type",
+                    F.col("fiscalYear").try_cast("int").alias("fiscal_year"),
+                    F.col("reportedCurrency").alias("reported_currency"), "source", "retrieved_at", payload)
+    return metrics_from_map(ids, [c for c in ids.columns if c != payload], payload, envelope).select(
+        *SILVER_FUNDAMENTALS_COLUMNS)

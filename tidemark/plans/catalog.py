@@ -54,8 +54,7 @@ def fact_prices(spark: SparkSession, sf: str) -> DataFrame:
 def fact_prices_monthly(spark: SparkSession, sf: str) -> DataFrame:
     """Flagship: Gold prices star-joined to the calendar dimension (default
     bounds 2000-01-01..2035-12-31), monthly close statistics per listing
-    currency and day type. The calendar is a generated 13k-row dimension,
-    broadcast after its size check."""
+    currency and day type. Facts outside the calendar keep their month."""
     from tidemark.operators.calendar import date_dimension
     facts = fact_prices(spark, sf)
     cal = date_dimension(spark)
@@ -137,23 +136,22 @@ def variant_statements_silver(spark: SparkSession, sf: str) -> DataFrame:
     lineitem statements landed as JSON-array bodies, exploded to one payload
     per record, deduplicated at statement grain, typed, then unpivoted from
     VARIANT. Same result as ``silver_fundamentals_lineitem``."""
-    from tidemark.sources.landed import statement_records
+    from tidemark.sources.landed import statement_record_maps
     b = d.bronze_fundamentals(spark, sf)
     env = ["ticker", "statement_type", "source", "retrieved_at"]
     rec = b.select(*env, F.to_json(F.array(F.struct(*[c for c in b.columns if c not in env]))).alias("body"))
-    bronze = statement_records(rec, "body", keep=env)
-    typed = reshape.statement_envelope(bronze)
+    bronze = statement_record_maps(rec, "body", keep=env)
+    field = lambda n: F.col("payload")[n]
+    typed = bronze.withColumns({n: field(n) for n in ("date", "period", "fiscalYear", "reportedCurrency")})
     # ties on retrieved_at are broken field by field, as the wide path does
     fields = [("orderKey", "bigint"), ("suppKey", "bigint"), ("lineNumber", "int"), ("quantity", "double"),
               ("extendedPrice", "double"), ("discount", "double"), ("tax", "double")]
-    typed = typed.withColumns({f"__tb{i}": F.try_variant_get(F.col("payload"), f"$.{n}", t)
-                               for i, (n, t) in enumerate(fields)})
+    typed = typed.withColumns({f"__tb{i}": field(n).try_cast(t) for i, (n, t) in enumerate(fields)})
     latest = dedup.keep_latest(typed, ["ticker", "date", "period", "statement_type"],
                                tie_break=["fiscalYear", "reportedCurrency", "source",
                                           *[f"__tb{i}" for i in range(len(fields))]])
     latest = latest.drop("record_pos", *[f"__tb{i}" for i in range(len(fields))])
-    std = standardize.standardize_fundamentals(latest)
-    return reshape.statements_from_payload(std)
+    return reshape.statements_from_map(standardize.standardize_fundamentals(latest))
 
 
 @query
@@ -175,11 +173,11 @@ def snake_case_keys(spark: SparkSession, sf: str) -> DataFrame:
     """camelCase names built from part names, converted to snake_case."""
     from tidemark.functions.columns import camel_to_snake
     p = d.table(spark, sf, "part")
-    w1 = F.split_part(F.col("p_name"), F.lit(" "), F.lit(1))
-    w2 = F.split_part(F.col("p_name"), F.lit(" "), F.lit(2))
-    cap = lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 1000))
-    names = F.array(F.concat(w1, cap(w2)), F.concat(F.col("p_type"), cap(w1)),
-                    F.concat(F.lit("eps"), F.lower(w2)))
+    words = F.split("p_name", " ")
+    cap = lambda w: F.concat(F.upper(F.left(w, F.lit(1))), F.substr(w, F.lit(2)))
+    first, rest = words[0], F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0)))
+    names = F.array(F.concat(first, F.array_join(F.transform(rest, cap), "")), F.concat(F.col("p_type"), cap(first)),
+                    F.concat(F.lit("eps"), F.lower(F.array_join(rest, ""))))
     e = p.select("p_partkey", F.posexplode(names).alias("pos", "raw_name"))
     return e.select("p_partkey", F.col("pos").cast("int").alias("pos"), "raw_name",
                     camel_to_snake(F.col("raw_name")).alias("snake_name"))
@@ -337,7 +335,6 @@ def backfill_chunks(spark: SparkSession, sf: str) -> DataFrame:
 def backfill_grid(spark: SparkSession, sf: str) -> DataFrame:
     """Per region, every year between its customers' first and last order."""
     from tidemark.operators.calendar import year_grid
-    from tidemark.operators.joins import checked_broadcast
     o = d.table(spark, sf, "orders")
     per_cust = o.groupBy("o_custkey").agg(F.min(F.year("o_orderdate")).alias("y0"),
                                           F.max(F.year("o_orderdate")).alias("y1"))
@@ -345,7 +342,7 @@ def backfill_grid(spark: SparkSession, sf: str) -> DataFrame:
     geo = d.table(spark, sf, "nation").join(d.table(spark, sf, "region"),
                                             F.col("n_regionkey") == F.col("r_regionkey"))
     geo = geo.select(F.col("n_nationkey").alias("c_nationkey"), "r_name")
-    j = per_cust.join(c, "o_custkey").join(checked_broadcast(geo), "c_nationkey")
+    j = per_cust.join(c, "o_custkey").join(geo, "c_nationkey")
     r = j.groupBy("r_name").agg(F.min("y0").alias("y0"), F.max("y1").alias("y1"))
     return year_grid(r, F.col("y0"), F.col("y1")).select("r_name", "year")
 
@@ -613,8 +610,7 @@ def star_join_monthly(spark: SparkSession, sf: str) -> DataFrame:
     per_order = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"), F.sum(rev).alias("revenue"))
     facts = per_order.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
     c = cal.select(F.col("date").alias("__cal_date"), "year", "month", "is_trading_day_gpw")
-    from tidemark.operators.joins import checked_broadcast
-    j = facts.join(checked_broadcast(c), F.to_date("o_orderdate") == F.col("__cal_date"))
+    j = facts.join(c, F.to_date("o_orderdate") == F.col("__cal_date"))
     m = j.groupBy("year", "month", "is_trading_day_gpw").agg(F.sum("n_lines").alias("n_lines"),
                                                             F.sum("revenue").alias("revenue"))
     return m.select("year", "month", "is_trading_day_gpw", "n_lines",
@@ -638,7 +634,7 @@ def peer_metric_rank(spark: SparkSession, sf: str) -> DataFrame:
     """Fundamentals peer comparison: tickers ranked by extended price within
     each (statement type, period end) peer group of the Silver facts."""
     from tidemark.operators.ranking import grouped_rank
-    long = silver_fundamentals_lineitem(spark, sf).where(F.col("metric_name") == "extended_price")
+    long = reshape.unpivot_statement_metrics(standardize_fundamentals(spark, sf), only=["extended_price"])
     # one value per ticker and peer group: the largest reported (several lines can share a key)
     per_ticker = long.groupBy("statement_type", "period_end_date", "ticker").agg(
         F.max("metric_value").alias("metric_value"))

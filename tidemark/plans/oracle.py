@@ -95,7 +95,7 @@ ORACLE_SQL["fact_prices_monthly"] = f"""{SILVER_P}
 SELECT currency, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
        dayofweek(date) BETWEEN 1 AND 5 AS is_trading_day_gpw, count(*) AS n_rows,
        CAST(sum(CAST(close AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS sum_close
-FROM SP WHERE date BETWEEN DATE '2000-01-01' AND DATE '2035-12-31' GROUP BY ALL"""
+FROM SP GROUP BY ALL"""
 
 FX_COLS = ["currency_code", "effective_date", "mid_rate", "source", "retrieved_at"]
 DEDUP_FX = latest("FX", ["currency_code", "effective_date"], ["retrieved_at", "mid_rate", "source"], FX_COLS)
@@ -141,9 +141,11 @@ ORACLE_SQL["fact_fundamentals"] = (f"WITH {PART_STMT}, {UNPIVOT_PS} SELECT ticke
                                    "retrieved_at FROM UP")
 
 ORACLE_SQL["snake_case_keys"] = r"""WITH p AS (
-  SELECT p_partkey, split_part(p_name, ' ', 1) AS w1, split_part(p_name, ' ', 2) AS w2, p_type FROM part),
+  SELECT p_partkey, w[1] AS w1, array_to_string(w[2:], '') AS w2, p_type,
+         array_to_string(list_transform(w[2:], lambda x: upper(substr(x, 1, 1)) || substr(x, 2)), '') AS tail
+  FROM (SELECT *, string_split(p_name, ' ') AS w FROM part)),
 n AS (
-  SELECT p_partkey, 0 AS pos, w1 || upper(substr(w2, 1, 1)) || substr(w2, 2) AS raw_name FROM p
+  SELECT p_partkey, 0 AS pos, w1 || tail AS raw_name FROM p
   UNION ALL SELECT p_partkey, 1, p_type || upper(substr(w1, 1, 1)) || substr(w1, 2) FROM p
   UNION ALL SELECT p_partkey, 2, 'eps' || lower(w2) FROM p)
 SELECT p_partkey, CAST(pos AS INTEGER) AS pos, raw_name,
@@ -302,12 +304,14 @@ def count_check(name: str, kind: str, src: str, tgt: str, ordinal: int | None =
 
 def range_check(name: str, src: str, scol: str, tgt: str, tcol: str, typ: str, ordinal: int | None = None) -> str:
     o = f", CAST({ordinal} AS INTEGER) AS ordinal" if ordinal is not None else ""
+    # the sources' dates are text where the column is called date or effective_date
+    v = strict_date(f"CAST({scol} AS VARCHAR)") if typ == "DATE" else f"TRY_CAST({scol} AS {typ})"
     return (f"SELECT '{name}' AS check_name, 'range' AS check_kind, "
             f"(s.lo IS NOT DISTINCT FROM t.lo) AND (s.hi IS NOT DISTINCT FROM t.hi) AS passed, "
             f"s.n AS source_count, t.n AS target_count, s.n - t.n AS difference, "
             f"CAST(s.lo AS VARCHAR) AS source_min, CAST(s.hi AS VARCHAR) AS source_max, "
             f"CAST(t.lo AS VARCHAR) AS target_min, CAST(t.hi AS VARCHAR) AS target_max, t.n = 0 AS target_empty{o} "
-            f"FROM (SELECT count(*) AS n, min(TRY_CAST({scol} AS {typ})) AS lo, max(TRY_CAST({scol} AS {typ})) AS hi "
+            f"FROM (SELECT count(*) AS n, min({v}) AS lo, max({v}) AS hi "
             f"FROM {src}) s, (SELECT count(*) AS n, min({tcol}) AS lo, max({tcol}) AS hi FROM {tgt}) t")
 
 
@@ -446,11 +450,11 @@ U AS (SELECT *, 1 AS source_priority FROM B
 ORACLE_SQL["stream_bronze_append"] = f"WITH {E} SELECT * FROM E"
 _TICKS = f"""T AS (SELECT 'T' || CAST(user_id AS VARCHAR) AS ticker, ts, value AS price, CAST({K} AS BIGINT) AS qty
        FROM events)"""
-_BARS = """B AS (SELECT ticker, CAST(ts AS DATE) AS date, arg_min(price, ts) AS open, max(price) AS high,
-       min(price) AS low, arg_max(price, ts) AS close, CAST(sum(qty) AS BIGINT) AS volume, count(*) AS n_ticks
+_BARS = """B AS (SELECT ticker, CAST(ts AS DATE) AS date, arg_min(price, row(ts, price, qty)) AS open, max(price) AS high,
+       min(price) AS low, arg_max(price, row(ts, price, qty)) AS close, CAST(sum(qty) AS BIGINT) AS volume, count(*) AS n_ticks
        FROM T GROUP BY 1, 2)"""
 ORACLE_SQL["stream_ohlcv_daily"] = f"WITH {_TICKS}, {_BARS} SELECT * FROM B"
-ORACLE_SQL["latest_quote"] = (f"WITH {_TICKS} SELECT ticker, arg_max(price, ts) AS price, max(ts) AS quote_ts "
+ORACLE_SQL["latest_quote"] = (f"WITH {_TICKS} SELECT ticker, arg_max(price, row(ts, price, qty)) AS price, max(ts) AS quote_ts "
                               "FROM T GROUP BY 1")
 ORACLE_SQL["price_drop_alert"] = (f"WITH {_TICKS}, {_BARS} SELECT ticker, date, open, close, "
                                   "(open - close) / NULLIF(open, 0) AS drop_pct FROM B "

@@ -64,7 +64,8 @@ def get_session(app_name: str = "tidemark", master: str | None = None, cpus: int
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    # local-cluster[...] runs executors of its own and counts as a cluster
+    return spark.sparkContext.master.split("[")[0] == "local"
 
 
 def work_dir(spark: SparkSession, *parts: str) -> str:

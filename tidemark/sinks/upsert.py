@@ -7,7 +7,8 @@ no MERGE, so :func:`upsert` writes snapshot versions:
     <path>/v=00000001/   <- first write (create on first run)
     <path>/v=00000002/   <- target anti-join source, union source
 
-A version is visible only once its ``_SUCCESS`` marker exists, so a job that
+A version is visible only once its commit marker exists (``_SUCCESS``, or our
+own for committers that write none), so a job that
 dies mid-write leaves the previous version current and can simply rerun (the
 operation is idempotent). Readers resolve the newest committed version.
 Concurrent writers are not serialized; run one writer per table.
@@ -21,7 +22,6 @@ column raises.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.joins import DuplicateKeyError, assert_unique
 
 _PREFIX = "v="
+_COMMITTED = "_tidemark_committed"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -46,7 +47,7 @@ def committed_versions(spark: SparkSession, path: str) -> list[int]:
     for st in fs.listStatus(p):
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith(_PREFIX) and name[len(_PREFIX):].isdigit():
-            if fs.exists(st.getPath().suffix("/_SUCCESS")):
+            if any(fs.exists(st.getPath().suffix(f"/{m}")) for m in ("_SUCCESS", _COMMITTED)):
                 out.append(int(name[len(_PREFIX):]))
     return sorted(out)
 
@@ -70,12 +71,11 @@ def read_current(spark: SparkSession, path: str, version: int | None = None) ->
 
 def merged(target: DataFrame, source: DataFrame, keys: Sequence[str],
            newer_wins: str | Sequence[str] | None = None) -> DataFrame:
-    """The MERGE result as a plan: unmatched target rows plus every source row.
+    """The MERGE result as a plan: one full outer join of target and source on the keys.
 
-    ``left_anti`` on equality keys keeps target rows whose key is null or not
-    in the source. The source keys are broadcast after a size check, so for
-    a small increment the target is streamed, never shuffled; a large
-    increment falls back to a shuffle join on the keys.
+    A key on one side only keeps that side's row; a key on both takes the
+    source's. A null key matches nothing, so such rows of both sides stay.
+    Each input is read once.
 
     ``newer_wins`` (a column such as ``retrieved_at``, or a list compared
     left to right such as ``["source_priority", "retrieved_at"]``) makes the
@@ -83,7 +83,6 @@ def merged(target: DataFrame, source: DataFrame, keys: Sequence[str],
     higher is skipped, so replays, out-of-order increments and lower-priority
     sources cannot overwrite a row.
     """
-    from tidemark.operators.joins import checked_broadcast
     missing = [c for c in target.columns if c not in source.columns]
     if missing:
         raise ValueError(f"upsert source lacks target columns {missing}")
@@ -91,22 +90,43 @@ def merged(target: DataFrame, source: DataFrame, keys: Sequence[str],
     added = [f for f in source.schema.fields if f.name not in target.columns]
     target = target.withColumns({f.name: F.lit(None).cast(f.dataType) for f in added}) if added else target
     cols = target.columns
-    src = source.select(*cols)
+
+    def side(df: DataFrame, tag: str) -> DataFrame:
+        return df.select(*[F.col(f"`{k}`").alias(f"__{tag}{i}") for i, k in enumerate(keys)],
+                         F.struct(*[F.col(f"`{c}`") for c in cols]).alias(f"__{tag}"))
+    both = side(target, "t").join(side(source, "s"), [F.col(f"__t{i}") == F.col(f"__s{i}") for i in range(len(keys))],
+                                  "full_outer")
+    use_source = F.col("__t").isNull()
     if newer_wins:
         order = [newer_wins] if isinstance(newer_wins, str) else list(newer_wins)
-        # stale source keys = stored row ranks strictly higher. The (small)
-        # source keys are the build side, so the target streams through a
-        # broadcast hash join instead of being shuffled.
-        s_keys = checked_broadcast(src.select(
-            *[F.col(k).alias(f"__s{i}") for i, k in enumerate(keys)],
-            F.struct(*[F.col(c).alias(f"o{j}") for j, c in enumerate(order)]).alias("__s_order")), memo=False)
-        t_order = F.struct(*[F.col(c).alias(f"o{j}") for j, c in enumerate(order)])
-        stale = (target.join(s_keys, [F.col(k) == F.col(f"__s{i}") for i, k in enumerate(keys)], "inner")
-                 .where(t_order > F.col("__s_order")).select(*keys))
-        src = src.join(stale, on=list(keys), how="left_anti")
-    # unmatched target rows: anti join against the (broadcast when small) source keys
-    return target.join(checked_broadcast(src.select(*keys), memo=False), on=list(keys),
-                       how="left_anti").unionByName(src)
+        t_order, s_order = (F.struct(*[F.col(x)[c].alias(f"o{j}") for j, c in enumerate(order)]) for x in ("__t", "__s"))
+        use_source = use_source | (F.col("__s").isNotNull() & ~(t_order > s_order))
+    else:
+        use_source = use_source | F.col("__s").isNotNull()
+    types = {f.name: f.dataType for f in target.schema.fields}
+    row = {c: F.when(use_source, F.col("__s")[c].cast(types[c])).otherwise(F.col("__t")[c]).alias(c) for c in cols}
+    return both.select(*row.values())
+
+
+def _staged_source(source: DataFrame, keys: Sequence[str], check_unique: bool, what: str) -> tuple[DataFrame, str]:
+    """``source`` written once to the shared work folder, so that checks and merge read the same rows."""
+    from tidemark.session import fresh_dir
+    spark = source.sparkSession
+    folder = fresh_dir(spark, "upsert-source")
+    source.write.parquet(folder)
+    staged = spark.read.schema(source.schema).parquet(folder)
+    if check_unique:
+        try:
+            assert_unique(staged.dropna(subset=list(keys)), keys, "source")
+        except DuplicateKeyError as e:
+            _remove(spark, folder)
+            raise DuplicateKeyError(f"upsert into {what}: {e}") from None
+    return staged, folder
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
 
 
 def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
@@ -117,14 +137,9 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
     Creates the table on first run. ``partition_by`` lays each snapshot out in
     partitions for pruning by readers.
     """
-    if check_unique:
-        try:
-            has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-            assert_unique(source.where(~has_null), keys, "source", memo=False)
-        except DuplicateKeyError as e:
-            raise DuplicateKeyError(f"upsert into {path}: {e}") from None
+    staged, folder = _staged_source(source, keys, check_unique, path)
     vs = committed_versions(spark, path)
-    out = source if not vs else merged(read_current(spark, path), source, keys, newer_wins)
+    out = staged if not vs else merged(read_current(spark, path), staged, keys, newer_wins)
     new_v = (vs[-1] + 1) if vs else 1
     if partition_by:
         out = out.hint("rebalance", *partition_by)
@@ -132,28 +147,50 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(_version_path(path, new_v))
+    _write_text(spark, f"{_version_path(path, new_v)}/{_COMMITTED}", "")
+    _remove(spark, folder)
     return new_v
 
 
 def vacuum(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
     """Delete all but the newest ``keep`` committed versions; returns deleted."""
+    if keep < 1:
+        raise ValueError("keep must be at least 1: the newest version is the table")
     vs = committed_versions(spark, path)
     fs, _ = _fs(spark, path)
-    gone = vs[:-keep] if keep > 0 else vs
+    gone = vs[:-keep]
     for v in gone:
         fs.delete(_fs(spark, _version_path(path, v))[1], True)
     return gone
 
 
-def merge_into_catalog(source: DataFrame, table: str, keys: Sequence[str]) -> None:
-    """MERGE into a catalog table that supports row-level operations."""
+def merge_into_catalog(source: DataFrame, table: str, keys: Sequence[str],
+                       newer_wins: str | Sequence[str] | None = None) -> None:
+    """MERGE into a catalog table that supports row-level operations.
+
+    Duplicate source keys raise, as in :func:`upsert`; ``newer_wins`` skips source rows
+    whose stored counterpart ranks strictly higher.
+    """
     spark = source.sparkSession
+    assert_unique(source.dropna(subset=list(keys)), keys, "source")
     if not spark.catalog.tableExists(table):
         source.writeTo(table).create()
         return
-    cond = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
-    (source.alias("s").mergeInto(table, F.expr(cond.replace("t.", f"{table}.")))
-     .whenMatched().updateAll().whenNotMatched().insertAll().merge())
+
+    def quoted(name: str) -> str:
+        return "`" + name.replace("`", "``") + "`"
+
+    def both(k: str, sign: str) -> str:
+        return f"{table}.{quoted(k)} {sign} s.{quoted(k)}"
+    cond = " AND ".join(both(k, "=") for k in keys)
+    merge = source.alias("s").mergeInto(table, F.expr(cond))
+    if newer_wins:
+        order = [newer_wins] if isinstance(newer_wins, str) else list(newer_wins)
+        sides = [", ".join(f"{x}.{quoted(c)}" for c in order) for x in (table, "s")]
+        merge = merge.whenMatched(F.expr(f"NOT struct({sides[0]}) > struct({sides[1]})")).updateAll()
+    else:
+        merge = merge.whenMatched().updateAll()
+    merge.whenNotMatched().insertAll().merge()
 
 
 # ---------------------------------------------------------------------------------------
@@ -161,9 +198,6 @@ def merge_into_catalog(source: DataFrame, table: str, keys: Sequence[str]) -> No
 # ---------------------------------------------------------------------------------------
 
 _PENDING = "_tidemark_pending"
-# Touched partitions listed as a literal filter (static pruning) up to this many;
-# beyond it the target is restricted by a semi join instead.
-MAX_LITERAL_PARTITIONS = 1000
 
 
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
@@ -236,41 +270,49 @@ def upsert_partitions(spark: SparkSession, source: DataFrame, path: str, keys: S
     from tidemark.session import fresh_dir
     if not set(partition_by) <= set(keys):
         raise ValueError("partition columns must be part of the merge key")
-    if check_unique:
-        has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-        assert_unique(source.where(~has_null), keys, "source", memo=False)
     recover_partitioned(spark, path)
-    fs, p = _fs(spark, path)
-    exists = fs.exists(p) and fs.exists(_fs(spark, f"{path.rstrip('/')}/_SUCCESS")[1])
-    if not exists:
-        source.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-        return source.select(*partition_by).distinct().count()
-    target = spark.read.option("mergeSchema", True).parquet(path)
-    touched = source.select(*partition_by).distinct()
-    listed = touched.limit(MAX_LITERAL_PARTITIONS + 1).collect()
-    if len(listed) <= MAX_LITERAL_PARTITIONS:
-        # partition values only: static pruning at the scan
-        if len(partition_by) == 1:
-            c = partition_by[0]
-            vals = [r[c] for r in listed if r[c] is not None]
-            cond = F.col(c).isin(vals) if vals else F.lit(False)
-            if any(r[c] is None for r in listed):
-                cond = cond | F.col(c).isNull()
-        else:
-            cond = F.lit(False)
-            for row in listed:
-                cond = cond | reduce(lambda a, b: a & b,
-                                     [F.col(c).eqNullSafe(F.lit(row[c])) for c in partition_by])
-        scoped = target.where(cond)
+    staged, folder = _staged_source(source, keys, check_unique, path)
+    touched = staged.select(*partition_by).distinct()
+    if partitioned_exists(spark, path):
+        target = spark.read.option("mergeSchema", True).parquet(path)
+        # dynamic partition pruning restricts the scan to the touched partitions
+        names = {c: f"__touched{i}" for i, c in enumerate(partition_by)}
+        scoped = target.join(touched.select(*[F.col(c).alias(n) for c, n in names.items()]),
+                             [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()], "left_semi")
+        out = merged(scoped, staged, keys, newer_wins)
     else:
-        scoped = target.join(touched, [F.col(c).eqNullSafe(touched[c]) for c in partition_by], "left_semi")
-    out = merged(scoped, source, keys, newer_wins)
-    staged = fresh_dir(spark, "upsert-stage")
-    out.write.mode("overwrite").parquet(staged)
-    _write_text(spark, f"{path.rstrip('/')}/{_PENDING}", f"{staged}\n{','.join(partition_by)}\n")
+        out = staged
+    result = fresh_dir(spark, "upsert-stage")
+    out.write.mode("overwrite").parquet(result)
+    n = touched.count()
+    _write_text(spark, f"{path.rstrip('/')}/{_PENDING}", f"{result}\n{','.join(partition_by)}\n")
     recover_partitioned(spark, path)
-    fs.delete(_fs(spark, staged)[1], True)
-    return len(listed)
+    _remove(spark, result)
+    _remove(spark, folder)
+    return n
+
+
+def partitioned_exists(spark: SparkSession, path: str) -> bool:
+    """True when the folder holds data files, whatever markers a committer wrote.
+
+    The first write is staged and replayed like every other, so files can only be those
+    of a table; a write of something else that was cut short has left ``_temporary`` and
+    no marker, and then raises instead of guessing.
+    """
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return False
+    files = fs.listFiles(p, True)
+    data, pending = False, False
+    while files.hasNext():
+        parts = files.next().getPath().toString().split("/")
+        pending = pending or "_temporary" in parts
+        data = data or not any(x.startswith(("_", ".")) and "=" not in x for x in parts[len(p.toString().split("/")):])
+        if data and not pending and fs.exists(_fs(spark, f"{path.rstrip('/')}/_SUCCESS")[1]):
+            return True
+    if pending and not data:
+        raise RuntimeError(f"{path} holds an unfinished write and no data file; clear it before writing")
+    return data
 
 
 def compact_partitions(spark: SparkSession, path: str, partition_by: Sequence[str], where=None) -> int:
@@ -283,7 +325,8 @@ def compact_partitions(spark: SparkSession, path: str, partition_by: Sequence[st
     """
     from tidemark.session import fresh_dir
     recover_partitioned(spark, path)
-    df = spark.read.parquet(path)
+    # all columns of all files: the rewritten files must not lose those of later appends
+    df = spark.read.option("mergeSchema", True).parquet(path)
     if where is not None:
         df = df.where(where)
     staged = fresh_dir(spark, "compact-stage")

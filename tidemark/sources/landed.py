@@ -71,7 +71,11 @@ def read_price_csv(spark: SparkSession, path: str | Sequence[str], symbol_map: D
         df = df.join(checked_broadcast(m), on="__symbol", how="left")
     else:
         df = df.withColumn("ticker", F.col("__symbol"))
-    rows = df.where(F.col("Date").isNotNull() | F.col("_corrupt_record").isNotNull()).select(
+    # a row without a date is as unusable as one that does not parse
+    whole = F.concat_ws(",", "Date", "Open", "High", "Low", "Close", "Volume")
+    df = df.withColumn("_corrupt_record", F.coalesce("_corrupt_record", F.when(
+        F.col("Date").isNull() | (F.trim("Date") == ""), F.concat(F.lit("no date: "), whole))))
+    rows = df.select(
         "ticker", F.col("Date").alias("date"), F.col("Open").alias("open"), F.col("High").alias("high"),
         F.col("Low").alias("low"), F.col("Close").alias("close"), F.col("Volume").alias("volume"),
         "_corrupt_record", "landed_file")
@@ -167,10 +171,18 @@ def read_statement_json(spark: SparkSession, path: str | Sequence[str], multi_li
     """
     df = spark.read.option("multiLine", multi_line).json(path)
     if not df.columns or df.columns == ["_corrupt_record"]:
-        raise EmptyBatchError("records must be non-empty to build a DataFrame")
+        raise EmptyBatchError("the landed statement files hold no record")
     return df
 
 
+def statement_record_maps(df: DataFrame, body_col: str, keep: Sequence[str] = ()) -> DataFrame:
+    """JSON-array bodies -> one row per record, its fields as ``payload`` map<string,string>
+    (the literal text of each value). Every body is parsed once; bodies that are not arrays
+    yield no row."""
+    records = F.from_json(F.col(body_col), "array<map<string,string>>")
+    return df.select(*keep, F.posexplode(records).alias("record_pos", "payload"))
+
+
 def statement_records(df: DataFrame, body_col: str, keep: Sequence[str] = ()) -> DataFrame:
     """JSON-array bodies -> one row per record, the record kept as a VARIANT
     ``payload`` (stored natively by Parquet): a schema-free Bronze that needs

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tidemark.sinks.upsert import upsert
+from tidemark.sinks.upsert import upsert, upsert_partitions, vacuum
 
 WATERMARK = "1 day"
 BAR_WINDOW = "1 day"
@@ -65,19 +65,22 @@ def ticks_from_events(events: DataFrame) -> DataFrame:
 
 
 def daily_bars(ticks: DataFrame, watermark: str = WATERMARK, window: str = BAR_WINDOW) -> DataFrame:
-    """OHLCV per (ticker, day): open/close are the first/last price by event time."""
+    """OHLCV per (ticker, day): open/close are the first/last price by event time; equal
+    times are ordered by price and quantity."""
+    at = F.struct("ts", "price", "qty")
     t = ticks.withWatermark("ts", watermark) if ticks.isStreaming else ticks
     g = t.groupBy(F.window("ts", window).alias("w"), "ticker").agg(
-        F.min_by("price", "ts").alias("open"), F.max("price").alias("high"), F.min("price").alias("low"),
-        F.max_by("price", "ts").alias("close"), F.sum("qty").alias("volume"),
+        F.min_by("price", at).alias("open"), F.max("price").alias("high"), F.min("price").alias("low"),
+        F.max_by("price", at).alias("close"), F.sum("qty").alias("volume"),
         F.count(F.lit(1)).alias("n_ticks"))
     return g.select("ticker", F.to_date(F.col("w.start")).alias("date"), "open", "high", "low", "close",
                     "volume", "n_ticks")
 
 
 def latest_quotes(ticks: DataFrame) -> DataFrame:
-    """Current quote per ticker: the price at the latest event time."""
-    q = ticks.groupBy("ticker").agg(F.max_by(F.struct("price", "ts"), "ts").alias("q"))
+    """Current quote per ticker: the price at the latest event time (of equal times, the
+    highest price)."""
+    q = ticks.groupBy("ticker").agg(F.max(F.struct("ts", "price", "qty")).alias("q"))
     return q.select("ticker", F.col("q.price").alias("price"), F.col("q.ts").alias("quote_ts"))
 
 
@@ -92,15 +95,20 @@ def drop_alerts(bars: DataFrame, threshold: float) -> DataFrame:
 
 def upsert_sink(table_path: str, keys: Sequence[str],
                 transform: Callable[[DataFrame], DataFrame] | None = None,
-                writer: Callable[..., int] | None = None):
-    """A ``foreachBatch`` function merging each micro-batch into a table
-    (``writer`` defaults to the snapshot :func:`upsert`; pass e.g. a Lake's
-    upsert to merge into a managed layout)."""
+                writer: Callable[..., int] | None = None, partition_by: Sequence[str] = ()):
+    """A ``foreachBatch`` function merging each micro-batch into a table.
+
+    ``partition_by`` (part of the keys) rewrites only the partitions a batch touches;
+    without it each batch writes a snapshot and the two newest are kept, which suits
+    small tables. ``writer`` replaces both (e.g. a Lake's upsert)."""
     def run(batch: DataFrame, epoch_id: int) -> None:
         out = transform(batch) if transform else batch
         if not out.isEmpty():
-            if writer is None:
+            if writer is None and partition_by:
+                upsert_partitions(batch.sparkSession, out, table_path, keys, partition_by)
+            elif writer is None:
                 upsert(batch.sparkSession, out, table_path, keys)
+                vacuum(batch.sparkSession, table_path, keep=2)
             else:
                 writer(out)
     return run
@@ -110,7 +118,8 @@ def start_upsert_stream(df: DataFrame, table_path: str, keys: Sequence[str], che
                         transform: Callable[[DataFrame], DataFrame] | None = None,
                         available_now: bool = True, name: str | None = None,
                         state_partitions: int | None = None,
-                        writer: Callable[[DataFrame], int] | None = None) -> StreamingQuery:
+                        writer: Callable[[DataFrame], int] | None = None,
+                        partition_by: Sequence[str] = ()) -> StreamingQuery:
     """Run an aggregate stream in update mode into an upserted table.
 
     ``state_partitions`` sizes the state store (and its shuffle). Streaming
@@ -118,7 +127,7 @@ def start_upsert_stream(df: DataFrame, table_path: str, keys: Sequence[str], che
     and keeps it in the checkpoint; AQE does not resize it. Size it to the
     state (tickers x open windows), not to the input.
     """
-    w = (df.writeStream.outputMode("update").foreachBatch(upsert_sink(table_path, keys, transform, writer))
+    w = (df.writeStream.outputMode("update").foreachBatch(upsert_sink(table_path, keys, transform, writer, partition_by))
          .option("checkpointLocation", checkpoint))
     if name:
         w = w.queryName(name)
