@@ -436,6 +436,54 @@ def upsert_partitioned(spark: SparkSession, sf: str) -> DataFrame:
     return read_partitioned(spark, path)
 
 
+@query
+def upsert_many_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """An increment that touches every day of the order history (over a
+    thousand partitions): finished orders are updated, pending ones inserted."""
+    from tidemark.session import fresh_dir
+    from tidemark.sinks.upsert import read_partitioned, upsert_partitions
+    path = fresh_dir(spark, "tables", "orders_by_day")
+    o = d.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice",
+                                            F.to_date("o_orderdate").alias("day"))
+    upsert_partitions(spark, o.where(F.col("o_orderstatus") != "P"), path, ["o_orderkey", "day"], ["day"])
+    more = o.where(F.col("o_orderstatus") != "O").withColumn("o_totalprice", F.col("o_totalprice") + F.lit(1.0))
+    upsert_partitions(spark, more, path, ["o_orderkey", "day"], ["day"])
+    return read_partitioned(spark, path)
+
+
+@query
+def compact_evolved(spark: SparkSession, sf: str) -> DataFrame:
+    """Two appends, the second with one more column, compacted in place."""
+    from tidemark.session import fresh_dir
+    from tidemark.sinks.tables import append, read_appended
+    from tidemark.sinks.upsert import compact_partitions
+    path = fresh_dir(spark, "tables", "bronze_compacted")
+    day = F.to_date("retrieved_at")
+    append(_bronze_run(spark, sf, d.RUN1_AT).withColumn("day", day), path, ["day"])
+    append(_bronze_run(spark, sf, d.RUN2_AT).withColumn("adj_close", F.col("close") * F.lit(0.5)).withColumn("day", day),
+           path, ["day"])
+    compact_partitions(spark, path, ["day"])
+    return read_appended(spark, path).drop("day")
+
+
+@query
+def append_type_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """A metric that one run infers as whole numbers and the next as fractions,
+    and one that is empty at first, stay readable in one table."""
+    from tidemark.session import fresh_dir
+    from tidemark.sinks.tables import append, read_appended
+    path = fresh_dir(spark, "tables", "bronze_drift")
+    o = d.table(spark, sf, "orders")
+    metrics = ["revenue", "margin"]
+    append(o.select("o_orderkey", F.col("o_custkey").alias("revenue"), F.lit(1).alias("run")), path,
+           numbers_as_double=metrics)
+    append(o.select("o_orderkey", F.col("o_totalprice").alias("revenue"), F.lit(2).alias("run"),
+                    F.col("o_custkey").alias("margin")), path, numbers_as_double=metrics)
+    append(o.select("o_orderkey", F.lit(None).cast("string").alias("revenue"), F.lit(3).alias("run"),
+                    (F.col("o_totalprice") / 2).alias("margin")), path, numbers_as_double=metrics)
+    return read_appended(spark, path)
+
+
 # ---- reconciliation --------------------------------------------------------------------
 
 def _price_layers(spark, sf):
@@ -665,6 +713,51 @@ def merge_batch_stream(spark: SparkSession, sf: str) -> DataFrame:
     return dedup.merge_with_precedence([(batch, 1), (stream, 2)], ["ticker", "date"])
 
 
+# ---- reference tables and batch guards ---------------------------------------------------
+
+@query
+def reference_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """The ticker reference table written as a JSON file from ``customer``, read back
+    and used as a lookup."""
+    from tidemark.session import fresh_dir
+    path = fresh_dir(spark, "reference", "tickers")
+    d.tickers(spark, sf).write.json(path)
+    ref = spark.read.schema("ticker string, stooq_symbol string, fmp_symbol string, company_name string, "
+                            "currency string").json(path)
+    p = standardize.standardize_prices(d.bronze_prices(spark, sf)).select("ticker", "date", "close")
+    return add_currency_column(p, ref)
+
+
+@query
+def empty_batch_guard(spark: SparkSession, sf: str) -> DataFrame:
+    """Per event type, whether a batch of its rows with a negative value is refused as empty."""
+    from tidemark.sources.landed import EmptyBatchError, require_rows
+    p = d.bronze_prices(spark, sf)
+    out = None
+    for kind in ("click", "view", "purchase", "signup", "error"):
+        batch = p.where((F.col("source") == kind) & (F.col("close") < 0))
+        try:
+            require_rows(batch, kind)
+            refused = False
+        except EmptyBatchError:
+            refused = True
+        row = p.where(F.col("source") == kind).agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(kind).alias("source"), "n_rows", F.lit(refused).alias("refused"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query
+def union_widened(spark: SparkSession, sf: str) -> DataFrame:
+    """Inputs whose common column has clashing types are widened before the union."""
+    from tidemark.operators.union import union_all_by_name
+    c = d.table(spark, sf, "customer").select(F.col("c_name").alias("name"), F.col("c_nationkey").alias("amount"))
+    s = d.table(spark, sf, "supplier").select(F.col("s_name").alias("name"), F.col("s_acctbal").alias("amount"))
+    p = d.table(spark, sf, "part").select(F.col("p_name").alias("name"), F.col("p_partkey").alias("amount"),
+                                          F.col("p_size").alias("size"))
+    return union_all_by_name([c, s, p])
+
+
 # ---- streaming (file stream over the events table, availableNow) ------------------------
 
 def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -706,6 +799,24 @@ def stream_ohlcv_daily(spark: SparkSession, sf: str) -> DataFrame:
     return _run_bars(spark, sf)
 
 
+@query
+def stream_ohlcv_multibatch(spark: SparkSession, sf: str) -> DataFrame:
+    """B12 over several micro-batches: the ticks are landed as four files in time order and
+    read one file a batch, so bars are merged across batches; result = batch result."""
+    from tidemark.session import fresh_dir
+    from tidemark.sinks.upsert import read_current
+    from tidemark.streaming.prices import daily_bars, file_stream, start_upsert_stream, ticks_from_events
+    base = fresh_dir(spark, "streams", "daily_bars_multi")
+    ev = d.table(spark, sf, "events")
+    # a file holds a stretch of time, so no tick comes later than the watermark allows
+    ev.repartitionByRange(4, "ts").sortWithinPartitions("ts").write.parquet(f"{base}/landing")
+    stream = file_stream(spark, f"{base}/landing", ev.schema, max_files_per_trigger=1)
+    start_upsert_stream(daily_bars(ticks_from_events(stream), watermark="3650 days"), f"{base}/table",
+                        ["ticker", "date"], f"{base}/checkpoint",
+                        state_partitions=_state_partitions(spark)).awaitTermination()
+    return read_current(spark, f"{base}/table")
+
+
 @query
 def latest_quote(spark: SparkSession, sf: str) -> DataFrame:
     """Current quote per ticker, maintained by a streaming aggregate."""

@@ -482,3 +482,25 @@ W AS (SELECT field, coalesce(sum(n) FILTER (WHERE batch = 'b1'), 0) AS old_n,
              coalesce(sum(n) FILTER (WHERE batch = 'b2'), 0) AS new_n FROM L GROUP BY field)
 SELECT field, CASE WHEN old_n = 0 AND new_n > 0 THEN 'added' ELSE 'removed' END AS change
 FROM W WHERE (old_n = 0 AND new_n > 0) OR (old_n > 0 AND new_n = 0)"""
+
+ORACLE_SQL["upsert_many_partitions"] = """
+WITH O AS (SELECT o_orderkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS day FROM orders),
+T AS (SELECT * FROM O WHERE o_orderstatus <> 'P'),
+S AS (SELECT * REPLACE (o_totalprice + 1.0 AS o_totalprice) FROM O WHERE o_orderstatus <> 'O')
+SELECT T.* FROM T ANTI JOIN S USING (o_orderkey, day) UNION ALL SELECT * FROM S"""
+ORACLE_SQL["compact_evolved"] = ORACLE_SQL["append_schema_evolution"]
+ORACLE_SQL["append_type_drift"] = """
+SELECT o_orderkey, CAST(o_custkey AS DOUBLE) AS revenue, CAST(1 AS INTEGER) AS run, CAST(NULL AS DOUBLE) AS margin
+FROM orders
+UNION ALL SELECT o_orderkey, o_totalprice, 2, CAST(o_custkey AS DOUBLE) FROM orders
+UNION ALL SELECT o_orderkey, NULL, 3, o_totalprice / 2 FROM orders"""
+ORACLE_SQL["reference_labels"] = ORACLE_SQL["lookup_left_join"]
+ORACLE_SQL["empty_batch_guard"] = f"""WITH {E},
+K(source) AS (VALUES ('click'), ('view'), ('purchase'), ('signup'), ('error'))
+SELECT K.source, count(E.source) AS n_rows, count(CASE WHEN E.close < 0 THEN 1 END) = 0 AS refused
+FROM K LEFT JOIN E USING (source) GROUP BY 1"""
+ORACLE_SQL["union_widened"] = """
+SELECT c_name AS name, CAST(c_nationkey AS DOUBLE) AS amount, CAST(NULL AS INTEGER) AS size FROM customer
+UNION ALL SELECT s_name, s_acctbal, NULL FROM supplier
+UNION ALL SELECT p_name, CAST(p_partkey AS DOUBLE), CAST(p_size AS INTEGER) FROM part"""
+ORACLE_SQL["stream_ohlcv_multibatch"] = ORACLE_SQL["stream_ohlcv_daily"]
