@@ -224,15 +224,41 @@ def csv_price_ingest(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def csv_header_check(spark: SparkSession, sf: str) -> DataFrame:
-    """One landed CSV per supplier; files of suppliers in debt carry a
-    lower-case header that the contract rejects."""
-    from tidemark.schemas import EXPECTED_PRICE_CSV_HEADER
-    from tidemark.sources.landed import csv_header_status
-    s = d.table(spark, sf, "supplier")
-    good = ",".join(EXPECTED_PRICE_CSV_HEADER)
-    files = s.select(F.concat(F.lit("landing/prices/"), F.col("s_name"), F.lit(".csv")).alias("file_path"),
-                     F.when(F.col("s_acctbal") < 0, F.lit(good.lower())).otherwise(F.lit(good)).alias("first_line"))
-    return csv_header_status(files)
+    """The first line of every landed price file against the contract's header."""
+    from tidemark.session import fresh_dir
+    from tidemark.sources.landed import csv_header_status, file_stem, first_lines
+    landing = d.land_price_csv(spark, sf, fresh_dir(spark, "landing", "prices"))
+    return csv_header_status(first_lines(spark, landing)).select(
+        file_stem(F.col("file_path")).alias("symbol"), "first_line", "header_ok")
+
+
+def _ingested_prices(spark: SparkSession, sf: str):
+    from tidemark.jobs.bronze import ingest_prices
+    from tidemark.jobs.lake import Lake
+    from tidemark.session import fresh_dir
+    base = fresh_dir(spark, "landing", "prices")
+    lake = Lake(f"{base}/lake")
+    ingest_prices(spark, lake, d.land_price_csv(spark, sf, base), d.symbol_map(spark, sf),
+                  F.to_timestamp_ntz(F.lit(d.RUN1_AT)))
+    return lake
+
+
+@query
+def csv_files_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """The Bronze job over landed CSV files with wrong headers, blank lines, blank
+    dates, cut rows, broken rules and unknown symbols; the accepted rows."""
+    return _ingested_prices(spark, sf).read_bronze(spark, "bronze_stooq_prices")
+
+
+@query
+def bronze_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """What the same job accepts and quarantines, by reason; together all landed rows."""
+    from tidemark.sinks.tables import read_appended
+    lake = _ingested_prices(spark, sf)
+    bad = read_appended(spark, lake.path("bronze_stooq_prices_quarantine"))
+    return (bad.select(F.split_part("reject_reason", F.lit(":"), F.lit(1)).alias("outcome"))
+            .unionByName(lake.read_bronze(spark, "bronze_stooq_prices").select(F.lit("accepted").alias("outcome")))
+            .groupBy("outcome").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
 @query

@@ -133,3 +133,45 @@ def statement_payload(df: DataFrame) -> DataFrame:
                                              F.lit(None).cast("string").alias("note")),
                                     {"ignoreNullFields": "false"}))
     return df.select("event_id", "event_type", body.alias("payload"))
+
+
+def land_price_csv(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """Events as landed price files ``<folder>/<symbol>.csv``, one symbol per nation.
+
+    Every fifth symbol's file has a lower-case header. Of twenty rows one has no date, one
+    is cut after two fields, one is a blank line and one has its high below its low.
+    """
+    from tidemark.schemas import EXPECTED_PRICE_CSV_HEADER
+    from tidemark.sinks.upsert import _fs
+    key = F.col("user_id") % 25
+    day = F.date_format("ts", "yyyy-MM-dd")
+    v = F.col("value")
+    kind = F.col("event_id") % 20
+    high = F.when(kind == 3, v - 5.0).otherwise(v + 1.0)
+    full = F.concat_ws(",", F.when(kind == 0, "").otherwise(day), v, high, v - 1.0, v, F.lit(10))
+    line = F.when(kind == 1, F.concat_ws(",", day, v)).when(kind == 2, "").otherwise(full)
+    rows = table(spark, sf_dir, "events").select(key.alias("key"), F.col("event_id").alias("ord"), line.alias("line"))
+    header = ",".join(EXPECTED_PRICE_CSV_HEADER)
+    heads = table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").cast("long").alias("key"), F.lit(-1).cast("long").alias("ord"),
+        F.when(F.col("n_nationkey") % 5 == 0, header.lower()).otherwise(header).alias("line"))
+    (rows.unionByName(heads).withColumn("symbol", F.concat(F.lit("s"), F.col("key").cast("string")))
+     .repartition(25, "symbol").sortWithinPartitions("symbol", "ord").select("symbol", "line")
+     .write.partitionBy("symbol").text(f"{folder}/parts"))
+    fs, root = _fs(spark, f"{folder}/parts")
+    _, landing = _fs(spark, f"{folder}/landing")
+    fs.mkdirs(landing)
+    for d in fs.listStatus(root):  # one folder a nation; the contract names files by symbol
+        name = d.getPath().getName()
+        if name.startswith("symbol="):
+            for f in fs.listStatus(d.getPath()):
+                if f.getPath().getName().startswith("part-"):
+                    fs.rename(f.getPath(), _fs(spark, f"{folder}/landing/{name[7:]}.csv")[1])
+    return f"{folder}/landing"
+
+
+def symbol_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tickers of the landed symbols; every seventh symbol from the third on is unknown."""
+    n = table(spark, sf_dir, "nation").where(F.col("n_nationkey") % 7 != 3)
+    key = F.col("n_nationkey").cast("string")
+    return n.select(F.concat(F.lit("N"), key).alias("ticker"), F.concat(F.lit("s"), key).alias("stooq_symbol"))

@@ -168,11 +168,24 @@ SELECT 'P' || CAST(l_partkey AS VARCHAR) AS ticker, strftime(l_shipdate, '%Y-%m-
 FROM lineitem"""
 
 ORACLE_SQL["csv_header_check"] = """
-SELECT 'landing/prices/' || s_name || '.csv' AS file_path,
-       CASE WHEN s_acctbal < 0 THEN 'date,open,high,low,close,volume' ELSE 'Date,Open,High,Low,Close,Volume' END
-         AS first_line,
-       s_acctbal >= 0 AS header_ok
-FROM supplier"""
+SELECT 's' || CAST(n_nationkey AS VARCHAR) AS symbol,
+       CASE WHEN n_nationkey % 5 = 0 THEN 'date,open,high,low,close,volume' ELSE 'Date,Open,High,Low,Close,Volume' END
+         AS first_line, n_nationkey % 5 <> 0 AS header_ok
+FROM nation"""
+_LANDED = """L AS (SELECT user_id % 25 AS key, event_id % 20 AS kind, strftime(ts, '%Y-%m-%d') AS date, value FROM events
+  WHERE event_id % 20 <> 2),
+R AS (SELECT *, CASE WHEN key % 5 = 0 THEN 'header' WHEN kind IN (0, 1) THEN 'row does not parse'
+                     WHEN key % 7 = 3 THEN 'unknown symbol' WHEN kind = 3 THEN 'rules' ELSE 'accepted' END AS outcome
+      FROM L)"""
+ORACLE_SQL["csv_files_ingest"] = f"""WITH {_LANDED}
+SELECT 'N' || CAST(key AS VARCHAR) AS ticker, date, value AS open, value + 1.0 AS high, value - 1.0 AS low,
+       value AS close, CAST(10 AS BIGINT) AS volume, 'stooq' AS source, TIMESTAMP '2024-02-01 06:00:00' AS retrieved_at
+FROM R WHERE outcome = 'accepted'"""
+# a file that holds a wrong header and no row is one entry of its own
+ORACLE_SQL["bronze_quarantine"] = f"""WITH {_LANDED}
+SELECT outcome, count(*) AS n_rows
+FROM (SELECT outcome FROM R UNION ALL
+      SELECT 'header' FROM nation WHERE n_nationkey % 5 = 0 AND n_nationkey NOT IN (SELECT key FROM L)) GROUP BY 1"""
 
 
 def _status(body: str, expect: str) -> str:
