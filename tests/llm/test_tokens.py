@@ -10,7 +10,7 @@ import pytest
 from llm_helpers import odd_frame, odd_rows, small_docs  # noqa: F401
 from tokenizers import Tokenizer
 
-from tidemark.llm.bpe import BARE_PIECE, SPACED_PIECE, PieceEncoder, library_ids, special_tokens
+from tidemark.llm.bpe import BARE_PIECE, SPACED_PIECE, PieceEncoder, WordIds, is_word_tokenizer, library_ids, special_tokens
 from tidemark.llm.op4_warc_derivatives import (
     BadRecord, derivatives, digest, page_text, parse_record, read_warc, response_record, write_warc)
 from tidemark.llm.op6_transducer_bpe import encode_decode, tokenizer_path
@@ -34,6 +34,21 @@ def test_pieces_equal_the_library(path, pattern, small_docs):
     assert flat.tolist() == [i for w in want for i in w]
 
 
+def test_word_ids_equal_the_library(small_docs):
+    with open(WORD, encoding="utf-8") as f:
+        assert is_word_tokenizer(json.load(f))
+    with open(BYTE, encoding="utf-8") as f:
+        assert not is_word_tokenizer(json.load(f))
+    tok = Tokenizer.from_file(WORD)
+    enc = PieceEncoder(BARE_PIECE, special_tokens(tok), WordIds(tok))
+    rare = ["ÀÉÎÕÜ ÿ×÷ ß ẞ ΑΣ Σ ŠžǄ 'S 'RE it'S I'LL d'D 1a2 ½² a_b __ --x!! ªº µ \u0130x e\u0301 \ufb01", "'re're'x", "é" * 50]
+    texts = HARD + rare + [t for _, t in small_docs]
+    flat, n = enc.encode(texts)
+    want = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert n.tolist() == [len(w) for w in want]
+    assert flat.tolist() == [i for w in want for i in w]
+
+
 def test_transducer(tmp_path):
     entries = {w.encode(): [k, len(w)] * (k % 3) for k, w in enumerate(["", "a", "ab", "abc", "b", "bc", "xabc", "xbc", "talking",
                                                                        "walking", "walked", "talked", "été"])}

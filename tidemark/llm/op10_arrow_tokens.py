@@ -9,6 +9,7 @@ documents; a manifest table lists them with the ids before each.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -18,7 +19,8 @@ import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm.bpe import BARE_PIECE, PieceEncoder, library_ids, load_tokenizer, special_tokens
+from tidemark.llm.bpe import (
+    BARE_PIECE, PieceEncoder, WordIds, is_word_tokenizer, library_ids, load_tokenizer, special_tokens)
 from tidemark.llm.common import RID, restore_ids, store, table, text_chunks, with_row_ids
 from tidemark.llm.op6_transducer_bpe import tokenizer_path
 from tidemark.session import fresh_dir
@@ -125,7 +127,8 @@ _MANIFEST = pa.schema([("name", pa.string()), ("first_id", pa.int64()), ("n_docs
 def _write_task(spec: str, folder: str, end_id: int, length: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = load_tokenizer(spec)
-        encoder = PieceEncoder(BARE_PIECE, special_tokens(tok), library_ids(tok))
+        ids_of = WordIds(tok) if is_word_tokenizer(json.loads(spec)) else library_ids(tok)
+        encoder = PieceEncoder(BARE_PIECE, special_tokens(tok), ids_of)
         top = max(end_id, max(tok.get_vocab(with_added_tokens=True).values()))
         dtype = np.dtype("<u2") if top < 1 << 16 else np.dtype("<u4")
         at = TaskContext.get()

@@ -21,7 +21,8 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.bpe import SPACED_PIECE, PieceEncoder, library_ids, load_tokenizer, ranges, special_tokens
+from tidemark.llm.bpe import (
+    SPACED_PIECE, PieceEncoder, byte_of_char, library_ids, load_tokenizer, ranges, special_tokens)
 from tidemark.llm.common import RID, restore_ids, table, text_chunks, with_row_ids
 from tidemark.llm.transducer import Transducer, build
 
@@ -72,14 +73,6 @@ def compile_lexicon(spark: SparkSession, spec: str, pieces: list[bytes]) -> str:
     return name
 
 
-def byte_of_char() -> dict[str, int]:
-    """The byte that each printable stand-in character of byte-level vocabularies means."""
-    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
-    out = {chr(b): b for b in own}
-    rest = [b for b in range(256) if b not in set(own)]
-    return out | {chr(256 + k): b for k, b in enumerate(rest)}
-
-
 def token_bytes(tok) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(all tokens' bytes, first byte of each id, length of each id)"""
     chars = byte_of_char()
