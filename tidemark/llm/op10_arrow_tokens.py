@@ -1,7 +1,7 @@
 """Token ids in Arrow files of equal-length sequences.
 
 Every file is an Arrow IPC file whose record batches hold two fixed-size lists, ``ids``
-and ``mask`` (1 for a token, 0 for padding at a file's end), so sequence ``i`` is at a
+and ``mask`` (one bit: token, or padding at a file's end), so sequence ``i`` is at a
 computable offset of a memory-mapped file and is read without a copy. A second IPC file,
 ``.docs.arrow``, says where each document lies. Files cover ascending, disjoint ranges of
 documents; a manifest table lists them with the ids before each.
@@ -46,7 +46,7 @@ class SequenceWriter:
         self._temp = f"{root}/.{name}.{attempt}"
         kind = pa.from_numpy_dtype(dtype)
         self._schema = pa.schema([("ids", pa.list_(pa.field("item", kind, nullable=False), length)),
-                                  ("mask", pa.list_(pa.field("item", pa.uint8(), nullable=False), length))],
+                                  ("mask", pa.list_(pa.field("item", pa.bool_(), nullable=False), length))],
                                  metadata={"sequence_length": str(length)})
         self._kind, self._length, self._dtype = kind, length, dtype
         self._sink = self._fs.open_output_stream(self._temp + ".arrow")
@@ -67,9 +67,9 @@ class SequenceWriter:
         cut = rows * self._length
         self._held, self._n = [flat[cut:]], max(0, len(flat) - cut)
         used = min(len(flat), cut)
-        ids, mask = np.zeros(cut, dtype=self._dtype), np.zeros(cut, dtype=np.uint8)
+        ids, mask = np.zeros(cut, dtype=self._dtype), np.zeros(cut, dtype=bool)
         ids[:used] = flat[:used]
-        mask[:used] = 1
+        mask[:used] = True
         for at in range(0, rows, BATCH):
             s = slice(at * self._length, min(rows, at + BATCH) * self._length)
             cols = [pa.FixedSizeListArray.from_arrays(pa.array(x[s]), type=self._schema.field(k).type)
@@ -106,9 +106,9 @@ class SequenceFile:
         self.batches = self._file.num_record_batches
 
     def batch(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, mask) of a record batch as flat arrays over the file's own memory."""
+        """(ids, mask) of a record batch as flat arrays: ids over the file's own memory, the mask's bits unpacked."""
         b = self._file.get_batch(k)
-        return b.column(0).flatten().to_numpy(zero_copy_only=True), b.column(1).flatten().to_numpy(zero_copy_only=True)
+        return b.column(0).flatten().to_numpy(zero_copy_only=True), b.column(1).flatten().to_numpy(zero_copy_only=False)
 
     def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
         k, r = divmod(i, BATCH)
