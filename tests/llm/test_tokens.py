@@ -80,6 +80,13 @@ def test_bpe_round_trip(spark, small_docs, words):
         assert r.decoded_sha256 == hashlib.sha256(back.encode()).hexdigest()
 
 
+def test_lexicon_takes_whole_classes_that_fit(spark):
+    from tidemark.llm.op6_transducer_bpe import lexicon
+    docs = spark.createDataFrame([(1, "a" + " b" * 64 + " c" * 64 + " d" * 8 + " e f")], "doc_id long, text string")
+    assert lexicon(docs, 1) == [] and lexicon(docs, 2) == [b" b", b" c"] and lexicon(docs, 9) == [b" b", b" c", b" d"]
+    assert lexicon(docs.limit(0), 9) == []
+
+
 def test_bpe_odd_rows(spark):
     df = odd_frame(spark, "some passage")
     got = encode_decode(df, BYTE).collect()

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import (
     SPACED_PIECE, PieceEncoder, byte_of_char, library_ids, load_tokenizer, ranges, special_tokens)
-from tidemark.llm.common import RID, restore_ids, table, text_chunks, with_row_ids
+from tidemark.llm.common import RID, restore_ids, store, table, text_chunks, with_row_ids
 from tidemark.llm.transducer import Transducer, build
 
 #: words in the lexicon; it bounds what the driver gathers and what tasks map
@@ -53,10 +53,24 @@ def _count_task():
 
 
 def lexicon(docs: DataFrame, words: int = LEXICON_WORDS) -> list[bytes]:
-    """The most frequent pieces of all texts of ``docs`` (id, text); ties in byte order."""
+    """The most frequent pieces of all texts of ``docs`` (id, text): at most ``words`` of them.
+
+    Pieces are taken by whole classes of frequency (16 to a doubling), from the highest
+    down, as long as they fit, so the driver receives the class sizes and the chosen
+    pieces only, however many tasks counted.
+    """
     counts = docs.mapInArrow(_count_task(), "piece binary, n long").groupBy("piece").agg(F.sum("n").alias("n"))
-    top = counts.filter("n > 1").orderBy(F.desc("n"), "piece").limit(words)
-    return [bytes(r["piece"]) for r in top.select("piece").collect()]
+    level = F.floor(F.log2("n") * 16).cast("int")
+    frequent = store(counts.filter("n > 1").select("piece", level.alias("level")), "piece_levels")
+    sizes = sorted(((r["level"], r["count"]) for r in frequent.groupBy("level").count().collect()), reverse=True)
+    total, lowest = 0, None
+    for at, size in sizes:  # at most 16 * 63 classes
+        if total + size > words:
+            break
+        total, lowest = total + size, at
+    if lowest is None:
+        return []
+    return sorted(bytes(r["piece"]) for r in frequent.filter(F.col("level") >= lowest).select("piece").collect())
 
 
 def compile_lexicon(spark: SparkSession, spec: str, pieces: list[bytes]) -> str:
