@@ -50,7 +50,7 @@ def main() -> None:
     names = only or list(qs)
 
     # warm-up (JIT, class loading): every query once on the smallest tables, not
-    # timed. Check results are memoised per input files, so nothing carries over.
+    # timed
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
     if os.path.isdir(warm_dir) and os.path.abspath(warm_dir) != os.path.abspath(sf_dir):
         for name in names:
