@@ -5,6 +5,9 @@ import random
 import brute
 from llm_helpers import odd_frame, odd_rows, small_docs  # noqa: F401
 
+from pyspark.sql import functions as F
+
+from tidemark.llm import op7_fuzzy_lines as op7
 from tidemark.llm.components import components
 from tidemark.llm.op2_bayes_minhash import BATCH, HASHES, least_matches, near_duplicates
 from tidemark.llm.op7_fuzzy_lines import apply_lines, dedup_lines
@@ -110,3 +113,14 @@ def test_lines_keep_other_columns_and_null_texts(spark):
     out = apply_lines(rows)
     assert out.where("text is null").count() == 2
     assert {"key", "rid", "n_tokens"} <= set(out.columns)
+
+
+def test_lines_in_a_bucket_of_many_families(spark, monkeypatch):
+    rnd = random.Random(5)
+    families = ["".join(rnd.choice("abcdefghij ") for _ in range(60)) for _ in range(50)]
+    docs = [(k * 3 + j, f"{f}{'xyz'[j]}") for k, f in enumerate(families) for j in range(3)]
+    # all lines in one bucket, which is dealt in several blocks
+    monkeypatch.setattr(op7, "BLOCK", 20)
+    signed = op7._bands
+    monkeypatch.setattr(op7, "_bands", lambda lines: signed(lines).withColumn("bands", F.array(F.lit(1).cast("long"))))
+    check_lines(spark, docs)
