@@ -124,3 +124,13 @@ def test_lines_in_a_bucket_of_many_families(spark, monkeypatch):
     signed = op7._bands
     monkeypatch.setattr(op7, "_bands", lambda lines: signed(lines).withColumn("bands", F.array(F.lit(1).cast("long"))))
     check_lines(spark, docs)
+
+
+def test_lines_without_spaces(spark):
+    rnd = random.Random(6)
+    # one other character at the beginning, or only the beginning in common
+    tails = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz0123456789/-") for _ in range(90)) for _ in range(40)]
+    docs = [(2 * k + j, f"https://ww{'wv'[j]}.{t}") for k, t in enumerate(tails) for j in range(2)]
+    han = ["".join(chr(0x4E00 + rnd.randrange(3000)) for _ in range(60)) for _ in range(20)]
+    docs += [(1000 + 2 * k + j, f"{'甲乙'[j]}{t}") for k, t in enumerate(han) for j in range(2)]
+    check_lines(spark, docs)
