@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import op7_fuzzy_lines as op7
 from tidemark.llm.components import components
 from tidemark.llm.op2_bayes_minhash import BATCH, HASHES, least_matches, near_duplicates
-from tidemark.llm.op7_fuzzy_lines import apply_lines, dedup_lines
+from tidemark.llm.op7_fuzzy_lines import AGREEING, BANDS, ROWS, apply_lines, dedup_lines
 from tidemark.llm.common import with_row_ids
 
 TEXT = " ".join(f"w{i}" for i in range(80))
@@ -134,3 +134,20 @@ def test_lines_without_spaces(spark):
     han = ["".join(chr(0x4E00 + rnd.randrange(3000)) for _ in range(60)) for _ in range(20)]
     docs += [(1000 + 2 * k + j, f"{'甲乙'[j]}{t}") for k, t in enumerate(han) for j in range(2)]
     check_lines(spark, docs)
+
+
+def test_lines_near_the_threshold(spark):
+    rnd = random.Random(7)
+    docs, n = [], 0
+    while n < 600:  # pairs of similarity 0.80 to 0.85, no chains
+        line = " ".join("".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randrange(2, 9)))
+                        for _ in range(rnd.randrange(8, 36)))
+        other = list(line)
+        for _ in range(max(1, len(line) // 45)):
+            other[rnd.randrange(len(line))] = "#"
+        a, b = ({x[i:i + 5] for i in range(len(x) - 4)} for x in (line, "".join(other)))
+        if 0.80 <= len(a & b) / len(a | b) < 0.85:
+            docs += [(n, line), (n + 1, "".join(other))]
+            n += 2
+    assert BANDS * ROWS > AGREEING and (1 - 0.8 ** ROWS) ** BANDS < 1e-3
+    check_lines(spark, docs, missed=2)  # 300 pairs at 8e-4 or less: 0.24 expected
