@@ -80,6 +80,18 @@ def test_decontamination(spark):
     assert contaminated(docs.limit(0), bench).count() == 0 and contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_of_passages_with_few_literals(spark):
+    items = {1: "12 + 7 = 19 and 30 - 4 = 26 , 8 x 3 = 24", 2: "Paris London Rome Berlin Madrid Vienna Lisbon Dublin Athens Oslo",
+             3: "Der Hund und die Katze des Nachbarn schlafen im Garten unter dem Baum der Tante",
+             4: "Which Planet Is Closest"}
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    docs = spark.createDataFrame([(1, "so " + items[1]), (2, "visit " + items[2]), (3, "x " + items[3].lower()),
+                                  (4, "Q: " + items[4] + " to us"), (5, "X " + items[3].upper()), (6, items[2].lower())],
+                                 "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in contaminated(docs, bench).collect()}
+    assert got == {(1, 1), (2, 2), (3, 3), (4, 4), (5, 3), (6, 2)}
+
+
 def test_decontamination_on_test_data(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")

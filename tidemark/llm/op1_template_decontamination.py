@@ -40,6 +40,8 @@ hour hours day days week weeks month months year years cent cents dollar dollars
 degrees mph kph watt watts volt volts meter meters metre metres kilometer kilometers kilometre kilometres""".split())
 
 LITERAL, NUMBER, UNIT, NAME = 0, 1, 2, 3
+#: forms of a window: template with names, template with names as plain words, exact tokens
+NAMED, FOLDED, EXACT = 0, 1, 2
 _PLACE = np.array([0, 0x5151515151515151, 0x6262626262626262, 0x7373737373737373], dtype=np.uint64)
 _NUMERIC = frozenset("0123456789.,/:%$€£+-")
 _EDGE = "\"'`.,;:!?()[]{}<>«»“”‘’„…*_|"
@@ -84,31 +86,47 @@ class Canonical:
         kind, code = np.array(words.kind, dtype=np.int8)[no], np.array(words.hash, dtype=np.uint64)[no]
         begins = np.ones(len(no), dtype=bool)
         begins[1:] = np.array(words.ends, dtype=bool)[no[:-1]] | (doc[1:] != doc[:-1])
-        kind = np.where((kind == NAME) & begins, LITERAL, kind)
         real = code != 0  # bare punctuation is no token
-        self.no, self.doc, self.kind = no[real], doc[real], kind[real]
-        self.code = mix64(np.where(self.kind == LITERAL, code[real], _PLACE[self.kind]))
+        self.no, self.doc, kind, code = no[real], doc[real], kind[real], code[real]
+        named = np.where((kind == NAME) & begins[real], LITERAL, kind)
+        # the classes without names depend on neither case nor sentence
+        self.kinds = {NAMED: named, FOLDED: np.where(kind == NAME, LITERAL, kind)}
+        self.kinds[EXACT] = self.kinds[FOLDED]
+        self.codes = {f: mix64(np.where(self.kinds[f] == LITERAL, code, _PLACE[self.kinds[f]])) for f in (NAMED, FOLDED)}
+        self.codes[EXACT] = mix64(code)
         self.size = np.bincount(self.doc, minlength=len(texts))
         self.first = np.cumsum(self.size) - self.size
 
-    def windows(self, length: int, literals: int) -> tuple[np.ndarray, np.ndarray]:
-        """(start, hash) of the windows with enough literal tokens."""
-        n = len(self.code) - length + 1
+        self._hash = {f: WindowHash(c) for f, c in self.codes.items()}
+
+    def windows(self, length: int, literals: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(form, starts, hashes) of all windows.
+
+        A window has a template with names and, where it holds names, one without, if enough
+        tokens are literal; if even without names too few are, it has its exact tokens.
+        """
+        n = len(self.no) - length + 1
         if n <= 0:
-            z = np.zeros(0, dtype=np.int64)
-            return z, z.astype(np.uint64)
+            return
         start = np.flatnonzero(self.doc[:n] == self.doc[length - 1:])
-        lit = np.append(0, np.cumsum(self.kind == LITERAL))
-        start = start[lit[start + length] - lit[start] >= literals]
-        return start, WindowHash(self.code)(start, start + length)
-
-    def template(self, at: int, length: int, words: _Words) -> tuple[str, list[dict]]:
-        """The window's template as text, and its slots in order."""
-        out, slots = [], []
+        count = {}
+        for f in (NAMED, FOLDED):
+            lit = np.append(0, np.cumsum(self.kinds[f] == LITERAL))
+            count[f] = lit[start + length] - lit[start]
+        chosen = {NAMED: count[NAMED] >= literals, FOLDED: (count[FOLDED] >= literals) & (count[FOLDED] > count[NAMED]),
+                  EXACT: count[FOLDED] < literals}
+        for f, some in chosen.items():
+            own = start[some]
+            if len(own):
+                yield f, own, self._hash[f](own, own + length)
+
+    def template(self, form: int, at: int, length: int, words: _Words) -> tuple[str, list[dict]]:
+        """The window's template, or exact tokens, as text, and its slots in order."""
+        out, slots = ["="] if form == EXACT else [], []
         for i in range(at, at + length):
-            k = int(self.kind[i])
+            k = int(self.kinds[form][i])
             plain = words.plain[self.no[i]]
-            out.append(("", "<number>", "<unit>", "<name>")[k] or plain)
+            out.append(("", "<number>", "<unit>", "<name>")[k] if k and form != EXACT else plain)
             if k:
                 slots.append({"kind": k, "value": plain})
         return " ".join(out), slots
@@ -132,18 +150,18 @@ def _windows_task(lengths: list[int] | None, bits: bytes | None):
             rows = []
             for length in lengths or range(1, WINDOW + 1):
                 # a short window must be literal but for one token
-                start, h = c.windows(length, min(LITERALS, max(1, length - 1)))
-                if lengths is None:  # an item shorter than the window is one window
-                    own = (c.size[c.doc[start]] == length) | (length == WINDOW)
-                    start, h = start[own], h[own]
-                if table_ is not None:
-                    hit = table_[(h & np.uint64(FILTER_BITS - 1)).astype(np.int64)]
-                    start, h = start[hit], h[hit]
-                for s, x in zip(start.tolist(), h.view(np.int64).tolist(), strict=True):
-                    d = int(c.doc[s])
-                    template, slots = c.template(s, length, words)
-                    rows.append({"h": x, "id": ids[d], "pos": s - int(c.first[d]), "len": length,
-                                 "n_tokens": int(c.size[d]), "template": template, "slots": slots})
+                for form, start, h in c.windows(length, min(LITERALS, max(1, length - 1))):
+                    if lengths is None:  # an item shorter than the window is one window
+                        own = (c.size[c.doc[start]] == length) | (length == WINDOW)
+                        start, h = start[own], h[own]
+                    if table_ is not None:
+                        hit = table_[(h & np.uint64(FILTER_BITS - 1)).astype(np.int64)]
+                        start, h = start[hit], h[hit]
+                    for s, x in zip(start.tolist(), h.view(np.int64).tolist(), strict=True):
+                        d = int(c.doc[s])
+                        template, slots = c.template(form, s, length, words)
+                        rows.append({"h": x, "id": ids[d], "pos": s - int(c.first[d]), "len": length,
+                                     "n_tokens": int(c.size[d]), "template": template, "slots": slots})
             yield pa.RecordBatch.from_pylist(rows, schema=_WIN)
     return task
 
@@ -163,14 +181,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_tokens: int = MIN_TO
     Tokens are white-space separated words, case-folded, without outer punctuation;
     numbers (digits or number words), units and names (capitalised words that do not
     begin a sentence) become placeholders. Windows of eight tokens with at least four
-    literal ones are matched; an item of fewer tokens is one window and must match whole.
+    literal ones are matched by template, with names as placeholders or as plain words;
+    windows with fewer literal ones by their exact tokens. An item of fewer than eight
+    tokens is one window and must match whole.
     Matches at one offset form an alignment; alignments that give one benchmark value two
     document values are dropped. A pair is reported when the tokens of the item that the
     remaining windows cover number at least ``min_tokens`` or ``min_percent`` of it.
 
     Returns doc_id, item_id, covered_tokens, item_tokens, reparameterised (some slot
-    value differs). Null and empty texts, and items whose windows have too few literal
-    tokens, match nothing; empty tables give an empty result; repeated rows are reported
+    value differs). Null and empty texts match nothing; empty tables give an empty result; repeated rows are reported
     each. Rows with null or repeated ids are rows of their own. Other columns are ignored.
     """
     d, d_own = with_row_ids(docs)
