@@ -92,6 +92,16 @@ def test_decontamination_of_passages_with_few_literals(spark):
     assert got == {(1, 1), (2, 2), (3, 3), (4, 4), (5, 3), (6, 2)}
 
 
+def test_one_inconsistent_value_drops_only_its_windows(spark):
+    words = [f"word{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(200)]
+    words[20] = words[150] = "42"
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    docs = spark.createDataFrame([(1, " ".join(words[:150] + ["43"] + words[151:]))], "doc_id long, text string")
+    got = contaminated(docs, bench).collect()
+    # all but the changed value is covered by windows that are verbatim
+    assert [(r.doc_id, r.covered_tokens, r.item_tokens, r.reparameterised) for r in got] == [(1, 199, 200, False)]
+
+
 def test_decontamination_on_test_data(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")

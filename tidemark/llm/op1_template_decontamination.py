@@ -184,8 +184,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_tokens: int = MIN_TO
     literal ones are matched by template, with names as placeholders or as plain words;
     windows with fewer literal ones by their exact tokens. An item of fewer than eight
     tokens is one window and must match whole.
-    Matches at one offset form an alignment; alignments that give one benchmark value two
-    document values are dropped. A pair is reported when the tokens of the item that the
+    Matches at one offset form an alignment; where it gives one benchmark value two
+    document values, the windows that hold that value are dropped, unless all their values
+    are the benchmark's own. A pair is reported when the tokens of the item that the
     remaining windows cover number at least ``min_tokens`` or ``min_percent`` of it.
 
     Returns doc_id, item_id, covered_tokens, item_tokens, reparameterised (some slot
@@ -206,15 +207,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_tokens: int = MIN_TO
     key = ["doc", "item", "shift"]
     value = found.select(*key, F.explode("slots").alias("s")).select(
         *key, F.col("s.x.kind").alias("kind"), F.col("s.x.value").alias("old"), F.col("s.y.value").alias("new"))
-    filled = (value.groupBy(*key, "kind", "old").agg(F.min("new").alias("lo"), F.max("new").alias("hi"))
-              .groupBy(*key).agg(F.max(F.col("lo") != F.col("hi")).alias("mixed"),
-                                 F.max(F.col("lo") != F.col("old")).alias("changed")))
-    good = (found.select(*key, "item_pos", "len", "item_tokens").join(filled, key, "left")
-            .filter("not coalesce(mixed, false)"))
+    # the benchmark values that an alignment gives two document values; at most as many as the item has
+    mixed = (value.groupBy(*key, "kind", "old").agg(F.min("new").alias("lo"), F.max("new").alias("hi")).filter("lo != hi")
+             .groupBy(*key).agg(F.collect_set(F.struct("kind", F.col("old").alias("value"))).alias("mixed")))
+    changed = F.exists("slots", lambda s: s["x"]["value"] != s["y"]["value"])
+    held = F.arrays_overlap(F.transform("slots", lambda s: F.struct(s["x"]["kind"].alias("kind"), s["x"]["value"].alias("value"))),
+                            F.col("mixed"))
+    good = (found.join(mixed, key, "left").withColumn("changed", changed)
+            .filter(F.col("mixed").isNull() | ~F.col("changed") | ~held))
     covered = (good.select("doc", "item", "item_tokens", "changed",
                            F.explode(F.sequence("item_pos", F.col("item_pos") + F.col("len") - 1)).alias("token"))
                .groupBy("doc", "item", "token").agg(F.max("item_tokens").alias("item_tokens"),
-                                                    F.max(F.coalesce("changed", F.lit(False))).alias("changed"))
+                                                    F.max("changed").alias("changed"))
                .groupBy("doc", "item").agg(F.count(F.lit(1)).alias("covered_tokens"),
                                            F.max("item_tokens").alias("item_tokens"),
                                            F.max("changed").alias("reparameterised")))
