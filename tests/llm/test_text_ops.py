@@ -136,6 +136,26 @@ def test_pseudonyms(spark):
         pseudonymise(df.withColumn("n_replaced", F.lit(1)), "k")
 
 
+def test_pseudonyms_beside_other_digits(spark):
+    card, amex = "4111 1111 1111 1111", "3782 822463 10005"
+    texts = [f"{card} 12/27", f"{card} 123", f"12 {card}", f"12 34 56 {card} 2", f"no.{card.replace(' ', '')}", f"-{card}",
+             f"{card} {amex} 7", f"{card} 2024-01-05", f"{card} 3.5", "+44 20 7946 0958", "+442079460958", "+49 30 901820",
+             "on 5/3/2021", "on 2021-3-5", "on 5.3.2021", "on 05.03.2021"]
+    kept = ["1234 5678 9012 3456 12/27", "0.4111111111111111", "on 39/13/2021", "9" * 20000 + "x", "1 " * 3000]
+    df = spark.createDataFrame(list(enumerate(texts + kept)), "doc_id long, text string")
+    got = [(r.text, r.n_replaced) for r in pseudonymise(df, "k").orderBy("doc_id").collect()]
+    for old, (new, n) in zip(texts, got):
+        assert n == 1 + (amex in old) + ("2024-01-05" in old), (old, new, n)
+        assert card not in new and "1111111111" not in new and amex not in new and old != new
+        if "/2021" not in old and "2021-" not in old and ".2021" not in old:
+            assert re.sub(r"\d", "9", new) == re.sub(r"\d", "9", old)
+    assert got[0][0].endswith(" 12/27") and got[1][0].endswith(" 123") and got[2][0].startswith("12 4")
+    assert got[0][0][:19] == got[1][0][:19] == got[2][0][3:] == got[3][0][9:28] == got[6][0][:19]
+    assert got[9][0].replace(" ", "") == got[10][0] and got[11][0].startswith("+49 ")
+    assert re.sub(r"\b0", "", got[15][0]) == got[14][0]
+    assert [x for x in zip(got[len(texts):], kept) if x[0] != (x[1], 0)] == []
+
+
 def test_feistel_is_a_permutation(spark):
     a, b = F.lit(DATE_A).cast("long"), F.lit(DATE_B).cast("long")
     x = spark.range(DATE_A * DATE_B).select(feistel(F.col("id"), a, b, F.lit("k"), "date").alias("x"))
