@@ -170,6 +170,18 @@ def test_warc_files_round_trip(spark, scratch):
     assert read_warc(spark, os.path.join(scratch, "none"), none).count() == 0
 
 
+def test_a_bad_record_in_the_middle_of_a_file(spark, scratch):
+    recs = [response_record(k, f"http://e.org/{k}", PAGE * k) for k in range(6)]
+    bad = [b"WARC/1.1\r\nno colon\r\n\r\nblock\r\n\r\n", b"WARC/1.1\r\nWARC-Type: response\r\n\r\n" + b"y" * (3 << 20) + b"\r\n\r\n"]
+    folder = os.path.join(scratch, "foreign")
+    # one file in this order
+    df = spark.createDataFrame([(bytearray(r),) for r in (*recs[:2], bad[0], *recs[2:4], bad[1], *recs[4:])], "record binary").coalesce(1)
+    back = read_warc(spark, folder, write_warc(df, folder))
+    assert sorted(bytes(r.record) for r in back.collect()) == sorted(recs + bad)
+    out = derivatives(back)
+    assert out.where("error is not null").count() == 2 and out.where("error is null").count() == 6
+
+
 def test_bad_records():
     for data in (b"", b"WARC/1.1\r\nno colon\r\n\r\n", b"WARC/1.1\r\nContent-Length: 9\r\n\r\nabc"):
         with pytest.raises(BadRecord):

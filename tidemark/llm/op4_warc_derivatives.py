@@ -56,10 +56,16 @@ class BadRecord(ValueError):
     """A record that does not follow the format."""
 
 
+class CutRecord(BadRecord):
+    """A record that ends too early."""
+
+
 def parse_record(data: bytes) -> tuple[dict[str, str], bytes, int]:
     """(headers by lower-case name, block, bytes of the whole record) of the record ``data`` begins with."""
     end = data.find(b"\r\n\r\n")
-    if not data.startswith(b"WARC/") or end < 0:
+    if end < 0 and (data.startswith(b"WARC/") or b"WARC/".startswith(data)):
+        raise CutRecord("no WARC header")
+    if not data.startswith(b"WARC/"):
         raise BadRecord("no WARC header")
     head: dict[str, str] = {}
     for line in data[:end].decode("utf-8", "replace").split("\r\n")[1:]:
@@ -68,8 +74,10 @@ def parse_record(data: bytes) -> tuple[dict[str, str], bytes, int]:
             raise BadRecord(f"header line without a colon: {line[:80]!r}")
         head[name.strip().lower()] = value.strip()
     size = head.get("content-length", "")
-    if not size.isdigit() or end + 4 + int(size) > len(data):
-        raise BadRecord("block shorter than Content-Length")
+    if not size.isdigit():
+        raise BadRecord("no Content-Length")
+    if end + 4 + int(size) > len(data):
+        raise CutRecord("block shorter than Content-Length")
     stop = end + 4 + int(size)
     return head, data[end + 4:stop], stop + 4
 
@@ -252,20 +260,29 @@ def read_warc(spark: SparkSession, folder: str, files: DataFrame) -> DataFrame:
     schema = pa.schema([("record", pa.binary())])
 
     def members(source) -> Iterator[bytes]:
-        """Records of a stream of gzip members, however the members cut them."""
-        held = b""
+        """Records of a stream of gzip members, however the members cut them.
+
+        A malformed record reaches to the next line that begins a record after an empty one.
+        """
+        held, seen = b"", 0
         with gzip.GzipFile(fileobj=source) as stream:
             while chunk := stream.read(1 << 20):
                 held += chunk
                 while held:
                     try:
                         size = parse_record(held)[2]
-                    except BadRecord:
+                    except CutRecord:
                         break  # not complete yet
+                    except BadRecord:
+                        at = held.find(b"\r\n\r\nWARC/", seen)
+                        if at < 0:
+                            seen = max(0, len(held) - 8)
+                            break
+                        size = at + 4
                     if size > len(held):
                         break
                     yield held[:size]
-                    held = held[size:]
+                    held, seen = held[size:], 0
         if held.strip():
             yield held  # what is left is malformed; derivatives() reports it
 
