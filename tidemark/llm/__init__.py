@@ -1,5 +1,5 @@
 """Training-data operators (decontamination, near-dedup, quality, WARC, substring dedup,
-BPE, line dedup, PII, token files).
+BPE, line dedup, PII, token files, spelling variants, conversation repair).
 
 Nothing outside this package imports it. The functions that run inside tasks are
 shipped to the executors by value, so executors need the Python dependencies but

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from tidemark.llm.op10_arrow_tokens import op10_arrow_tokens
+from tidemark.llm.op11_spelling_variants import op11_spelling_variants
+from tidemark.llm.op12_backtracking_bpe import op12_backtracking_bpe
+from tidemark.llm.op13_conversation_repair import op13_conversation_repair
 from tidemark.llm.op1_template_decontamination import op1_template_decontamination
 from tidemark.llm.op2_bayes_minhash import op2_bayes_minhash
 from tidemark.llm.op3_quality_cascade import ORACLE as OP3_SQL
@@ -25,6 +28,9 @@ QUERIES = {
     "op8_feistel_pii": op8_feistel_pii,
     "op9_recompression": op9_recompression,
     "op10_arrow_tokens": op10_arrow_tokens,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_backtracking_bpe": op12_backtracking_bpe,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {
