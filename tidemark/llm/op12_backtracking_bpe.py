@@ -52,13 +52,20 @@ class Backtracker:
 
     def merged(self, data: bytes) -> list[int]:
         """The merges as they are defined: always the lowest-ranked neighbours, the leftmost of equals."""
-        parts = [data[k:k + 1] for k in range(len(data))]
         rank, none = self._rank.get, float("inf")
-        while len(parts) > 1:
-            best, at = min((rank(parts[k] + parts[k + 1], none), k) for k in range(len(parts) - 1))
+        parts = [data[k:k + 1] for k in range(len(data))]
+        joined = [rank(data[k:k + 2], none) for k in range(len(data) - 1)]  # of each part and the next
+        while joined:
+            best = min(joined)
             if best == none:
                 break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            k = joined.index(best)
+            parts[k:k + 2] = [parts[k] + parts[k + 1]]
+            del joined[k]
+            if k:
+                joined[k - 1] = rank(parts[k - 1] + parts[k], none)
+            if k < len(joined):
+                joined[k] = rank(parts[k] + parts[k + 1], none)
         return [self._rank[p] for p in parts]
 
     def _reachable(self, i: int) -> bool:
@@ -89,40 +96,55 @@ class Backtracker:
         ids: list[int] = []
         tried: list[int] = []  # for each id taken, how many shorter tokens its offset still has
         failed = bytearray(n + 1)
-        pos, left = 0, len(at[0])
+        pairs, own, last = self._pairs.get, self._own.get, None
+        pos, here = 0, at[0]
+        left = len(here)
         while pos < n:
             while left:
                 left -= 1
-                i, size = at[pos][left]
-                if not failed[pos + size] and self._reachable(i) and (not ids or self._compatible(ids[-1], i)):
+                i, size = here[left]
+                if failed[pos + size] or not (own(i) or self._reachable(i)):
+                    continue
+                if last is None or pairs((last, i)) or self._compatible(last, i):
                     ids.append(i)
                     tried.append(left)
-                    pos += size
-                    left = len(at[pos])
+                    pos, last = pos + size, i
+                    here = at[pos]
+                    left = len(here)
                     break
             else:
-                if not ids:
+                if last is None:
                     raise ValueError("the ranks lack a single byte of the piece")
                 failed[pos] = 1
                 left = tried.pop()
                 pos -= len(self.token[ids.pop()])
+                here, last = at[pos], ids[-1] if ids else None
         return ids
 
 
+class MatchTable(dict):
+    """Match of the pattern -> its ids in decimal, joined by spaces, made when the match is first met."""
+
+    def __init__(self, coder: Backtracker):
+        self._coder = coder
+
+    def __missing__(self, match: str) -> bytes:
+        out = b" ".join([b"%d" % i for i in self._coder.encode(match.encode())])
+        if len(match) <= KEPT_BYTES:
+            if len(self) >= KEPT:
+                self.clear()
+            self[match] = out
+        return out
+
+
 class PieceTable(dict):
-    """Coarse piece -> its ids in decimal, joined by spaces, made when the piece is first met."""
+    """Coarse piece -> the ids of its matches in decimal; the same words stand beside many marks, so matches are kept too."""
 
     def __init__(self, pattern: str, coder: Backtracker):
-        self._split, self._coder = regex.compile(pattern).findall, coder
-
-    def decimals(self, piece: str) -> bytes:
-        ids: list[int] = []
-        for match in self._split(piece):
-            ids += self._coder.encode(match.encode())
-        return b" ".join(b"%d" % i for i in ids)
+        self._split, self._matches = regex.compile(pattern).findall, MatchTable(coder)
 
     def __missing__(self, piece: str) -> bytes:
-        out = self.decimals(piece)
+        out = b" ".join([self._matches[m] for m in self._split(piece)])
         if len(piece) <= KEPT_BYTES:
             if len(self) >= KEPT:
                 self.clear()
