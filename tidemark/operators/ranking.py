@@ -28,9 +28,13 @@ def grouped_rank(df: DataFrame, group_cols: Sequence[str], order_col: str, out_c
 
     Nulls in ``order_col`` sort last in both directions; NaN sorts above all numbers;
     ties share a rank and leave gaps, like ``rank()``. A null group is a group of its
-    own. Columns keep their types and values.
+    own. Columns keep their types and values. ``df`` is evaluated once, into the shared
+    work folder, as it is read for the counts and for the rows.
     """
     spark = df.sparkSession
+    rows = fresh_dir(spark, "rank-rows")
+    df.write.parquet(rows)
+    df = spark.read.schema(df.schema).parquet(rows)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     groups = [f"__tm_g{i}" for i in range(len(group_cols))]
     o = F.col("__tm_v").desc_nulls_last() if descending else F.col("__tm_v").asc_nulls_last()
@@ -55,3 +59,42 @@ def grouped_rank(df: DataFrame, group_cols: Sequence[str], order_col: str, out_c
     on = [F.col(f"`{c}`").eqNullSafe(F.col(g)) for c, g in zip(group_cols, groups, strict=True)]
     return (df.join(ranked, [*on, F.col(f"`{order_col}`").eqNullSafe(F.col("__tm_v"))])
             .select(*[F.col(f"`{c}`") for c in df.columns if c != out_col], F.col("__tm_rank").alias(out_col)))
+
+
+def grouped_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str, quantiles: Sequence[float],
+                      num_partitions: int | None = None) -> DataFrame:
+    """Exact discrete quantiles of large groups: (group_cols, ``n``, ``q0``, ``q1``, ...), no group in one task.
+
+    A group's quantile q is its smallest value that at least a share q of its non-null
+    values do not exceed (q = 0.5: the lower median; q = 0: the minimum). Rows are counted
+    per distinct (group, value), which combines before the shuffle; the distinct values are
+    range-partitioned, each partition's running counts start where the group's earlier
+    partitions end, and the value whose count first reaches the rank is taken. NaN sorts
+    above all numbers; a null group is a group of its own; a group without a value has
+    ``n`` 0 and null quantiles.
+    """
+    spark = df.sparkSession
+    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    groups = [f"__tm_g{i}" for i in range(len(group_cols))]
+    counts = (df.select(*[F.col(f"`{c}`").alias(g) for c, g in zip(group_cols, groups, strict=True)], F.col(f"`{value_col}`").alias("__tm_v"))
+              .groupBy(*groups, "__tm_v").agg(F.count("__tm_v").alias("__tm_n")))
+    folder = fresh_dir(spark, "quantiles")
+    order = [F.col(c).asc_nulls_first() for c in [*groups, "__tm_v"]]
+    counts.repartitionByRange(parts, *order).withColumn("__tm_p", F.spark_partition_id()).write.parquet(folder)
+    parted = spark.read.parquet(folder)
+    earlier = Window.partitionBy(*groups).orderBy("__tm_p").rowsBetween(Window.unboundedPreceding, -1)
+    per_part = parted.groupBy(*groups, "__tm_p").agg(F.sum("__tm_n").alias("__tm_k"))
+    total = F.sum("__tm_k").over(Window.partitionBy(*groups))
+    starts = per_part.select(*[F.col(g).alias(f"{g}p") for g in groups], F.col("__tm_p").alias("__tm_pp"),
+                             F.coalesce(F.sum("__tm_k").over(earlier), F.lit(0)).alias("__tm_off"), total.alias("__tm_all"))
+    upto = Window.partitionBy(*groups, "__tm_p").orderBy("__tm_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (parted.withColumn("__tm_r", F.sum("__tm_n").over(upto))
+              .join(starts, [F.col("__tm_p") == F.col("__tm_pp"), *[F.col(g).eqNullSafe(F.col(f"{g}p")) for g in groups]])
+              .withColumn("__tm_r", F.col("__tm_r") + F.col("__tm_off")))
+    picked = []
+    for i, q in enumerate(quantiles):
+        rank = F.greatest(F.ceil(F.col("__tm_all") * F.lit(float(q))), F.lit(1))
+        reached = (F.col("__tm_n") > 0) & (F.col("__tm_r") >= rank)
+        picked.append(F.min(F.when(reached, F.col("__tm_v"))).alias(f"q{i}"))
+    out = ranked.groupBy(*groups).agg(F.max("__tm_all").alias("n"), *picked)
+    return out.select(*[F.col(g).alias(c) for g, c in zip(groups, group_cols, strict=True)], "n", *[f"q{i}" for i in range(len(quantiles))])

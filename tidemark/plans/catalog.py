@@ -757,20 +757,9 @@ def reference_labels(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def empty_batch_guard(spark: SparkSession, sf: str) -> DataFrame:
     """Per event type, whether a batch of its rows with a negative value is refused as empty."""
-    from tidemark.sources.landed import EmptyBatchError, require_rows
+    from tidemark.sources.landed import batch_status
     p = d.bronze_prices(spark, sf)
-    out = None
-    for kind in ("click", "view", "purchase", "signup", "error"):
-        batch = p.where((F.col("source") == kind) & (F.col("close") < 0))
-        try:
-            require_rows(batch, kind)
-            refused = False
-        except EmptyBatchError:
-            refused = True
-        row = p.where(F.col("source") == kind).agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit(kind).alias("source"), "n_rows", F.lit(refused).alias("refused"))
-        out = row if out is None else out.unionByName(row)
-    return out
+    return batch_status(p, "source", p.select("source"), F.col("close") < 0).drop("n_accepted")
 
 
 @query
@@ -866,3 +855,8 @@ def price_drop_alert(spark: SparkSession, sf: str) -> DataFrame:
     from tidemark.streaming.prices import drop_alerts
     t = _run_bars(spark, sf, transform=lambda b: drop_alerts(b, PRICE_DROP_THRESHOLD))
     return t.where(F.col("alert")).drop("alert")
+
+
+from tidemark.plans import advanced  # noqa: E402
+
+QUERIES.update(advanced.QUERIES)

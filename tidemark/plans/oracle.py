@@ -508,12 +508,16 @@ FROM orders
 UNION ALL SELECT o_orderkey, o_totalprice, 2, CAST(o_custkey AS DOUBLE) FROM orders
 UNION ALL SELECT o_orderkey, NULL, 3, o_totalprice / 2 FROM orders"""
 ORACLE_SQL["reference_labels"] = ORACLE_SQL["lookup_left_join"]
-ORACLE_SQL["empty_batch_guard"] = f"""WITH {E},
-K(source) AS (VALUES ('click'), ('view'), ('purchase'), ('signup'), ('error'))
-SELECT K.source, count(E.source) AS n_rows, count(CASE WHEN E.close < 0 THEN 1 END) = 0 AS refused
-FROM K LEFT JOIN E USING (source) GROUP BY 1"""
+ORACLE_SQL["empty_batch_guard"] = f"""WITH {E}
+SELECT source, count(*) AS n_rows, count(CASE WHEN close < 0 THEN 1 END) = 0 AS refused
+FROM E WHERE source IS NOT NULL GROUP BY 1"""
 ORACLE_SQL["union_widened"] = """
 SELECT c_name AS name, CAST(c_nationkey AS DOUBLE) AS amount, CAST(NULL AS INTEGER) AS size FROM customer
 UNION ALL SELECT s_name, s_acctbal, NULL FROM supplier
 UNION ALL SELECT p_name, CAST(p_partkey AS DOUBLE), CAST(p_size AS INTEGER) FROM part"""
 ORACLE_SQL["stream_ohlcv_multibatch"] = ORACLE_SQL["stream_ohlcv_daily"]
+
+
+from tidemark.plans.advanced_sql import ADVANCED_SQL  # noqa: E402
+
+ORACLE_SQL.update(ADVANCED_SQL)

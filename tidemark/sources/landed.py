@@ -224,3 +224,26 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
     if df.isEmpty():
         raise EmptyBatchError(f"no rows produced for {what}")
     return df
+
+
+def batch_status(rows: DataFrame, key: str, expected: DataFrame, accepted: Column | None = None) -> DataFrame:
+    """(key, ``n_rows``, ``n_accepted``, ``refused``) of every expected batch, in one aggregate.
+
+    ``expected`` lists the batches (a column named ``key``); one that landed nothing is there
+    with zeros. A batch is refused as empty when no row of it is ``accepted`` (default: any row
+    is). Batches that nobody expects are listed too; a null key is none.
+    """
+    ok = F.lit(True) if accepted is None else F.coalesce(accepted, F.lit(False))
+    found = (rows.where(F.col(key).isNotNull()).groupBy(key)
+             .agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(ok).alias("n_accepted")))
+    names = expected.select(key).where(F.col(key).isNotNull()).distinct()
+    zero = {c: F.coalesce(c, F.lit(0)).alias(c) for c in ("n_rows", "n_accepted")}
+    return (names.join(found, key, "full_outer").select(key, *zero.values())
+            .withColumn("refused", F.col("n_accepted") == 0))
+
+
+def require_batches(status: DataFrame, key: str) -> None:
+    """Raise :class:`EmptyBatchError` naming the first refused batches (at most ten) of :func:`batch_status`."""
+    bad = [str(r[0]) for r in status.where("refused").orderBy(key).select(key).limit(10).collect()]
+    if bad:
+        raise EmptyBatchError("no rows produced for " + ", ".join(bad))
