@@ -331,3 +331,105 @@ def test_stream_conversion_equals_batch(spark, scratch):
     assert got == [(1, 4.0, 8.0), (2, 4.5, 9.0), (3, 3.5, 3.5), (4, 5.0, 25.0), (5, 4.5, 4.5)]
     left = convert_ticks(spark.createDataFrame(sum(ticks, []), s1), spark.createDataFrame(sum(rates, []), s2), how="left")
     assert [r.id for r in left.where("rate is null").collect()] == [6]
+
+
+# ---- bucketed merge
+
+def test_bucketed_merge_moves_the_source_only(spark):
+    import uuid
+
+    from tidemark.sinks.bucketed import merge_bucketed, merge_plan
+    name = f"bucketed_{uuid.uuid4().hex[:8]}"
+    target = spark.createDataFrame([(k, "a", k) for k in range(50)] + [(None, "n", 0)], "k int, g string, v int")
+    source = spark.createDataFrame([(k, "b", -k) for k in range(40, 60)] + [(None, "m", 1)], "k int, g string, v int")
+    merge_bucketed(spark, target, name, ["k"], buckets=8)
+    plan = merge_plan(spark, source, name, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "FullOuter" in plan  # the source's
+    merge_bucketed(spark, source, name, ["k"])
+    merge_bucketed(spark, source, name, ["k"], newer_wins="v")
+    want = {k: ("b", -k) if k >= 40 else ("a", k) for k in range(60)}
+    rows = spark.table(name).collect()
+    assert {r.k: (r.g, r.v) for r in rows if r.k is not None} == want
+    assert sorted(r.g for r in rows if r.k is None) == ["m", "m", "n"]  # null keys match nothing
+    merge_bucketed(spark, source.where("k = 59").withColumn("w", F.lit(1.5)), name, ["k"])
+    assert spark.table(name).where("w = 1.5").count() == 1 and spark.table(name).columns == ["k", "g", "v", "w"]
+    with pytest.raises(DuplicateKeyError):
+        merge_bucketed(spark, source.unionByName(source), name, ["k"])
+
+
+# ---- nested drift
+
+def test_nested_drift(spark):
+    from tidemark.operators.nested import nested_drift, type_paths
+    rows = [("a", '{"x":1,"y":{"z":[{"p":1},{"q":"t"}]},"gone":null}'), ("a", '{"x":2.5}'), ("a", "no json"), ("a", None),
+            ("b", '{"x":"1","y":{"z":[{"p":1,"q":"t","r":[true]}],"odd.name":1}}'), ("c", '{"x":1}')]
+    df = spark.createDataFrame(rows, "batch string, payload string")
+    got = sorted(map(tuple, nested_drift(df, "batch", "payload", "a", "b").collect()))
+    assert got == [("$.gone", "null", None, "removed"), ("$.x", "number", "string", "retyped"),
+                   ("$.y.odd.name", None, "number", "added"), ("$.y.z[].r", None, "array", "added"),
+                   ("$.y.z[].r[]", None, "boolean", "added")]
+    assert nested_drift(df, "batch", "payload", "a", "a").count() == 0
+    assert {r.change for r in nested_drift(df, "batch", "payload", "none", "c").collect()} == {"added"}
+    kind = spark.sql("""select schema_of_variant(parse_json('{"a<b":{"c,d":[[1]]},"e`f":"x"}')) as t""").first().t
+    assert dict(type_paths(kind)) == {"$": "object", "$.a<b": "object", "$.a<b.c,d": "array", "$.a<b.c,d[]": "array",
+                                      "$.a<b.c,d[][]": "number", "$.e`f": "string"}
+    deep = nested_drift(spark.createDataFrame([("a", '{"u":{"v":1}}'), ("b", '{"u":[{"v":1}]}')], "batch string, payload string"),
+                        "batch", "payload", "a", "b")
+    assert [tuple(r) for r in deep.collect()] == [("$.u", "object", "array", "retyped")]
+
+
+# ---- jobs
+
+def test_content_job_and_maintained_facts(spark, scratch):
+    from tidemark.jobs.quality import run_content_reconciliation
+    from tidemark.jobs.rollups import PRICES_MONTHLY, advance_fact_prices
+    from tidemark.operators import gold
+    from tidemark.operators.quality import ReconciliationError
+    from tidemark.schemas import KEYS
+    from tidemark.sinks.tables import read_appended
+    lake = Lake(f"{scratch}/lake")
+
+    def prices(rows):
+        return spark.createDataFrame([(t, d, c, c, c, c, 10, "PLN", "s", r) for t, d, c, r in rows], "ticker string, date date, open double, "
+                                     "high double, low double, close double, volume long, currency string, source string, retrieved_at timestamp")
+    days = [dt.date(2024, 1, 30), dt.date(2024, 1, 31), dt.date(2024, 2, 1)]
+    lake.upsert(spark, prices([("A", d, 1.5, at(1)) for d in days]), "silver_prices", KEYS["silver_prices"])
+    gold_macro = spark.createDataFrame([("PL", dt.date(2023, 12, 31), "cpi", 1.0, "%", "gus", at(1))],
+                                       "country string, reference_date date, indicator_name string, value double, unit string, "
+                                       "source string, retrieved_at timestamp")
+    lake.upsert(spark, gold_macro.withColumn("year", F.lit(2023)), "silver_macro", KEYS["silver_macro"])
+    lake.upsert(spark, gold_macro, "fact_macro", KEYS["fact_macro"])
+    fundamentals = spark.createDataFrame([("A", dt.date(2023, 12, 31), "bs", "annual", 2023, "PLN", "fmp", at(1), "assets", 5.0)],
+                                         "ticker string, period_end_date date, statement_type string, period_type string, fiscal_year int, "
+                                         "reported_currency string, source string, retrieved_at timestamp, metric_name string, metric_value double")
+    lake.upsert(spark, fundamentals, "silver_fundamentals", KEYS["silver_fundamentals"])
+    lake.upsert(spark, gold.build_fact_fundamentals(fundamentals), "fact_fundamentals", KEYS["fact_fundamentals"])
+
+    def monthly():
+        return sorted((r.month, r.n_rows, float(r.sum_close)) for r in read_rollup(spark, lake.path(PRICES_MONTHLY)).collect())
+    assert advance_fact_prices(spark, lake) == 1 and monthly() == [(1, 2, 3.0), (2, 1, 1.5)]
+    assert run_content_reconciliation(spark, lake).count() == 3
+    lake.upsert(spark, prices([("A", days[1], 2.0, at(2)), ("B", days[2], 1.0, at(2))]), "silver_prices", KEYS["silver_prices"])
+    with pytest.raises(ReconciliationError, match="fact_prices_content"):
+        run_content_reconciliation(spark, lake)
+    diff = {json.loads(r.key)["ticker"]: (r.status, r.changed_columns) for r in read_appended(spark, lake.path("quality_content_diff")).collect()}
+    assert diff == {"A": ("changed", "open,high,low,close,retrieved_at"), "B": ("missing", None)}
+    # only what was retrieved since then; then a plain upsert, which leaves no images: the rollup is built anew
+    assert advance_fact_prices(spark, lake, since="2024-01-02") == 1 and monthly() == [(1, 2, 3.5), (2, 2, 2.5)]
+    assert run_content_reconciliation(spark, lake).where("not passed").count() == 0
+    lake.upsert(spark, gold.build_fact_prices(prices([("C", days[0], 9.0, at(3))])), "fact_prices", KEYS["fact_prices"])
+    assert advance_fact_prices(spark, lake, since="2024-01-05") == 2 and monthly() == [(1, 3, 12.5), (2, 2, 2.5)]
+
+
+def test_statements_land_once(spark, scratch):
+    from tidemark.jobs.landing import ingest_new_statements
+    landing, lake = f"{scratch}/in", Lake(f"{scratch}/lake")
+    put(landing, "AAA.json", json.dumps([{"date": "2023-12-31", "x": 1}, {"date": "2022-12-31", "y": {"z": 2}}]))
+    put(landing, "BBB.json", json.dumps({"error": "limit"}))
+    for _ in range(2):
+        ingest_new_statements(spark, lake, landing, "balance_sheet", retrieved())
+    table = lake.path("bronze_fmp_balance_sheet_payload_landed")
+    rows = read_landed(spark, table).select("ticker", F.to_json("payload").alias("p"), "statement_type").collect()
+    assert sorted(map(tuple, rows)) == [("AAA", '{"date":"2022-12-31","y":{"z":2}}', "balance_sheet"),
+                                        ("AAA", '{"date":"2023-12-31","x":1}', "balance_sheet")]
+    assert [(r.ticker, r.reject_reason) for r in read_landed(spark, table, rejected=True).collect()] == [("BBB", "not_json_array")]

@@ -11,7 +11,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
-from tidemark.jobs import bronze, gold, quality, silver
+from tidemark.jobs import bronze, gold, landing, quality, rollups, silver
 from tidemark.jobs.lake import Lake
 from tidemark.session import get_session
 from tidemark.sinks.upsert import vacuum
@@ -25,6 +25,10 @@ JOBS = {
     "bronze_statements": lambda a, s, l: bronze.ingest_statements(s, l, a.landing, a.statement_type, a.run_time),
     "bronze_statement_payloads": lambda a, s, l: bronze.ingest_statement_payloads(s, l, a.landing, a.statement_type,
                                                                                   a.run_time),
+    "bronze_prices_incremental": lambda a, s, l: landing.ingest_new_prices(s, l, a.landing, tickers_table(s, a.tickers), a.run_time),
+    "bronze_fx_rates_incremental": lambda a, s, l: landing.ingest_new_fx(s, l, a.landing, a.run_time),
+    "bronze_statement_payloads_incremental": lambda a, s, l: landing.ingest_new_statements(s, l, a.landing, a.statement_type,
+                                                                                         a.run_time),
     "silver_prices": lambda a, s, l: silver.build_silver_prices(s, l, tickers_table(s, a.tickers), a.since),
     "silver_fx_rates": lambda a, s, l: silver.build_silver_fx_rates(s, l, a.since),
     "silver_fundamentals": lambda a, s, l: silver.build_silver_fundamentals(s, l, a.since),
@@ -36,7 +40,9 @@ JOBS = {
     "gold_fact_prices": lambda a, s, l: gold.build_fact_prices(s, l),
     "gold_fact_fundamentals": lambda a, s, l: gold.build_fact_fundamentals(s, l),
     "gold_fact_macro": lambda a, s, l: gold.build_fact_macro(s, l),
+    "gold_fact_prices_maintained": lambda a, s, l: rollups.advance_fact_prices(s, l, a.since),
     "quality_reconciliation": lambda a, s, l: quality.run_reconciliation(s, l),
+    "quality_content": lambda a, s, l: quality.run_content_reconciliation(s, l),
     "stream_silver_prices": lambda a, s, l: _stream_prices(a, s, l),
     "maintenance_compact_bronze": lambda a, s, l: l.compact_bronze(s, a.table, a.day),
     "maintenance_vacuum": lambda a, s, l: vacuum(s, l.path(a.table), keep=a.keep),

@@ -17,7 +17,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.functions.columns import provenance
 from tidemark.jobs.bronze import _object_reason, _rule_reason
-from tidemark.jobs.lake import BRONZE_PARTITION, Lake
+from tidemark.jobs.lake import BRONZE_PARTITION, STATEMENT_TYPES, Lake
 from tidemark.operators.quality import fx_rules, price_rules
 from tidemark.schemas import BRONZE_PRICES, PRICE_CSV
 from tidemark.session import fresh_dir
@@ -73,6 +73,13 @@ def ingest_new_files(spark: SparkSession, landing: str, table: str, parse: Calla
     return len(done)
 
 
+def ingest_new_statements(spark: SparkSession, lake: Lake, landing: str, statement_type: str, retrieved_at,
+                          source: str = "fmp", max_files: int | None = None) -> int:
+    """The files that are new in ``landing`` -> ``<statement table>_payload_landed``, each record once over all runs."""
+    return ingest_new_files(spark, landing, lake.path(f"{STATEMENT_TYPES[statement_type]}_payload_landed"),
+                            statement_files(statement_type, source, retrieved_at), max_files)
+
+
 def read_landed(spark: SparkSession, table: str, rejected: bool = False) -> DataFrame:
     """The table (or its quarantine) with its ``landing_batch``; columns of all batches are merged."""
     return spark.read.option("mergeSchema", True).parquet(f"{table.rstrip('/')}_quarantine" if rejected else table)
@@ -127,6 +134,21 @@ def rate_files(source: str, retrieved_at, rules: Column | None = None) -> Callab
     return parse
 
 
+def statement_files(statement_type: str, source: str, retrieved_at) -> Callable[[DataFrame], DataFrame]:
+    """The parser of statement payloads ``<ticker>.json``, a JSON array each; every record is kept as a VARIANT ``payload``."""
+    def parse(files: DataFrame) -> DataFrame:
+        status = landed.classify_payload(F.col("body"), "json_array")
+        judged = files.select(landed.file_stem(F.col("file_path")).alias("ticker"), "file_path", "body",
+                              F.when(status != "ok", status).alias("reject_reason"))
+        good = landed.statement_records(judged.where(F.col("reject_reason").isNull()), "body", keep=["ticker"])
+        good = provenance(good.withColumn("statement_type", F.lit(statement_type)), source, retrieved_at)
+        good = good.withColumn(BRONZE_PARTITION, F.to_date("retrieved_at")).withColumn("reject_reason", F.lit(None).cast("string"))
+        bad = judged.where(F.col("reject_reason").isNotNull())
+        return good.unionByName(bad.select("ticker", F.col("body").alias("raw"), F.col("file_path").alias("landed_file"), "reject_reason"),
+                                allowMissingColumns=True)
+    return parse
+
+
 def ingest_new_prices(spark: SparkSession, lake: Lake, landing: str, tickers: DataFrame, retrieved_at,
                       source: str = "stooq", validate: bool = True, max_files: int | None = None) -> int:
     """The files that are new in ``landing`` -> ``bronze_stooq_prices_landed``, each row once over all runs."""

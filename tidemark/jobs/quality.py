@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from tidemark.jobs.lake import Lake
 from tidemark.jobs.silver import bronze_statements
+from tidemark.operators.gold import build_fact_fundamentals, build_fact_macro, build_fact_prices
 from tidemark.operators.quality import Check, raise_on_failure, run_suite
+from tidemark.operators.reconcile import compare_content, content_diff
+from tidemark.schemas import KEYS
 from tidemark.sinks.tables import append, read_appended
 
 # The names of the contract's checks.
@@ -64,3 +67,36 @@ def run_reconciliation(spark: SparkSession, lake: Lake, raise_on_fail: bool = Tr
     if raise_on_fail:
         raise_on_failure(own)
     return own
+
+
+#: Gold tables that hold the rows of a Silver table, projected
+MIRRORS = {"fact_prices": ("silver_prices", build_fact_prices), "fact_fundamentals": ("silver_fundamentals", build_fact_fundamentals),
+           "fact_macro": ("silver_macro", build_fact_macro)}
+
+
+def run_content_reconciliation(spark: SparkSession, lake: Lake, raise_on_fail: bool = True) -> DataFrame:
+    """Compare the rows of every Gold fact with its Silver table, beyond counts and ranges.
+
+    One check row per table goes to ``quality_reconciliation`` and the keys that differ, as
+    JSON with their status and columns, to ``quality_content_diff``, both under a run id.
+    Raises when any table differs. Returns the check rows.
+    """
+    run, at = uuid.uuid4().hex, F.current_timestamp()
+    checks = diffs = None
+    for table, (silver, build) in MIRRORS.items():
+        source, target = build(lake.read(spark, silver)), lake.read(spark, table)
+        keys, columns = KEYS[table], target.columns
+        check = compare_content(source, target, keys, columns, f"{table}_content")
+        diff = content_diff(source, target, keys, columns)
+        diff = diff.select(F.lit(table).alias("table"), F.to_json(F.struct(*keys)).alias("key"), "status", "n_source", "n_target",
+                           "changed_columns")
+        checks = check if checks is None else checks.unionByName(check)
+        diffs = diff if diffs is None else diffs.unionByName(diff)
+    append(checks.withColumn("ordinal", F.lit(len(CHECKS))).withColumn("run_id", F.lit(run)).withColumn("checked_at", at),
+           lake.path("quality_reconciliation"))
+    own = read_appended(spark, lake.path("quality_reconciliation")).where(F.col("run_id") == run)
+    if not own.where(~F.col("passed")).isEmpty():
+        append(diffs.withColumn("run_id", F.lit(run)), lake.path("quality_content_diff"))
+    if raise_on_fail:
+        raise_on_failure(own)
+    return own

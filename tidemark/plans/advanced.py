@@ -192,3 +192,39 @@ def stream_converted_ticks(spark: SparkSession, sf: str) -> DataFrame:
     start_stateful_append(out, f"{base}/table", f"{base}/checkpoint", _parallel(spark)).awaitTermination()
     return spark.read.parquet(f"{base}/table").select("event_id", "currency", F.col("ts").cast("timestamp_ntz").alias("ts"), "price",
                                                       "rate", "converted")
+
+
+@query
+def upsert_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """Two merges into a table bucketed by its key; only the increments are exchanged."""
+    import uuid
+
+    from tidemark.sinks.bucketed import merge_bucketed
+    name = f"tidemark_orders_{uuid.uuid4().hex[:8]}"
+    o = d.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    merge_bucketed(spark, o.where(F.col("o_orderstatus") != "P"), name, ["o_orderkey"])
+    for kept in ("P", "F"):
+        more = o.where(F.col("o_orderstatus") == kept).withColumn("o_totalprice", F.col("o_totalprice") + 1.0)
+        merge_bucketed(spark, more, name, ["o_orderkey"])
+    return spark.table(name)
+
+
+def nested_payloads(spark: SparkSession, sf: str) -> DataFrame:
+    """(batch, payload): events as nested JSON whose shape changed with the second batch."""
+    ev = d.table(spark, sf, "events")
+    early = F.dayofmonth("ts") <= 15
+    old = F.struct(F.col("event_id").alias("id"), F.struct(F.col("user_id").alias("id"), F.struct(F.col("value").alias("score")).alias("rank"))
+                   .alias("user"), F.array(F.struct(F.col("event_type").alias("name"), F.lit(1).alias("weight"))).alias("tags"))
+    new = F.struct(F.col("event_id").cast("string").alias("id"),
+                   F.struct(F.col("user_id").alias("id"), F.struct(F.col("value").cast("string").alias("score"), F.lit(True).alias("live"))
+                            .alias("rank")).alias("user"),
+                   F.array(F.struct(F.col("event_type").alias("name"), F.array(F.lit(1.5)).alias("marks"))).alias("tags"))
+    return ev.select(F.when(early, "old").otherwise("new").alias("batch"),
+                     F.when(early, F.to_json(old)).otherwise(F.to_json(new)).alias("payload"))
+
+
+@query
+def nested_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Fields added, removed and retyped at any depth and inside arrays, from one type aggregate per batch."""
+    from tidemark.operators.nested import nested_drift as drift
+    return drift(nested_payloads(spark, sf), "batch", "payload", "old", "new")

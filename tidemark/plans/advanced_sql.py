@@ -85,3 +85,33 @@ WITH V AS (SELECT event_id, upper(event_type) AS currency, ts, value AS price FR
 R AS (SELECT currency, CAST(ts AS DATE) AS day, max(price) AS rate FROM V WHERE day(ts) % 4 <> 0 GROUP BY 1, 2)
 SELECT event_id, V.currency, ts, price, rate, price * rate AS converted
 FROM V JOIN R ON V.currency = R.currency AND CAST(V.ts AS DATE) = R.day"""
+
+ADVANCED_SQL["upsert_bucketed"] = """
+SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus IN ('P', 'F') THEN o_totalprice + 1.0 ELSE o_totalprice END AS o_totalprice,
+       o_orderdate FROM orders"""
+
+# the structure of each batch is merged by DuckDB and opened member by member
+ADVANCED_SQL["nested_drift"] = """
+WITH RECURSIVE P AS (
+  SELECT CASE WHEN day(ts) <= 15 THEN 'old' ELSE 'new' END AS batch,
+         CASE WHEN day(ts) <= 15 THEN
+           json_object('id', event_id, 'user', json_object('id', user_id, 'rank', json_object('score', value)),
+                       'tags', json_array(json_object('name', event_type, 'weight', 1)))
+         ELSE json_object('id', CAST(event_id AS VARCHAR),
+                'user', json_object('id', user_id, 'rank', json_object('score', CAST(value AS VARCHAR), 'live', TRUE)),
+                'tags', json_array(json_object('name', event_type, 'marks', json_array(1.5)))) END AS payload
+  FROM events),
+T AS (
+  SELECT batch, '$' AS path, json_group_structure(payload) AS node FROM P GROUP BY batch
+  UNION ALL
+  SELECT batch, path || step, node FROM (
+    SELECT batch, path, unnest(CASE json_type(node)
+      WHEN 'OBJECT' THEN list_transform(json_keys(node), lambda k: {'step': '.' || k, 'node': json_extract(node, '$."' || k || '"')})
+      WHEN 'ARRAY' THEN [{'step': '[]', 'node': json_extract(node, '$[0]')}] ELSE [] END, recursive := true) FROM T)),
+C AS (SELECT batch, path, CASE json_type(node) WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' ELSE
+        CASE json_extract_string(node, '$') WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'NULL' THEN 'null'
+             WHEN 'JSON' THEN 'mixed' ELSE 'number' END END AS class FROM T)
+SELECT coalesce(a.path, b.path) AS path, a.class AS old_class, b.class AS new_class,
+       CASE WHEN a.path IS NULL THEN 'added' WHEN b.path IS NULL THEN 'removed' ELSE 'retyped' END AS change
+FROM (SELECT * FROM C WHERE batch = 'old') a FULL OUTER JOIN (SELECT * FROM C WHERE batch = 'new') b ON a.path = b.path
+WHERE a.class IS DISTINCT FROM b.class"""
