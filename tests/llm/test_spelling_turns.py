@@ -111,6 +111,8 @@ def test_backtracking_equals_the_library(name, small_docs):
     chars = "aàé the ing  \n\t1230'sllve--==__.,;é漢字\U0001F600\x1c\x85　ABCab"
     texts = ["".join(rng.choice(chars) for _ in range(rng.randint(0, 60))) for _ in range(400)]
     texts += ["a" * 3000, " " * 777, "=-" * 900, "Thethethe" * 200, "<|endoftext|>", *[t for _, t in small_docs[:60]]]
+    assert op12.PUBLIC == public_tokenizers.PATTERN
+    texts += [a + b + c + d for a in ("", " ", "'") for b in ("don't", "ÀÿÖ", "12", "x²", "ªµº", "__") for c in ("", "'s", ",", "×÷", "'re'") for d in ("", "7", "z")]
     table = op12.PieceTable(public_tokenizers.PATTERN, coder)
     for text in texts:
         want = library.encode_ordinary(text)

@@ -28,10 +28,22 @@ from tidemark.llm.common import RID, restore_ids, table, text_chunks, with_row_i
 KEPT = 400_000
 #: bytes of the longest piece whose ids are kept
 KEPT_BYTES = 64
+#: what the public pattern does with ASCII and Latin-1 letters, digits and marks after at most one space
+_LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
+PLAIN = f" ?[!-~{_LETTERS}]+"
+PLAIN_SPLIT = f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^ 0-9{_LETTERS}]+"
 #: a text is split once where the pattern never matches across: before white space that a word follows
 _COARSE = re.compile(SPACED_PIECE)
 
 
+#: fixed value: the public pattern, whose matches lie inside the coarse pieces
+PUBLIC = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def _is_public(pattern: str) -> bool:
+    return pattern == PUBLIC
+
+
 def parse_ranks(data: bytes) -> dict[bytes, int]:
     """Token bytes -> rank of a rank file: a base64 token and its rank on each line."""
     return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, data.splitlines()) if token}
@@ -43,11 +55,14 @@ class Backtracker:
     def __init__(self, ranks: dict[bytes, int]):
         self._rank = ranks
         self.token = {i: t for t, i in ranks.items()}
-        self._pairs: dict[tuple[int, int], bool] = {}
         self._own: dict[int, bool] = {}
+        self._next: dict[int, dict[int, bool]] = {}  # by token: which tokens may follow it
+        self._held = 0
+        self._byte = {token[0]: (i, 1) for token, i in ranks.items() if len(token) == 1}
         self._find = ahocorasick.Automaton()
         for token, i in ranks.items():
-            self._find.add_word(token.decode("latin-1"), (i, len(token)))
+            if len(token) > 1:
+                self._find.add_word(token.decode("latin-1"), (i, len(token)))
         self._find.make_automaton()
 
     def merged(self, data: bytes) -> list[int]:
@@ -68,19 +83,15 @@ class Backtracker:
                 joined[k] = rank(parts[k] + parts[k + 1], none)
         return [self._rank[p] for p in parts]
 
-    def _reachable(self, i: int) -> bool:
-        """Whether the merges of a token's own bytes give that token."""
-        known = self._own.get(i)
-        if known is None:
-            known = self._own[i] = self.merged(self.token[i]) == [i]
+    def _first(self, i: int) -> bool:
+        """Whether a token can begin a piece: the merges of its own bytes give it."""
+        known = self._own[i] = self.merged(self.token[i]) == [i]
         return known
 
-    def _compatible(self, a: int, b: int) -> bool:
-        known = self._pairs.get((a, b))
-        if known is None:
-            if len(self._pairs) > KEPT:
-                self._pairs.clear()
-            known = self._pairs[a, b] = self.merged(self.token[a] + self.token[b]) == [a, b]
+    def _follows(self, a: int, b: int) -> bool:
+        """Whether the merges of both tokens' bytes give these two; then each is what its own bytes give, too."""
+        self._held += 1
+        known = self._next.setdefault(a, {})[b] = self.merged(self.token[a] + self.token[b]) == [a, b]
         return known
 
     def encode(self, piece: bytes) -> list[int]:
@@ -88,37 +99,46 @@ class Backtracker:
         whole = self._rank.get(piece)
         if whole is not None:
             return [whole]
-        n = len(piece)
+        if self._held > KEPT:
+            self._next, self._held = {}, 0
+        n, byte = len(piece), self._byte
         # tokens at each offset, shortest first, as the automaton reports them by their ends
-        at: list[list[tuple[int, int]]] = [[] for _ in range(n + 1)]
-        for end, found in self._find.iter(piece.decode("latin-1")):
-            at[end + 1 - found[1]].append(found)
+        try:
+            at = [[byte[b]] for b in piece]
+        except KeyError as e:
+            raise ValueError(f"the ranks lack the byte {e}") from None
+        if n > 1:
+            for end, found in self._find.iter(piece.decode("latin-1")):
+                at[end + 1 - found[1]].append(found)
+        at.append([])
         ids: list[int] = []
         tried: list[int] = []  # for each id taken, how many shorter tokens its offset still has
         failed = bytearray(n + 1)
-        pairs, own, last = self._pairs.get, self._own.get, None
-        pos, here = 0, at[0]
+        pos, here, known = 0, at[0], self._own
         left = len(here)
         while pos < n:
             while left:
                 left -= 1
                 i, size = here[left]
-                if failed[pos + size] or not (own(i) or self._reachable(i)):
+                if failed[pos + size]:
                     continue
-                if last is None or pairs((last, i)) or self._compatible(last, i):
+                good = known.get(i)
+                if good is None:
+                    good = self._follows(ids[-1], i) if ids else self._first(i)
+                    known = self._next.get(ids[-1], {}) if ids else self._own
+                if good:
                     ids.append(i)
                     tried.append(left)
-                    pos, last = pos + size, i
-                    here = at[pos]
+                    pos += size
+                    here, known = at[pos], self._next.get(i, {})
                     left = len(here)
                     break
             else:
-                if last is None:
-                    raise ValueError("the ranks lack a single byte of the piece")
+                # a single byte may always stand alone, so the first offset never fails
                 failed[pos] = 1
                 left = tried.pop()
                 pos -= len(self.token[ids.pop()])
-                here, last = at[pos], ids[-1] if ids else None
+                here, known = at[pos], self._next.get(ids[-1], {}) if ids else self._own
         return ids
 
 
@@ -142,9 +162,12 @@ class PieceTable(dict):
 
     def __init__(self, pattern: str, coder: Backtracker):
         self._split, self._matches = regex.compile(pattern).findall, MatchTable(coder)
+        self._plain, self._split_plain = (re.compile(PLAIN).fullmatch, re.compile(PLAIN_SPLIT).findall) if _is_public(
+            pattern) else (None, None)
 
     def __missing__(self, piece: str) -> bytes:
-        out = b" ".join([self._matches[m] for m in self._split(piece)])
+        split = self._split_plain if self._plain and self._plain(piece) else self._split
+        out = b" ".join([self._matches[m] for m in split(piece)])
         if len(piece) <= KEPT_BYTES:
             if len(self) >= KEPT:
                 self.clear()
@@ -172,11 +195,11 @@ _SCHEMA = pa.schema([(RID, pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256",
 _DDL = f"{RID} long, n_tokens long, ids_sha256 string, decoded_sha256 string, ids array<int>, decoded string"
 
 
-def _task(ranks, pattern: str, coarse: bool, with_ids: bool):
+def _task(ranks, pattern: str, with_ids: bool):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Backtracker(parse_ranks(ranks.value))
         pieces, back = PieceTable(pattern, coder), DecodeTable(coder.token)
-        split = _COARSE.findall if coarse else regex.compile(pattern).findall
+        split = _COARSE.findall if _is_public(pattern) else regex.compile(pattern).findall
         for ids, texts in text_chunks(batches, 1 << 20):
             rows = []
             for rid, text in zip(ids, texts, strict=True):
@@ -205,17 +228,11 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, with_ids: bool
     with open(ranks_path, "rb") as f:
         ranks = docs.sparkSession.sparkContext.broadcast(f.read())  # one file of a known vocabulary
     rows, own = with_row_ids(docs)
-    out = rows.select(RID, "text").mapInArrow(_task(ranks, pattern, _splits_at_spaces(pattern), with_ids), _DDL)
+    out = rows.select(RID, "text").mapInArrow(_task(ranks, pattern, with_ids), _DDL)
     out = restore_ids(out, rows, own)
     return out if with_ids else out.drop("ids", "decoded")
 
 
-def _splits_at_spaces(pattern: str) -> bool:
-    """Whether the pattern is the public one, which never matches across the coarse pieces."""
-    import public_tokenizers
-    return pattern == public_tokenizers.PATTERN
-
-
 def op12_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract query: every document with the byte-level 50k rank file."""
     import public_tokenizers
