@@ -39,7 +39,7 @@ def test_standardize_drops_bad_dates(spark):
 
 
 def test_fx_dedup_and_standardize(spark):
-    df = spark.createDataFrame([("USD", "2024-01-02", 3.9432, "nbp", T1), ("USD", "2024-01-02", 3.95, "nbp", T2),
+    df = spark.createDataFrame([("USD", "2024-01-02", 3.8117, "nbp", T1), ("USD", "2024-01-02", 3.95, "nbp", T2),
                                 ("USD", "bad", 4.0, "nbp", T1)], BRONZE_FX)
     out = standardize.standardize_fx_rates(dedup.dedup_fx_rates(df)).collect()
     assert [(str(r.effective_date), r.mid_rate) for r in out] == [("2024-01-02", 3.95)]

@@ -117,11 +117,14 @@ def compare_content(source: DataFrame, target: DataFrame, keys: Sequence[str], c
 
     ``difference`` is the number of leaves that differ, zero when it passes.
     """
-    trees = content_tree(source, keys, columns), content_tree(target, keys, columns)
-    roots = [t.where("level = 0").agg(F.coalesce(F.max("n"), F.lit(0)).alias(c)) for t, c in zip(trees, ("source_count", "target_count"))]
-    found = differing_leaves(*trees).agg(F.count(F.lit(1)).alias("difference"))
-    one = F.lit(1).alias("__one")
-    row = found.select("*", one).join(roots[0].select("*", one), "__one").join(roots[1].select("*", one), "__one")
+    sides = [content_tree(df, keys, columns).select("level", "node", F.lit(is_source).alias("src"), F.struct(*_SUMS).alias("sums"))
+             for df, is_source in ((source, True), (target, False))]
+    s, t = (F.max(F.when(F.col("src") == is_source, F.col("sums"))) for is_source in (True, False))
+    nodes = sides[0].unionByName(sides[1]).groupBy("level", "node").agg(s.alias("s"), t.alias("t"))
+    root, leaf = F.col("level") == 0, F.col("level") == LEVELS
+    row = nodes.agg(*[F.coalesce(F.max(F.when(root, F.col(f"{side}.n"))), F.lit(0)).alias(f"{name}_count")
+                      for side, name in (("s", "source"), ("t", "target"))],
+                    F.count_if(leaf & ~F.col("s").eqNullSafe(F.col("t"))).alias("difference"))
     return row.select(F.lit(name).alias("check_name"), F.lit("content").alias("check_kind"), (F.col("difference") == 0).alias("passed"),
                       "source_count", "target_count", "difference",
                       *[F.lit(None).cast("string").alias(c) for c in ("source_min", "source_max", "target_min", "target_max")],
