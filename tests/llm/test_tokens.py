@@ -186,3 +186,70 @@ def test_bad_records():
     for data in (b"", b"WARC/1.1\r\nno colon\r\n\r\n", b"WARC/1.1\r\nContent-Length: 9\r\n\r\nabc"):
         with pytest.raises(BadRecord):
             parse_record(data)
+
+
+def http_record(headers, body, kind="text/html"):
+    head = "".join(f"{k}: {v}\r\n" for k, v in [("Content-Type", kind), *headers] if v)
+    block = f"HTTP/1.1 200 OK\r\n{head}\r\n".encode() + body
+    lines = f"WARC-Type: response\r\nWARC-Record-ID: <urn:x:1>\r\nWARC-Concurrent-To: <urn:x:2>\r\nWARC-Concurrent-To: <urn:x:3>\r\n"
+    return f"WARC/1.1\r\n{lines}Content-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
+
+
+PAGE = "<html><head><title>T</title></head><body><p>Grüße, 日本</p><p>two</p></body></html>"
+
+
+def chunked(data, size=7):
+    parts = [data[k:k + size] for k in range(0, len(data), size)]
+    return b"".join(b"%x;x=1\r\n%s\r\n" % (len(p), p) for p in parts) + b"0\r\n\r\n"
+
+
+@pytest.mark.parametrize("headers,body,kind,text,problem", [
+    ([("Content-Encoding", "gzip")], __import__("gzip").compress(PAGE.encode()), "text/html", "Grüße, 日本\ntwo", None),
+    ([("Content-Encoding", "deflate")], zlib.compress(PAGE.encode()), "text/html", "Grüße, 日本\ntwo", None),
+    ([("Content-Encoding", "deflate")], zlib.compress(PAGE.encode())[2:-4], "text/html", "Grüße, 日本\ntwo", None),
+    ([("Transfer-Encoding", "chunked")], chunked(PAGE.encode()), "text/html", "Grüße, 日本\ntwo", None),
+    ([("Transfer-Encoding", "chunked"), ("Content-Encoding", "gzip")], chunked(__import__("gzip").compress(PAGE.encode())), "text/html",
+     "Grüße, 日本\ntwo", None),
+    ([("Transfer-Encoding", "chunked")], PAGE.encode(), "text/html", "Grüße, 日本\ntwo", None),
+    ([], PAGE.replace("</head>", "x" * 3000 + '<meta charset="latin-1"></head>').replace(", 日本", "").encode("latin-1"), "text/html",
+     "Grüße\ntwo", None),
+    ([], b"\x89PNG\r\n\0\0", "image/png", None, None), ([], b"a\0b", "", None, None), ([], b"<p>plain</p>", "", "plain", None),
+    ([], b"1 < 2\n\n<p>", "text/plain", "1 < 2\n\n<p>", None),
+    ([("Content-Encoding", "br")], b"\x0b\x02", "text/html", None, "content coding br"),
+    ([("Content-Encoding", "gzip")], b"no gzip", "text/html", None, "gzip: "),
+    ([("Content-Encoding", "gzip")], __import__("gzip").compress(PAGE.encode())[:-12], "text/html", None, "gzip: incomplete"),
+])
+def test_bodies(spark, headers, body, kind, text, problem):
+    record = http_record(headers, body, kind)
+    row = derivatives(spark.createDataFrame([(record,)], "record binary")).first()
+    meta = json.loads(parse_record(bytes(row.metadata))[1])["Envelope"]
+    response = meta["Payload-Metadata"]["HTTP-Response-Metadata"]
+    assert row.error is None and row.source_digest == digest(body) == response["Entity-Digest"]
+    assert meta["WARC-Header-Metadata"]["warc-concurrent-to"] == ["<urn:x:2>", "<urn:x:3>"]
+    assert (response.get("Entity-Problem") or "").startswith(problem or "") and bool(response.get("Entity-Problem")) == bool(problem)
+    if text is None:
+        assert row.conversion is None and row.conversion_id is None and row.conversion_digest is None
+    else:
+        block = parse_record(bytes(row.conversion))[1]
+        assert block.decode() == text and row.conversion_digest == digest(block)
+
+
+def test_a_body_that_unfolds_too_far(spark, monkeypatch):
+    from tidemark.llm import op4_warc_derivatives as op4
+    monkeypatch.setattr(op4, "MAX_BODY", 1000)
+    record = http_record([("Content-Encoding", "gzip")], __import__("gzip").compress(b"x" * 2000))
+    rows = derivatives(spark.createDataFrame([(record,)], "record binary")).collect()
+    assert len(rows) == 1 and "unfolds" in rows[0].error and rows[0].metadata is None
+
+
+def test_responses_of_odd_pages(spark):
+    from tidemark.llm.op4_warc_derivatives import responses
+    rows = [(1, None, None, "x"), (2, "http://a", "", "x"), (2, "http://a", "", "x"), (None, "http://b", "<p>" + "long " * 50_000, "x"),
+            (3, "http://c/\r\nX: y", PAGE, "x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, record string")
+    out = derivatives(responses(pages)).collect()
+    assert len(out) == 5 and all(r.error is None for r in out)
+    assert len({r.source_id for r in out}) == 4  # the repeated page gives the same record
+    texts = sorted(parse_record(bytes(r.conversion))[1].decode() for r in out)
+    assert texts[:3] == ["", "", ""] and texts[3] == "Grüße, 日本\ntwo" and texts[4] == "long " * 49_999 + "long"
+    assert responses(pages.limit(0)).count() == 0

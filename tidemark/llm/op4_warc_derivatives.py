@@ -15,6 +15,7 @@ import html
 import json
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -28,6 +29,8 @@ from tidemark.session import fresh_dir
 
 #: the date of responses whose source has none
 NO_DATE = "1970-01-01T00:00:00Z"
+#: bytes that a coded body may unfold to; a larger one is an error row, not a shortened text
+MAX_BODY = 1 << 28
 _NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:warc-derivatives")
 
 
@@ -60,19 +63,33 @@ class CutRecord(BadRecord):
     """A record that ends too early."""
 
 
-def parse_record(data: bytes) -> tuple[dict[str, str], bytes, int]:
-    """(headers by lower-case name, block, bytes of the whole record) of the record ``data`` begins with."""
+class Headers(dict):
+    """First value by lower-case name; ``repeated`` has all values of names that occur several times."""
+
+    def __init__(self):
+        super().__init__()
+        self.repeated: dict[str, list[str]] = {}
+
+    def add(self, name: str, value: str) -> None:
+        if name in self:
+            self.repeated.setdefault(name, [self[name]]).append(value)
+        else:
+            self[name] = value
+
+
+def parse_record(data: bytes) -> tuple[Headers, bytes, int]:
+    """(headers, block, bytes of the whole record) of the record ``data`` begins with."""
     end = data.find(b"\r\n\r\n")
     if end < 0 and (data.startswith(b"WARC/") or b"WARC/".startswith(data)):
         raise CutRecord("no WARC header")
     if not data.startswith(b"WARC/"):
         raise BadRecord("no WARC header")
-    head: dict[str, str] = {}
+    head = Headers()
     for line in data[:end].decode("utf-8", "replace").split("\r\n")[1:]:
         name, colon, value = line.partition(":")
         if not colon:
             raise BadRecord(f"header line without a colon: {line[:80]!r}")
-        head[name.strip().lower()] = value.strip()
+        head.add(name.strip().lower(), value.strip())
     size = head.get("content-length", "")
     if not size.isdigit():
         raise BadRecord("no Content-Length")
@@ -101,14 +118,83 @@ _TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
 _LINK = re.compile(r"<(a|area|img|link|script|iframe)\b[^>]*?\b(?:href|src)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _LANG = re.compile(r"<html\b[^>]*\blang\s*=\s*[\"']?([\w-]+)", re.I)
 _CHARSET = re.compile(r"charset\s*=\s*[\"']?([\w-]+)", re.I)
+_META = re.compile(rb"<meta\b[^>]*?\bcharset\s*=\s*[\"']?([\w-]+)", re.I)
+_CHUNK = re.compile(rb"([0-9A-Fa-f]+)[^\r\n]*\r\n")
+#: media types whose body is text, and those of them that are marked up
+_TEXT = re.compile(r"text/|application/(?:[\w.-]+\+)?(?:xml|json)\b|application/(?:javascript|ecmascript)\b")
+_MARKUP = re.compile(r"text/html|text/xml|application/(?:[\w.-]+\+)?xml\b")
+
+
+def _header(http: list[tuple[str, str]], name: str) -> str:
+    return next((v for k, v in http if k.lower() == name), "")
+
+
+def _unchunked(body: bytes) -> bytes:
+    """The body without its chunk sizes; a body that is not chunked as it says stays as it is."""
+    out, at = [], 0
+    while True:
+        m = _CHUNK.match(body, at)
+        if not m:
+            return body
+        size = int(m.group(1), 16)
+        if size == 0:
+            return b"".join(out)
+        if m.end() + size > len(body):
+            return body
+        out.append(body[m.end():m.end() + size])
+        at = m.end() + size + 2
+
+
+def _inflated(body: bytes, bits: int) -> bytes:
+    """All members of a compressed body."""
+    out, left = [], body
+    while left:
+        z = zlib.decompressobj(bits)
+        room = MAX_BODY - sum(map(len, out))
+        out.append(z.decompress(left, room + 1))
+        if len(out[-1]) > room:
+            raise BadRecord(f"body unfolds to more than {MAX_BODY} bytes")
+        if not z.eof:
+            raise zlib.error("incomplete body")
+        left = z.unused_data.lstrip(b"\0")
+    return b"".join(out)
+
+
+def entity(body: bytes, http: list[tuple[str, str]]) -> tuple[bytes, str | None]:
+    """(the body without transfer and content codings, why it could not be decoded or None)."""
+    if "chunked" in _header(http, "transfer-encoding").lower():
+        body = _unchunked(body)
+    for coding in reversed([c.strip().lower() for c in _header(http, "content-encoding").split(",") if c.strip()]):
+        try:
+            if coding in ("gzip", "x-gzip"):
+                body = _inflated(body, 31)
+            elif coding == "deflate":
+                try:
+                    body = _inflated(body, 15)
+                except zlib.error:
+                    body = _inflated(body, -15)  # some servers leave the envelope out
+            elif coding != "identity":
+                return body, f"content coding {coding}"
+        except zlib.error as e:
+            return body, f"{coding}: {e}"
+    return body, None
+
+
+def is_text(body: bytes, http: list[tuple[str, str]]) -> bool:
+    """Whether the media type is one of text; without a media type, whether the body holds no zero byte."""
+    kind = _header(http, "content-type").lower()
+    return bool(_TEXT.match(kind)) if kind else b"\0" not in body
 
 
 def decode_body(body: bytes, http: list[tuple[str, str]]) -> str:
-    kind = next((v for k, v in http if k.lower() == "content-type"), "")
-    m = _CHARSET.search(kind) or _CHARSET.search(body[:1024].decode("latin-1"))
+    """The text of a body: charset of the byte order mark, the media type or a meta element anywhere, else UTF-8."""
+    if body.startswith(b"\xef\xbb\xbf"):
+        return body[3:].decode("utf-8", "replace")
+    m = _CHARSET.search(_header(http, "content-type"))
+    charset = m.group(1) if m else (found.group(1).decode("ascii") if (found := _META.search(body)) else "utf-8")
     try:
-        return body.decode(m.group(1) if m else "utf-8", "replace")
-    except LookupError:
+        return body.decode(charset, "replace")
+    except (LookupError, ValueError):
         return body.decode("utf-8", "replace")
 
 
@@ -130,24 +216,38 @@ def page_facts(page: str) -> dict:
             "lang": lang.group(1) if lang else None, "links": links}
 
 
-def derive(record: bytes) -> tuple[bytes, bytes] | None:
-    """(metadata record, conversion record) of a response record; None for other record types."""
+def derive(record: bytes) -> tuple[bytes, bytes | None] | None:
+    """(metadata record, conversion record) of a response record; None for other record types.
+
+    Digests are of the body as it was received; the text is of the decoded one. A body
+    that is no text, or whose coding cannot be undone, has no conversion record.
+    """
     head, block, _ = parse_record(record)
     if head.get("warc-type") != "response":
         return None
     source, uri, date = head["warc-record-id"], head.get("warc-target-uri", ""), head.get("warc-date", NO_DATE)
     status, http, body = parse_http(block)
     payload = head.get("warc-payload-digest") or digest(body)
-    page = decode_body(body, http)
+    plain, problem = entity(body, http)
+    text = decode_body(plain, http) if problem is None and is_text(plain, http) else None
+    kind = _header(http, "content-type").lower()
+    markup = bool(_MARKUP.match(kind)) or not kind
     link = (("WARC-Refers-To", source), ("WARC-Payload-Digest", payload))
-    facts = {"Envelope": {"WARC-Header-Metadata": head,
-                          "Payload-Metadata": {"HTTP-Response-Metadata": {
-                              "Status": status, "Headers": [list(x) for x in http], "Entity-Length": len(body),
-                              "Entity-Digest": digest(body), "HTML-Metadata": page_facts(page)}}}}
+    response = {"Status": status, "Headers": [list(x) for x in http], "Entity-Length": len(body), "Entity-Digest": digest(body)}
+    if problem:
+        response["Entity-Problem"] = problem
+    elif len(plain) != len(body):
+        response["Decoded-Length"] = len(plain)
+    if text is not None and markup:
+        response["HTML-Metadata"] = page_facts(text)
+    facts = {"Envelope": {"WARC-Header-Metadata": head | head.repeated,
+                          "Payload-Metadata": {"HTTP-Response-Metadata": response}}}
     meta = json.dumps(facts, ensure_ascii=False, sort_keys=True).encode()
-    return (format_record("metadata", record_id("metadata", source), uri, date, "application/json", meta, link),
-            format_record("conversion", record_id("conversion", source), uri, date, "text/plain; charset=utf-8",
-                          page_text(page).encode(), link))
+    conversion = None
+    if text is not None:
+        conversion = format_record("conversion", record_id("conversion", source), uri, date, "text/plain; charset=utf-8",
+                                   (page_text(text) if markup else text).encode(), link)
+    return format_record("metadata", record_id("metadata", source), uri, date, "application/json", meta, link), conversion
 
 
 def response_record(page_id, url: str | None, body: str | None, date: str = NO_DATE) -> bytes:
@@ -179,12 +279,12 @@ def _derive_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             if made is None:
                 continue
-            meta, text = (parse_record(x)[0] for x in made)
+            meta, text = (parse_record(x)[0] if x is not None else {} for x in made)
             rows.append({"source_id": meta["warc-refers-to"], "uri": meta["warc-target-uri"],
                          "source_digest": meta["warc-payload-digest"], "metadata_id": meta["warc-record-id"],
-                         "conversion_id": text["warc-record-id"], "metadata_digest": meta["warc-block-digest"],
-                         "conversion_digest": text["warc-block-digest"], "metadata": made[0], "conversion": made[1]})
-            held += len(made[0]) + len(made[1])
+                         "conversion_id": text.get("warc-record-id"), "metadata_digest": meta["warc-block-digest"],
+                         "conversion_digest": text.get("warc-block-digest"), "metadata": made[0], "conversion": made[1]})
+            held += len(made[0]) + len(made[1] or b"")
             if held > 8 << 20:
                 yield pa.RecordBatch.from_pylist(rows, schema=_OUT)
                 rows, held = [], 0
@@ -194,7 +294,8 @@ def _derive_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def derivatives(records: DataFrame, record_col: str = "record") -> DataFrame:
     """One row per response in ``record_col`` (binary, one WARC record a row): ids, digests and both derived records.
 
-    Records of other types give no row. Null, cut or malformed records give a row that
+    Bodies are read through chunked transfer and gzip or deflate content codings. A
+    response whose body is no text, or is coded otherwise, has a metadata record only. Records of other types give no row. Null, cut or malformed records give a row that
     holds only ``error``. Equal responses give equal rows with equal ids; an empty table
     gives an empty result. Other columns are ignored.
     """
