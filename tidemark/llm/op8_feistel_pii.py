@@ -21,10 +21,12 @@ OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}"
 IP = rf"(?<![\d.]){OCTET}(?:\.{OCTET}){{3}}(?!\.?\d)"
 DATE_ISO = r"(?<![\d/.-])\d{4}-\d{1,2}-\d{1,2}(?![\d/-])"
+DATE_YEAR = r"(?<![\d/.-])\d{4}/\d{1,2}/\d{1,2}(?![\d/-])"
 DATE_SLASH = r"(?<![\d/.-])\d{1,2}/\d{1,2}/\d{4}(?![\d/-])"
 DATE_DOT = r"(?<![\d/.-])\d{1,2}\.\d{1,2}\.\d{4}(?![\d/-])"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 PHONE = (r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[ .-]\d{4}(?!\d)"
+         r"|(?<![\w+])(?<!\d[ -])[2-9]\d{2} [2-9]\d{2} \d{4}(?![ -]?\d)"
          r"|(?<![\w+])\+\d{1,3}[ .-]?\d{3}[ .-]?\d{3}[ .-]?\d{4}(?!\d)")
 #: other plans: a plus sign and 8 to 15 digits
 PHONE_ABROAD = r"(?<![\w+])\+[1-9](?:[ .()-]{0,2}\d){7,14}(?!\d)"
@@ -32,7 +34,7 @@ PHONE_ABROAD = r"(?<![\w+])\+[1-9](?:[ .()-]{0,2}\d){7,14}(?!\d)"
 COUNTRY = r"^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 #: groups of digits, at least 13 in all, that may hold card numbers between other digits
 RUN = r"(?<!\d)(?<!\d[.-])(?=\d(?:[ -]?\d){12})\d++(?!\.\d)(?:[ -]\d++(?!\.\d))*+"
-ANY = "|".join((EMAIL, IP, DATE_ISO, DATE_SLASH, DATE_DOT, SSN, PHONE, PHONE_ABROAD))
+ANY = "|".join((EMAIL, IP, DATE_ISO, DATE_YEAR, DATE_SLASH, DATE_DOT, SSN, PHONE, PHONE_ABROAD))
 
 #: fixed values: days from 1800-01-01 to 2199-12-31, one Gregorian cycle, as a product
 DATE_A, DATE_B, DATE_FIRST = 189, 773, "1800-01-01"
@@ -248,6 +250,7 @@ def pseudonym(m: Column, key: Column) -> Column:
     return (F.when(F.contains(m, F.lit("@")), _email(m, key))
             .when(m.rlike(rf"^{OCTET}(?:\.{OCTET}){{3}}$"), _ip(m, key))
             .when(m.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), _padded_date(m, ("yyyy-MM-dd",), key))
+            .when(m.rlike(r"^\d{4}/\d{1,2}/\d{1,2}$"), _padded_date(m, ("yyyy/MM/dd",), key))
             .when(m.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), _padded_date(m, ("dd/MM/yyyy", "MM/dd/yyyy"), key))
             .when(m.rlike(r"^\d{1,2}\.\d{1,2}\.\d{4}$"), _padded_date(m, ("dd.MM.yyyy",), key))
             .when(m.rlike(r"^\d{3}-\d{2}-\d{4}$"), _ssn(m, key))
@@ -258,11 +261,14 @@ def pseudonym(m: Column, key: Column) -> Column:
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """``docs`` with the personal values in ``text_col`` replaced, and ``n_replaced`` added.
 
-    E-mail addresses, IPv4 addresses, dates (yyyy-MM-dd, dd/MM/yyyy, MM/dd/yyyy,
+    E-mail addresses, IPv4 addresses, dates (yyyy-MM-dd, yyyy/MM/dd, dd/MM/yyyy, MM/dd/yyyy,
     dd.MM.yyyy in 1800 to 2199, days and months also of one digit), US social security
-    numbers, telephone numbers of ten digits with or without a country code, others of 8
-    to 15 digits with a plus sign, and card numbers of 13 to 19 digits with a valid check
+    numbers, telephone numbers of ten digits with or without a country code (grouped by
+    spaces alone only inside the numbering plan), others of 8 to 15 digits with a plus sign, and card numbers of 13 to 19 digits with a valid check
     digit, also between other groups of digits. Values that fail their validation stay.
+    Not looked for, as too many other numbers look like them: ten or nine digits in a row,
+    social security numbers grouped by spaces, years of two digits, dates with month names,
+    IBANs and IPv6 addresses.
 
     All other columns pass through; repeated rows get the same text. Null text stays
     null with 0 replaced, an empty table gives an empty result. ``n_replaced`` must not
