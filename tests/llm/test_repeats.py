@@ -96,3 +96,15 @@ def test_equal_windows_take_equal_anchors(alphabet):
     for k in range(41):
         assert at[50 + k] == at[210 + k]
     assert all(0 <= a and b <= 20 for a, b in at.values())
+
+
+def test_documents_are_dealt_by_a_hash(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from tidemark.llm.repeats import _of_doc
+    ids = [*range(0, 32_000, 8), -1, -8, 1 << 62, -(1 << 63)]
+    dealt = _of_doc(np.array(ids, dtype=np.int64), 8)
+    rows = spark.createDataFrame([(i,) for i in ids], "id long").select("id", F.pmod(F.xxhash64("id"), F.lit(8)).alias("p")).collect()
+    assert {r.id: r.p for r in rows} == dict(zip(ids, dealt.tolist()))
+    assert np.bincount(dealt).min() > 400  # ids that are multiples of the partitions spread evenly

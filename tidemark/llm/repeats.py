@@ -64,14 +64,33 @@ def _of_key(key: np.ndarray, buckets: int) -> np.ndarray:
     return ((mix64(key) >> np.uint64(24)) % np.uint64(buckets)).astype(np.int64)
 
 
+def _of_doc(doc: np.ndarray, buckets: int) -> np.ndarray:
+    """The partition of documents: ``pmod(xxhash64(id), buckets)`` as in :func:`_meet`, so ids in steps spread."""
+    return np.mod(xxhash64(doc).view(np.int64), buckets)
+
+
+def xxhash64(x: np.ndarray) -> np.ndarray:
+    """The published 64-bit XXH64 of 8-byte integers with seed 42, which is what Spark's function of that name gives."""
+    p1, p2, p3, p4, p5 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
+                                                 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+    def turned(v: np.ndarray, bits: int) -> np.ndarray:
+        return v << np.uint64(bits) | v >> np.uint64(64 - bits)
+    h = turned(x.astype(np.int64).view(np.uint64) * p2, 31) * p1 ^ (np.uint64(42 + 8) + p5)
+    h = turned(h, 27) * p1 + p4
+    h = (h ^ h >> np.uint64(33)) * p2
+    h = (h ^ h >> np.uint64(29)) * p3
+    return h ^ h >> np.uint64(32)
+
+
 def _spans(doc, start, count, buckets: int, settled=None, opened=None) -> list[dict]:
     """Spans for their documents; with masks or positions, the settled ones and those to open in common rows."""
     if settled is None:
-        return _pack(SPAN, np.mod(doc, buckets), doc=doc, start=start, count=count,
+        return _pack(SPAN, _of_doc(doc, buckets), doc=doc, start=start, count=count,
                      many=np.full(len(doc), SETTLED, dtype=np.uint8))
     at = np.concatenate([np.flatnonzero(settled), opened])
     state = np.repeat(np.array([SETTLED, TO_OPEN], dtype=np.uint8), [len(at) - len(opened), len(opened)])
-    return _pack(SPAN, np.mod(doc[at], buckets), doc=doc[at], start=start[at], count=count[at], many=state)
+    return _pack(SPAN, _of_doc(doc[at], buckets), doc=doc[at], start=start[at], count=count[at], many=state)
 
 
 def _classes(key, run, doc, start):
@@ -272,7 +291,7 @@ def _meet(docs: DataFrame, rows: DataFrame, parts: int) -> DataFrame:
     left = rows.select("dest", "kind", "n", F.lit(None).cast("long").alias(RID), F.lit(None).cast("binary").alias("text"),
                        "doc", "start", "count", "many")
     none = F.lit(None).cast("binary")
-    right = docs.select(F.pmod(F.col(RID), F.lit(parts)).cast("int").alias("dest"), F.lit(DOC).alias("kind"),
+    right = docs.select(F.pmod(F.xxhash64(RID), F.lit(parts)).cast("int").alias("dest"), F.lit(DOC).alias("kind"),
                         F.lit(1).alias("n"), RID, F.col("text").cast("binary").alias("text"),
                         none.alias("doc"), none.alias("start"), none.alias("count"), none.alias("many"))
     return left.unionByName(right).repartitionById(parts, F.col("dest")).sortWithinPartitions("dest", "kind")
