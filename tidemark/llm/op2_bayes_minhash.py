@@ -170,20 +170,19 @@ def _bucket_task(least: list[int], exact):
     """Rows sorted by (bucket, i, j): links between members of different components."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def links(band, ids, side, comp, sigs, bodies):
+    def links(band, ids, side, comp, top, sigs, bodies):
         sig = np.frombuffer(b"".join(sigs), dtype="<u4").reshape(len(ids), HASHES)
-        ids, side = np.array(ids), np.array(side)
+        side, group, top = np.array(side), np.array(comp), np.array(top)
         root = {c: c for c in comp}
 
         def find(c):
             while root[c] != c:
                 root[c] = c = root[root[c]]
             return c
-        group = np.array(comp)
         out = []
-        for k in range(len(ids)):
-            # within one block each pair once; between two blocks only pairs across
-            c = np.flatnonzero((group != group[k]) & (ids > ids[k]) & ((side != side[k]) | (side[k] == 2)))
+        for k in np.flatnonzero(side != 1).tolist():
+            # k is outside the largest component; of two such members the smaller component's meets the other
+            c = np.flatnonzero((group != group[k]) & (side != 0) & (top | (group[k] < group)))
             m = np.zeros(len(c), dtype=np.int64)
             for n, need in enumerate(least):
                 if len(c) == 0:
@@ -198,7 +197,7 @@ def _bucket_task(least: list[int], exact):
                 a, b = find(comp[k]), find(comp[x])
                 if a != b and exact(bodies[k], bodies[x]):
                     root[max(a, b)] = min(a, b)
-                    out.append({"a": int(ids[k]), "b": int(ids[x])})
+                    out.append({"a": ids[k], "b": ids[x]})
         return out
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,13 +205,13 @@ def _bucket_task(least: list[int], exact):
         for batch in batches:
             rows = []
             cols = [batch.column(batch.schema.get_field_index(c))
-                    for c in ("bucket", "i", "j", "band", "id", "side", "comp", "sig", "body")]
+                    for c in ("bucket", "i", "j", "band", "id", "side", "comp", "top", "sig", "body")]
             for r in range(batch.num_rows):
                 key = tuple(c[r].as_py() for c in cols[:4])
                 if key != at:
                     if held:
                         rows += links(at[3], *held)
-                    at, held = key, ([], [], [], [], [])
+                    at, held = key, ([], [], [], [], [], [])
                 for h, c in zip(held, cols[4:], strict=True):
                     h.append(c[r].as_py())
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
@@ -221,18 +220,39 @@ def _bucket_task(least: list[int], exact):
     return task
 
 
+def _dealt_members(buckets: DataFrame) -> DataFrame:
+    """(bucket, band, i, j, id, side, comp, top): the members that have to meet, by pairs of blocks.
+
+    Members outside the bucket's largest component (side 0) meet all its members (side 1); in
+    a bucket of one block they stand on both sides (2). A member of the largest component is
+    repeated once per block of the others, so a bucket that is nearly one component is
+    hardly repeated at all.
+    """
+    size = buckets.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
+    mixed = (size.groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("most"), F.sum("n").alias("n"))
+             .select("bucket", F.col("most.comp").alias("most"),
+                     F.ceil((F.col("n") - F.col("most.n")) / BUCKET_BLOCK).cast("int").alias("xs"),
+                     F.ceil(F.col("n") / BUCKET_BLOCK).cast("int").alias("ys")).filter("xs > 0"))
+    rows = store(buckets.join(mixed, "bucket").withColumn("top", F.col("comp") == F.col("most"))
+                 .select("bucket", "band", "id", "comp", "top", "xs", "ys"), "mixed_buckets")
+
+    def own(n: str):
+        return F.pmod(F.xxhash64("id", F.lit(n)), F.col(n)).cast("int")
+
+    def every(n: str):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    single = (F.col("xs") == 1) & (F.col("ys") == 1)
+    y = rows.select("bucket", "band", every("xs").alias("i"), own("ys").alias("j"), "id",
+                    F.when(single & ~F.col("top"), 2).otherwise(1).alias("side"), "comp", "top")
+    x = rows.filter(~single & ~F.col("top")).select("bucket", "band", own("xs").alias("i"), every("ys").alias("j"), "id",
+                                                    F.lit(0).alias("side"), "comp", "top")
+    return x.unionByName(y)
+
+
 def _across(buckets: DataFrame, bodies: DataFrame, least: list[int], exact, parts: int) -> DataFrame:
     """Links between members of different components that share a bucket."""
-    mixed = (buckets.groupBy("bucket")
-             .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n"))
-             .filter("lo != hi").select("bucket", F.ceil(F.col("n") / BUCKET_BLOCK).cast("int").alias("blocks")))
-    rows = (buckets.join(mixed, "bucket")
-            .withColumn("own", F.pmod(F.xxhash64("id", F.lit(7)), F.col("blocks")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("bucket", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "id",
-                    F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
-                    .alias("side"), "comp"))
-    return (rows.join(bodies.hint("merge"), "id").select("bucket", "i", "j", "band", "id", "side", "comp", "sig", "body")
+    return (_dealt_members(buckets).join(bodies.hint("merge"), "id")
+            .select("bucket", "i", "j", "band", "id", "side", "comp", "top", "sig", "body")
             .repartition(parts, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
             .mapInArrow(_bucket_task(least, exact), "a long, b long").distinct())
 
@@ -271,7 +291,8 @@ def _components_of(rows: DataFrame, shingle: int, percent: int, miss: float) ->
     least = least_matches(percent / 100, miss)
     sigs = store(rows.select(RID, "text").mapInArrow(_signatures(shingle), _SIG_DDL), "signatures")
     member = sigs.filter("n_shingles > 0").select(RID, "digest")
-    classes = member.groupBy("digest").agg(F.min(RID).alias("rep"))
+    # stored, so that the join below has an exchange of its own on either side and a hot digest can be split
+    classes = store(member.groupBy("digest").agg(F.min(RID).alias("rep")), "digests")
     member = store(member.join(classes, "digest").select(RID, "rep"), "classes")
     # none of these sides has a proven bound, so none is broadcast, at any size
     first = member.filter(F.col("rep") == F.col(RID)).select(F.col(RID).alias("id"))
