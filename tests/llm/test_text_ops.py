@@ -1,5 +1,7 @@
 """Quality cascade (3), decontamination (1) and PII (8)."""
 
+import datetime as dt
+import hashlib
 import re
 
 import pytest
@@ -54,6 +56,42 @@ def test_cascade_verdict_does_not_depend_on_the_order(spark):
     assert cascade(docs, rules=()).where("rejected_by is null").count() == 5
 
 
+def test_rules_are_ordered_by_what_is_left_to_reject(spark):
+    from tidemark.llm.op3_quality_cascade import Rule
+    docs = spark.createDataFrame([(k, "x " * k) for k in range(40)], "doc_id long, text string")
+    most = Rule("most", lambda m: m("n_words") < 20)
+    inside = Rule("inside", lambda m: m("n_words") < 15)      # rejects nothing that "most" lets through
+    other = Rule("other", lambda m: m("n_words") >= 38)
+    dear = Rule("dear", lambda m: (m("n_repeat_words") >= 0) & (m("n_words") < 30))
+    times = {"most": 1.1, "inside": 0.3, "other": 1.0, "dear": 40.0}
+
+    def order(rules):
+        runs = iter([0.1] * 3 + [0.1 + times[r.name] for r in rules for _ in range(3)])
+        return [r.name for r in order_rules(docs, rules, clock=lambda job: next(runs))]
+    # 15 rows at a quarter of a second come first, then 5 at one, 2 at one, 8 at 32
+    assert order((most, inside, other, dear)) == ["inside", "most", "other", "dear"]
+    assert order((dear, other, inside, most)) == ["inside", "most", "other", "dear"]
+    times["inside"] = 1.0
+    assert order((inside, other, dear, most)) == ["most", "other", "dear", "inside"]
+
+
+def test_later_measures_are_skipped(spark):
+    """A rejected row does not reach the measures of later rules."""
+    from tidemark.llm.op3_quality_cascade import Rule
+    docs = spark.createDataFrame([(1, "few words"), (2, "another few")], "doc_id long, text string")
+    first = Rule("first", lambda m: m("n_words") < 20)
+    fails = Rule("fails", lambda m: F.raise_error(F.lit("measured")).cast("boolean"))
+    import tidemark.llm.op3_quality_cascade as op3
+    keep = op3.order_rules
+    try:
+        op3.order_rules = lambda docs, rules, sample_rows: list(rules)
+        assert cascade(docs, (first, fails)).where("rejected_by = 'first'").count() == 2
+        with pytest.raises(Exception, match="measured"):
+            cascade(docs, (fails, first)).collect()
+    finally:
+        op3.order_rules = keep
+
+
 def test_cascade_odd_rows(spark):
     df = odd_frame(spark, CLEAN)
     out = cascade(df, BASE_RULES, measures=("n_words",))
@@ -168,3 +206,43 @@ def test_pseudonyms_odd_rows(spark):
     out = pseudonymise(df, "k")
     assert out.columns == [*df.columns, "n_replaced"] and out.count() == df.count()
     assert out.where("text like '%me@example.org%'").count() == 0 and out.where("n_replaced = 1").count() == 6
+
+
+def test_pseudonyms_of_more_formats(spark):
+    rows = ["call 415 555 2671 now", "on 2021/03/05, due 2021/3/5.", "2021/13/05 and 123 456 7890 stay", "1415 555 26710 stays",
+            "id 12 415 555 2671 stays", "4155552671, 123 45 6789, 5.3.21, Jan 5, 2021 stay"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id int, text string")
+    got = [r.text for r in pseudonymise(df, "k").orderBy("doc_id").collect()]
+    assert re.fullmatch(r"call [2-9]\d\d [2-9]\d\d \d{4} now", got[0]) and got[0] != rows[0]
+    dates = re.fullmatch(r"on (\d{4})/(\d\d)/(\d\d), due (\d{4})/(\d{1,2})/(\d{1,2})\.", got[1])
+    assert dates and [int(x) for x in dates.groups()[:3]] == [int(x) for x in dates.groups()[3:]] and got[1] != rows[1]
+    assert got[2:] == rows[2:]
+
+
+def independent_feistel(rank, a, b, key, tag, rounds=8):
+    """The network written again with Python's hashlib."""
+    left, right, ring_l, ring_r = rank // b, rank % b, a, b
+    for n in range(1, rounds + 1):
+        ring = ring_l
+        inner = hashlib.sha256(f"{key}|{tag}|{n}|{right}".encode()).hexdigest()
+        outer = hashlib.sha256(f"{key}|{inner}".encode()).hexdigest()
+        left, right = right, (left + int(outer[:15], 16) % ring) % ring
+        ring_l, ring_r = ring_r, ring_l
+    return left * b + right
+
+
+def test_pseudonyms_equal_an_independent_network(spark):
+    ranks = [0, 1, 12345, DATE_A * DATE_B - 1, 777]
+    df = spark.createDataFrame([(r,) for r in ranks], "r long")
+    a, b = F.lit(DATE_A).cast("long"), F.lit(DATE_B).cast("long")
+    got = [x.y for x in df.select(feistel(F.col("r"), a, b, F.lit("k"), "date").alias("y")).collect()]
+    assert got == [independent_feistel(r, DATE_A, DATE_B, "k", "date") for r in ranks]
+    # a date, an address and a telephone number by hand
+    first = dt.date(1800, 1, 1)
+    day = dt.date(2021, 3, 5)
+    new = first + dt.timedelta(days=independent_feistel((day - first).days, DATE_A, DATE_B, "k", "date"))
+    ip = independent_feistel(0x0A000001, 65536, 65536, "k", "ip")
+    phone = independent_feistel(((415 - 200) * 800 + 355) * 10000 + 2671, 80_000, 80_000, "k", "phone")
+    text = spark.createDataFrame([(1, "2021-03-05 10.0.0.1 415-555-2671")], "doc_id int, text string")
+    tel = f"{phone // 8_000_000 + 200}-{phone // 10_000 % 800 + 200}-{phone % 10_000:04d}"
+    assert pseudonymise(text, "k").first().text == f"{new} {'.'.join(str(b) for b in ip.to_bytes(4, 'big'))} {tel}"
