@@ -219,6 +219,23 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+def _stored_types(spark: SparkSession, path: str):
+    """The schema kept beside a partitioned table (:data:`tidemark.sinks.tables.SCHEMA_FILE`), or None."""
+    import json
+
+    from pyspark.sql.types import StructType
+
+    from tidemark.sinks.tables import SCHEMA_FILE
+    text = _read_text(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
+    return None if text is None else StructType.fromJson(json.loads(text))
+
+
+def _read_all_columns(spark: SparkSession, path: str) -> DataFrame:
+    """A partitioned table with the columns of all its files: by the stored schema, else from every file's footer."""
+    known = _stored_types(spark, path)
+    return spark.read.option("mergeSchema", True).parquet(path) if known is None else spark.read.schema(known).parquet(path)
+
+
 def _overwrite_partitions(spark: SparkSession, staged: str, path: str, partition_by: Sequence[str]) -> None:
     # rebalance on the partition columns: few, advisory-sized files per
     # partition, and a hot partition is split across writers by AQE
@@ -250,7 +267,7 @@ def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
     partitions carry the new column.
     """
     recover_partitioned(spark, path)
-    return spark.read.option("mergeSchema", True).parquet(path)
+    return _read_all_columns(spark, path)
 
 
 def upsert_partitions(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
@@ -273,8 +290,9 @@ def upsert_partitions(spark: SparkSession, source: DataFrame, path: str, keys: S
     recover_partitioned(spark, path)
     staged, folder = _staged_source(source, keys, check_unique, path)
     touched = staged.select(*partition_by).distinct()
-    if partitioned_exists(spark, path):
-        target = spark.read.option("mergeSchema", True).parquet(path)
+    # a stored schema says that the table exists without a walk through its files
+    if _stored_types(spark, path) is not None or partitioned_exists(spark, path):
+        target = _read_all_columns(spark, path)
         # dynamic partition pruning restricts the scan to the touched partitions
         names = {c: f"__touched{i}" for i, c in enumerate(partition_by)}
         scoped = target.join(touched.select(*[F.col(c).alias(n) for c, n in names.items()]),
@@ -285,6 +303,8 @@ def upsert_partitions(spark: SparkSession, source: DataFrame, path: str, keys: S
     result = fresh_dir(spark, "upsert-stage")
     out.write.mode("overwrite").parquet(result)
     n = touched.count()
+    from tidemark.sinks.tables import SCHEMA_FILE
+    _write_text(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}", out.schema.json())  # a new column is null in older files
     _write_text(spark, f"{path.rstrip('/')}/{_PENDING}", f"{result}\n{','.join(partition_by)}\n")
     recover_partitioned(spark, path)
     _remove(spark, result)
@@ -326,7 +346,7 @@ def compact_partitions(spark: SparkSession, path: str, partition_by: Sequence[st
     from tidemark.session import fresh_dir
     recover_partitioned(spark, path)
     # all columns of all files: the rewritten files must not lose those of later appends
-    df = spark.read.option("mergeSchema", True).parquet(path)
+    df = _read_all_columns(spark, path)
     if where is not None:
         df = df.where(where)
     staged = fresh_dir(spark, "compact-stage")
