@@ -24,7 +24,7 @@ REPEAT_WINDOW = 8
 #: rows of the sample that orders the rules
 SAMPLE_ROWS = 1000
 #: how often the sample is repeated in one timed run, and timed runs per rule
-REPEATS, RUNS = 8, 3
+REPEATS, RUNS = 2, 3
 
 
 def _let(value: Column, body) -> Column:
