@@ -151,3 +151,55 @@ def test_lines_near_the_threshold(spark):
             n += 2
     assert BANDS * ROWS > AGREEING and (1 - 0.8 ** ROWS) ** BANDS < 1e-3
     check_lines(spark, docs, missed=2)  # 300 pairs at 8e-4 or less: 0.24 expected
+
+
+def test_a_bucket_of_one_large_component_is_dealt_once(spark):
+    from tidemark.llm.op2_bayes_minhash import BUCKET_BLOCK, _dealt_members
+    n = 8 * BUCKET_BLOCK
+    buckets = spark.range(n).select(F.lit(7).cast("long").alias("bucket"), F.lit(0).alias("band"), "id",
+                                    F.when(F.col("id") == 5, 5).otherwise(0).cast("long").alias("comp"))
+    dealt = _dealt_members(buckets)
+    assert dealt.count() <= n + 10
+    # every member of the large component meets the other one in exactly one block
+    met = dealt.where("side = 0").select("i", "j").join(dealt.where("side = 1 and top"), ["i", "j"])
+    assert met.select("id").distinct().count() == met.count() == n - 1
+    assert _dealt_members(buckets.where("id != 5")).count() == 0
+
+
+def test_buckets_are_whole_however_rows_are_batched():
+    import numpy as np
+    import pyarrow as pa
+    rnd = random.Random(9)
+    for _ in range(300):
+        width = rnd.randrange(1, 9)
+        rows = sorted({(rnd.randrange(12), rnd.randrange(60)) for _ in range(rnd.randrange(0, 40))})
+        cut = rnd.randrange(len(rows) + 1)
+        sent = []
+        for part in ([r for r in rows if r[1] % 2], [r for r in rows if r[1] % 2 == 0], []):  # two tasks and an empty one
+            ids = sorted({i for _, i in part})
+            # a value of its own where a line is in no bucket of the band
+            lists = pa.array([[0 if (b, i) in part else 100 + i for b in range(12)] for i in ids], pa.list_(pa.int32()))
+            batch = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), lists], names=["id", "bands"])
+            for made in op7._local_buckets(iter([batch.slice(0, cut), batch.slice(cut)] if cut < len(ids) else [batch])):
+                sent += made.to_pylist()
+        sent.sort(key=lambda r: (r["a"] is not None, r["band"], r["id"]))
+        table = pa.RecordBatch.from_pylist(sent, schema=op7._BUCKET)
+        got = [r for b in op7._joined_buckets(iter([table.slice(k, width) for k in range(0, max(1, len(sent)), width)])) for r in b.to_pylist()]
+        assert all(r["band"] & 0xFFFFFFFF == 0 for r in got)
+        got = [r | {"band": r["band"] >> 32} for r in got]
+        size = {b: sum(x == b for x, _ in rows) for b, _ in rows}
+        assert sorted((r["band"], r["id"]) for r in got) == [r for r in rows if size[r[0]] > 1]
+        # the comparisons with a hub join each bucket: every member reaches the smallest by way of hubs
+        up = {(r["band"], r["id"]): r["a"] for r in got}
+        for b, i in up:
+            at = i
+            while up[b, at] != at:
+                at = up[b, at]
+            assert at == min(j for x, j in rows if x == b)
+    assert np.array(op7._halves(b"x")).dtype == np.int64
+
+
+def test_lines_outside_the_basic_plane(spark):
+    line = "a line with \U0001F600 two \U0001F680 astral characters and some more words to compare"
+    docs = [(1, line), (2, line.replace("more", "most")), (3, "\U0001F600" * 19 + "\n" + "\U0001F600" * 20), (4, "\U0001F600" * 20)]
+    check_lines(spark, docs)

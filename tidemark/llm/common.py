@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +33,27 @@ def store(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_dir(spark, "llm", name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.__dict__["_tm_path"] = path
+    return out
+
+
+def discard(spark: SparkSession, *stored: DataFrame) -> None:
+    """Delete tables that :func:`store` returned; nothing that still has to run may read them.
+
+    Spark removes the shuffle files of finished jobs when the driver collects its garbage,
+    which a driver with little to do puts off for long; so that is asked for here, too.
+    """
+    sc = spark.sparkContext
+    for df in stored:
+        path = df.__dict__.get("_tm_path")
+        if path:
+            target = sc._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
+    for _ in range(2):  # what the first round releases can hold on to more
+        gc.collect()
+        sc._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def with_row_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
