@@ -6,9 +6,11 @@ metric-name conversion is applied to literals and constant-folded.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import camel_to_snake, snake_name
@@ -143,6 +145,23 @@ def statements_from_payload(df: DataFrame, payload: str = "payload",
     return long.select(*SILVER_FUNDAMENTALS_COLUMNS)
 
 
+def without_typed(payload: Column, typed: Mapping[str, Column], envelope: Sequence[str] = STATEMENT_ENVELOPE_COLUMNS) -> Column:
+    """A map of JSON fields without ``envelope`` and without fields whose text is that of their typed column.
+
+    :func:`with_typed` puts the latter back, so rows that travel between the two carry no
+    value twice; a field whose text is another ("1.50" for 1.5) stays in the map.
+    """
+    def same(k: Column, v: Column) -> Column:
+        return F.coalesce(reduce(or_, [(k == n) & (v == c.cast("string")) for n, c in typed.items()]), F.lit(False))
+    return F.map_filter(payload, lambda k, v: ~k.isin(list(envelope)) & ~same(k, v))
+
+
+def with_typed(payload: Column, typed: Mapping[str, Column]) -> Column:
+    """The map of :func:`without_typed` with the fields that it left to their typed columns."""
+    known = F.map_from_arrays(F.array(*[F.lit(n) for n in typed]), F.array(*[c.cast("string") for c in typed.values()]))
+    return F.map_concat(payload, F.map_filter(known, lambda n, v: v.isNotNull() & ~F.map_contains_key(payload, n)))
+
+
 def metrics_from_map(df: DataFrame, ids: Sequence[str], payload: str, envelope: Sequence[str] = STATEMENT_ENVELOPE_COLUMNS,
                      name_col: str = "metric_name", value_col: str = "metric_value") -> DataFrame:
     """Long metrics from a ``map<string,string>`` of JSON fields (their literal text), parsed once upstream."""

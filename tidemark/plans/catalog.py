@@ -144,13 +144,15 @@ def variant_statements_silver(spark: SparkSession, sf: str) -> DataFrame:
     field = lambda n: F.col("payload")[n]
     typed = bronze.withColumns({n: field(n) for n in ("date", "period", "fiscalYear", "reportedCurrency")})
     # ties on retrieved_at are broken field by field, as the wide path does
-    fields = [("orderKey", "bigint"), ("suppKey", "bigint"), ("lineNumber", "int"), ("quantity", "double"),
-              ("extendedPrice", "double"), ("discount", "double"), ("tax", "double")]
-    typed = typed.withColumns({f"__tb{i}": field(n).try_cast(t) for i, (n, t) in enumerate(fields)})
-    latest = dedup.keep_latest(typed, ["ticker", "date", "period", "statement_type"],
-                               tie_break=["fiscalYear", "reportedCurrency", "source",
-                                          *[f"__tb{i}" for i in range(len(fields))]])
-    latest = latest.drop("record_pos", *[f"__tb{i}" for i in range(len(fields))])
+    fields = {"orderKey": "bigint", "suppKey": "bigint", "lineNumber": "int", "quantity": "double",
+              "extendedPrice": "double", "discount": "double", "tax": "double"}
+    typed = typed.withColumns({f"__tb_{n}": field(n).try_cast(t) for n, t in fields.items()})
+    # a field is carried once: typed where its text is the value's, in the map otherwise
+    typed = typed.withColumn("payload", reshape.without_typed(F.col("payload"), {n: F.col(f"__tb_{n}") for n in fields}))
+    latest = dedup.keep_latest(typed.drop("record_pos"), ["ticker", "date", "period", "statement_type"],
+                               tie_break=["fiscalYear", "reportedCurrency", "source", *[f"__tb_{n}" for n in fields]])
+    latest = latest.withColumn("payload", reshape.with_typed(F.col("payload"), {n: F.col(f"__tb_{n}") for n in fields}))
+    latest = latest.drop(*[f"__tb_{n}" for n in fields])
     return reshape.statements_from_map(standardize.standardize_fundamentals(latest))
 
 
