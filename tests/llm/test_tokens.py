@@ -195,7 +195,7 @@ def http_record(headers, body, kind="text/html"):
     return f"WARC/1.1\r\n{lines}Content-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
 
 
-PAGE = "<html><head><title>T</title></head><body><p>Grüße, 日本</p><p>two</p></body></html>"
+CODED_PAGE = "<html><head><title>T</title></head><body><p>Grüße, 日本</p><p>two</p></body></html>"
 
 
 def chunked(data, size=7):
@@ -204,20 +204,20 @@ def chunked(data, size=7):
 
 
 @pytest.mark.parametrize("headers,body,kind,text,problem", [
-    ([("Content-Encoding", "gzip")], __import__("gzip").compress(PAGE.encode()), "text/html", "Grüße, 日本\ntwo", None),
-    ([("Content-Encoding", "deflate")], zlib.compress(PAGE.encode()), "text/html", "Grüße, 日本\ntwo", None),
-    ([("Content-Encoding", "deflate")], zlib.compress(PAGE.encode())[2:-4], "text/html", "Grüße, 日本\ntwo", None),
-    ([("Transfer-Encoding", "chunked")], chunked(PAGE.encode()), "text/html", "Grüße, 日本\ntwo", None),
-    ([("Transfer-Encoding", "chunked"), ("Content-Encoding", "gzip")], chunked(__import__("gzip").compress(PAGE.encode())), "text/html",
+    ([("Content-Encoding", "gzip")], __import__("gzip").compress(CODED_PAGE.encode()), "text/html", "Grüße, 日本\ntwo", None),
+    ([("Content-Encoding", "deflate")], zlib.compress(CODED_PAGE.encode()), "text/html", "Grüße, 日本\ntwo", None),
+    ([("Content-Encoding", "deflate")], zlib.compress(CODED_PAGE.encode())[2:-4], "text/html", "Grüße, 日本\ntwo", None),
+    ([("Transfer-Encoding", "chunked")], chunked(CODED_PAGE.encode()), "text/html", "Grüße, 日本\ntwo", None),
+    ([("Transfer-Encoding", "chunked"), ("Content-Encoding", "gzip")], chunked(__import__("gzip").compress(CODED_PAGE.encode())), "text/html",
      "Grüße, 日本\ntwo", None),
-    ([("Transfer-Encoding", "chunked")], PAGE.encode(), "text/html", "Grüße, 日本\ntwo", None),
-    ([], PAGE.replace("</head>", "x" * 3000 + '<meta charset="latin-1"></head>').replace(", 日本", "").encode("latin-1"), "text/html",
+    ([("Transfer-Encoding", "chunked")], CODED_PAGE.encode(), "text/html", "Grüße, 日本\ntwo", None),
+    ([], CODED_PAGE.replace("</head>", "x" * 3000 + '<meta charset="latin-1"></head>').replace(", 日本", "").encode("latin-1"), "text/html",
      "Grüße\ntwo", None),
     ([], b"\x89PNG\r\n\0\0", "image/png", None, None), ([], b"a\0b", "", None, None), ([], b"<p>plain</p>", "", "plain", None),
     ([], b"1 < 2\n\n<p>", "text/plain", "1 < 2\n\n<p>", None),
     ([("Content-Encoding", "br")], b"\x0b\x02", "text/html", None, "content coding br"),
     ([("Content-Encoding", "gzip")], b"no gzip", "text/html", None, "gzip: "),
-    ([("Content-Encoding", "gzip")], __import__("gzip").compress(PAGE.encode())[:-12], "text/html", None, "gzip: incomplete"),
+    ([("Content-Encoding", "gzip")], __import__("gzip").compress(CODED_PAGE.encode())[:-12], "text/html", None, "gzip: incomplete"),
 ])
 def test_bodies(spark, headers, body, kind, text, problem):
     record = http_record(headers, body, kind)
@@ -245,7 +245,7 @@ def test_a_body_that_unfolds_too_far(spark, monkeypatch):
 def test_responses_of_odd_pages(spark):
     from tidemark.llm.op4_warc_derivatives import responses
     rows = [(1, None, None, "x"), (2, "http://a", "", "x"), (2, "http://a", "", "x"), (None, "http://b", "<p>" + "long " * 50_000, "x"),
-            (3, "http://c/\r\nX: y", PAGE, "x")]
+            (3, "http://c/\r\nX: y", CODED_PAGE, "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, record string")
     out = derivatives(responses(pages)).collect()
     assert len(out) == 5 and all(r.error is None for r in out)
