@@ -108,3 +108,14 @@ def test_documents_are_dealt_by_a_hash(spark):
     rows = spark.createDataFrame([(i,) for i in ids], "id long").select("id", F.pmod(F.xxhash64("id"), F.lit(8)).alias("p")).collect()
     assert {r.id: r.p for r in rows} == dict(zip(ids, dealt.tolist()))
     assert np.bincount(dealt).min() > 400  # ids that are multiples of the partitions spread evenly
+
+
+def test_exchanges_are_released_between_the_passes(spark, monkeypatch):
+    from tidemark.llm import repeats
+    events = []
+    monkeypatch.setattr(repeats, "store", lambda df, name, f=repeats.store: events.append(name) or f(df, name))
+    monkeypatch.setattr(repeats, "discard", lambda spark, *t: events.append("discard"))
+    text = "".join(chr(97 + k * k % 26) + str(k) for k in range(200))
+    docs = spark.createDataFrame([(1, text), (2, "other " + text), (3, "short")], "doc_id long, text string")
+    assert sum(r.n_removed for r in remove_shared(docs).collect()) == 2 * len(text)
+    assert events == ["repeat_runs", "discard", "repeat_windows", "discard"]

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import RID, merge_spans, mix64, store, text_chunks
+from tidemark.llm.common import RID, discard, merge_spans, mix64, store, text_chunks
 
 RECORD, SPAN, WINDOW = 0, 1, 2
 #: in the ``many`` column of span rows: these windows are settled, or still to be opened
@@ -311,9 +311,12 @@ def repeated_windows(docs: DataFrame, sampler: Callable, window_hash: Callable,
     settled = (sent.repartitionById(parts, F.col("dest")).sortWithinPartitions("dest")
                .mapInArrow(_settle_task(earlier, parts), ROW_DDL))
     settled = store(settled, "repeat_runs")
+    discard(spark)  # the records' shuffle files; else all exchanges are on disk together at the end
     windows = (_meet(docs, settled, parts).mapInArrow(_open_task(window_hash, earlier, parts), ROW_DDL)
                .repartitionById(parts, F.col("dest")).sortWithinPartitions("dest")
                .mapInArrow(_compare_task(earlier, parts), ROW_DDL))
+    windows = store(windows, "repeat_windows")
+    discard(spark)
     return settled.unionByName(windows)
 
 
