@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import RID, WindowHash, mix64, restore_ids, store, table, text_chunks, with_row_ids
+from tidemark.llm.common import RID, WindowHash, discard, mix64, restore_ids, store, table, text_chunks, with_row_ids
 from tidemark.llm.components import components
 from tidemark.llm.op9_recompression import WordHashes, word_hashes
 
@@ -290,6 +290,7 @@ def _components_of(rows: DataFrame, shingle: int, percent: int, miss: float) ->
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     least = least_matches(percent / 100, miss)
     sigs = store(rows.select(RID, "text").mapInArrow(_signatures(shingle), _SIG_DDL), "signatures")
+    counts = store(sigs.select(RID, "n_shingles"), "counts")
     member = sigs.filter("n_shingles > 0").select(RID, "digest")
     # stored, so that the join below has an exchange of its own on either side and a hot digest can be split
     classes = store(member.groupBy("digest").agg(F.min(RID).alias("rep")), "digests")
@@ -298,25 +299,33 @@ def _components_of(rows: DataFrame, shingle: int, percent: int, miss: float) ->
     first = member.filter(F.col("rep") == F.col(RID)).select(F.col(RID).alias("id"))
     reps = store(sigs.select(F.col(RID).alias("id"), "sig", "bands").join(first.hint("merge"), "id", "left_semi"),
                  "representatives")
+    discard(spark, sigs, classes)
     bands = reps.select("id", F.posexplode("bands").alias("band", "bucket"))
     hubs = (bands.groupBy("bucket").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("n"))
             .filter("n > 1").drop("n"))
     buckets = store(bands.join(hubs.hint("merge"), "bucket"), "buckets")
+    discard(spark)
     need = buckets.select(F.col("id").alias(RID)).distinct()
     sets = rows.select(RID, "text").join(need.hint("merge"), RID, "left_semi").mapInArrow(_sets(shingle), "id long, body binary")
     bodies = store(sets.join(reps.select("id", "sig").hint("merge"), "id"), "sets")
+    discard(spark, reps)
     exact = _exact_compare(percent, 100)
 
     star = buckets.filter("a != id").select("a", F.col("id").alias("b")).distinct()
     star = _compare_with_hub(star, bodies.select("id", F.col("sig").alias("body")), _signature_compare(least), parts)
-    links = store(_compare_with_hub(store(star, "star_candidates"), bodies.select("id", "body"), exact, parts), "star_links")
+    star = store(star, "star_candidates")
+    links = store(_compare_with_hub(star, bodies.select("id", "body"), exact, parts), "star_links")
+    discard(spark, star)
     found = components(links)
     comp = (buckets.select("bucket", "band", "id").join(found.withColumnRenamed("node", "id"), "id", "left")
             .select("bucket", "band", "id", F.coalesce("root", "id").alias("comp")))
-    more = store(_across(store(comp, "bucket_components"), bodies, least, exact, parts), "across_links")
+    comp = store(comp, "bucket_components")
+    discard(spark, buckets)
+    more = store(_across(comp, bodies, least, exact, parts), "across_links")
+    discard(spark, comp, bodies)
     if more.limit(1).count():
         found = components(links.unionByName(more))
-    return (sigs.select(RID, "n_shingles").join(member, RID, "left")
+    return (counts.join(member, RID, "left")
             .join(found.withColumnRenamed("node", "rep"), "rep", "left")
             .select(RID, "n_shingles", F.coalesce("root", "rep", RID).alias("root")))
 
