@@ -203,3 +203,38 @@ def test_lines_outside_the_basic_plane(spark):
     line = "a line with \U0001F600 two \U0001F680 astral characters and some more words to compare"
     docs = [(1, line), (2, line.replace("more", "most")), (3, "\U0001F600" * 19 + "\n" + "\U0001F600" * 20), (4, "\U0001F600" * 20)]
     check_lines(spark, docs)
+
+
+def stored_tables(monkeypatch, *modules):
+    """The tables that ``modules`` store from now on: (name, table as read back)."""
+    made = []
+    for m in modules:
+        monkeypatch.setattr(m, "store", lambda df, name, f=m.store: made.append((name, f(df, name))) or made[-1][1])
+    return made
+
+
+def on_disk(df):
+    import os
+    return os.path.exists(df.__dict__["_tm_path"].removeprefix("file:"))
+
+
+def test_near_duplicates_keep_no_large_table(spark, small_docs, monkeypatch):
+    from tidemark.llm import op2_bayes_minhash as op2
+    made = stored_tables(monkeypatch, op2)
+    out = op2.near_duplicates(spark.createDataFrame(small_docs, "doc_id long, text string"))
+    left = {name for name, df in made if on_disk(df)}
+    assert left.isdisjoint({"signatures", "representatives", "buckets", "sets", "star_candidates", "bucket_components"})
+    assert out.count() == len(small_docs)
+
+
+def test_only_lines_that_resemble_others_are_read_again(spark, monkeypatch):
+    rnd = random.Random(11)
+    docs = [(k, "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(80))) for k in range(200)]
+    docs += [(1000, docs[3][1] + "x"), (1001, docs[5][1])]
+    monkeypatch.setattr(op7, "discard", lambda *a: None)
+    made = stored_tables(monkeypatch, op7)
+    check_lines(spark, docs)
+    tables = dict(made)
+    assert [name for name, df in made if "line" in df.columns] == ["line_texts", "line_met_texts"]
+    assert sorted(bytes(r.line).decode() for r in tables["line_texts"].collect()) == [docs[3][1], docs[3][1] + "x"]
+    assert tables["line_met_texts"].count() == 0
