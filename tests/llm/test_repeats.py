@@ -119,3 +119,28 @@ def test_exchanges_are_released_between_the_passes(spark, monkeypatch):
     docs = spark.createDataFrame([(1, text), (2, "other " + text), (3, "short")], "doc_id long, text string")
     assert sum(r.n_removed for r in remove_shared(docs).collect()) == 2 * len(text)
     assert events == ["repeat_runs", "discard", "repeat_windows", "discard"]
+
+
+def test_packed_rows_are_not_sorted_and_travel_in_small_batches(spark, monkeypatch):
+    from tidemark.llm import common, repeats
+    conf, seen = "spark.sql.execution.arrow.maxBytesPerBatch", {}
+
+    def look(df, name, f=repeats.store):
+        seen[name] = df._jdf.queryExecution().executedPlan().toString().count("Sort ["), spark.conf.get(conf)
+        return f(df, name)
+    monkeypatch.setattr(repeats, "store", look)
+    before = spark.conf.get(conf)
+    text = "".join(chr(97 + k * k % 26) + str(k) for k in range(200))
+    docs = spark.createDataFrame([(1, text), (2, "other " + text), (3, "short")], "doc_id long, text string")
+    assert sum(r.n_removed for r in remove_shared(docs).collect()) == 2 * len(text)
+    # only documents and the rows about them are sorted, and only by kind
+    assert seen == {"repeat_runs": (0, str(common.ARROW_BYTES)), "repeat_windows": (1, str(common.ARROW_BYTES))}
+    assert spark.conf.get(conf) == before
+
+
+def test_small_batches_end_with_an_error(spark):
+    from tidemark.llm import common
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    with pytest.raises(ZeroDivisionError), common.small_batches(spark):
+        1 / 0
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import RID, discard, merge_spans, mix64, store, text_chunks
+from tidemark.llm.common import RID, discard, merge_spans, mix64, small_batches, store, text_chunks
 
 RECORD, SPAN, WINDOW = 0, 1, 2
 #: in the ``many`` column of span rows: these windows are settled, or still to be opened
@@ -253,7 +253,7 @@ _DOC_COLS = ["dest", "kind", "n", RID, "text", "doc", "start", "count", "many"]
 
 
 def _documents_with(batches: Iterator[pa.RecordBatch], state: int):
-    """(row id, text, starts, counts) from rows sorted by (dest, kind): packed spans, then documents.
+    """(row id, text, starts, counts) from rows of one dest sorted by kind: packed spans, then documents.
 
     Only spans in the given state are returned.
     """
@@ -294,7 +294,7 @@ def _meet(docs: DataFrame, rows: DataFrame, parts: int) -> DataFrame:
     right = docs.select(F.pmod(F.xxhash64(RID), F.lit(parts)).cast("int").alias("dest"), F.lit(DOC).alias("kind"),
                         F.lit(1).alias("n"), RID, F.col("text").cast("binary").alias("text"),
                         none.alias("doc"), none.alias("start"), none.alias("count"), none.alias("many"))
-    return left.unionByName(right).repartitionById(parts, F.col("dest")).sortWithinPartitions("dest", "kind")
+    return left.unionByName(right).repartitionById(parts, F.col("dest")).sortWithinPartitions("kind")
 
 
 def repeated_windows(docs: DataFrame, sampler: Callable, window_hash: Callable, earlier: bool,
@@ -307,15 +307,15 @@ def repeated_windows(docs: DataFrame, sampler: Callable, window_hash: Callable,
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sent = docs.select(RID, "text").mapInArrow(_sample_task(sampler, earlier, parts, chunk_bytes), ROW_DDL)
-    # dest is the number of the partition that receives a row
-    settled = (sent.repartitionById(parts, F.col("dest")).sortWithinPartitions("dest")
-               .mapInArrow(_settle_task(earlier, parts), ROW_DDL))
-    settled = store(settled, "repeat_runs")
+    # dest is the number of the partition that receives a row, so each has one dest and there is nothing to sort
+    settled = sent.repartitionById(parts, F.col("dest")).mapInArrow(_settle_task(earlier, parts), ROW_DDL)
+    with small_batches(spark):
+        settled = store(settled, "repeat_runs")
     discard(spark)  # the records' shuffle files; else all exchanges are on disk together at the end
     windows = (_meet(docs, settled, parts).mapInArrow(_open_task(window_hash, earlier, parts), ROW_DDL)
-               .repartitionById(parts, F.col("dest")).sortWithinPartitions("dest")
-               .mapInArrow(_compare_task(earlier, parts), ROW_DDL))
-    windows = store(windows, "repeat_windows")
+               .repartitionById(parts, F.col("dest")).mapInArrow(_compare_task(earlier, parts), ROW_DDL))
+    with small_batches(spark):
+        windows = store(windows, "repeat_windows")
     discard(spark)
     return settled.unionByName(windows)
 
