@@ -120,6 +120,32 @@ def test_backtracking_equals_the_library(name, small_docs):
         assert b" ".join(d for d in map(table.__getitem__, op12._COARSE.findall(text)) if d) == b" ".join(b"%d" % i for i in want)
 
 
+def test_plain_texts_are_taken_apart_once(small_docs):
+    with open(RANKS, "rb") as f:
+        ranks = op12.parse_ranks(f.read())
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    coder = op12.Backtracker(ranks)
+    pieces = op12.PieceTable(public_tokenizers.PATTERN, coder)
+    encoded = op12.splitter(public_tokenizers.PATTERN, pieces)
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("aÀÿé ths'rellvm  \n\t\r\x0b\x0c12,.-~_\"") for _ in range(rng.randint(0, 60))) for _ in range(600)]
+    texts += [f"word{a}{b}" for a in ",.;:!?" for b in ("", " ", "\n", "\n\nb", "  c", " \t")]
+    for text in texts + ["x\x1cy z", "x\x85 y", "ªa 1²", "\xa0 a"] + [t for _, t in small_docs[:60]]:
+        assert b" ".join(d for d in encoded(text) if d) == b" ".join(b"%d" % i for i in library.encode_ordinary(text))
+        # a word beside a mark is no entry of its own
+        assert not pieces or not regex.fullmatch(op12.PLAIN_TEXT, text)
+        pieces.clear()
+
+
+def test_pairs_are_judged_up_to_the_border():
+    with open(RANKS, "rb") as f:
+        coder = op12.Backtracker(op12.parse_ranks(f.read()))
+    rng, ids = random.Random(9), list(coder.token)
+    for _ in range(3000):
+        a, b = (rng.choice(ids[:rng.choice((260, 600, len(ids)))]) for _ in range(2))
+        assert coder._follows(a, b) == (coder.merged(coder.token[a] + coder.token[b]) == [a, b])
+
+
 def test_unreachable_tokens_and_missing_bytes():
     ranks = {bytes([b]): b for b in b"abcd"} | {b"ab": 200, b"bc": 201, b"abcd": 202, b"cd": 203}
     coder = op12.Backtracker(ranks)

@@ -14,7 +14,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import ahocorasick
 import pyarrow as pa
@@ -32,7 +32,11 @@ KEPT_BYTES = 64
 _LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
 PLAIN = f" ?[!-~{_LETTERS}]+"
 PLAIN_SPLIT = f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^ 0-9{_LETTERS}]+"
-#: a text is split once where the pattern never matches across: before white space that a word follows
+#: the public pattern on texts of these letters, digits, marks and ASCII white space alone
+PLAIN_TEXT = f"[\\t-\\r -~{_LETTERS}]*"
+PLAIN_MATCHES = (f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\\t-\\r 0-9{_LETTERS}]+"
+                 "|[\\t-\\r ]+(?![^\\t-\\r ])|[\\t-\\r ]+")
+#: any other text is split once where the pattern never matches across: before white space that a word follows
 _COARSE = re.compile(SPACED_PIECE)
 
 
@@ -89,9 +93,26 @@ class Backtracker:
         return known
 
     def _follows(self, a: int, b: int) -> bool:
-        """Whether the merges of both tokens' bytes give these two; then each is what its own bytes give, too."""
+        """Whether the merges of both tokens' bytes give these two; then each is what its own bytes give, too.
+
+        They are :meth:`merged`'s merges, up to the first one across the tokens' border.
+        """
         self._held += 1
-        known = self._next.setdefault(a, {})[b] = self.merged(self.token[a] + self.token[b]) == [a, b]
+        rank, none, data, left = self._rank.get, float("inf"), self.token[a] + self.token[b], len(self.token[a]) - 1
+        parts = [data[k:k + 1] for k in range(len(data))]
+        joined = [rank(data[k:k + 2], none) for k in range(len(data) - 1)]
+        while (best := min(joined)) != none:
+            k = joined.index(best)
+            if k == left:
+                break
+            left -= k < left
+            parts[k:k + 2] = [parts[k] + parts[k + 1]]
+            del joined[k]
+            if k:
+                joined[k - 1] = rank(parts[k - 1] + parts[k], none)
+            if k < len(joined):
+                joined[k] = rank(parts[k] + parts[k + 1], none)
+        known = self._next.setdefault(a, {})[b] = best == none and len(parts) == 2
         return known
 
     def encode(self, piece: bytes) -> list[int]:
@@ -146,10 +167,11 @@ class MatchTable(dict):
     """Match of the pattern -> its ids in decimal, joined by spaces, made when the match is first met."""
 
     def __init__(self, coder: Backtracker):
-        self._coder = coder
+        self._encode = coder.encode
+        self._decimal = {i: b"%d" % i for i in coder.token}
 
     def __missing__(self, match: str) -> bytes:
-        out = b" ".join([b"%d" % i for i in self._coder.encode(match.encode())])
+        out = b" ".join([self._decimal[i] for i in self._encode(match.encode())])
         if len(match) <= KEPT_BYTES:
             if len(self) >= KEPT:
                 self.clear()
@@ -161,13 +183,13 @@ class PieceTable(dict):
     """Coarse piece -> the ids of its matches in decimal; the same words stand beside many marks, so matches are kept too."""
 
     def __init__(self, pattern: str, coder: Backtracker):
-        self._split, self._matches = regex.compile(pattern).findall, MatchTable(coder)
+        self._split, self.matches = regex.compile(pattern).findall, MatchTable(coder)
         self._plain, self._split_plain = (re.compile(PLAIN).fullmatch, re.compile(PLAIN_SPLIT).findall) if _is_public(
             pattern) else (None, None)
 
     def __missing__(self, piece: str) -> bytes:
         split = self._split_plain if self._plain and self._plain(piece) else self._split
-        out = b" ".join([self._matches[m] for m in split(piece)])
+        out = b" ".join([self.matches[m] for m in split(piece)])
         if len(piece) <= KEPT_BYTES:
             if len(self) >= KEPT:
                 self.clear()
@@ -175,19 +197,18 @@ class PieceTable(dict):
         return out
 
 
-class DecodeTable(dict):
-    """Decimal ids joined by spaces -> the bytes they stand for."""
+def splitter(pattern: str, pieces: PieceTable) -> Callable[[str], Iterator[bytes]]:
+    """Text -> the decimal ids of its parts in order; a part without a match has none and is empty.
 
-    def __init__(self, token: dict[int, bytes]):
-        self._token = token
-
-    def __missing__(self, decimals: bytes) -> bytes:
-        out = b"".join(self._token[int(i)] for i in decimals.split())
-        if len(decimals) <= 6 * KEPT_BYTES:
-            if len(self) >= KEPT:
-                self.clear()
-            self[decimals] = out
-        return out
+    The public pattern takes plain texts apart into its matches at once, so each match is
+    looked up and encoded once and not again beside every mark it stands with.
+    """
+    if not _is_public(pattern):
+        split = regex.compile(pattern).findall
+        return lambda text: map(pieces.__getitem__, split(text))
+    plain, split_plain, split = re.compile(PLAIN_TEXT).fullmatch, re.compile(PLAIN_MATCHES).findall, _COARSE.findall
+    matches = pieces.matches
+    return lambda text: map(matches.__getitem__, split_plain(text)) if plain(text) else map(pieces.__getitem__, split(text))
 
 
 _SCHEMA = pa.schema([(RID, pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()),
@@ -198,14 +219,13 @@ _DDL = f"{RID} long, n_tokens long, ids_sha256 string, decoded_sha256 string, id
 def _task(ranks, pattern: str, with_ids: bool):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Backtracker(parse_ranks(ranks.value))
-        pieces, back = PieceTable(pattern, coder), DecodeTable(coder.token)
-        split = _COARSE.findall if _is_public(pattern) else regex.compile(pattern).findall
+        encoded = splitter(pattern, PieceTable(pattern, coder))
+        token = {b"%d" % i: t for i, t in coder.token.items()}
         for ids, texts in text_chunks(batches, 1 << 20):
             rows = []
             for rid, text in zip(ids, texts, strict=True):
-                found = [d for d in map(pieces.__getitem__, split(text.decode())) if d]
-                line = b" ".join(found)
-                body = b"".join(map(back.__getitem__, found))
+                line = b" ".join([d for d in encoded(text.decode()) if d])
+                body = b"".join(map(token.__getitem__, line.split()))
                 rows.append({RID: rid, "n_tokens": line.count(b" ") + 1 if line else 0,
                              "ids_sha256": hashlib.sha256(line).hexdigest(), "decoded_sha256": hashlib.sha256(body).hexdigest(),
                              "ids": list(map(int, line.split())) if with_ids else None,
