@@ -238,3 +238,17 @@ def test_only_lines_that_resemble_others_are_read_again(spark, monkeypatch):
     assert [name for name, df in made if "line" in df.columns] == ["line_texts", "line_met_texts"]
     assert sorted(bytes(r.line).decode() for r in tables["line_texts"].collect()) == [docs[3][1], docs[3][1] + "x"]
     assert tables["line_met_texts"].count() == 0
+
+
+def test_lines_are_decided_in_dataframe_expressions(spark, monkeypatch):
+    import re
+    first, last, other = (f"a line that comes {k} and is long enough to take part" for k in ("first", "lastly, or so,", "in between"))
+    # gone lines at both ends, next to each other, alone and all of a text
+    docs = [(1, f"{first}\n{last}\n{other}"), (2, f"{first}\nx\n{last}\n{other}\ny\n\n{first}"), (3, f"\n{last}\n{last}\nz\n"), (4, first)]
+    plans = []
+    monkeypatch.setattr(op7, "store", lambda df, name, f=op7.store: plans.append(df._jdf.queryExecution().analyzed().toString()) or f(df, name))
+    out = dedup_lines(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1))
+    plans.append(out._jdf.queryExecution().analyzed().toString())
+    assert len(plans) > 5 and not [p for p in plans if re.search("InArrow|InPandas|Python", p)]
+    assert {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in out.collect()} == {
+        1: (3, 0, docs[0][1]), 2: (7, 4, "x\ny\n"), 3: (5, 2, "\nz\n"), 4: (1, 1, "")}
