@@ -252,3 +252,37 @@ def test_lines_are_decided_in_dataframe_expressions(spark, monkeypatch):
     assert len(plans) > 5 and not [p for p in plans if re.search("InArrow|InPandas|Python", p)]
     assert {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in out.collect()} == {
         1: (3, 0, docs[0][1]), 2: (7, 4, "x\ny\n"), 3: (5, 2, "\nz\n"), 4: (1, 1, "")}
+
+
+def test_a_pair_of_lines_is_met_from_one_bucket_only(spark, monkeypatch):
+    rnd = random.Random(12)
+    base = [rnd.choice("abcdefghij") for _ in range(150)]
+    docs = []
+    for k in range(40):  # copies that resemble each other, most of them below the threshold
+        line = list(base)
+        for p in rnd.sample(range(150), 4):
+            line[p] = "#"
+        docs.append((k, "".join(line)))
+    monkeypatch.setattr(op7, "discard", lambda *a: None)
+    made = stored_tables(monkeypatch, op7)
+    check_lines(spark, docs)
+    met = dict(made)["line_met"].select("a", "b")
+    assert met.count() > 20 and met.count() == met.distinct().count()
+
+
+def test_sketches_leave_all_lines_that_reach_the_threshold(spark):
+    rnd = random.Random(13)
+    lines, pairs = [], []
+    for k in range(150):
+        line = [rnd.choice("abcdefghij é日\U0001F600") for _ in range(rnd.randrange(20, 900))]
+        other = list(line)
+        for _ in range(rnd.randrange(0, 1 + len(line) // 20)):
+            other[rnd.randrange(len(line))] = "#"
+        lines += [(2 * k, "".join(line)), (2 * k + 1, "".join(other))]
+        pairs += [(2 * k, 2 * k + 1), (2 * k, (2 * k + 3) % 300)]
+    body = op7._sketches(spark.createDataFrame([(i, bytearray(x.encode())) for i, x in lines], "id long, line binary"))
+    both = op7._pairs_with(spark.createDataFrame(pairs, "a long, b long"), body, "body")
+    left = {(r.a, r.b) for r in both.filter(op7._possible("x", "y", 80)).select("a", "b").collect()}
+    sets = {i: {x[j:j + 5] for j in range(len(x) - 4)} for i, x in lines}
+    alike = {(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert len(alike) > 30 and alike <= left and len(left) < 150
